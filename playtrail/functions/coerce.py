@@ -114,6 +114,12 @@ def epoch_of_text(text: Column, pattern: str = times.FULL, tz: str = times.DEFAU
             .otherwise(times.parse(text, pattern, tz)))
 
 
+def epoch_of_leaf(leaf: Column, pattern: str = times.FULL, tz: str = times.DEFAULT_TZ) -> Column:
+    """Leaf written as a JSON number: seconds or, above the INT range, milliseconds; else text."""
+    return (F.when(leaf.rlike("^[0-9]+$"), epoch_of_number(leaf.try_cast("bigint")))
+            .otherwise(epoch_of_text(leaf, pattern, tz)))
+
+
 # ---- the same stand-ins for leaves already read as STRING (NULL when missing) ----
 
 def text_of(leaf: Column) -> Column:

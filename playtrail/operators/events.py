@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import codes, times
-from ..functions.coerce import double_of, epoch_of_text, int_of, int_string_of, text_of
+from ..functions.coerce import double_of, epoch_of_leaf, epoch_of_text, int_of, int_string_of, text_of
 from .dims import Dims
 from .lookup import lookup
 from .resolve import resolve_own
@@ -139,7 +139,7 @@ def register_event(df: DataFrame, dims: Dims, data: str = "data", tz: str = time
     game = {"game_id": F.col("app_id"), "company_id": F.col("company_id"), "app_key": text_of(d["own_app_id"])}
     device = {"device_id": text_of(d["device_id"]), "android_imei": text_of(d["imei"])}
     agent = {"channel_id": F.col("channel_id"), "game_channel_id": F.col("game_channel_id")}
-    tops = _tops("register", epoch_of_text(d["register_time"], times.FULL, tz), F.lit(""))
+    tops = _tops("register", epoch_of_leaf(d["register_time"], times.FULL, tz), F.lit(""))
     kept = [F.col(f"`{c}`") for c in df.columns if c != data]
     return work.select(
         *kept, group(schemas.USER, user).alias("user"),

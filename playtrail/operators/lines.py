@@ -49,9 +49,9 @@ def framed_lines(df: DataFrame, schema: T.StructType, tag: str = "DATA[", line:
     src = F.col(line)
     parts = frame_parts(src, tag)
     cut = df.select("*", *[c.alias("_" + n) for n, c in parts.items()])
-    parsed = once(cut, {
+    parsed = with_document(cut, F.col("_payload"), schema, "doc", df.columns, {
         "line_ip": F.col("_line_ip"), "line_ts": times.parse(F.col("_time_text"), times.FULL, tz),
-        "_tagged": F.col("_payload").isNotNull(), "doc": document(F.col("_payload"), schema)}, df.columns)
+        "_tagged": F.col("_payload").isNotNull()})
     framed = F.col("line_ip").isNotNull() & F.col("line_ts").isNotNull()
     reason = F.when(~F.col("_tagged"), F.lit("no tag"))
     if frame:
@@ -61,16 +61,21 @@ def framed_lines(df: DataFrame, schema: T.StructType, tag: str = "DATA[", line:
             .withColumn("ok", F.col("reject_reason").isNull()))
 
 
-def document(text: Column, schema: T.StructType) -> Column:
-    """Parsed JSON object, NULL when the text is not one.
+def with_document(df: DataFrame, text: Column, schema: T.StructType, out: str = "doc",
+                  kept: list[str] | None = None, more: dict[str, Column] | None = None) -> DataFrame:
+    """Add the JSON object ``text`` parsed by ``schema``, NULL when it is not one.
 
-    The permissive parser returns an all-NULL row for broken text, so the raw
-    text is kept in a corrupt-record field and checked.
+    The text is parsed once, whatever is read from it later. The permissive parser
+    returns an all-NULL row for broken text, so a corrupt-record field is checked.
     """
+    names = df.columns if kept is None else kept
     wide = T.StructType(list(schema.fields) + [T.StructField("_bad", T.StringType())])
-    doc = F.from_json(F.when(F.ltrim(text).startswith("{"), text), wide,
+    given = df.select(*[F.col(f"`{n}`") for n in names], text.alias("_text"),
+                      *[c.alias(n) for n, c in (more or {}).items()])
+    raw = F.from_json(F.when(F.ltrim("_text").startswith("{"), F.col("_text")), wide,
                       {"columnNameOfCorruptRecord": "_bad"})
-    return F.when(doc["_bad"].isNull(), doc)
+    parsed = once(given, {"_raw": raw}, [*names, *(more or {})])
+    return parsed.withColumn(out, F.when(F.col("_raw._bad").isNull(), F.col("_raw"))).drop("_raw")
 
 
 def wrapped_lines(df: DataFrame, line: str = "value", out: str = "value") -> DataFrame:
@@ -105,7 +110,7 @@ def ad_click_lines(df: DataFrame, line: str = "value", ad_field: str = "adid") -
     text = F.when((opened > 0) & (closed > opened), F.substring(src, opened + 1, closed + 1 - opened))
     shape = schemas.texts([ad_field if c == "adid" else c for c in schemas.AD_CLICK])
     staged = df.select("*", text.alias("_json"), first.alias("_time"), second.alias("_ip"))
-    parsed = once(staged, {"_d": document(F.col("_json"), shape)})
+    parsed = with_document(staged, F.col("_json"), shape, "_d")
     d = F.col("_d")
     named = F.col("_json").contains("company_id") & F.col("_json").contains(ad_field)
     fields = [F.coalesce(d[c], F.lit("")).alias(c) for c in ("game", "channel", "device_id", "company_id", "pf")]
@@ -150,7 +155,7 @@ def coin_json_lines(df: DataFrame, line: str = "value") -> DataFrame:
     objects = F.split(F.regexp_replace(body, r"\},\{", "}\x02{"), "\x02")
     kept = [F.col(f"`{c}`") for c in df.columns]
     each = df.select(*kept, F.posexplode(objects).alias("object_no", "object"))
-    parsed = once(each, {"_d": document(F.translate("object", "\t", " "), schemas.texts(schemas.COIN))})
+    parsed = with_document(each, F.translate("object", "\t", " "), schemas.texts(schemas.COIN), "_d")
     return _coin_out(parsed, [*kept, F.col("object_no"), F.col("object")], "json parse error")
 
 
@@ -175,9 +180,8 @@ def _coin_out(df: DataFrame, kept: list[Column], reason: str) -> DataFrame:
 def binlog_rows(df: DataFrame, data: list[str], line: str = "value") -> DataFrame:
     """Change-data envelope -> one row per changed row: database, table, type, data."""
     kept = [F.col(f"`{c}`") for c in df.columns]
-    doc = document(F.col(line), schemas.binlog_schema(data))
-    parsed = df.select(*kept, doc["rows"].alias("_rows"))
-    return (parsed.select(*kept, F.posexplode("_rows").alias("row_no", "_r"))
+    parsed = with_document(df, F.col(line), schemas.binlog_schema(data), "_d")
+    return (parsed.select(*kept, F.posexplode("_d.rows").alias("row_no", "_r"))
             .select(*kept, "row_no", F.col("_r.database").alias("database"),
                     F.col("_r.table").alias("table"), F.col("_r.type").alias("type"),
                     F.col("_r.data").alias("data")))

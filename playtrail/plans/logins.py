@@ -163,7 +163,7 @@ def old_logins(df: DataFrame, dims: Dims, regions: Dimension, arrival: str, *,
     from ..functions import codes
 
     shape = schemas.event_schema(["user", "game", "agent", "device"])
-    parsed = df.select(arrival, lines.document(F.col("value"), shape).alias("d"))
+    parsed = lines.with_document(df, F.col("value"), shape, "d", [arrival])
     d = F.col("d")
     good = parsed.where(guards.old_login_guard(d.isNotNull(), d["game"]["game_id"], d["agent"]["channel_id"],
                                                int_of(d["server_ts"])))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field as dc_field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .lookup import Dimension, dimension, measure
@@ -12,6 +13,9 @@ from .lookup import Dimension, dimension, measure
 OVERSEAS_PLATFORMS = ("4", "5")
 
 
+Source = DataFrame | Callable[[], DataFrame] | None
+
+
 def belong_game_rows(df: DataFrame, platforms: tuple[str, ...] | None) -> DataFrame:
     """An own game may map to several channels; overseas only given platforms count."""
     return df if platforms is None else df.where(F.col("sub_pf").isin(*platforms))
@@ -27,21 +31,30 @@ def rate_rows(df: DataFrame) -> DataFrame:
 
 @dataclass
 class Dims:
-    """All lookups of one run. Every source frame has a ``pos`` column giving its order."""
-
-    game_channel_rows: DataFrame | None = None    # game_id, channel_id, game_channel_id, pos
-    agent_game: DataFrame | None = None           # game_id, company_id, pos
-    agent_channel: DataFrame | None = None        # channel_id, pf, pos
-    sub_channel_rows: DataFrame | None = None     # sub_channel_id, channel_id, pos
-    old_game_channel: DataFrame | None = None     # channel_id, game_channel_id, pos
-    belong_game: DataFrame | None = None          # belong_game_id, ..., sub_pf, pos
-    special_set: DataFrame | None = None          # game_channel_id
-    rates: DataFrame | None = None                # from_currency, to_currency, exchange_rate, pos
-    packages: DataFrame | None = None             # game_id, package_name, pos
+    """All lookups of one run. Every source frame has a ``pos`` column giving its order.
+
+    A source is a frame or a function giving one, called when its lookup is first used.
+    """
+
+    game_channel_rows: Source = None    # game_id, channel_id, game_channel_id, pos
+    agent_game: Source = None           # game_id, company_id, pos
+    agent_channel: Source = None        # channel_id, pf, pos
+    sub_channel_rows: Source = None     # sub_channel_id, channel_id, pos
+    old_game_channel: Source = None     # channel_id, game_channel_id, pos
+    belong_game: Source = None          # belong_game_id, ..., sub_pf, pos
+    special_set: Source = None          # game_channel_id
+    rates: Source = None                # from_currency, to_currency, exchange_rate, pos
+    packages: Source = None             # game_id, package_name, pos
     platforms: tuple[str, ...] | None = None
     bounds: dict = dc_field(default_factory=dict)
     _made: dict = dc_field(default_factory=dict, repr=False)
 
+    def _rows(self, name: str) -> DataFrame:
+        source = getattr(self, name)
+        if source is None:
+            raise ValueError(f"no source given for {name}")
+        return source() if callable(source) else source
+
     def _get(self, name: str, make) -> Dimension:
         if name not in self._made:
             self._made[name] = make()
@@ -51,66 +64,66 @@ class Dims:
     def channel_of(self) -> Dimension:
         """(game, game channel) -> channel."""
         return self._get("channel_of", lambda: dimension(
-            self.game_channel_rows, ["game_id", "game_channel_id"], ["channel_id"], "pos",
+            self._rows("game_channel_rows"), ["game_id", "game_channel_id"], ["channel_id"], "pos",
             "channel_of", **self.bounds))
 
     @property
     def game_channel_of(self) -> Dimension:
         """(game, channel) -> game channel."""
         return self._get("game_channel_of", lambda: dimension(
-            self.game_channel_rows, ["game_id", "channel_id"], ["game_channel_id"], "pos",
+            self._rows("game_channel_rows"), ["game_id", "channel_id"], ["game_channel_id"], "pos",
             "game_channel_of", **self.bounds))
 
     @property
     def by_game_channel(self) -> Dimension:
         """game channel -> (channel, game)."""
         return self._get("by_game_channel", lambda: dimension(
-            self.game_channel_rows, ["game_channel_id"], ["channel_id", "game_id"], "pos",
+            self._rows("game_channel_rows"), ["game_channel_id"], ["channel_id", "game_id"], "pos",
             "by_game_channel", **self.bounds))
 
     @property
     def company(self) -> Dimension:
         return self._get("company", lambda: dimension(
-            self.agent_game, ["game_id"], ["company_id"], "pos", "company", **self.bounds))
+            self._rows("agent_game"), ["game_id"], ["company_id"], "pos", "company", **self.bounds))
 
     @property
     def os(self) -> Dimension:
         return self._get("os", lambda: dimension(
-            self.agent_channel, ["channel_id"], ["pf"], "pos", "os", **self.bounds))
+            self._rows("agent_channel"), ["channel_id"], ["pf"], "pos", "os", **self.bounds))
 
     @property
     def sub_channel(self) -> Dimension:
         return self._get("sub_channel", lambda: dimension(
-            self.sub_channel_rows, ["sub_channel_id"], ["channel_id"], "pos", "sub_channel",
+            self._rows("sub_channel_rows"), ["sub_channel_id"], ["channel_id"], "pos", "sub_channel",
             **self.bounds))
 
     @property
     def old_channel(self) -> Dimension:
         return self._get("old_channel", lambda: dimension(
-            self.old_game_channel, ["channel_id"], ["game_channel_id"], "pos", "old_channel",
+            self._rows("old_game_channel"), ["channel_id"], ["game_channel_id"], "pos", "old_channel",
             **self.bounds))
 
     @property
     def belong(self) -> Dimension:
         return self._get("belong", lambda: dimension(
-            belong_game_rows(self.belong_game, self.platforms), ["belong_game_id"],
+            belong_game_rows(self._rows("belong_game"), self.platforms), ["belong_game_id"],
             ["game_channel_id", "channel_id", "game_id"], "pos", "belong", **self.bounds))
 
     @property
     def special(self) -> Dimension:
         return self._get("special", lambda: Dimension(
-            self.special_set.select("game_channel_id").distinct(), ["game_channel_id"],
+            self._rows("special_set").select("game_channel_id").distinct(), ["game_channel_id"],
             ["game_channel_id"], "special", **self.bounds))
 
     @property
     def rate(self) -> Dimension:
         return self._get("rate", lambda: Dimension(
-            rate_rows(self.rates), ["currency"], ["cny_rate", "usd_rate"], "rate", **self.bounds))
+            rate_rows(self._rows("rates")), ["currency"], ["cny_rate", "usd_rate"], "rate", **self.bounds))
 
     @property
     def package_game(self) -> Dimension:
         return self._get("package_game", lambda: dimension(
-            self.packages, ["package_name"], ["game_id"], "pos", "package_game", **self.bounds))
+            self._rows("packages"), ["package_name"], ["game_id"], "pos", "package_game", **self.bounds))
 
     def measured(self, *names: str) -> "Dims":
         """Measure the named dimensions in one job before a plan uses them."""

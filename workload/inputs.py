@@ -6,6 +6,8 @@ definitions as SQL for the checks.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,9 @@ from playtrail.operators.lookup import Dimension
 from playtrail.operators.once import once
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table; the frame is kept so that its footer is read once per session."""
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -227,18 +231,19 @@ def rate_rows(spark, sf):
 def dims(spark: SparkSession, sf: str, platforms: tuple[str, ...] | None = None, **bounds: int) -> Dims:
     t = lambda n: table(spark, sf, n)
     return Dims(
-        game_channel_rows=game_channel_rows(spark, sf),
-        agent_game=t("part").selectExpr("cast(p_partkey AS string) AS game_id", "p_brand AS company_id", "p_partkey AS pos"),
-        agent_channel=t("nation").selectExpr("cast(n_nationkey AS string) AS channel_id",
-                                             "cast(n_regionkey AS string) AS pf", "n_nationkey AS pos"),
-        sub_channel_rows=t("supplier").selectExpr("cast(1000 + s_suppkey AS string) AS sub_channel_id",
-                                                  "cast(s_nationkey AS string) AS channel_id", "s_suppkey AS pos"),
-        old_game_channel=t("supplier").where("s_acctbal >= 0").selectExpr(
+        game_channel_rows=lambda: game_channel_rows(spark, sf),
+        agent_game=lambda: t("part").selectExpr("cast(p_partkey AS string) AS game_id", "p_brand AS company_id", "p_partkey AS pos"),
+        agent_channel=lambda: t("nation").selectExpr("cast(n_nationkey AS string) AS channel_id",
+                                                     "cast(n_regionkey AS string) AS pf", "n_nationkey AS pos"),
+        sub_channel_rows=lambda: t("supplier").selectExpr("cast(1000 + s_suppkey AS string) AS sub_channel_id",
+                                                          "cast(s_nationkey AS string) AS channel_id", "s_suppkey AS pos"),
+        old_game_channel=lambda: t("supplier").where("s_acctbal >= 0").selectExpr(
             "cast(1000 + s_suppkey AS string) AS channel_id", "cast(5000 + s_suppkey AS string) AS game_channel_id",
             "s_suppkey AS pos"),
-        belong_game=belong_rows(spark, sf), special_set=special_rows(spark, sf), rates=rate_rows(spark, sf),
-        packages=t("part").selectExpr("concat('com.game.p', p_partkey) AS package_name",
-                                      "cast(1 + p_partkey % 97 AS string) AS game_id", "p_partkey AS pos"),
+        belong_game=lambda: belong_rows(spark, sf), special_set=lambda: special_rows(spark, sf),
+        rates=lambda: rate_rows(spark, sf),
+        packages=lambda: t("part").selectExpr("concat('com.game.p', p_partkey) AS package_name",
+                                              "cast(1 + p_partkey % 97 AS string) AS game_id", "p_partkey AS pos"),
         platforms=platforms, bounds=bounds)
 
 

@@ -125,9 +125,9 @@ class Dims:
         return self._get("package_game", lambda: dimension(
             self._rows("packages"), ["package_name"], ["game_id"], "pos", "package_game", **self.bounds))
 
-    def measured(self, *names: str) -> "Dims":
-        """Measure the named dimensions in one job before a plan uses them."""
-        measure([getattr(self, n) for n in names])
+    def measured(self, *names: str, also: tuple[Dimension | None, ...] = ()) -> "Dims":
+        """Measure the named and the given dimensions in one job before a plan uses them."""
+        measure([getattr(self, n) for n in names] + [d for d in also if d is not None])
         return self
 
 

@@ -11,7 +11,7 @@ from ..functions import codes, times
 from ..functions.coerce import double_of, epoch_of_leaf, epoch_of_text, int_of, int_string_of, text_of
 from .dims import Dims
 from .lookup import lookup
-from .resolve import resolve_own
+from .resolve import fx_convert, resolve_own
 
 
 def leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
@@ -27,18 +27,20 @@ def _ref(path: tuple[str, ...]) -> Column:
     return F.col(".".join(f"`{p}`" for p in path))
 
 
-def flatten_dashed(df: DataFrame) -> DataFrame:
+def flatten_dashed(df: DataFrame, as_columns: bool = False) -> DataFrame | dict[str, Column]:
     """Nested fields become ``group-field`` columns."""
-    return df.select(*[_ref(p).alias("-".join(p)) for p in leaves(df.schema)])
+    found = {"-".join(p): _ref(p) for p in leaves(df.schema)}
+    return found if as_columns else df.select(*[c.alias(n) for n, c in found.items()])
 
 
-def flatten_leaf(df: DataFrame) -> DataFrame:
+def flatten_leaf(df: DataFrame, as_columns: bool = False) -> DataFrame | dict[str, Column]:
     """Nested fields keep their leaf name only; a later leaf replaces an earlier one."""
     last: dict[str, tuple[str, ...]] = {}
     for p in leaves(df.schema):
         last.pop(p[-1], None)
         last[p[-1]] = p
-    return df.select(*[_ref(p).alias(n) for n, p in last.items()])
+    found = {n: _ref(p) for n, p in last.items()}
+    return found if as_columns else df.select(*[c.alias(n) for n, c in found.items()])
 
 
 def group(names: list[str], given: dict[str, Column]) -> Column:
@@ -67,60 +69,89 @@ def login_event(df: DataFrame, doc: str = "doc", ts: str = "line_ts", ip: str =
     return df.select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
-def _own_ids(df: DataFrame, dims: Dims, data: str, combined: bool) -> DataFrame:
-    """game_channel_id, channel_id, game_id, company_id of an own-channel row."""
-    d = F.col(data)
-    if combined:
-        work = resolve_own(df, dims, game_id=text_of(d["game_id"]), aliases={"": ""})
+def _own_ids(df: DataFrame, dims: Dims, own_game: Column | None, own_channel: Column | None) -> DataFrame:
+    """_game_channel, _channel, _game, _company of own-channel rows.
+
+    A row is resolved by its own game where ``own_game`` is not NULL, by its game
+    channel where ``own_channel`` is not NULL.
+    """
+    if own_channel is None:
+        work = resolve_own(df, dims, game_id=own_game, aliases={"": ""})
         return work.withColumnsRenamed({"app_id": "_game", "channel_id": "_channel",
                                         "game_channel_id": "_game_channel", "company_id": "_company"})
-    dims.measured("by_game_channel", "company")
-    work = lookup(df, dims.by_game_channel, [text_of(d["own_channel"])],
-                  {"_channel": "channel_id", "_game": "game_id"})
-    work = work.withColumn("_game_channel", text_of(d["own_channel"]))
+    work = df.select("*", own_channel.alias("_side"))
+    work = lookup(work, dims.by_game_channel, [F.col("_side")], {"_bc": "channel_id", "_bg": "game_id"})
+    if own_game is None:
+        work = work.withColumnsRenamed({"_bc": "_channel", "_bg": "_game", "_side": "_game_channel"})
+    else:
+        work = lookup(work, dims.belong, [own_game],
+                      {"_oc": "channel_id", "_og": "game_id", "_ogc": "game_channel_id"})
+        side = F.col("_side").isNotNull()
+        pick = lambda a, b: F.when(side, F.col(a)).otherwise(F.col(b))
+        work = work.select(*[F.col(f"`{c}`") for c in df.columns], pick("_bc", "_oc").alias("_channel"),
+                           pick("_bg", "_og").alias("_game"), pick("_side", "_ogc").alias("_game_channel"))
     return lookup(work, dims.company, [F.col("_game")], {"_company": "company_id"})
 
 
+def _register_parts(d: Column) -> tuple[dict[str, Column], dict[str, Column]]:
+    user = {"user_id": text_of(d["user_id"]), "gender": codes.label(text_of(d["sex"]), codes.GENDER),
+            "birth": text_of(d["birth"]), "phone_num": text_of(d["tel_num"]),
+            "email_num": text_of(d["email"]), "login_type": text_of(d["reg_type"])}
+    return user, {"device_id": text_of(d["device_id"]), "android_imei": text_of(d["imei"])}
+
+
+def _order_parts(d: Column, pay_types: dict[str, str]) -> tuple[dict, dict, dict, dict]:
+    device = {"device_id": text_of(d["device_id"]), "android_imei": text_of(d["imei"]), "os_type": F.col("_os")}
+    role = {"role_server": text_of(d["server"]), "role_id": text_of(d["game_role_id"]),
+            "role_name": text_of(d["game_role_name"])}
+    order = {"order_sn": text_of(d["order_sn"]), "cp_trade_sn": text_of(d["cp_trade_sn"]),
+             "channel_trade_sn": text_of(d["payment_trade_sn"]), "currency_type": text_of(d["money_type"]),
+             "order_type": codes.label(int_string_of(d["pay_type"]), pay_types)}
+    money = double_of(d["money"])
+    numbers = {"cny_amount": F.lit(0.0), "usd_amount": F.lit(0.0), "money": money, "currency_amount": money,
+               "order_step": codes.label(int_of(d["status"]), codes.ORDER_STEP),
+               "order_status": codes.label(int_of(d["pay_status"]), codes.PAY_STATUS)}
+    return device, role, order, numbers
+
+
+# groups of a canonical order or register event
+EVENT_GAME = [c for c in schemas.GAME if c != "app_id"]
+
+
 def order_event(df: DataFrame, dims: Dims, data: str = "data", *, overseas: bool = False,
-                combined: bool = True, flat: bool = False, tz: str = times.DEFAULT_TZ) -> DataFrame:
+                combined: bool = True, flat: bool = False, only: Column | None = None,
+                tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Own-channel order row -> canonical order event, nested or flat.
 
     ``combined=False`` resolves by the row's game channel instead of its own game.
-    Rows without a game are not orders and are left out.
+    Rows without a game are not orders and are left out; with ``only`` all rows stay
+    and just those it names are resolved.
     """
     d = F.col(data)
-    work = _own_ids(df.where(text_of(d["game_id"]) != ""), dims, data, combined)
+    rows = df.where(text_of(d["game_id"]) != "") if only is None else df
+    given = (lambda c: c) if only is None else (lambda c: F.when(only, c))
+    if combined:
+        work = _own_ids(rows, dims, given(text_of(d["game_id"])), None)
+    else:
+        work = _own_ids(rows, dims, None, given(text_of(d["own_channel"])))
     work = lookup(work, dims.os, [F.col("_channel")], {"_os": "pf"}, default="")
-    pay_types = codes.PAY_TYPE_OVERSEAS if overseas else codes.PAY_TYPE_DOMESTIC
-    money = double_of(d["money"])
+    device, role, order, numbers = _order_parts(d, codes.PAY_TYPE_OVERSEAS if overseas else codes.PAY_TYPE_DOMESTIC)
     user = {"user_id": text_of(d["user_id"])}
     game = {"game_id": F.col("_game"), "company_id": F.col("_company"), "app_key": text_of(d["game_id"])}
     agent = {"channel_id": F.col("_channel"), "game_channel_id": F.col("_game_channel")}
-    device = {"device_id": text_of(d["device_id"]), "android_imei": text_of(d["imei"]), "os_type": F.col("_os")}
-    role = {"role_server": text_of(d["server"]), "role_id": text_of(d["game_role_id"]),
-            "role_name": text_of(d["game_role_name"])}
-    order = {"order_sn": text_of(d["order_sn"]), "cp_trade_sn": text_of(d["cp_trade_sn"]),
-             "channel_trade_sn": text_of(d["payment_trade_sn"]), "currency_type": text_of(d["money_type"]),
-             "order_type": codes.label(int_string_of(d["pay_type"]), pay_types)}
     tops = _tops("order", epoch_of_text(d["update_time"], times.FULL, tz), text_of(d["create_ip"]))
-    kept = [F.col(f"`{c}`") for c in df.columns if c != data]
+    kept = [F.col(f"`{c}`") for c in df.columns if only is not None or c != data]
     if flat:
-        given = {**user, **game, **agent, **device, **role, **order}
+        plain = {**user, **game, **agent, **device, **role, **order}
         names = [n for n in dict.fromkeys(schemas.USER + schemas.GAME + schemas.AGENT + schemas.DEVICE
-                                          + schemas.ROLE + schemas.ORDER)
-                 if n not in ("order_step", "order_status", "cny_amount", "usd_amount", "currency_amount",
-                              "money", "app_id")]
-        cols = [given.get(n, F.lit("")).alias(n) for n in names]
-        cols += [F.lit(0.0).alias("cny_amount"), money.alias("currency_amount"), money.alias("money"),
-                 F.lit(0.0).alias("usd_amount"), text_of(d["pay_status"]).alias("pay_status"),
-                 text_of(d["status"]).alias("status"), F.col("_os").alias("sub_pf")]
+                                          + schemas.ROLE + schemas.ORDER) if n not in numbers and n != "app_id"]
+        cols = [plain.get(n, F.lit("")).alias(n) for n in names]
+        cols += [numbers[n].alias(n) for n in ("cny_amount", "currency_amount", "money", "usd_amount")]
+        cols += [text_of(d["pay_status"]).alias("pay_status"), text_of(d["status"]).alias("status"),
+                 F.col("_os").alias("sub_pf")]
         return work.select(*kept, *cols, *[c.alias(n) for n, c in tops.items()])
-    numbers = {"cny_amount": F.lit(0.0), "usd_amount": F.lit(0.0), "money": money, "currency_amount": money,
-               "order_step": codes.label(int_of(d["status"]), codes.ORDER_STEP),
-               "order_status": codes.label(int_of(d["pay_status"]), codes.PAY_STATUS)}
     return work.select(
-        *kept, group(schemas.USER, user).alias("user"),
-        group([c for c in schemas.GAME if c != "app_id"], game).alias("game"),
+        *kept, group(schemas.USER, user).alias("user"), group(EVENT_GAME, game).alias("game"),
         group(schemas.AGENT, agent).alias("agent"), group(schemas.DEVICE, device).alias("device"),
         group(schemas.ROLE, role).alias("role"), group(schemas.ORDER, {**order, **numbers}).alias("order"),
         *[c.alias(n) for n, c in tops.items()],
@@ -128,22 +159,60 @@ def order_event(df: DataFrame, dims: Dims, data: str = "data", *, overseas: bool
         F.col("_os").alias("sub_pf"))
 
 
+def database_events(df: DataFrame, dims: Dims, kind: Column, data: str = "data", *, overseas: bool = False,
+                    tz: str = times.DEFAULT_TZ) -> DataFrame:
+    """Rows of all own-channel tables as canonical events in one pass.
+
+    ``kind`` is ``order``, ``order_side`` (resolved by game channel), ``user`` or anything
+    else; other rows, and rows without a game or app, stay unresolved.
+    """
+    d = F.col(data)
+    base = df.select("*", kind.alias("_kind"))
+    is_user, is_side = F.col("_kind") == "user", F.col("_kind") == "order_side"
+    has_game = text_of(d["game_id"]) != ""
+    own_game = (F.when((F.col("_kind") == "order") & has_game, d["game_id"]).when(is_user, d["own_app_id"]))
+    work = _own_ids(base, dims, own_game, F.when(is_side & has_game, text_of(d["own_channel"])))
+    work = lookup(work, dims.os, [F.when(~is_user, F.col("_channel"))], {"_os": "pf"}, default="")
+    device, role, order, numbers = _order_parts(d, codes.PAY_TYPE_OVERSEAS if overseas else codes.PAY_TYPE_DOMESTIC)
+    if overseas:
+        work = fx_convert(work, dims, F.when(F.col("_kind") == "order", text_of(d["money_type"])), double_of(d["money"]))
+        for c in ("cny_amount", "usd_amount"):
+            numbers[c] = F.when(is_side, F.lit(0.0)).otherwise(F.col(c))
+    user, _ = _register_parts(d)
+    user = {n: (c if n == "user_id" else F.when(is_user, c).otherwise(F.lit(""))) for n, c in user.items()}
+    device["os_type"] = F.when(is_user, F.lit("")).otherwise(F.col("_os"))
+    game = {"game_id": F.col("_game"), "company_id": F.col("_company"),
+            "app_key": text_of(F.when(is_user, d["own_app_id"]).otherwise(d["game_id"]))}
+    agent = {"channel_id": F.col("_channel"), "game_channel_id": F.col("_game_channel")}
+    tops = _tops("order", F.when(is_user, epoch_of_leaf(d["register_time"], times.FULL, tz))
+                 .otherwise(epoch_of_text(d["update_time"], times.FULL, tz)),
+                 F.when(is_user, F.lit("")).otherwise(text_of(d["create_ip"])))
+    tops["event"] = F.when(is_user, F.lit("register")).otherwise(F.lit("order"))
+    event = F.col("_kind").isin("order", "order_side", "user") & F.when(is_user, d["own_app_id"].isNotNull()).otherwise(has_game)
+    order_only = lambda c: F.when(~is_user, c)
+    return work.select(
+        *[F.col(f"`{c}`") for c in df.columns], F.coalesce(event, F.lit(False)).alias("is_event"),
+        group(schemas.USER, user).alias("user"), group(EVENT_GAME, game).alias("game"),
+        group(schemas.AGENT, agent).alias("agent"), group(schemas.DEVICE, device).alias("device"),
+        order_only(group(schemas.ROLE, role)).alias("role"),
+        order_only(group(schemas.ORDER, {**order, **numbers})).alias("order"),
+        *[c.alias(n) for n, c in tops.items()], order_only(int_of(d["pay_status"])).alias("pay_status"),
+        order_only(int_of(d["status"])).alias("status"), order_only(F.col("_os")).alias("sub_pf"))
+
+
 def register_event(df: DataFrame, dims: Dims, data: str = "data", tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Own-channel user row -> canonical register event. Rows without an app are left out."""
     d = F.col(data)
     work = resolve_own(df.where(d["own_app_id"].isNotNull()), dims, game_id=text_of(d["own_app_id"]),
                        aliases={"": ""})
-    user = {"user_id": text_of(d["user_id"]), "gender": codes.label(text_of(d["sex"]), codes.GENDER),
-            "birth": text_of(d["birth"]), "phone_num": text_of(d["tel_num"]),
-            "email_num": text_of(d["email"]), "login_type": text_of(d["reg_type"])}
+    user, device = _register_parts(d)
     game = {"game_id": F.col("app_id"), "company_id": F.col("company_id"), "app_key": text_of(d["own_app_id"])}
-    device = {"device_id": text_of(d["device_id"]), "android_imei": text_of(d["imei"])}
     agent = {"channel_id": F.col("channel_id"), "game_channel_id": F.col("game_channel_id")}
     tops = _tops("register", epoch_of_leaf(d["register_time"], times.FULL, tz), F.lit(""))
     kept = [F.col(f"`{c}`") for c in df.columns if c != data]
     return work.select(
         *kept, group(schemas.USER, user).alias("user"),
-        group([c for c in schemas.GAME if c != "app_id"], game).alias("game"),
+        group(EVENT_GAME, game).alias("game"),
         group(schemas.AGENT, agent).alias("agent"), group(schemas.DEVICE, device).alias("device"),
         *[c.alias(n) for n, c in tops.items()], F.lit("").alias("status"))
 

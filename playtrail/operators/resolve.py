@@ -58,6 +58,9 @@ def _agency_parts(df: DataFrame, dims: Dims, game: Column, channel: Column, game
     return work
 
 
+# the lookups of the agency cascades, to be measured together
+AGENCY_DIMS = ("channel_of", "sub_channel", "old_channel", "game_channel_of", "os", "company")
+
 _PARTS = ["_g", "_c", "_gc", "_ch_of_gc", "_sub", "_is_sub", "_old_gc", "_eff", "_gc_of_ch"]
 
 
@@ -74,7 +77,7 @@ def resolve_login(df: DataFrame, dims: Dims, *, agent: Column, game_id: Column,
     from the channel, by way of the sub-channel tables. ``strict`` keeps the
     record check in force together with the exclusion of overseas channels.
     """
-    dims.measured("channel_of", "sub_channel", "old_channel", "game_channel_of", "os", "company")
+    dims.measured(*AGENCY_DIMS)
     guard = agent_guard(agent, game_id, channel_id, game_channel_id)
     work = _agency_parts(df.select("*", guard.alias("_guard")), dims, game_id,
                          F.coalesce(channel_id, F.lit("")), F.coalesce(game_channel_id, F.lit("")))
@@ -96,7 +99,7 @@ def resolve_login(df: DataFrame, dims: Dims, *, agent: Column, game_id: Column,
 
 def resolve_order(df: DataFrame, dims: Dims, *, game_id: Column, column: Column) -> DataFrame:
     """Agency orders: ``column`` is a game channel for games from 63 on, else a (sub-)channel."""
-    dims.measured("channel_of", "sub_channel", "old_channel", "game_channel_of", "os", "company")
+    dims.measured(*AGENCY_DIMS)
     number = game_id.try_cast("int")
     valid = F.coalesce(number, F.lit(-1)) != -1
     work = _agency_parts(df.select("*", valid.alias("resolved"), (number >= GAME_CHANNEL_FROM).alias("_big")),

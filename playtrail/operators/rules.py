@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import double_of, int_of, text_of
+from .once import once
 
 Rule = tuple[str, str, str, str]
 
@@ -54,26 +55,61 @@ def _holds(leaf: Column, rule: str, int_strict: bool) -> Column:
     return leaf.isNotNull() & F.coalesce(ok, F.lit(False))
 
 
+def _shared_order(by_event: dict[str, list[tuple[str, str, str]]]) -> list[tuple[str, str, str]] | None:
+    """One order of all distinct checks that agrees with every event's own order, if there is one."""
+    after: dict[tuple, set] = {}
+    for own in by_event.values():
+        for n, check in enumerate(own):
+            after.setdefault(check, set()).update(own[:n])
+    done: list[tuple[str, str, str]] = []
+    while len(done) < len(after):
+        ready = [c for c in after if c not in done and after[c] <= set(done)]
+        if not ready:
+            return None
+        done += ready
+    return done
+
+
+def _own_checks(rules: list[Rule]) -> dict[str, list[tuple[str, str, str]]]:
+    """Checks per event in order: a group must be there before its fields are looked at."""
+    by_event: dict[str, list[tuple[str, str, str]]] = {}
+    for event, grp, name, rule in rules:
+        own = by_event.setdefault(event, [])
+        for check in ((grp, "", ""), (grp, name, rule)):
+            if check not in own:
+                own.append(check)
+    return by_event
+
+
 def first_failure(doc: Column, rules: list[Rule] = DEFAULT_RULES, int_strict: bool = False) -> Column:
     """Name of the first group or field, in rule order, that breaks a rule; NULL when none does.
 
     An event without rules passes. ``int_strict`` asks whole numbers to be above zero.
+    Checks shared by several events are compiled once, so the expression stays small.
     """
+    by_event = _own_checks(rules)
+    if not by_event:
+        return F.lit(None).cast("string")
+
+    def broken(check: tuple[str, str, str]) -> tuple[Column, str]:
+        grp, name, rule = check
+        if not name:
+            return doc[grp].isNull(), grp
+        return ~_holds(doc[grp][name], rule, int_strict), name
+
+    order = _shared_order(by_event)
+    if order is not None:
+        parts = []
+        for check in order:
+            events = [e for e, own in by_event.items() if check in own]
+            fails, label = broken(check)
+            parts.append(F.when(doc["event"].isin(*events) & fails, F.lit(label)))
+        return F.coalesce(*parts)
     result = None
-    by_event: dict[str, list[Rule]] = {}
-    for rule in rules:
-        by_event.setdefault(rule[0], []).append(rule)
     for event, own in by_event.items():
-        failing, groups = [], []
-        for _, grp, name, rule in own:
-            if grp not in groups:
-                groups.append(grp)
-                failing.append(F.when(doc[grp].isNull(), F.lit(grp)))
-            failing.append(F.when(~_holds(doc[grp][name], rule, int_strict), F.lit(name)))
-        own_result = F.coalesce(*failing)
-        result = (F.when(doc["event"] == event, own_result) if result is None
-                  else result.when(doc["event"] == event, own_result))
-    return F.lit(None).cast("string") if result is None else result
+        found = F.coalesce(*[F.when(fails, F.lit(label)) for fails, label in map(broken, own)])
+        result = F.when(doc["event"] == event, found) if result is None else result.when(doc["event"] == event, found)
+    return result
 
 
 def failure_text(field: Column) -> Column:
@@ -90,4 +126,6 @@ def validated(df: DataFrame, doc: str = "doc", rules: list[Rule] = DEFAULT_RULES
         F.col("reject_reason"),
         F.when(~common, F.lit("1.Error value in common column may be null.")),
         failure_text(first_failure(d, rules, int_strict)))
-    return df.withColumn("reject_reason", reason).withColumn("ok", F.col("reject_reason").isNull())
+    kept = [c for c in df.columns if c not in ("reject_reason", "ok")]
+    checked = once(df, {"_reason": reason}, kept)
+    return checked.withColumnRenamed("_reason", "reject_reason").withColumn("ok", F.col("reject_reason").isNull())

@@ -127,20 +127,20 @@ def first_events(df: DataFrame, arrival: str, key: Column, event: Column, ts: Co
     ``state`` is ``key, login_ts, order_ts``. ``shortest`` drops history below that
     value (10-digit rule of the service-scoped store).
     """
-    work = df.select("*", key.alias("_key"), event.alias("_event"), ts.cast("bigint").alias("_ts"),
-                     is_test.alias("_test"), pay_status.alias("_pay"), status.alias("_status"))
-    long_enough = F.col("_ts") >= shortest if shortest else F.lit(True)
+    work = df.select("*", key.alias("__key"), event.alias("__event"), ts.cast("bigint").alias("__ts"),
+                     is_test.alias("__test"), pay_status.alias("__pay"), status.alias("__status"))
+    long_enough = F.col("__ts") >= shortest if shortest else F.lit(True)
     marks = {
-        "login_ts": F.when(long_enough, login_mark(F.col("_event"), F.col("_ts"), F.col("_test"))),
+        "login_ts": F.when(long_enough, login_mark(F.col("__event"), F.col("__ts"), F.col("__test"))),
         "order_ts": F.when(long_enough, order_mark(
-            F.col("_event"), F.col("_ts"), F.col("_test"),
-            paid(F.col("_pay"), F.col("_status"), flag_only)))}
+            F.col("__event"), F.col("__ts"), F.col("__test"),
+            paid(F.col("__pay"), F.col("__status"), flag_only)))}
     before = None
     if state is not None:
         keep = {c: (F.when(F.col(c) >= shortest, F.col(c)) if shortest else F.col(c)) for c in marks}
-        before = state.select(F.col("key").alias("_key"), *[v.alias(c) for c, v in keep.items()])
-    seen = prior_minimum(work, ["_key"], arrival, marks, before, block_rows)
-    out = date_columns(F.col("_event"), F.col("_ts"), F.col("login_ts"), F.col("order_ts"), tz)
+        before = state.select(F.col("key").alias("__key"), *[v.alias(c) for c, v in keep.items()])
+    seen = prior_minimum(work, ["__key"], arrival, marks, before, block_rows)
+    out = date_columns(F.col("__event"), F.col("__ts"), F.col("login_ts"), F.col("order_ts"), tz)
     kept = [F.col(f"`{c}`") for c in df.columns if c not in out]
     return seen.select(*kept, *[c.alias(n) for n, c in out.items()])
 
@@ -159,13 +159,13 @@ def first_order_dates(df: DataFrame, arrival: str, key: Column, ts: Column, is_p
                       state: DataFrame | None = None, tz: str = times.DEFAULT_TZ,
                       block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Database orders: first payment date even while unpaid, first login from the stored state."""
-    work = df.select("*", key.alias("_key"), ts.cast("bigint").alias("_ts"), is_paid.alias("_paid"))
+    work = df.select("*", key.alias("__key"), ts.cast("bigint").alias("__ts"), is_paid.alias("__paid"))
     before = None
     if state is not None:
-        before = state.select(F.col("key").alias("_key"), "order_ts", "login_ts")
-    marks = {"order_ts": F.when(F.col("_paid"), F.col("_ts")), "login_ts": F.lit(None)}
-    seen = prior_minimum(work, ["_key"], arrival, marks, before, block_rows)
-    now, hist, login = F.col("_ts"), F.col("order_ts"), F.col("login_ts")
+        before = state.select(F.col("key").alias("__key"), "order_ts", "login_ts")
+    marks = {"order_ts": F.when(F.col("__paid"), F.col("__ts")), "login_ts": F.lit(None)}
+    seen = prior_minimum(work, ["__key"], arrival, marks, before, block_rows)
+    now, hist, login = F.col("__ts"), F.col("order_ts"), F.col("login_ts")
     today = times.day(now, tz)
     out = {"first_order_date": F.when(hist.isNull() | (hist > now), today).otherwise(times.day(hist, tz)),
            "server_date_day": today, "server_date_hour": times.hour(now, tz),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import times
@@ -40,6 +41,7 @@ def agency_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
 
     ``flag_only`` is the batch replay, which reads only the durable state.
     """
+    dims.measured(*resolve.AGENCY_DIMS, also=(regions, special))
     inner = lines.wrapped_lines(df, out="_line") if wrapped else df.withColumn("_line", F.col("value"))
     parsed = login_event(lines.old_login_lines(inner, "_line", tz))
     guard = guards.threshold_guard(F.col("game.game_id"), F.col("agent.game_channel_id"))
@@ -70,6 +72,7 @@ def own_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension
                state: DataFrame | None = None, strict: bool = True, flag_only: bool = False,
                aliases: dict[str, str] | None = None, tz: str = times.DEFAULT_TZ) -> DataFrame:
     """New-format own-channel logins; with ``special`` only logins inside the set count."""
+    dims.measured("belong", "company", also=(regions, special))
     inner = lines.wrapped_lines(df, out="_line") if wrapped else df.withColumn("_line", F.col("value"))
     framed = lines.framed_lines(inner, schemas.event_schema(GROUPS), "DATA[", "_line", tz, frame=False)
     checked = rl.validated(framed, "doc", [r for r in rules if r[0] == "login"])
@@ -111,12 +114,28 @@ def _routed(df: DataFrame, arrival: str, destination: Column) -> DataFrame:
     return flat.withColumn("value", record)
 
 
+# what the service clean reads besides the fields named by its rules
+SERVICE_FIELDS = {"user": ["user_id"], "game": ["game_id", "game_name"], "agent": ["channel_id", "game_channel_id"],
+                  "device": ["device_id"], "order": ["order_status", "order_step"],
+                  "channel_platform": ["ad_id"], "sdk_platform": ["app_id"]}
+
+
+def service_shape(rules: list[rl.Rule]) -> T.StructType:
+    wanted = {g: list(cols) for g, cols in SERVICE_FIELDS.items()}
+    for _, grp, name, _ in rules:
+        if name not in wanted.setdefault(grp, []):
+            wanted[grp].append(name)
+    return schemas.event_fields(wanted)
+
+
 def service_events(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension, arrival: str, *,
                    service: str, rules: list[rl.Rule] = rl.DEFAULT_RULES, state: DataFrame | None = None,
                    batch: bool = False, int_strict: bool = False, folded: dict[str, str] | None = None,
                    tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Generic clean of one service: ``agent``, ``sdk``, ``channel`` or an own-channel name."""
-    framed = lines.framed_lines(df, schemas.event_schema(), "DATA[", "value", tz, frame=not batch)
+    needed = {"agent": resolve.AGENCY_DIMS, "sdk": (), "channel": ()}.get(service, ("belong", "company"))
+    dims.measured(*needed, also=(regions, special))
+    framed = lines.framed_lines(df, service_shape(rules), "DATA[", "value", tz, frame=not batch)
     checked = rl.validated(framed, "doc", rules, batch=batch, int_strict=int_strict)
     opened = checked.select(arrival, "value", "reject_reason", "line_ip", "doc.*").drop("_bad", *REGION)
     located = add_region(opened.withColumn("ok", F.col("reject_reason").isNull()), regions,

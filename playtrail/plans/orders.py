@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import times
-from ..functions.coerce import double_of, epoch_of_text, text_of
+from ..functions.coerce import epoch_of_text, text_of
 from ..operators import events, guards, lines, resolve, route, state as st
 from ..operators.dims import Dims
 from ..operators.geo import add_region
@@ -34,6 +34,7 @@ def agency_orders(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
                   wrapped: bool = True, flag_only: bool = False, rows_per_line: int = 1 << 16,
                   tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Agency order change data: region, channel, exclusions, first payment, route."""
+    dims.measured(*resolve.AGENCY_DIMS, also=(regions, special, test_rules))
     rows = add_region(_agency_rows(df, wrapped, arrival), regions, F.lit(""), F.col("create_ip"))
     work = resolve.resolve_order(rows, dims, game_id=F.col("game_id"), column=F.col("channel_id"))
     work = guards.flag_test_orders(work, test_rules)
@@ -56,28 +57,29 @@ def own_orders(df: DataFrame, dims: Dims, special: Dimension | None, arrival: st
                wrapped: bool = True, rows_per_line: int = 1 << 16, tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Own-channel change data: order rows become flat order events; all other tables are filtered."""
     inner = lines.wrapped_lines(df, out="_line") if wrapped else df.withColumn("_line", F.col("value"))
+    dims.measured("belong", "company", "os", *(("rate",) if overseas else ()), also=(special,))
     rows = lines.binlog_rows(inner, schemas.OWN_ORDER, "_line").select(arrival, "row_no", "table", "data")
-    is_order = (F.col("table") == "order") & (text_of(F.col("data.game_id")) != "")
-    orders = events.order_event(rows.where(is_order), dims, overseas=overseas, flat=True, tz=tz)
-    ok = F.lit(True)
+    is_order = F.coalesce((F.col("table") == "order") & (text_of(F.col("data.game_id")) != ""), F.lit(False))
+    work = events.order_event(rows.withColumn("_order", is_order), dims, overseas=overseas, flat=True,
+                              only=F.col("_order"), tz=tz)
+    ok = F.col("_order")
     if overseas:
-        orders = resolve.fx_convert(orders, dims, F.col("currency_type"), F.col("money"))
+        work = resolve.fx_convert(work, dims, F.col("currency_type"), F.col("money"))
     if special is not None:
-        orders = guards.member(orders, F.col("game_channel_id"), special, "_special")
-        ok = F.col("_special")
-    orders = orders.withColumn("ok", ok).withColumn("_no", _row_number(arrival, rows_per_line))
+        work = guards.member(work, F.col("game_channel_id"), special, "_special")
+        ok = ok & F.col("_special")
+    work = work.withColumn("ok", ok).withColumn("_no", _row_number(arrival, rows_per_line))
     key = F.when(F.col("ok"), st.state_key(F.col("user_id"), F.col("game_channel_id")))
-    stamped = st.first_events(orders, "_no", key, F.col("event"), F.col("server_ts"), F.col("is_test"),
+    stamped = st.first_events(work, "_no", key, F.col("event"), F.col("server_ts"), F.col("is_test"),
                               F.col("pay_status"), F.col("status"), state=state, tz=tz)
     target = route.route_own_order(source, F.col("table"), F.col("ok"), folded_into)
-    stamped = stamped.withColumn("route", target)
-    body = [c for c in stamped.columns if c not in (arrival, "row_no", "table", "ok", "_no", "_special", "route")]
-    good = stamped.select(arrival, "row_no", "route", record_json(body).alias("value"), "game_id", "channel_id",
-                          "game_channel_id", "company_id", "cny_amount", "usd_amount", "order_type", *STAMPS)
-    rest = rows.where(~F.coalesce(is_order, F.lit(False))).select(
-        arrival, "row_no", F.lit(route.destination(source) + route.FILTER).alias("route"),
-        F.to_json(F.create_map(F.col("table"), F.to_json("data"))).alias("value"))
-    return events.union_events(good, rest)
+    body = [c for c in stamped.columns
+            if c not in (arrival, "row_no", "table", "data", "ok", "_no", "_special", "_order")]
+    whole = F.to_json(F.create_map(F.coalesce("table", F.lit("")), F.to_json("data")))
+    fields = ["game_id", "channel_id", "game_channel_id", "company_id", "cny_amount", "usd_amount", "order_type", *STAMPS]
+    return stamped.select(arrival, "row_no", target.alias("route"),
+                          F.when(F.col("_order"), record_json(body)).otherwise(whole).alias("value"),
+                          *[F.when(F.col("_order"), F.col(c)).alias(c) for c in fields])
 
 
 def channel_database(df: DataFrame, dims: Dims, special: Dimension | None, arrival: str, *, service: str,
@@ -89,45 +91,34 @@ def channel_database(df: DataFrame, dims: Dims, special: Dimension | None, arriv
     """
     fields = list(dict.fromkeys(schemas.OWN_ORDER + schemas.USER_ROW))
     rows = lines.binlog_rows(df, fields).select(arrival, "row_no", "table", "data")
-    rows = rows.withColumn("_table", route.route_table(F.col("table")))
-    orders = events.order_event(rows.where("_table = 'order'"), dims, overseas=overseas, tz=tz)
-    side = events.order_event(rows.where("_table = 'order_side'"), dims, overseas=overseas, combined=False, tz=tz)
-    registers = events.register_event(rows.where("_table = 'user'"), dims, tz=tz)
-    if overseas:
-        orders = resolve.fx_convert(orders, dims, F.col("order.currency_type"), F.col("order.money"))
-        orders = orders.withColumn("order", F.struct(*[
-            (F.col(c) if c in ("cny_amount", "usd_amount") else F.col("order")[c]).alias(c)
-            for c in schemas.ORDER])).drop("cny_amount", "usd_amount")
+    dims.measured("belong", "company", "os", "by_game_channel", *(("rate",) if overseas else ()), also=(special,))
+    work = events.database_events(rows, dims, F.col("table"), overseas=overseas, tz=tz)
     apart = F.lit(False)
     if special is not None:
-        orders = guards.member(orders, F.col("agent.game_channel_id"), special, "_special")
-        orders = orders.withColumn("_other", ~F.col("_special")).drop("_special")
-        apart = F.coalesce(F.col("_other"), F.lit(False))
-        registers = registers.withColumn("_other", F.lit(True))
-    registers = registers.drop("status")
-    both = events.union_events(orders.withColumn("pay_status", F.col("pay_status").cast("string"))
-                               .withColumn("status", F.col("status").cast("string")),
-                               side.withColumn("pay_status", F.col("pay_status").cast("string"))
-                               .withColumn("status", F.col("status").cast("string")), registers)
-    both = both.withColumn("_no", _row_number(arrival, rows_per_line)).withColumn("_apart", apart)
+        work = guards.member(work, F.col("agent.game_channel_id"), special, "_special")
+        apart = (F.col("table") == "user") | ((F.col("table") == "order") & ~F.col("_special"))
+        work = work.withColumn("_apart", apart).drop("_special")
+    else:
+        work = work.withColumn("_apart", apart)
+    work = work.withColumn("_no", _row_number(arrival, rows_per_line))
     prefix = F.lit("agent_") if service == "agent" else F.lit(f"channel_{service}_")
-    key = F.when(~F.col("_apart") & st.usable(F.col("user.user_id")), F.concat(
-        prefix, F.col("_table"), F.lit("_"), F.col("agent.channel_id"), F.lit("_"), F.col("game.game_id"),
+    stamps = F.col("is_event") & ~F.col("_apart") & st.usable(F.col("user.user_id"))
+    key = F.when(stamps, F.concat(
+        prefix, F.col("table"), F.lit("_"), F.col("agent.channel_id"), F.lit("_"), F.col("game.game_id"),
         F.lit("_"), F.col("user.user_id")))
-    stamped = st.first_events(both, "_no", key, F.col("event"), F.col("server_ts"), F.col("is_test"),
+    stamped = st.first_events(work, "_no", key, F.col("event"), F.col("server_ts"), F.col("is_test"),
                               F.col("order.order_status"), F.col("order.order_step"), state=state, tz=tz,
                               shortest=10 ** 9)
-    target = (F.when(F.col("_apart"), F.lit("others")).when(F.col("_table") == "order_side", F.lit("side_orders"))
-              .otherwise(F.lit("orders")))
-    plain = [c for c in stamped.columns if c not in (arrival, "row_no", "table", "_table", "_no", "_apart", "_other")]
-    nested = stamped.select(arrival, "row_no", target.alias("route"), F.struct(*plain).alias("e"))
+    target = (F.when(~F.col("is_event") | F.col("_apart"), F.lit("others"))
+              .when(F.col("table") == "order_side", F.lit("side_orders")).otherwise(F.lit("orders")))
+    plain = [c for c in stamped.columns if c not in (arrival, "row_no", "table", "data", "is_event", "_no", "_apart")]
+    nested = stamped.select(F.struct(arrival, "row_no", target.alias("route"), "is_event",
+                                     F.to_json("data").alias("raw")).alias("h"), *plain)
     flat_of = events.flatten_leaf if leaf_names else events.flatten_dashed
-    flat = flat_of(nested.select(arrival, "row_no", "route", "e.*"))
-    body = [c for c in flat.columns if c not in (arrival, "row_no", "route")]
-    done = flat.select(arrival, "row_no", "route", record_json(body).alias("value"))
-    rest = rows.where("_table = 'others'").select(arrival, "row_no", F.lit("others").alias("route"),
-                                                  F.to_json("data").alias("value"))
-    return done.unionByName(rest)
+    shape = nested.select(*plain)
+    body = [c.alias(n) for n, c in flat_of(shape, as_columns=True).items()]
+    return nested.select(f"h.{arrival}", "h.row_no", "h.route",
+                         F.when(F.col("h.is_event"), F.to_json(F.struct(*body))).otherwise(F.col("h.raw")).alias("value"))
 
 
 def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension, test_rules: Dimension,
@@ -137,30 +128,27 @@ def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Di
 
     ``batch`` reads exports: text times, pay flag alone, all own channels excluded.
     """
+    dims.measured(*resolve.AGENCY_DIMS, also=(regions, special, test_rules))
     rows = _agency_rows(df, False, arrival)
-    orders = rows.where(F.col("table") == "agent_order")
-    work = resolve.resolve_order(orders, dims, game_id=F.col("game_id"), column=F.col("channel_id"))
-    work = events.cast_columns(work, {"server": "int", "pay_status": "int", "status": "int", "money": "double"})
-    work = work.withColumn("server", F.col("server").cast("string"))
+    rows = rows.where(F.col("table").isin("agent_order", "agent_order_copy"))
+    copied = F.col("table") == "agent_order_copy"
+    rows = add_region(rows, regions, F.when(copied, F.col("create_ip")))
+    work = resolve.resolve_order(rows, dims, game_id=F.when(~copied, F.col("game_id")), column=F.col("channel_id"))
+    work = events.cast_columns(work, {"pay_status": "int", "status": "int", "money": "double"})
     excluded = guards.OWN_CHANNELS if batch else guards.OVERSEAS_CHANNELS
-    work = work.where(guards.not_in(F.col("channel_id"), excluded))
-    work = (work.withColumn("_ts", epoch_of_text(F.col("update_time"), times.FULL, tz))
-            .withColumn("_no", _row_number(arrival, rows_per_line)))
+    work = work.where(copied | guards.not_in(F.col("channel_id"), excluded))
+    ts = epoch_of_text(F.when(copied, F.col("create_time")).otherwise(F.col("update_time")), times.FULL, tz)
+    work = work.withColumn("_ts", ts).withColumn("_no", _row_number(arrival, rows_per_line))
     paid = (F.col("pay_status") == 1) if batch else (F.col("pay_status") == 1) & (F.col("status") == 2)
-    key = st.state_key(F.col("channel_id"), F.col("game_id"), F.col("user_id"))
-    stamped = st.first_order_dates(work.withColumn("_k", key), "_no", F.col("_k"), F.col("_ts"), paid,
-                                   state=state, tz=tz)
+    key = F.when(~copied, st.state_key(F.col("channel_id"), F.col("game_id"), F.col("user_id")))
+    stamped = st.first_order_dates(work, "_no", key, F.col("_ts"), paid, state=state, tz=tz)
     flagged = guards.flag_test_orders(stamped, test_rules)
     flagged = guards.member(flagged, F.col("game_channel_id"), special, "_special")
-    target = (F.when(F.col("is_test_order"), F.lit(topic + route.TEST))
+    target = (F.when(copied, F.lit(topic + route.COPY)).when(F.col("is_test_order"), F.lit(topic + route.TEST))
               .when(F.col("_special"), F.lit(topic + route.OTHER)).otherwise(F.lit(topic)))
-    done = flagged.withColumn("route", target).drop("_k", "_no", "_ts", "_special", "is_test_order", "resolved")
-    copies = add_region(rows.where(F.col("table") == "agent_order_copy"), regions, F.col("create_ip"))
-    copies = (copies.withColumn("server_date_day", times.day(epoch_of_text(F.col("create_time"), times.FULL, tz), tz))
-              .withColumn("route", F.lit(topic + route.COPY))
-              .withColumn("pay_status", F.col("pay_status").try_cast("int"))
-              .withColumn("status", F.col("status").try_cast("int"))
-              .withColumn("money", double_of(F.col("money"))))
-    return events.union_events(done, copies)
-
-
+    own = ["channel_id", "game_channel_id", "os_type", "company_id", "first_order_date", "server_date_hour",
+           "server_date_minute", "reg_date"]
+    done = flagged.withColumn("route", target)
+    return (done.withColumns({c: F.when(~copied, F.col(c)) for c in own})
+            .withColumns({c: F.when(copied, F.col(c)) for c in REGION})
+            .drop("_no", "_ts", "_special", "is_test_order", "resolved"))

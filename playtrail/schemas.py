@@ -39,6 +39,12 @@ def event_schema(groups: list[str] | None = None) -> T.StructType:
     return T.StructType(fields + list(texts(TOP).fields))
 
 
+def event_fields(wanted: dict[str, list[str]]) -> T.StructType:
+    """An event with only the wanted leaves of each group; the parser skips the others."""
+    fields = [T.StructField(g, texts(cols)) for g, cols in wanted.items()]
+    return T.StructType(fields + list(texts(TOP).fields))
+
+
 OLD_LOGIN = texts(["user_id", "channel_id", "game_id", "channel_name", "game_channel_id",
                    "access_token"])
 COIN = ["game_id", "channel_id", "game_channel_id", "user_id", "role_id", "role_name", "server",

@@ -16,6 +16,7 @@ from playtrail.operators import geo, guards
 from playtrail.operators.dims import Dims
 from playtrail.operators.lookup import Dimension
 from playtrail.operators.once import once
+from playtrail.session import use_all_cores
 
 
 @lru_cache(maxsize=64)
@@ -24,9 +25,20 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@lru_cache(maxsize=64)
+def spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table whose rows feed line parsing: small files still use every core."""
+    return use_all_cores(table(spark, sf, name))
+
+
 def ev(spark: SparkSession, sf: str) -> DataFrame:
     """events with the derived keys of a game log."""
-    base = table(spark, sf, "events").selectExpr(
+    return ev_of(spread(spark, sf, "events"))
+
+
+def ev_of(events: DataFrame) -> DataFrame:
+    """The same for any frame of events, a stream included."""
+    base = events.selectExpr(
         "event_id AS eid", "user_id AS uid", "event_type AS et", "value AS val",
         "cast(get_json_object(props, '$.k') AS int) AS k", "unix_timestamp(ts) AS t")
     return base.selectExpr(
@@ -102,7 +114,10 @@ def old_login_doc() -> F.Column:
 
 def old_login_lines(spark: SparkSession, sf: str, wrapped: bool = False) -> DataFrame:
     """Old-format logins in all channel forms; error events lose their address part."""
-    e = ev(spark, sf)
+    return old_login_lines_of(ev(spark, sf), wrapped)
+
+
+def old_login_lines_of(e: DataFrame, wrapped: bool = False) -> DataFrame:
     good = frame("CONTENT", old_login_doc())
     line = F.when(F.col("et") == "error", F.regexp_replace(good, r"\] CIP\[", " ")).otherwise(good)
     return once(e, {"value": wrap(line) if wrapped else line}, ["eid"])
@@ -110,7 +125,7 @@ def old_login_lines(spark: SparkSession, sf: str, wrapped: bool = False) -> Data
 
 def od(spark: SparkSession, sf: str) -> DataFrame:
     """orders with the derived keys of an order log."""
-    return table(spark, sf, "orders").selectExpr(
+    return spread(spark, sf, "orders").selectExpr(
         "o_orderkey AS oid", "o_custkey AS uid", "o_orderstatus AS st", "o_totalprice AS money",
         "o_orderpriority AS pr", "o_custkey % 120 AS s",
         "unix_timestamp(o_orderdate) + o_orderkey % 86400 AS t").selectExpr(
@@ -121,6 +136,19 @@ def od(spark: SparkSession, sf: str) -> DataFrame:
         "*", "CASE WHEN game >= 63 THEN 5000 + s WHEN st = 'F' THEN 1000 + s ELSE oid % 25 END AS col")
 
 
+def stored_login_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Login events as JSON lines of an old file; some without a game channel, some cut off."""
+    e = ev(spark, sf)
+    channel = (F.when(F.col("uid") % 97 >= 62, F.col("gc")).when(F.col("et") == "signup", F.col("sub")).otherwise(F.col("ch")))
+    gc = F.when(F.col("et").isin("signup", "click"), F.lit("")).otherwise(F.col("gc"))
+    doc = F.to_json(F.struct(
+        F.struct(F.col("uid").cast("string").alias("user_id")).alias("user"), F.struct(F.col("game").alias("game_id")).alias("game"),
+        F.struct(channel.alias("channel_id"), gc.alias("game_channel_id")).alias("agent"),
+        F.struct(F.col("device").alias("device_id"), F.lit("h5").alias("os_type")).alias("device"),
+        F.lit("login").alias("event"), F.lit("regular").alias("is_test"), F.col("sts").alias("server_ts"), F.col("ip").alias("client_ip")))
+    return once(e, {"value": F.when(F.col("et") == "error", F.substring(doc, 1, 25)).otherwise(doc)}, ["eid"])
+
+
 def agency_order_lines(spark: SparkSession, sf: str, wrapped: bool = False) -> DataFrame:
     """One change-data envelope per order: the order row and, for one priority, its copy."""
     o = od(spark, sf)

@@ -1,0 +1,285 @@
+"""Whole jobs, from raw lines to routed rows."""
+
+from pyspark.sql import functions as F
+
+from playtrail.functions import times
+from playtrail.operators import rules as rl
+from playtrail.operators.guards import packed_test_rules
+from playtrail.plans import feeds, loads, logins, orders
+from playtrail.sources import messages, tables
+from playtrail.session import fresh_path
+from playtrail.sinks import files
+
+from . import inputs as i
+from .q_decode import CLICK_SQL, COIN_SQL, SDK_KEYS, SDK_SQL, MSG_SQL, access_input, active_input, coin_json_input, coin_tsv_input, sdk_input
+from .q_filters import FIRST
+from .q_joins import COIN_RESOLVED, LOGIN_SQL, ORDER_SQL
+from .q_routes import flat_logins
+from .q_rows import GID, ORDER_IDS, OWNCH
+from .q_state import running, stamped_sql
+from .registry import query
+from .sql import DIMS, EV, OD, REGIONS, STATE, day, w
+
+LOGIN_RULES = [("login", "user", "user_id", "1"), ("login", "game", "game_id", "1")]
+STAMPS = ["first_order_date", "server_date_day", "server_date_hour", "server_date_minute", "reg_date"]
+FLAT = {"channel_id": "agent-channel_id", "game_channel_id": "agent-game_channel_id", "os_type": "device-os_type", "company_id": "game-company_id"}
+SPECIAL = "(SELECT game_channel_id FROM special)"
+
+LOGIN_CLEAN = """lf AS (SELECT lr.*, et <> 'error' AND NOT (uid % 97 + 1 >= 63 AND g0 = '') AS ok FROM lr),
+lg1 AS (SELECT *, CASE WHEN ok AND game_channel_id NOT IN ('', 'error') THEN uid || '_' || game_channel_id END AS key FROM lf),
+lg2 AS (SELECT lg1.*, CASE WHEN lg1.key IS NOT NULL THEN least(min(t) OVER (PARTITION BY lg1.key ORDER BY eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), q.login_ts) END AS login_ts,
+  CASE WHEN lg1.key IS NOT NULL THEN q.order_ts END AS order_ts FROM lg1 LEFT JOIN stored q ON q.key = lg1.key),
+lg3 AS (SELECT lg2.*, coalesce(b.country, '') AS country FROM lg2 ASOF LEFT JOIN bounds b ON lg2.ipn <= b.ip_hi)"""
+
+
+def ok_only(*names):
+    return ", ".join(f"CASE WHEN ok THEN {n} END AS {n}" for n in names)
+
+
+LOGIN_CLEAN_SQL = w(EV, DIMS, REGIONS, STATE, LOGIN_SQL, LOGIN_CLEAN) + f"""SELECT eid, ok, CASE WHEN NOT ok THEN 'agentLoginFilter' WHEN game_channel_id IN {SPECIAL} THEN 'agentLoginOther' ELSE 'agentLogin' END AS route,
+  {ok_only('channel_id', 'game_channel_id', 'os_type', 'country', 'first_order_date', 'server_date_day', 'server_date_hour', 'server_date_minute', 'reg_date')}, CASE WHEN ok THEN company END AS company_id
+  FROM (SELECT *, {stamped_sql('t', "'login'", 'login_ts', 'order_ts')} FROM lg3)"""
+
+
+def login_columns(out):
+    named = out.select("eid", "ok", "route", "country", *STAMPS, *[F.col(f"`{s}`").alias(n) for n, s in FLAT.items()])
+    return named.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ["country", *STAMPS, *FLAT]])
+
+
+@query("login_clean", LOGIN_CLEAN_SQL)
+def login_clean(spark, sf):
+    d = i.dims(spark, sf)
+    out = logins.agency_logins(i.old_login_lines(spark, sf, wrapped=True), d, i.regions(spark, sf), d.special, "eid", rules=LOGIN_RULES,
+                               state=i.stored_state(spark, sf))
+    return login_columns(out)
+
+
+OWN_LOGIN = f"""ol AS (SELECT ev.*, coalesce(b.game_id, 'error') AS jg, coalesce(b.channel_id, 'error') AS channel_id, coalesce(b.game_channel_id, 'error') AS game_channel_id,
+  coalesce(c.company_id, 'error') AS company_id FROM ev LEFT JOIN belong b ON b.belong_game_id = {GID} LEFT JOIN company c ON c.game_id = b.game_id),
+om AS (SELECT *, et = 'view' AND k <> 33 AND k >= 10 AND k <> 50 AND uid % 80 <> 11 AND game_channel_id IN {SPECIAL} AS ok FROM ol),
+on1 AS (SELECT *, CASE WHEN ok AND game_channel_id NOT IN ('', 'error') THEN uid || '_' || game_channel_id END AS key FROM om),
+on2 AS (SELECT *, CASE WHEN key IS NOT NULL THEN min(CASE WHEN k <> 77 THEN sts END) OVER (PARTITION BY key ORDER BY eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS login_ts,
+  CAST(NULL AS BIGINT) AS order_ts FROM on1)"""
+
+
+@query("own_login_clean", w(EV, DIMS, OWN_LOGIN) + f"""SELECT eid, ok, CASE WHEN ok THEN 'agentLogin' ELSE 'ownLoginFilter' END AS route, {ok_only('channel_id', 'game_channel_id', 'company_id', 'game_id', 'app_id', 'reg_date')}
+  FROM (SELECT *, jg AS game_id, {GID} AS app_id, {stamped_sql('sts', "'login'", 'login_ts', 'order_ts')} FROM on2)""")
+def own_login_clean(spark, sf):
+    """New-format logins of an own channel, folded into the agency destination."""
+    d = i.dims(spark, sf)
+    out = logins.own_logins(i.event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", rules=rl.DEFAULT_RULES, source="ownLoginSrc",
+                            folded_into="agentLogin", wrapped=False, aliases={})
+    named = out.select("eid", "ok", "route", "reg_date", F.col("agent-channel_id").alias("channel_id"), F.col("agent-game_channel_id").alias("game_channel_id"),
+                       F.col("game-company_id").alias("company_id"), F.col("game-game_id").alias("game_id"), F.col("game-app_id").alias("app_id"))
+    return named.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in named.columns[3:]])
+
+
+def service_sql(service, ok, key, other=False):
+    target = f"CASE WHEN NOT ok THEN '{service}Error' " + (f"WHEN gc IN {SPECIAL} THEN '{service}StdOther' " if other else "") + f"ELSE '{service}Std' END"
+    base = running("k < 55", key=f"CASE WHEN {ok} THEN {key} END")
+    return w(EV, DIMS, base) + f"""SELECT eid, ok, {target} AS route, {ok_only('first_order_date', 'reg_date')} FROM (SELECT *, {ok} AS ok, {stamped_sql('sts', 'kind', 'login_ts', 'order_ts')} FROM se)"""
+
+
+CLEAN = f"(et <> 'error' AND k <> 33 AND ({FIRST}) IS NULL"
+
+
+def service_rows(spark, sf, service, **options):
+    d = i.dims(spark, sf)
+    out = logins.service_events(i.event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", service=service, **options)
+    return out.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ("first_order_date", "reg_date")])
+
+
+@query("service_clean_agent", service_sql("agent", CLEAN + ")", f"{GID} || '_' || uid", other=True))
+def service_clean_agent(spark, sf):
+    return service_rows(spark, sf, "agent")
+
+
+@query("service_clean_sdk", service_sql("sdk", CLEAN + " AND k % 9 <> 0)", "k || '_' || uid"))
+def service_clean_sdk(spark, sf):
+    return service_rows(spark, sf, "sdk")
+
+
+@query("service_clean_own", service_sql("overseas", CLEAN + " AND k <> 30)", f"{GID} || '_' || uid"))
+def service_clean_own(spark, sf):
+    return service_rows(spark, sf, "overseas")
+
+
+ORDER_CLEAN = f"""op AS (SELECT oc.*, 0 AS row_no, FALSE AS is_copy FROM oc UNION ALL SELECT oc.*, 1, TRUE FROM oc WHERE pr = '4-NOT SPECIFIED'),
+oq AS (SELECT op.*, CASE WHEN is_copy THEN 'agentDBCopy' WHEN EXISTS (SELECT 1 FROM test_rule r WHERE r.game_id = g AND (server IN (CAST(n AS VARCHAR), CAST(n + 100 AS VARCHAR)) OR TRY_CAST(server AS INTEGER) BETWEEN 200 + n AND 260 + n))
+  THEN 'agentDBTest' WHEN game_channel_id IN {SPECIAL} THEN 'agentDBOther' ELSE 'agentDB' END AS route FROM op),
+orr AS (SELECT *, CASE WHEN route = 'agentDB' AND game_channel_id <> 'error' THEN uid || '_' || game_channel_id END AS key FROM oq),
+os1 AS (SELECT *, CASE WHEN key IS NOT NULL THEN min(CASE WHEN pay = 1 AND step = 2 THEN t END) OVER (PARTITION BY key ORDER BY oid, row_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS order_ts,
+  CAST(NULL AS BIGINT) AS login_ts FROM orr),
+os2 AS (SELECT os1.*, coalesce(b.country, '') AS country FROM os1 ASOF LEFT JOIN bounds b ON os1.ipn <= b.ip_hi)"""
+
+
+@query("order_clean", w(OD, DIMS, REGIONS, ORDER_SQL, ORDER_CLEAN) + f"""SELECT oid, row_no, route, channel_id, game_channel_id, os_type, company_id, country, {stamped_sql('t', "'order'", 'login_ts', 'order_ts')} FROM os2""")
+def order_clean(spark, sf):
+    d = i.dims(spark, sf)
+    out = orders.agency_orders(i.agency_order_lines(spark, sf, wrapped=True), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "oid")
+    return out.select("oid", "row_no", "route", "channel_id", "game_channel_id", "os_type", "company_id", "country", *STAMPS)
+
+
+OWN_ORDER = f"""oo AS (SELECT ok.*, coalesce(cny, 1.0) * money AS cny_amount, coalesce(usd, 1.0) * money AS usd_amount, CASE WHEN jgc <> 'error' THEN uid || '_' || jgc END AS key
+  FROM ok LEFT JOIN rate ON cur = currency WHERE tab = 'order'),
+op1 AS (SELECT *, CASE WHEN key IS NOT NULL THEN min(CASE WHEN pay = 1 AND step = 2 THEN t END) OVER (PARTITION BY key ORDER BY oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS order_ts,
+  CAST(NULL AS BIGINT) AS login_ts FROM oo)"""
+
+
+@query("own_order_clean", w(OD, DIMS, ORDER_IDS.replace("BELONG", "belong_overseas"), OWN_ORDER) + f"""SELECT oid, 'ownDB' AS route, jg AS game_id, cny_amount, usd_amount, first_order_date, reg_date FROM
+  (SELECT *, {stamped_sql('t', "'order'", 'login_ts', 'order_ts')} FROM op1) UNION ALL SELECT oid, 'ownDBFilter', NULL, NULL, NULL, NULL, NULL FROM od WHERE tab <> 'order'""")
+def own_order_clean(spark, sf):
+    """Overseas orders with both converted amounts; all other tables go to the filter."""
+    d = i.dims(spark, sf, platforms=("4", "5"))
+    out = orders.own_orders(i.own_order_lines(spark, sf), d, None, "oid", source="ownDBSrc", overseas=True, wrapped=False)
+    return out.select("oid", "route", "game_id", "cny_amount", "usd_amount", "first_order_date", "reg_date")
+
+
+DB_EVENTS = f"""side AS (SELECT od.*, coalesce(b.channel_id, 'error') AS jch, coalesce(b.game_id, 'error') AS jg FROM od LEFT JOIN by_game_channel b ON b.game_channel_id = {OWNCH} WHERE tab = 'order_side'),
+de AS (SELECT oid, uid, t, pay, step, tab, jch, jg FROM ok WHERE tab IN ('order', 'user') UNION ALL SELECT oid, uid, t, pay, step, tab, jch, jg FROM side),
+df AS (SELECT *, CASE WHEN tab = 'user' THEN 'register' ELSE 'order' END AS event, CAST(NULL AS BIGINT) AS login_ts,
+  min(CASE WHEN tab <> 'user' AND pay = 1 AND step = 2 AND t >= 1000000000 THEN t END) OVER (PARTITION BY tab, jch, jg, uid ORDER BY oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS order_ts FROM de)"""
+
+
+@query("channel_database", w(OD, DIMS, ORDER_IDS.replace("BELONG", "belong"), DB_EVENTS) + f"""SELECT oid, CASE WHEN tab = 'order_side' THEN 'side_orders' ELSE 'orders' END AS route, event, jg AS game_id,
+  first_order_date, reg_date FROM (SELECT *, {stamped_sql('t', 'event', 'login_ts', 'order_ts')} FROM df) UNION ALL SELECT oid, 'others', NULL, {GID}, NULL, NULL FROM od WHERE tab = 'misc'""")
+def channel_database(spark, sf):
+    """Orders, side orders and registers as flattened JSON events; other tables as they are."""
+    out = orders.channel_database(i.own_order_lines(spark, sf), i.dims(spark, sf), None, "oid", service="agent")
+    field = lambda n: F.get_json_object("value", f"$['{n}']")
+    return out.select("oid", "route", field("event").alias("event"), F.coalesce(field("game-game_id"), field("game_id")).alias("game_id"),
+                      field("first_order_date").alias("first_order_date"), field("reg_date").alias("reg_date"))
+
+
+JOIN_SQL = f"""aj AS (SELECT oc.*, min(CASE WHEN pay = 1 AND step = 2 THEN t END) OVER (PARTITION BY CASE WHEN 'error' IN (channel_id) THEN NULL ELSE channel_id || '_' || game || '_' || uid END
+  ORDER BY oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h0 FROM oc),
+ak AS (SELECT *, CASE WHEN channel_id = 'error' THEN NULL ELSE h0 END AS hist, CASE WHEN EXISTS (SELECT 1 FROM test_rule r WHERE r.game_id = g AND (server IN (CAST(n AS VARCHAR), CAST(n + 100 AS VARCHAR)) OR TRY_CAST(server AS INTEGER) BETWEEN 200 + n AND 260 + n))
+  THEN 'jobTest' WHEN game_channel_id IN {SPECIAL} THEN 'jobOther' ELSE 'job' END AS route FROM aj),
+cp AS (SELECT oid, t, ipn FROM od WHERE pr = '4-NOT SPECIFIED')"""
+
+
+@query("agency_order_join", w(OD, DIMS, REGIONS, ORDER_SQL, JOIN_SQL) + f"""SELECT oid, route, channel_id, CASE WHEN hist IS NULL OR hist > t THEN {day('t')} ELSE {day('hist')} END AS first_order_date, {day('t')} AS server_date_day, CAST(NULL AS VARCHAR) AS country FROM ak
+  UNION ALL SELECT oid, 'jobCopy', NULL, NULL, {day('t')}, coalesce(b.country, '') FROM cp ASOF LEFT JOIN bounds b ON cp.ipn <= b.ip_hi""")
+def agency_order_join(spark, sf):
+    d = i.dims(spark, sf)
+    out = orders.agency_order_join(i.agency_order_lines(spark, sf), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "oid", topic="job")
+    copied = F.col("route") == "jobCopy"
+    return out.select("oid", "route", F.when(~copied, F.col("channel_id")).alias("channel_id"), "first_order_date", "server_date_day", "country")
+
+
+ACTIVE_SQL = f"""ac AS (SELECT *, CASE et WHEN 'view' THEN ch WHEN 'signup' THEN sub ELSE CASE WHEN k = 5 THEN '0' ELSE gc END END AS given, uid % 97 + 1 < 63 AS small FROM ev),
+ad AS (SELECT ac.*, et <> 'error' AND given <> '0' AS ok, coalesce(s.channel_id, given) AS eff, coalesce(b.channel_id, 'error') AS bch, coalesce(b.game_id, 'error') AS bg FROM ac
+  LEFT JOIN sub_channel s ON s.sub_channel_id = given LEFT JOIN by_game_channel b ON b.game_channel_id = given),
+ae AS (SELECT *, CASE WHEN small THEN eff ELSE bch END AS channel_id, CASE WHEN small THEN game ELSE bg END AS game_id FROM ad),
+af AS (SELECT *, CASE WHEN ok THEN channel_id || '_' || game_id || '_' || device END AS key FROM ae)"""
+
+
+@query("activations", w(EV, DIMS, ACTIVE_SQL) + """SELECT eid, ok, CASE WHEN ok THEN channel_id END AS channel_id, CASE WHEN ok THEN game_id END AS game_id, CASE WHEN ok THEN device END AS device_id,
+  CASE WHEN ok THEN CASE WHEN coalesce(min(sts) OVER (PARTITION BY key ORDER BY eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), sts) >= sts THEN 1 ELSE 0 END END AS new_device FROM af""")
+def activations(spark, sf):
+    out = feeds.activations(active_input(spark, sf), i.dims(spark, sf), "eid")
+    return out.select("eid", "ok", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ("channel_id", "game_id", "device_id", "new_device")])
+
+
+@query("forward", w(EV, MSG_SQL) + """SELECT data_system AS topic, count(*) * 2 AS n FROM msg WHERE data_system <> '' GROUP BY 1""")
+def forward(spark, sf):
+    coded = messages.envelope_encode(i.messages(spark, sf)).select("eid", "body")
+    return feeds.forward(coded, lz4=False).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ad_click_load", w(EV, CLICK_SQL) + """SELECT CASE company_id WHEN '1' THEN 'a' ELSE 'b' END AS target, CASE WHEN ad0 = '' THEN 0 ELSE CAST(ad0 AS INTEGER) END AS ad_id, cgame AS game, sum(n)::BIGINT AS clicks, count(*) AS rows FROM (
+  SELECT company_id, ad0, substr(click_time, 1, 16) AS m, cgame, pf, channel, count(*) AS n FROM clicks WHERE reason IS NULL AND cgame LIKE 'U%' GROUP BY ALL) GROUP BY ALL""")
+def ad_click_load(spark, sf):
+    counts = feeds.ad_click_counts(feeds.ad_clicks(i.click_lines(spark, sf)), {"1": "a", "5": "b"})
+    return counts.groupBy("target", "ad_id", "game").agg(F.sum("click_cnt").alias("clicks"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("page_click_load", w(EV) + """SELECT event_tag, sum(n)::BIGINT AS clicks, count(*) AS rows FROM (SELECT et AS event_tag, strftime(make_timestamp((t + 28800) * 1000000), '%Y-01-%d %H:%M') AS m, uid % 6 AS apk, count(*) AS n
+  FROM ev WHERE et <> 'error' GROUP BY ALL) GROUP BY 1""")
+def page_click_load(spark, sf):
+    return feeds.page_clicks(access_input(spark, sf)).groupBy("event_tag").agg(F.sum("click_cnt").alias("clicks"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("log_load", w(EV) + f"""SELECT 'login_log' AS "table", count(*) AS n, count(DISTINCT device) AS devices FROM ev WHERE et = 'view' UNION ALL
+  SELECT 'active_log', count(*), 0 FROM ev WHERE FALSE UNION ALL SELECT 'rejects', count(*), 0 FROM ev WHERE et = 'error'""")
+def log_load(spark, sf):
+    out = loads.log_load(i.event_lines(spark, sf), "eid")
+    n, zero = F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("devices")
+    return (out["login_log"].agg(F.lit("login_log").alias("table"), n, F.countDistinct("device_id").alias("devices"))
+            .unionByName(out["active_log"].agg(F.lit("active_log").alias("table"), n, zero))
+            .unionByName(out["rejects"].agg(F.lit("rejects").alias("table"), n, zero)))
+
+
+@query("database_load", w(OD, f"""us AS (SELECT oid, {GID} AS game, 'dev-' || (uid % 40) AS device, t FROM od WHERE tab = 'user' AND oid % 2 = 0)""")
+       + """SELECT 'order_log' AS kind, oid, upper(md5(oid || '' || step || pay)) AS id, CAST(NULL AS INTEGER) AS new_device FROM od WHERE tab = 'order' AND ((pay = 0 AND step = 1) OR (pay = 1 AND step = 2))
+  UNION ALL SELECT 'user', us.oid, upper(md5(CAST(uid AS VARCHAR))), CASE WHEN coalesce(min(us.t) OVER (PARTITION BY us.game, us.device ORDER BY us.oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), us.t) >= us.t THEN 1 ELSE 0 END
+  FROM us JOIN od USING (oid)""")
+def database_load(spark, sf):
+    out = loads.database_load(i.own_order_lines(spark, sf), "oid")
+    return (out["order_log"].select(F.lit("order_log").alias("kind"), "oid", "id", F.lit(None).cast("int").alias("new_device"))
+            .unionByName(out["user"].select(F.lit("user").alias("kind"), "oid", "id", "new_device")))
+
+
+COIN_OK = "game_id <> '' AND (own OR gch = '2050' OR num IS NOT NULL) AND 'error' NOT IN (game_id, channel_id, game_channel_id)"
+
+
+@query("coin_trades", w(EV, COIN_SQL, DIMS, COIN_RESOLVED) + f"""SELECT eid, 0 AS object_no, {COIN_OK} AS ok, game_id, channel_id, game_channel_id, strftime(make_timestamp((t + 28800) * 1000000), '%Y%m%d') AS trade_date FROM cr
+  UNION ALL SELECT eid, 1, {COIN_OK}, game_id, channel_id, game_channel_id, strftime(make_timestamp((t + 28800) * 1000000), '%Y%m%d') FROM cr WHERE et = 'click' AND k <> 20""")
+def coin_trades(spark, sf):
+    out = feeds.coin_trades(coin_json_input(spark, sf), i.dims(spark, sf)).where("reject_reason IS NULL OR reject_reason <> 'json parse error'")
+    return out.select("eid", "object_no", "ok", "game_id", "channel_id", "game_channel_id", "trade_date")
+
+
+@query("coin_export", w(EV, COIN_SQL, DIMS, COIN_RESOLVED) + f"""SELECT ok, reason, count(*) AS n FROM (SELECT k NOT IN (20, 21) AND {COIN_OK} AS ok, CASE WHEN k IN (20, 21) THEN 'not 14 fields' WHEN NOT ({COIN_OK}) THEN 'unresolved field' END AS reason FROM cr) GROUP BY ALL""")
+def coin_export(spark, sf):
+    out = feeds.coin_trades(coin_tsv_input(spark, sf), i.dims(spark, sf), tsv=True)
+    return out.groupBy("ok", F.col("reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sdk_events", SDK_SQL)
+def sdk_events(spark, sf):
+    out = feeds.sdk_events(sdk_input(spark, sf))
+    return out.select("eid", "record_no", *[F.get_json_object("value", f"$.{k}").alias(k) for k in SDK_KEYS])
+
+
+@query("sdk_flat", w(EV) + f"""SELECT eid, CAST(uid AS VARCHAR) AS "user-user_id", device AS "device-device_id", kind AS event, ip, t AS server_ts, {day('t')} AS server_date_day FROM ev WHERE et <> 'error'""")
+def sdk_flat(spark, sf):
+    return feeds.sdk_flat(i.event_lines(spark, sf), ["user", "device"]).select("eid", "user-user_id", "device-device_id", "event", "ip", "server_ts", "server_date_day")
+
+
+@query("olap_feed", w(EV, OD) + f"""SELECT event, server_date_day, count(*) AS n, sum(cents)::BIGINT AS cents FROM (SELECT 'login' AS event, {day('t')} AS server_date_day, 0 AS cents FROM ev WHERE kind = 'login' AND k <> 77
+  UNION ALL SELECT 'order', {day('t')}, CAST(round(money * 100) AS BIGINT) FROM od WHERE pay = 1 AND step = 2) GROUP BY ALL""")
+def olap_feed(spark, sf):
+    o = i.od(spark, sf)
+    t = F.col("t")
+    paid = o.select(F.lit("order").alias("event"), F.lit("regular").alias("is_test"), F.col("pay").cast("string").alias("pay_status"), F.col("step").cast("string").alias("status"),
+                    F.col("money").cast("string").alias("money"), times.day(t).alias("server_date_day"), times.hour(t).alias("server_date_hour"), F.lit("").alias("reg_date"),
+                    F.lit("").alias("first_order_date"), F.col("game").alias("game_id"), F.lit("c").alias("channel_id"), F.lit("g").alias("game_channel_id"), F.lit("o").alias("os_type"), F.col("uid").alias("user_id"))
+    feed = feeds.olap_feed(flat_logins(spark, sf), paid)
+    cents = F.coalesce(F.round(F.col("money") * 100).cast("bigint"), F.lit(0))
+    return feed.groupBy("event", "server_date_day").agg(F.count(F.lit(1)).alias("n"), F.sum(cents).alias("cents"))
+
+
+OLD_SQL = f"""ba AS (SELECT *, uid % 97 >= 62 AS big, et IN ('signup', 'click') AS open, CASE WHEN uid % 97 >= 62 THEN gc WHEN et = 'signup' THEN sub ELSE ch END AS c0 FROM ev WHERE et <> 'error'),
+bb AS (SELECT ba.*, coalesce(a.channel_id, 'error') AS by_gc, s.channel_id AS sub_ch, coalesce(s.channel_id, c0) AS eff, coalesce(o.game_channel_id, 'error') AS old_gc FROM ba
+  LEFT JOIN channel_of a ON a.game_id = game AND a.game_channel_id = c0 LEFT JOIN sub_channel s ON s.sub_channel_id = c0 LEFT JOIN old_channel o ON o.channel_id = c0),
+bc AS (SELECT bb.*, coalesce(r.game_channel_id, 'error') AS rev, CASE WHEN open THEN CASE WHEN big THEN by_gc ELSE eff END ELSE c0 END AS channel_id FROM bb LEFT JOIN game_channel_of r ON r.game_id = game AND r.channel_id = eff),
+bd AS (SELECT bc.*, CASE WHEN open THEN CASE WHEN big THEN c0 WHEN sub_ch IS NULL THEN rev ELSE old_gc END ELSE gc END AS game_channel_id, CASE WHEN NOT open THEN 'h5'
+  WHEN os.pf IN ('0', '4') THEN 'android' WHEN os.pf IS NULL THEN 'error' ELSE 'ios' END AS os_type FROM bc LEFT JOIN os ON os.channel_id = bc.channel_id),
+be AS (SELECT *, min(sts) OVER (PARTITION BY channel_id, game, uid ORDER BY eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS login_ts, CAST(NULL AS BIGINT) AS order_ts FROM bd)"""
+
+
+@query("old_logins", w(EV, DIMS, OLD_SQL) + f"""SELECT eid, channel_id, game_channel_id, os_type, reg_date FROM (SELECT *, {stamped_sql('sts', "'login'", 'login_ts', 'order_ts')} FROM be)""")
+def old_logins(spark, sf):
+    out = logins.old_logins(i.stored_login_lines(spark, sf), i.dims(spark, sf), i.regions(spark, sf), "eid")
+    return out.select("eid", "channel_id", "game_channel_id", "os_type", "reg_date")
+
+
+@query("replay", w(EV) + "SELECT 'again' AS topic, count(*) AS n, sum(length(device))::BIGINT AS chars FROM ev")
+def replay(spark, sf):
+    path = fresh_path(spark, "replay")
+    files.write_text(i.ev(spark, sf), "device", path)
+    out = feeds.replay(tables.text_scan(spark, path), "again")
+    return out.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars"))
+
+

@@ -29,10 +29,21 @@ def parsed_load(df: DataFrame, shape: T.StructType = LOAD_SHAPE) -> DataFrame:
     return parsed.withColumn("route", F.when(F.col("ok"), kind).otherwise(F.lit("reject")))
 
 
-def log_load(df: DataFrame, arrival: str, *, device_state: DataFrame | None = None,
+def staged(rows: DataFrame, path: str | None, part: str) -> DataFrame:
+    """Write parsed rows once, a folder per table, so that each table reads only its own part.
+
+    Without a path every table parses the input again.
+    """
+    if path is None:
+        return rows
+    rows.write.mode("overwrite").partitionBy(part).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def log_load(df: DataFrame, arrival: str, *, device_state: DataFrame | None = None, stage: str | None = None,
              tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
     """login_log and active_log rows; activations carry the new-device flag as an extra column."""
-    parsed = parsed_load(df)
+    parsed = staged(parsed_load(df), stage, "route")
     logins = wh.login_rows(parsed.where("route = 'login'"), "doc", [arrival], tz)
     active = wh.active_rows(parsed.where("route = 'active'"), "doc", [arrival], tz)
     stamped = active.withColumn("_ts", F.unix_timestamp("create_time"))
@@ -43,9 +54,10 @@ def log_load(df: DataFrame, arrival: str, *, device_state: DataFrame | None = No
             "rejects": lines.rejects(parsed, "log_load")}
 
 
-def overseas_log_load(df: DataFrame, dims: Dims, arrival: str, tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
+def overseas_log_load(df: DataFrame, dims: Dims, arrival: str, *, stage: str | None = None,
+                      tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
     """login, install, purchase rows and refunds of the overseas warehouse."""
-    parsed = parsed_load(df)
+    parsed = staged(parsed_load(df), stage, "route")
     purchases = wh.purchase_rows(parsed.where("route = 'purchase'"), "doc", [arrival], tz)
     return {"login_log": wh.login_rows(parsed.where("route = 'login'"), "doc", [arrival], tz, overseas=True),
             "af_active": wh.install_rows(parsed.where("route = 'install'"), dims.package_game, "doc", [arrival]),
@@ -59,10 +71,10 @@ def _load_rows(df: DataFrame, arrival: str) -> DataFrame:
 
 
 def database_load(df: DataFrame, arrival: str, *, dims: Dims | None = None, overseas: bool = False,
-                  batch: bool = False, device_state: DataFrame | None = None, rows_per_line: int = 1 << 16,
-                  tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
+                  batch: bool = False, device_state: DataFrame | None = None, stage: str | None = None,
+                  rows_per_line: int = 1 << 16, tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
     """order_log (placed and paid rows) and user (inserted rows) from change data."""
-    rows = _load_rows(df, arrival)
+    rows = staged(_load_rows(df, arrival), stage, "table")
     d = F.col("data")
     orders = rows.where(guards.order_states(F.col("table"), int_of(d["pay_status"]), int_of(d["status"])))
     users = rows.where(guards.user_inserts(F.col("table"), F.col("type")))

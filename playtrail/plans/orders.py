@@ -132,7 +132,7 @@ def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Di
     rows = _agency_rows(df, False, arrival)
     rows = rows.where(F.col("table").isin("agent_order", "agent_order_copy"))
     copied = F.col("table") == "agent_order_copy"
-    rows = add_region(rows, regions, F.when(copied, F.col("create_ip")))
+    rows = add_region(rows.withColumn("_given", F.col("channel_id")), regions, F.when(copied, F.col("create_ip")))
     work = resolve.resolve_order(rows, dims, game_id=F.when(~copied, F.col("game_id")), column=F.col("channel_id"))
     work = events.cast_columns(work, {"pay_status": "int", "status": "int", "money": "double"})
     excluded = guards.OWN_CHANNELS if batch else guards.OVERSEAS_CHANNELS
@@ -146,9 +146,10 @@ def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Di
     flagged = guards.member(flagged, F.col("game_channel_id"), special, "_special")
     target = (F.when(copied, F.lit(topic + route.COPY)).when(F.col("is_test_order"), F.lit(topic + route.TEST))
               .when(F.col("_special"), F.lit(topic + route.OTHER)).otherwise(F.lit(topic)))
-    own = ["channel_id", "game_channel_id", "os_type", "company_id", "first_order_date", "server_date_hour",
+    own = ["game_channel_id", "os_type", "company_id", "first_order_date", "server_date_hour",
            "server_date_minute", "reg_date"]
     done = flagged.withColumn("route", target)
     return (done.withColumns({c: F.when(~copied, F.col(c)) for c in own})
             .withColumns({c: F.when(copied, F.col(c)) for c in REGION})
-            .drop("_no", "_ts", "_special", "is_test_order", "resolved"))
+            .withColumn("channel_id", F.when(copied, F.col("_given")).otherwise(F.col("channel_id")))
+            .drop("_given", "_no", "_ts", "_special", "is_test_order", "resolved"))

@@ -197,7 +197,10 @@ def own_order_lines(spark: SparkSession, sf: str, wrapped: bool = False) -> Data
 
 def click_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Ad click lines: games with and without counted prefix, some without company or numeric ad."""
-    e = ev(spark, sf)
+    return click_lines_of(ev(spark, sf))
+
+
+def click_lines_of(e: DataFrame) -> DataFrame:
     ad = F.when(F.col("k") == 11, F.lit("ad-x")).when(F.col("k") == 12, F.lit("")).otherwise((F.col("uid") % 9).cast("string"))
     doc = F.struct(ad.alias("adid"), F.concat(F.when(F.col("et") == "signup", F.lit("V")).otherwise(F.lit("U")),
                                               F.col("uid") % 5).alias("game"),

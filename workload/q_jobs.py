@@ -203,7 +203,7 @@ def page_click_load(spark, sf):
 @query("log_load", w(EV) + f"""SELECT 'login_log' AS "table", count(*) AS n, count(DISTINCT device) AS devices FROM ev WHERE et = 'view' UNION ALL
   SELECT 'active_log', count(*), 0 FROM ev WHERE FALSE UNION ALL SELECT 'rejects', count(*), 0 FROM ev WHERE et = 'error'""")
 def log_load(spark, sf):
-    out = loads.log_load(i.event_lines(spark, sf), "eid")
+    out = loads.log_load(i.event_lines(spark, sf), "eid", stage=fresh_path(spark, "log_load"))
     n, zero = F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("devices")
     return (out["login_log"].agg(F.lit("login_log").alias("table"), n, F.countDistinct("device_id").alias("devices"))
             .unionByName(out["active_log"].agg(F.lit("active_log").alias("table"), n, zero))
@@ -215,7 +215,7 @@ def log_load(spark, sf):
   UNION ALL SELECT 'user', us.oid, upper(md5(CAST(uid AS VARCHAR))), CASE WHEN coalesce(min(us.t) OVER (PARTITION BY us.game, us.device ORDER BY us.oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), us.t) >= us.t THEN 1 ELSE 0 END
   FROM us JOIN od USING (oid)""")
 def database_load(spark, sf):
-    out = loads.database_load(i.own_order_lines(spark, sf), "oid")
+    out = loads.database_load(i.own_order_lines(spark, sf), "oid", stage=fresh_path(spark, "database_load"))
     return (out["order_log"].select(F.lit("order_log").alias("kind"), "oid", "id", F.lit(None).cast("int").alias("new_device"))
             .unionByName(out["user"].select(F.lit("user").alias("kind"), "oid", "id", "new_device")))
 
@@ -223,6 +223,34 @@ def database_load(spark, sf):
 COIN_OK = "game_id <> '' AND (own OR gch = '2050' OR num IS NOT NULL) AND 'error' NOT IN (game_id, channel_id, game_channel_id)"
 
 
+@query("overseas_log_load", w(EV, DIMS) + f"""SELECT 'login_log' AS "table", count(*) AS n, sum(k)::BIGINT AS total FROM (SELECT uid % 97 AS k FROM ev WHERE et = 'view')
+  UNION ALL SELECT 'af_active', count(*), sum(p_partkey)::BIGINT FROM ev LEFT JOIN part ON p_partkey = k * 30 WHERE et = 'signup'
+  UNION ALL SELECT 'voided_order', count(*), sum(eid)::BIGINT FROM ev WHERE et = 'purchase'
+  UNION ALL SELECT 'refunds', 2 * count(*), sum(3 + 3)::BIGINT FROM ev WHERE et = 'click'""")
+def overseas_log_load(spark, sf):
+    """One log with logins, installs, purchases and refund lists, each to its own table."""
+    e = F.col
+    kind = lambda name: e("et") == name
+    entry = F.struct(F.concat(F.lit("tok-"), e("eid")).alias("purchaseToken"), (e("t") * 1000).alias("purchaseTimeMillis"),
+                     (e("t") * 1000 + 3 * 3600000).alias("voidedTimeMillis"))
+    doc = i.obj(event=F.when(kind("view"), F.lit("login")), user=F.struct((e("uid") % 97).cast("string").alias("user_id")), server_ts=e("sts"),
+                event_type=F.when(kind("signup"), F.lit("install")), bundle_id=F.concat(F.lit("com.game.p"), e("k") * 30), install_time=i.stamp(),
+                event_order=F.when(kind("purchase"), F.lit("event_order")), mToken=F.concat(F.lit("tok-"), e("eid")), mPurchaseTime=e("t") * 1000,
+                order_id=e("eid").cast("string"), google_lf=F.when(kind("click"), F.lit("google_lf")), package_name="p",
+                google_data=F.when(kind("click"), F.struct(F.array(entry, entry).alias("voidedPurchases"))))
+    text = F.when(kind("error"), F.lit("DATA[{]")).otherwise(F.concat(F.lit("DATA["), doc, F.lit("]")))
+    lines_in = i.once(i.ev(spark, sf), {"value": text}, ["eid"])
+    d = i.dims(spark, sf)
+    out = loads.overseas_log_load(lines_in, d, "eid", stage=fresh_path(spark, "overseas_log_load"))
+    n = F.count(F.lit(1)).alias("n")
+    total = lambda c: F.sum(c.cast("bigint")).alias("total")
+    part_of = F.regexp_extract("game", r"(\d+)$", 1)
+    return (out["login_log"].agg(F.lit("login_log").alias("table"), n, total(e("user_id")))
+            .unionByName(out["af_active"].agg(F.lit("af_active").alias("table"), n, total(F.when(e("game_id").isNotNull(), part_of))))
+            .unionByName(out["voided_order"].agg(F.lit("voided_order").alias("table"), n, total(e("order_sn"))))
+            .unionByName(out["refunds"].agg(F.lit("refunds").alias("table"), n, total(e("time_interval")))))
+
+
 @query("coin_trades", w(EV, COIN_SQL, DIMS, COIN_RESOLVED) + f"""SELECT eid, 0 AS object_no, {COIN_OK} AS ok, game_id, channel_id, game_channel_id, strftime(make_timestamp((t + 28800) * 1000000), '%Y%m%d') AS trade_date FROM cr
   UNION ALL SELECT eid, 1, {COIN_OK}, game_id, channel_id, game_channel_id, strftime(make_timestamp((t + 28800) * 1000000), '%Y%m%d') FROM cr WHERE et = 'click' AND k <> 20""")
 def coin_trades(spark, sf):

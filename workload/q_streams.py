@@ -1,0 +1,104 @@
+"""Streams over the events table as a file source, each run until nothing is left."""
+
+from pyspark.sql import functions as F
+
+from playtrail.operators.lines import ad_click_lines
+from playtrail.plans import logins
+from playtrail.session import fresh_path
+from playtrail.sinks.state_table import StateTable
+from playtrail.streaming import jobs
+
+from . import inputs as i
+from .q_decode import CLICK_SQL
+from .q_jobs import LOGIN_CLEAN_SQL, LOGIN_RULES, login_columns
+from .q_state import PAID, columns, running, stamped_sql
+from .registry import query
+from .sql import EV, w
+
+
+def event_stream(spark, sf):
+    schema = i.table(spark, sf, "events").schema
+    return jobs.read_folder(spark, sf, schema, options={"pathGlobFilter": "events.parquet", "maxFilesPerTrigger": "1000"})
+
+
+def finish(query_handle):
+    query_handle.awaitTermination()
+    if query_handle.exception():
+        raise query_handle.exception()
+
+
+def read_batches(spark, path, schema=None):
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).drop("batch")
+
+
+@query("stream_ingest_files", w(EV) + "SELECT eid, uid, kind FROM ev")
+def stream_ingest_files(spark, sf):
+    out, check = fresh_path(spark, "ingest"), fresh_path(spark, "ingest-offsets")
+    stream = i.ev_of(event_stream(spark, sf)).select("eid", "uid", "kind")
+    finish(jobs.run_batches(stream, jobs.append_once(out, lambda b: b), check))
+    return read_batches(spark, out)
+
+
+@query("stream_login", LOGIN_CLEAN_SQL)
+def stream_login(spark, sf):
+    """The login job as a stream gives the rows of the batch job."""
+    out, check = fresh_path(spark, "login"), fresh_path(spark, "login-offsets")
+    d, regions, state = i.dims(spark, sf), i.regions(spark, sf), i.stored_state(spark, sf)
+
+    def clean(batch):
+        lines = i.old_login_lines_of(i.ev_of(batch), wrapped=True)
+        return login_columns(logins.agency_logins(lines, d, regions, d.special, "eid", rules=LOGIN_RULES, state=state))
+
+    finish(jobs.run_batches(event_stream(spark, sf), jobs.append_once(out, clean), check))
+    return read_batches(spark, out)
+
+
+@query("stream_exactly_once", w(EV) + "SELECT et, count(*) AS n, count(DISTINCT eid) AS ids FROM ev GROUP BY 1")
+def stream_exactly_once(spark, sf):
+    """Every batch is delivered twice; the second delivery replaces the first."""
+    out, check = fresh_path(spark, "once"), fresh_path(spark, "once-offsets")
+    write = jobs.append_once(out, lambda b: b)
+
+    def twice(batch, number):
+        write(batch, number)
+        write(batch, number)
+
+    finish(jobs.run_batches(i.ev_of(event_stream(spark, sf)).select("eid", "et"), twice, check))
+    return read_batches(spark, out).groupBy("et").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("eid").alias("ids"))
+
+
+@query("stream_first_event", w(EV, running(PAID)) + f"SELECT eid, first_order_date, reg_date FROM (SELECT eid, {stamped_sql('sts', 'kind', 'login_ts', 'order_ts')} FROM se)")
+def stream_first_event(spark, sf):
+    out, check = fresh_path(spark, "first"), fresh_path(spark, "first-offsets")
+    table = StateTable(fresh_path(spark, "first-state"), ["key"], ["login_ts", "order_ts"])
+    e = i.ev_of(event_stream(spark, sf))
+    gc = F.when(F.col("k") == 5, F.lit("error")).when(F.col("k") == 6, F.lit("")).otherwise(F.col("gc"))
+    rows = e.select("eid", "uid", "sts", "kind", gc.alias("gc"), F.when(F.col("k") != 77, F.lit("regular")).otherwise(F.lit("test")).alias("is_test"),
+                    F.when(F.col("k") < 70, F.lit("1")).otherwise(F.lit("0")).alias("pay"),
+                    F.when(F.col("k") >= 20, F.lit("2")).otherwise(F.lit("1")).alias("step"))
+    finish(jobs.first_events_stream(rows, out, table, check, columns(), "eid"))
+    return read_batches(spark, out).select("eid", "first_order_date", "reg_date")
+
+
+@query("stream_click_minute", w(EV, CLICK_SQL) + """SELECT cgame AS game, substr(click_time, 1, 10) AS click_day, sum(n)::BIGINT AS clicks, count(*) AS rows FROM (
+  SELECT ad0, substr(click_time, 1, 16) AS click_time, cgame, pf, channel, count(*) AS n FROM clicks WHERE reason IS NULL GROUP BY ALL) GROUP BY ALL""")
+def stream_click_minute(spark, sf):
+    """Counts per minute and batch."""
+    out, check = fresh_path(spark, "minute"), fresh_path(spark, "minute-offsets")
+    parsed = ad_click_lines(i.click_lines_of(i.ev_of(event_stream(spark, sf)))).where("ok")
+    finish(jobs.run_batches(parsed, jobs.clicks_per_batch(out), check))
+    day = F.concat_ws("-", F.substring(F.col("click_date").cast("string"), 1, 4), F.substring(F.col("click_date").cast("string"), 5, 2),
+                      F.substring(F.col("click_date").cast("string"), 7, 2))
+    return read_batches(spark, out).groupBy("game", day.alias("click_day")).agg(F.sum("click_cnt").alias("clicks"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("stream_dedupe", w(EV) + "SELECT uid, count(*) AS n FROM (SELECT DISTINCT uid, k FROM ev) GROUP BY 1")
+def stream_dedupe(spark, sf):
+    """First row per (user, k) inside a delay longer than the data."""
+    out, check = fresh_path(spark, "dedupe"), fresh_path(spark, "dedupe-offsets")
+    e = i.ev_of(event_stream(spark, sf)).select("eid", "uid", "k", F.timestamp_seconds("t").alias("at"))
+    unique = jobs.deduplicated(e, ["uid", "k"], "at", "60 days")
+    finish(jobs.run_batches(unique, jobs.append_once(out, lambda b: b.select("eid", "uid", "k")), check))
+    return read_batches(spark, out).groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import times
 from ..operators.lookup import BROADCAST_ROWS
@@ -59,7 +60,7 @@ def _int_bytes(value: Column) -> Column:
     return F.unhex(F.lpad(F.hex(value.cast("bigint") + SIGN_BIT), 8, "0"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _unpack_lz4(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     import pyarrow as pa
 
@@ -77,7 +78,7 @@ def _unpack_lz4(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
         yield pd.Series([one(d, s) for d, s in zip(data, size)], dtype=object)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _pack_lz4(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     import pyarrow as pa
 

@@ -71,11 +71,14 @@ def dimension(df: DataFrame, keys: list[str], values: list[str], position: str,
 
 
 def lookup(df: DataFrame, dim: Dimension, on: list[Column], out: dict[str, str],
-           default: str | None = "error", found: str | None = None) -> DataFrame:
+           default: str | None = "error", found: str | None = None,
+           counted: DataFrame | None = None) -> DataFrame:
     """Add ``out`` (new column -> dimension value) for the key expressions ``on``.
 
     Rows without a match get ``default``; ``found`` names an optional match flag.
-    Row count never changes because the dimension keys are unique.
+    Row count never changes because the dimension keys are unique. ``counted`` is an
+    earlier frame with the same rows and keys: hot keys are counted on it, so that a
+    chain of large lookups does not run its first part again for each of them.
     """
     keyed = df.select("*", *[c.cast("string").alias(f"_k{i}") for i, c in enumerate(on)])
     names = [f"_k{i}" for i in range(len(on))]
@@ -85,7 +88,9 @@ def lookup(df: DataFrame, dim: Dimension, on: list[Column], out: dict[str, str],
     if dim.small:
         joined = keyed.join(F.broadcast(side), names, "left")
     else:
-        joined = _spread_join(keyed, side, names, dim.hot_rows)
+        source = keyed if counted is None else counted.select(
+            *[c.cast("string").alias(n) for n, c in zip(names, on)])
+        joined = _spread_join(keyed, side, names, hot_keys(source.na.drop(subset=names), names, dim.hot_rows))
     new = [(F.col(f"_v.{v}") if default is None
             else F.coalesce(F.col(f"_v.{v}"), F.lit(default))).alias(c) for c, v in out.items()]
     if found:
@@ -101,8 +106,7 @@ def hot_keys(keyed: DataFrame, names: list[str], hot_rows: int) -> DataFrame:
             .where(F.col("_n") > hot_rows).select(*names))
 
 
-def _spread_join(keyed: DataFrame, side: DataFrame, names: list[str], hot_rows: int) -> DataFrame:
-    hot = hot_keys(keyed.na.drop(subset=names), names, hot_rows)
+def _spread_join(keyed: DataFrame, side: DataFrame, names: list[str], hot: DataFrame) -> DataFrame:
     hot_side = (hot.join(side, names, "left")
                 .select(*names, F.struct(F.col("_v")).alias("_h")))
     first = keyed.join(F.broadcast(hot_side), names, "left")

@@ -49,13 +49,18 @@ def alias_lookup(df: DataFrame, game: str, aliases: Dimension) -> DataFrame:
 
 def _agency_parts(df: DataFrame, dims: Dims, game: Column, channel: Column, game_channel: Column) -> DataFrame:
     """All lookups the agency cascades need, under ``_``-names."""
-    work = df.select("*", game.alias("_g"), channel.alias("_c"), game_channel.alias("_gc"))
-    work = lookup(work, dims.channel_of, [F.col("_g"), F.col("_gc")], {"_ch_of_gc": "channel_id"})
-    work = lookup(work, dims.sub_channel, [F.col("_c")], {"_sub": "channel_id"}, found="_is_sub")
-    work = lookup(work, dims.old_channel, [F.col("_c")], {"_old_gc": "game_channel_id"})
-    work = work.withColumn("_eff", F.when(F.col("_is_sub"), F.col("_sub")).otherwise(F.col("_c")))
-    work = lookup(work, dims.game_channel_of, [F.col("_g"), F.col("_eff")], {"_gc_of_ch": "game_channel_id"})
-    return work
+    given = df.select("*", game.alias("_g"), channel.alias("_c"), game_channel.alias("_gc"))
+    effective = F.when(F.col("_is_sub"), F.col("_sub")).otherwise(F.col("_c"))
+
+    def by_sub(frame: DataFrame) -> DataFrame:
+        found = lookup(frame, dims.sub_channel, [F.col("_c")], {"_sub": "channel_id"}, found="_is_sub", counted=given)
+        return found.withColumn("_eff", effective)
+
+    work = lookup(given, dims.channel_of, [F.col("_g"), F.col("_gc")], {"_ch_of_gc": "channel_id"}, counted=given)
+    work = by_sub(work)
+    work = lookup(work, dims.old_channel, [F.col("_c")], {"_old_gc": "game_channel_id"}, counted=given)
+    return lookup(work, dims.game_channel_of, [F.col("_g"), F.col("_eff")], {"_gc_of_ch": "game_channel_id"},
+                  counted=None if dims.game_channel_of.small else by_sub(given.select("_g", "_c")))
 
 
 # the lookups of the agency cascades, to be measured together

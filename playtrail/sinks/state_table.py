@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import read_or_empty
+from .files import finished_parts, read_or_empty
 
 
 @dataclass
@@ -22,22 +22,28 @@ class StateTable:
     keys: list[str]
     values: list[str]
 
-    def _schema(self, part: str) -> T.StructType:
-        return T.StructType([T.StructField(k, T.StringType()) for k in self.keys]
-                            + [T.StructField(v, T.LongType()) for v in self.values]
-                            + [T.StructField(part, T.LongType())])
+    def _schema(self, part: str | None = None) -> T.StructType:
+        fields = ([T.StructField(k, T.StringType()) for k in self.keys]
+                  + [T.StructField(v, T.LongType()) for v in self.values])
+        return T.StructType(fields + ([T.StructField(part, T.LongType())] if part else []))
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """State made of all batches with a number below ``before``."""
+    def read(self, spark: SparkSession, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """State made of all batches with a number below ``before``, for all keys or those of ``only``.
+
+        With ``only`` the other keys are left out before the merge, so a batch shuffles
+        the state of its own keys and not the whole table.
+        """
         limit = 2 ** 62 if before is None else before
-        bases = read_or_empty(spark, f"{self.path}/base", self._schema("upto")).where(F.col("upto") <= limit)
-        newest = bases.agg(F.max("upto").alias("n")).first()["n"]
-        floor = -1 if newest is None else newest
-        deltas = (read_or_empty(spark, f"{self.path}/delta", self._schema("batch"))
-                  .where((F.col("batch") >= floor) & (F.col("batch") < limit)))
-        both = deltas.drop("batch")
-        if newest is not None:
-            both = both.unionByName(bases.where(F.col("upto") == newest).drop("upto"))
+        bases = [n for n in finished_parts(spark, f"{self.path}/base", "upto") if n <= limit]
+        return self._merged(spark, limit, bases[-1] if bases else None, only)
+
+    def _merged(self, spark: SparkSession, limit: int, base: int | None, only: DataFrame | None = None) -> DataFrame:
+        deltas = read_or_empty(spark, f"{self.path}/delta", self._schema("batch"))
+        both = deltas.where((F.col("batch") >= (base or 0)) & (F.col("batch") < limit)).drop("batch")
+        if base is not None:
+            both = both.unionByName(spark.read.schema(self._schema()).parquet(f"{self.path}/base/upto={base}"))
+        if only is not None:
+            both = both.join(only.select(*self.keys).distinct(), self.keys, "left_semi")
         return both.groupBy(*self.keys).agg(*[F.min(v).alias(v) for v in self.values])
 
     def append(self, delta: DataFrame, batch: int) -> None:
@@ -46,5 +52,10 @@ class StateTable:
             .write.mode("overwrite").parquet(f"{self.path}/delta/batch={batch}")
 
     def compact(self, spark: SparkSession, upto: int) -> None:
-        """Write one base of all batches below ``upto``; readers pick it up by its number."""
-        self.read(spark, upto).write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+        """Write one base of all batches below ``upto``; readers take the newest finished one.
+
+        Only older bases are read, so a repeated compaction can replace its own folder.
+        """
+        older = [n for n in finished_parts(spark, f"{self.path}/base", "upto") if n < upto]
+        self._merged(spark, upto, older[-1] if older else None) \
+            .write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")

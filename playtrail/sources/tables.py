@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lookup import Dimension, lookup
+
 RULE_FILE_LIMIT = 4 * 1024 * 1024
 
 
@@ -34,10 +36,11 @@ def jdbc_table(spark: SparkSession, table: str, options: dict[str, str]) -> Data
 
 
 def warehouse_exists(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """How many stored rows each requested key has (0 when none): one join, no per-row query."""
+    """How many stored rows each requested key has (0 when none): one lookup, no per-row query."""
     counts = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("stored"))
-    return (rows.join(counts, keys, "left")
-            .withColumn("stored", F.coalesce("stored", F.lit(0).cast("bigint"))))
+    found = lookup(rows, Dimension(counts, keys, ["stored"], "stored"), [F.col(k) for k in keys], {"stored": "stored"},
+                   default=None)
+    return found.withColumn("stored", F.coalesce("stored", F.lit(0).cast("bigint")))
 
 
 def read_rules(spark: SparkSession, path: str) -> list[tuple[str, str, str, str]]:

@@ -55,16 +55,20 @@ def append_once(out: str, make: Callable[[DataFrame], DataFrame]) -> Callable[[D
 
 def first_events_stream(stream: DataFrame, out: str, table: StateTable, checkpoint: str, columns: dict[str, Column],
                         arrival: str, interval: str | None = None, flag_only: bool = False,
-                        tz: str = times.DEFAULT_TZ) -> StreamingQuery:
+                        compact_every: int = 100, tz: str = times.DEFAULT_TZ) -> StreamingQuery:
     """First login and payment dates across batches: same window code as batch, state in ``table``.
 
-    ``columns`` names key, event, ts, is_test, pay_status and status.
+    ``columns`` names key, event, ts, is_test, pay_status and status. Every ``compact_every``
+    batches the deltas before the batch are merged into a new base.
     """
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            before = table.read(spark, number)
+            if number and number % compact_every == 0:
+                table.compact(spark, number)
+            keys = kept.select(columns["key"].alias("key")).where("key IS NOT NULL")
+            before = table.read(spark, number, keys)
             st.first_events(kept, arrival, **columns, flag_only=flag_only, state=before, tz=tz) \
                 .write.mode("overwrite").parquet(batch_folder(out, number))
             table.append(st.first_event_state(kept, **columns, flag_only=flag_only), number)

@@ -37,7 +37,8 @@ def test_first_events_over_batches(spark, tmp_path):
     out, check = str(tmp_path / "out"), str(tmp_path / "check")
     table = StateTable(str(tmp_path / "state"), ["key"], ["login_ts", "order_ts"])
     stream = jobs.read_folder(spark, src, SCHEMA, options={"maxFilesPerTrigger": "1"})
-    done(jobs.first_events_stream(stream, out, table, check, args(), "no"))
+    done(jobs.first_events_stream(stream, out, table, check, args(), "no", compact_every=2))
+    assert (tmp_path / "state" / "base" / "upto=2").is_dir()
     got = {r["no"]: (r["first_order_date"], r["reg_date"]) for r in spark.read.parquet(out).collect()}
     assert got == want
     assert spark.read.parquet(out).select("batch").distinct().count() == 4

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,19 +30,18 @@ def dedupe_ttl(df: DataFrame, key: str, ts: str, arrival: str, ttl: int = 300,
                span: int = SPAN) -> DataFrame:
     """Keep a row when at least ``ttl`` seconds passed since the last kept row of its key.
 
-    Dropped rows do not extend the window. ``ts`` is BIGINT seconds. Two rows of
-    one key and second can never both be kept, so the first of each second is
-    chosen before anything is grouped; a group of (key, span) then holds at most
-    ``span`` rows. Each span reports how it maps an entry point to an exit point,
-    the maps are chained per key, and the spans finish on their own.
+    Dropped rows do not extend the window. ``ts`` is BIGINT seconds, ``arrival`` a
+    BIGINT unique within a key. Two rows of one key and second can never both be
+    kept, so only the first of each second is looked at: a group of (key, span) holds
+    at most ``span`` pairs of numbers. Each span reports how it maps an entry point to
+    an exit point, the maps are chained per key, and the spans finish on their own.
+    Rows without key or time have no window and stay.
     """
     if span < ttl:
         raise ValueError("span must be at least ttl")
-    others = [c for c in df.columns if c not in (key, ts)]
-    per_second = (df.groupBy(key, ts)
-                  .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), F.col(arrival)).alias("_row"))
-                  .withColumn("_span", F.floor(F.col(ts) / span).cast("bigint")))
-    points = per_second.select(F.col(key).alias("k"), F.col("_span").alias("span"), F.col(ts).alias("sec"))
+    timed = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    points = (df.where(timed).groupBy(F.col(key).alias("k"), F.col(ts).alias("sec"))
+              .agg(F.min(arrival).alias("no")).withColumn("span", F.floor(F.col("sec") / span).cast("bigint")))
     kind = points.schema["k"].dataType
     maps_schema = T.StructType([T.StructField("k", kind), T.StructField("span", T.LongType()),
                                 T.StructField("enter", T.LongType()), T.StructField("leave", T.LongType())])
@@ -71,17 +68,19 @@ def dedupe_ttl(df: DataFrame, key: str, ts: str, arrival: str, ttl: int = 300,
                              "enter": [o[1] for o in out], "leave": [o[2] for o in out]})
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        sec = np.sort(pdf["sec"].to_numpy())
+        pdf = pdf.sort_values("sec")
+        sec = pdf["sec"].to_numpy()
         at, kept = int(np.searchsorted(sec, pdf["enter"].iloc[0])), []
         while at < len(sec):
-            kept.append(sec[at])
+            kept.append(at)
             at = int(np.searchsorted(sec, sec[at] + ttl, side="left"))
-        return pd.DataFrame({"k": [pdf["k"].iloc[0]] * len(kept), "sec": kept})
+        return pdf.iloc[kept][["k", "sec", "no"]]
 
-    maps = points.groupBy("k", "span").applyInPandas(span_map, maps_schema)
+    maps = points.select("k", "span", "sec").groupBy("k", "span").applyInPandas(span_map, maps_schema)
     entries = maps.groupBy("k").applyInPandas(chain, maps_schema).select("k", "span", "enter")
-    kept = (points.join(entries, ["k", "span"]).groupBy("k", "span")
-            .applyInPandas(walk, T.StructType([T.StructField("k", kind), T.StructField("sec", T.LongType())])))
-    cond = reduce(lambda a, b: a & b, [F.col(key) == F.col("k"), F.col(ts) == F.col("sec")])
-    chosen = per_second.join(kept, cond, "left_semi")
-    return chosen.select(key, ts, "_row.*").select(*[F.col(f"`{c}`") for c in df.columns])
+    kept = points.join(entries, ["k", "span"]).groupBy("k", "span").applyInPandas(walk, T.StructType(
+        [T.StructField("k", kind), T.StructField("sec", T.LongType()), T.StructField("no", T.LongType())]))
+    side = kept.select(F.col("k").alias("_kept_key"), F.col("sec").alias("_kept_sec"), F.col("no").alias("_kept_no"))
+    first = ((F.col(key) == F.col("_kept_key")) & (F.col(ts) == F.col("_kept_sec"))
+             & (F.col(arrival) == F.col("_kept_no")))
+    return df.join(side, first, "left_semi").unionByName(df.where(~timed))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import times
-from ..functions.coerce import int_of, text_of
+from ..functions.coerce import double_of, int_of, text_of
 from ..operators import guards, lines, resolve, route, rules as rl, state as st
 from ..operators.dims import Dims
 from ..operators.events import flatten_dashed, login_event
@@ -114,14 +114,9 @@ def _routed(df: DataFrame, arrival: str, destination: Column) -> DataFrame:
     return flat.withColumn("value", record)
 
 
-# what the service clean reads besides the fields named by its rules
-SERVICE_FIELDS = {"user": ["user_id"], "game": ["game_id", "game_name"], "agent": ["channel_id", "game_channel_id"],
-                  "device": ["device_id"], "order": ["order_status", "order_step"],
-                  "channel_platform": ["ad_id"], "sdk_platform": ["app_id"]}
-
-
-def service_shape(rules: list[rl.Rule]) -> T.StructType:
-    wanted = {g: list(cols) for g, cols in SERVICE_FIELDS.items()}
+def service_shape(rules: list[rl.Rule], groups: list[str] | None = None) -> T.StructType:
+    """Fields of the chosen groups (default: all) and every field a rule names."""
+    wanted = {g: list(schemas.GROUPS[g]) for g in (groups or schemas.GROUPS)}
     for _, grp, name, _ in rules:
         if name not in wanted.setdefault(grp, []):
             wanted[grp].append(name)
@@ -131,49 +126,85 @@ def service_shape(rules: list[rl.Rule]) -> T.StructType:
 def service_events(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension, arrival: str, *,
                    service: str, rules: list[rl.Rule] = rl.DEFAULT_RULES, state: DataFrame | None = None,
                    batch: bool = False, int_strict: bool = False, folded: dict[str, str] | None = None,
-                   tz: str = times.DEFAULT_TZ) -> DataFrame:
-    """Generic clean of one service: ``agent``, ``sdk``, ``channel`` or an own-channel name."""
-    needed = {"agent": resolve.AGENCY_DIMS, "sdk": (), "channel": ()}.get(service, ("belong", "company"))
+                   overseas: bool = False, only_special_logins: str | None = None,
+                   aliases: dict[str, str] | None = None, tz: str = times.DEFAULT_TZ) -> DataFrame:
+    """Generic clean of one service: ``agent``, ``sdk``, ``channel`` or an own-channel name.
+
+    ``overseas`` adds converted amounts to orders; ``only_special_logins`` (``keep`` or
+    ``drop`` for other events) limits own-channel logins to the special set. ``value`` is
+    the flattened record, or the raw line of a reject.
+    """
+    needed = {"agent": resolve.AGENCY_DIMS, "sdk": (), "channel": ()}.get(
+        service, ("belong", "company", *(("rate",) if overseas else ())))
     dims.measured(*needed, also=(regions, special))
     framed = lines.framed_lines(df, service_shape(rules), "DATA[", "value", tz, frame=not batch)
     checked = rl.validated(framed, "doc", rules, batch=batch, int_strict=int_strict)
     opened = checked.select(arrival, "value", "reject_reason", "line_ip", "doc.*").drop("_bad", *REGION)
-    located = add_region(opened.withColumn("ok", F.col("reject_reason").isNull()), regions,
-                         F.coalesce(F.col("client_ip"), F.col("line_ip")))
+    work = add_region(opened.withColumn("ok", F.col("reject_reason").isNull()), regions,
+                      F.coalesce(F.col("client_ip"), F.col("line_ip")))
     user, device = text_of(F.col("user.user_id")), text_of(F.col("device.device_id"))
-    game, who = text_of(F.col("game.game_id")), None
+    game = text_of(F.col("game.game_id"))
     if service == "agent":
-        work = resolve.resolve_login(located, dims, agent=F.col("agent"), game_id=game,
+        work = resolve.resolve_login(work, dims, agent=F.col("agent"), game_id=game,
                                      channel_id=text_of(F.col("agent.channel_id")),
                                      game_channel_id=text_of(F.col("agent.game_channel_id")))
-        fine, prefix = F.col("resolved"), F.concat(F.lit("agent_"), F.col("channel_id"), F.lit("_"), game)
+        work = (_put(work, "agent", "channel_id", "game_channel_id").transform(_put, "game", "company_id")
+                .transform(_put, "device", "os_type").withColumnRenamed("resolved", "_fine"))
+        prefix = F.concat(F.lit("agent_"), F.col("agent.channel_id"), F.lit("_"), game)
     elif service == "sdk":
-        work = located
-        fine = guards.sdk_guard(F.col("sdk_platform"), F.col("sdk_platform.app_id"))
+        work = work.withColumn("_fine", guards.sdk_guard(F.col("sdk_platform"), F.col("sdk_platform.app_id")))
         prefix = F.concat(F.lit("agent_"), text_of(F.col("game.game_name")), F.lit("_"),
                           text_of(F.col("sdk_platform.app_id")))
     else:
         fine = guards.channel_guard(F.col("channel_platform"), F.col("channel_platform.ad_id"), F.col("game.game_id"))
-        work = located
+        work = work.withColumn("_fine", F.coalesce(fine, F.lit(False)))
         if service != "channel":
-            work = resolve.resolve_own(located.withColumn("_fine", fine), dims, game_id=game)
-            fine = F.col("_fine")
+            work = _own_channel(work, dims, special, overseas, only_special_logins, aliases)
         prefix = F.concat(F.lit(f"channel_{service}_"), game)
     who = F.when(F.col("event").isin("active", "crash"), device).otherwise(user)
-    if "game_channel_id" not in work.columns:
-        work = work.withColumn("game_channel_id", text_of(F.col("agent.game_channel_id")))
     done = (work.withColumn("reject_reason", F.coalesce("reject_reason", F.when(
-        ~F.coalesce(fine, F.lit(False)), F.lit("service check"))))
-        .withColumn("ok", F.col("reject_reason").isNull())
+        ~F.coalesce(F.col("_fine"), F.lit(False)), F.lit("service check"))))
+        .withColumn("ok", F.col("reject_reason").isNull()).drop("_fine")
         .withColumn("_key", F.when(F.col("ok") & st.usable(who), F.concat(prefix, F.lit("_"), who))))
-    flagged = guards.member(done, F.col("game_channel_id"), special, "_special")
+    flagged = guards.member(done, F.col("agent.game_channel_id"), special, "_special")
     stamped = st.first_events(flagged, arrival, F.col("_key"), F.col("event"), int_of(F.col("server_ts")),
                               F.col("is_test"), text_of(F.col("order.order_status")),
                               text_of(F.col("order.order_step")), flag_only=batch, state=state, tz=tz,
                               shortest=10 ** 9)
     target = route.route_service(F.lit(service), F.col("ok"), F.col("_special"), folded)
-    return stamped.select(arrival, "ok", "reject_reason", target.alias("route"), "event", "game_channel_id",
-                          *REGION, *STAMPS, "value")
+    groups = [g for g in schemas.GROUPS if g in stamped.columns]
+    body = flatten_dashed(stamped.select(*groups, *[c for c in schemas.TOP if c != "status"], *STAMPS), as_columns=True)
+    # activations have no user, but the narrow feed expects the field
+    body["user-user_id"] = F.when(F.col("event") == "active", F.lit("")).otherwise(F.col("user.user_id"))
+    record = F.to_json(F.struct(*[c.alias(n) for n, c in body.items()]))
+    return stamped.select(arrival, "ok", "reject_reason", target.alias("route"), "event",
+                          F.col("agent.game_channel_id").alias("game_channel_id"), *REGION, *STAMPS,
+                          F.when(F.col("ok"), record).otherwise(F.col("value")).alias("value"))
+
+
+def _put(df: DataFrame, struct: str, *names: str) -> DataFrame:
+    """Move columns into a struct of the record."""
+    return df.withColumn(struct, _field_set(struct, df, {n: F.col(n) for n in names})).drop(*names)
+
+
+def _own_channel(df: DataFrame, dims: Dims, special: Dimension, overseas: bool, only_special_logins: str | None,
+                 aliases: dict[str, str] | None) -> DataFrame:
+    """Own game -> agency ids, changed places of game and app, amounts, and the login limit."""
+    work = resolve.resolve_own(df, dims, game_id=text_of(F.col("game.game_id")), aliases=aliases)
+    work = _put(work, "game", "app_id", "company_id").transform(_put, "agent", "channel_id", "game_channel_id")
+    swapped, not_web = resolve.game_app_swap(F.col("game"))
+    fine = F.col("_fine") & not_web
+    if only_special_logins is not None:
+        work = guards.member(work, F.col("agent.game_channel_id"), special, "_in")
+        fine = fine & resolve.own_login_kept(F.col("event"), F.col("_in"), only_special_logins)
+    work = work.withColumn("_fine", fine).withColumn("game", swapped)
+    if overseas:
+        is_order = F.col("event") == "order"
+        amount = double_of(F.col("order.currency_amount"))
+        work = resolve.fx_convert(work, dims, F.when(is_order, F.col("order.currency_type")), F.when(is_order, amount))
+        given = {c: F.col(c).cast("string") for c in ("cny_amount", "usd_amount")}
+        work = work.withColumn("order", F.when(is_order, _field_set("order", work, given))).drop(*given)
+    return work.drop("_in")
 
 
 def old_logins(df: DataFrame, dims: Dims, regions: Dimension, arrival: str, *,

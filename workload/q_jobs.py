@@ -99,9 +99,18 @@ def service_clean_sdk(spark, sf):
     return service_rows(spark, sf, "sdk")
 
 
-@query("service_clean_own", service_sql("overseas", CLEAN + " AND k <> 30)", f"{GID} || '_' || uid"))
+@query("service_clean_own", w(EV, DIMS, running("k < 55", key=f"CASE WHEN {CLEAN} AND k <> 30 AND uid % 80 <> 11) THEN {GID} || '_' || uid END"))
+       + f"""SELECT eid, ok, CASE WHEN ok THEN 'overseasStd' ELSE 'overseasError' END AS route, {ok_only('first_order_date', 'reg_date')}, CASE WHEN ok THEN coalesce(b.game_id, 'error') END AS game_id,
+  CASE WHEN ok THEN {GID} END AS app_id, CASE WHEN ok AND kind = 'order' THEN val::DOUBLE END AS cny FROM (SELECT *, {CLEAN} AND k <> 30 AND uid % 80 <> 11) AS ok, {stamped_sql('sts', 'kind', 'login_ts', 'order_ts')} FROM se) x
+  LEFT JOIN belong_overseas b ON b.belong_game_id = {GID}""")
 def service_clean_own(spark, sf):
-    return service_rows(spark, sf, "overseas")
+    """Overseas own channel: game and app change places, orders without a known currency count one to one."""
+    d = i.dims(spark, sf, platforms=("4", "5"))
+    out = logins.service_events(i.event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", service="overseas", overseas=True, aliases={})
+    field = lambda n: F.get_json_object("value", f"$['{n}']")
+    named = out.select("eid", "ok", "route", "first_order_date", "reg_date", field("game-game_id").alias("game_id"), field("game-app_id").alias("app_id"),
+                       F.when(F.col("event") == "order", field("order-cny_amount").cast("double")).alias("cny"))
+    return named.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in named.columns[3:]])
 
 
 ORDER_CLEAN = f"""op AS (SELECT oc.*, 0 AS row_no, FALSE AS is_copy FROM oc UNION ALL SELECT oc.*, 1, TRUE FROM oc WHERE pr = '4-NOT SPECIFIED'),

@@ -33,13 +33,14 @@ def prior_minimum(df: DataFrame, keys: list[str], arrival: str, marks: dict[str,
                   state: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add, per entry of ``marks``, the minimum of that expression over earlier rows of the key.
 
-    ``arrival`` is a BIGINT that orders the rows of a key, unique within it;
+    ``arrival`` is a BIGINT that orders the rows of a key, unique within it. A block
+    spans ``block_rows`` numbers: widely spaced numbers ask for a larger value.
     ``state`` holds ``keys`` plus one column per mark with earlier knowledge.
     Rows with a NULL in any key get NULL; they share no group larger than a block.
     """
     names = list(marks)
     tmp = [f"_m_{n}" for n in names]
-    block = F.floor(F.col(arrival) / block_rows).cast("bigint")
+    block = F.expr(f"cast(`{arrival}` AS bigint) div {int(block_rows)}L")
     base = df.select("*", *[marks[n].cast("bigint").alias(t) for n, t in zip(names, tmp)],
                      block.alias("_block"))
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])

@@ -93,7 +93,8 @@ def _new_devices(users: DataFrame, arrival: str, state: DataFrame | None, rows_p
             .withColumn("_no", F.col(arrival) * rows_per_line + F.col("row_no"))
             .withColumn("_key", F.concat_ws("_", "game", "device_id")))
     before = None if state is None else state.select(F.col("key").alias("_key"), "first_ts")
-    return st.new_device(work, ["_key"], "_no", "_ts", state=before).drop("_ts", "_no", "_key")
+    flagged = st.new_device(work, ["_key"], "_no", "_ts", state=before, block_rows=st.BLOCK_ROWS * rows_per_line)
+    return flagged.drop("_ts", "_no", "_key")
 
 
 def insert_rows(rows: DataFrame, target: DataFrame | None, arrival: Column | str) -> DataFrame:

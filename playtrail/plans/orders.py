@@ -25,7 +25,10 @@ def _agency_rows(df: DataFrame, wrapped: bool, arrival: str) -> DataFrame:
 
 
 def _row_number(arrival: str, rows_per_line: int) -> Column:
-    """Arrival number of a changed row: lines in order, rows inside a line in order."""
+    """Arrival number of a changed row: lines in order, rows inside a line in order.
+
+    Blocks of the state are widened by the same factor, so they still span many lines.
+    """
     return F.col(arrival) * rows_per_line + F.col("row_no")
 
 
@@ -48,7 +51,8 @@ def agency_orders(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
     main = F.col("route") == route.destination(source)
     key = F.when(main, st.state_key(F.col("user_id"), F.col("game_channel_id")))
     out = st.first_events(work, "_no", key, F.col("event"), F.col("server_ts"), F.col("is_test"),
-                          F.col("pay_status"), F.col("status"), flag_only=flag_only, state=state, tz=tz)
+                          F.col("pay_status"), F.col("status"), flag_only=flag_only, state=state, tz=tz,
+                          block_rows=st.BLOCK_ROWS * rows_per_line)
     return out.drop("_no", "_special", "is_test_order", "resolved")
 
 
@@ -71,7 +75,8 @@ def own_orders(df: DataFrame, dims: Dims, special: Dimension | None, arrival: st
     work = work.withColumn("ok", ok).withColumn("_no", _row_number(arrival, rows_per_line))
     key = F.when(F.col("ok"), st.state_key(F.col("user_id"), F.col("game_channel_id")))
     stamped = st.first_events(work, "_no", key, F.col("event"), F.col("server_ts"), F.col("is_test"),
-                              F.col("pay_status"), F.col("status"), state=state, tz=tz)
+                              F.col("pay_status"), F.col("status"), state=state, tz=tz,
+                              block_rows=st.BLOCK_ROWS * rows_per_line)
     target = route.route_own_order(source, F.col("table"), F.col("ok"), folded_into)
     body = [c for c in stamped.columns
             if c not in (arrival, "row_no", "table", "data", "ok", "_no", "_special", "_order")]
@@ -108,7 +113,7 @@ def channel_database(df: DataFrame, dims: Dims, special: Dimension | None, arriv
         F.lit("_"), F.col("user.user_id")))
     stamped = st.first_events(work, "_no", key, F.col("event"), F.col("server_ts"), F.col("is_test"),
                               F.col("order.order_status"), F.col("order.order_step"), state=state, tz=tz,
-                              shortest=10 ** 9)
+                              shortest=10 ** 9, block_rows=st.BLOCK_ROWS * rows_per_line)
     target = (F.when(~F.col("is_event") | F.col("_apart"), F.lit("others"))
               .when(F.col("table") == "order_side", F.lit("side_orders")).otherwise(F.lit("orders")))
     plain = [c for c in stamped.columns if c not in (arrival, "row_no", "table", "data", "is_event", "_no", "_apart")]
@@ -141,7 +146,8 @@ def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Di
     work = work.withColumn("_ts", ts).withColumn("_no", _row_number(arrival, rows_per_line))
     paid = (F.col("pay_status") == 1) if batch else (F.col("pay_status") == 1) & (F.col("status") == 2)
     key = F.when(~copied, st.state_key(F.col("channel_id"), F.col("game_id"), F.col("user_id")))
-    stamped = st.first_order_dates(work, "_no", key, F.col("_ts"), paid, state=state, tz=tz)
+    stamped = st.first_order_dates(work, "_no", key, F.col("_ts"), paid, state=state, tz=tz,
+                                   block_rows=st.BLOCK_ROWS * rows_per_line)
     flagged = guards.flag_test_orders(stamped, test_rules)
     flagged = guards.member(flagged, F.col("game_channel_id"), special, "_special")
     target = (F.when(copied, F.lit(topic + route.COPY)).when(F.col("is_test_order"), F.lit(topic + route.TEST))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+LOCAL_FOLDER = "/tmp/checkpoints"
 # Settings a job should run with; none of them changes a result.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
@@ -33,7 +33,7 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session without one gets a temporary folder of its own.
+    A session on one machine that names none uses LOCAL_FOLDER; a cluster has to name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -43,9 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = "file:" + tempfile.mkdtemp(prefix="playtrail-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return f"file:{LOCAL_FOLDER}"
 
 
 def use_all_cores(df):
@@ -60,11 +58,3 @@ def use_all_cores(df):
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; nothing is ever reused or removed."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def checkpointed(df):
-    """Reliable checkpoint: survives the loss of any executor."""
-    shared = shared_folder(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)

@@ -38,3 +38,9 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """Drops columns that an operator is about to add, whatever their case."""
     taken = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in taken])
+
+
+def pieces(column, rows: int = 256):
+    """Values of an Arrow column, a few rows at a time, so that a batch of long texts is never copied whole."""
+    for start in range(0, len(column), rows):
+        yield from column.slice(start, rows).to_pylist()

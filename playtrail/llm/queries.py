@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import mixing
+from pyspark.sql import functions as F
+
+from . import mixing, neighbours, pii
 from .common import table
 from .registry import query
 
@@ -10,3 +12,14 @@ from .registry import query
 @query("op7_mix", mixing.ORACLE_SQL)
 def op7_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op1_pii")
+def op1_pii(spark, sf_dir):
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
+@query("op10_neighbours", neighbours.ORACLE_SQL)
+def op10_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors.where(F.col("vec_id") % 50 == 0), vectors)

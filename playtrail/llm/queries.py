@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, neighbours, pii
+from . import mixing, neighbours, pii, quality, toxicity
 from .common import table
 from .registry import query
 
@@ -23,3 +23,15 @@ def op1_pii(spark, sf_dir):
 def op10_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors.where(F.col("vec_id") % 50 == 0), vectors)
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from playtrail.session import fresh_path
@@ -44,3 +45,23 @@ def pieces(column, rows: int = 256):
     """Values of an Arrow column, a few rows at a time, so that a batch of long texts is never copied whole."""
     for start in range(0, len(column), rows):
         yield from column.slice(start, rows).to_pylist()
+
+
+def bit_filter(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A bit set of 2 ** bits cells, by the leading bits of a long column `hash`, whatever the number of rows.
+
+    Its size is fixed, so it may be broadcast; a hash whose bit is unset is certainly not among the rows.
+    """
+    cell = F.shiftrightunsigned("hash", 64 - bits)
+    words = (hashes.select(F.shiftright(cell, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int")).alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")))
+    table = np.zeros(max(1, 2 ** bits // 64), dtype=np.int64)
+    rows = words.toArrow()
+    table[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return table.view(np.uint64)
+
+
+def passes(table: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes (uint64) have their bit set."""
+    cell = hashes >> np.uint64(64 - bits)
+    return (table[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, neighbours, pii, quality, toxicity
+from . import jaccard, mixing, neighbours, pii, quality, toxicity
 from .common import table
 from .registry import query
 
@@ -35,3 +35,8 @@ def op6_quality(spark, sf_dir):
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op3_jaccard")
+def op3_jaccard(spark, sf_dir):
+    return jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

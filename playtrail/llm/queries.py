@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, neighbours, pii, quality, toxicity
+from . import decontamination, jaccard, mixing, neighbours, pii, quality, toxicity
 from .common import table
 from .registry import query
 
@@ -40,3 +40,8 @@ def op8_toxicity(spark, sf_dir):
 @query("op3_jaccard")
 def op3_jaccard(spark, sf_dir):
     return jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op9_decontaminate")
+def op9_decontaminate(spark, sf_dir):
+    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

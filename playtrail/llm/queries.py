@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, mixing, neighbours, pii, quality, toxicity
+from . import brown, decontamination, jaccard, mixing, neighbours, pii, quality, toxicity
 from .common import table
 from .registry import query
 
@@ -45,3 +45,9 @@ def op3_jaccard(spark, sf_dir):
 @query("op9_decontaminate")
 def op9_decontaminate(spark, sf_dir):
     return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_brown")
+def op2_brown(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return brown.score(docs, *brown.fit(docs))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import brown, decontamination, jaccard, mixing, neighbours, pii, quality, toxicity
+from . import attribution, brown, decontamination, jaccard, mixing, neighbours, pii, quality, toxicity, transcripts
 from .common import table
 from .registry import query
 
@@ -51,3 +51,16 @@ def op9_decontaminate(spark, sf_dir):
 def op2_brown(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return brown.score(docs, *brown.fit(docs))
+
+
+@query("op4_tokens")
+def op4_tokens(spark, sf_dir):
+    return attribution.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op5_transcripts")
+def op5_transcripts(spark, sf_dir):
+    """Roles are hidden, transcripts are marked in several ways, and the recovered roles are held against the given."""
+    chats = table(spark, sf_dir, "conversations")
+    raw = transcripts.raw_transcripts(chats)
+    return transcripts.summary(transcripts.parse(raw, transcripts.fit(raw)), chats.select("conv_id", "turn", "role"))

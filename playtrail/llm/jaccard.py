@@ -2,8 +2,8 @@
 
 1. Every text becomes its set of 64-bit shingle hashes. Texts alike are one node. A fixed-size table counts how many
    nodes hold the shingles of a cell: the global order of shingles is rare first (count, then hash).
-2. Stars: nodes that share one of their SMALLEST smallest hashes are compared with one leader of that value. Links found
-   here join large groups of copies with a few comparisons per node.
+2. Stars: nodes that share one of their SMALLEST smallest hashes are compared with one leader of that value and with a
+   few nodes next to them. Links found here join large groups of copies with a few comparisons per node.
 3. Prefix join between different components. A pair that links shares a shingle of the larger text's first
    n - ceil(3n/4) + 1 and of the smaller one's first n - ceil(6n/7) + 1 shingles in the order. Shingles whose prefix
    rows all lie in one component cannot bring a new pair and are set aside; rows of the others are joined on the
@@ -23,15 +23,16 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import WORD, bit_filter, passes, pieces, words, written
 from .components import components
 
 SHINGLE = 5
-CELL_BITS, CHUNK = 20, 4096  # cells of the counting table, and how many travel together
+CELL_BITS, CHUNK = 22, 16384  # cells of the counting table, and how many travel together
 SMALLEST = 4  # smallest hashes that find a leader
-KEY_BITS, GRAM_BITS = 23, 24  # bits of the fixed-size filters
+NEXT, SALTS = 3, 16  # nodes of a hash that are compared with their next ones, and into how many parts a hash is dealt
+KEY_BITS, GRAM_BITS = 23, 26  # bits of the fixed-size filters
 BUCKET_ROWS = 500_000  # prefix rows of a bucket
 CACHE = 400_000  # words a worker remembers
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -225,10 +226,15 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
 
 def star_pairs(nodes: DataFrame) -> DataFrame:
-    """Each node with the leader (smallest node) of each of its smallest hashes."""
+    """Each node with the leader (smallest node) of each of its smallest hashes, and with the next NEXT nodes of the same
+    hash and salt. In a large group of copies every node so meets a few dozen others, whatever the size of the group."""
     rows = nodes.select("node", F.explode("smallest").alias("value"))
     leaders = rows.groupBy("value").agg(F.min("node").alias("b"), F.count("*").alias("c")).where("c > 1").drop("c")
-    return rows.join(leaders, "value").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    stars = rows.join(leaders, "value").where("node <> b").select(F.col("node").alias("a"), "b")
+    inside = Window.partitionBy("value", F.pmod(F.hash("value", "node"), F.lit(SALTS))).orderBy("node")
+    later = F.array(*[F.lead("node", i).over(inside) for i in range(1, NEXT + 1)])
+    chains = rows.select(later.alias("later"), "node").select(F.explode("later").alias("a"), F.col("node").alias("b")).where("a is not null")
+    return stars.union(chains).distinct()
 
 
 def contested(nodes: DataFrame) -> DataFrame:

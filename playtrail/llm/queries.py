@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from . import attribution, brown, decontamination, jaccard, mixing, neighbours, pii, quality, toxicity, transcripts
@@ -64,3 +65,6 @@ def op5_transcripts(spark, sf_dir):
     chats = table(spark, sf_dir, "conversations")
     raw = transcripts.raw_transcripts(chats)
     return transcripts.summary(transcripts.parse(raw, transcripts.fit(raw)), chats.select("conv_id", "turn", "role"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -1,4 +1,5 @@
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -22,7 +23,11 @@ def brute(docs, bench):
             if len(b) < dc.SHORTEST:
                 continue
             masks = dc.MASKS if len(b) >= len(dc.MASKS[0]) else ("1" * len(b),)
-            for shift in range(-len(b) + 1, len(a)):
+            place = defaultdict(list)
+            for q, w in enumerate(b):
+                place[w].append(q)
+            shifts = Counter(p - q for p, w in enumerate(a) for q in place.get(w, ()))
+            for shift in (s for s, n in shifts.items() if n >= dc.SHORTEST):  # no mask has fewer ones
                 same = [0 <= p + shift < len(a) and a[p + shift] == b[p] for p in range(len(b))]
                 hits = [p for m in masks for p in range(len(b) - len(m) + 1) if 0 <= p + shift and p + shift + len(m) <= len(a) and all(same[p + j] for j, c in enumerate(m) if c == "1")]
                 inside = [p for p in range(len(b)) if 0 <= p + shift < len(a)]

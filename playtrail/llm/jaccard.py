@@ -30,8 +30,8 @@ from .components import components
 
 SHINGLE = 5
 CELL_BITS, CHUNK = 22, 16384  # cells of the counting table, and how many travel together
-SMALLEST = 4  # smallest hashes that find a leader
-NEXT, SALTS = 3, 16  # nodes of a hash that are compared with their next ones, and into how many parts a hash is dealt
+SMALLEST = 8  # smallest hashes that find a leader
+NEXT, SALTS = 4, 16  # nodes of a hash that are compared with their next ones, and into how many parts a hash is dealt
 KEY_BITS, GRAM_BITS = 23, 26  # bits of the fixed-size filters
 BUCKET_ROWS = 500_000  # prefix rows of a bucket
 CACHE = 400_000  # words a worker remembers

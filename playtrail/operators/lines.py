@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import times
-from ..functions.coerce import blank
 from .once import once
 
 # The frame around a payload.
@@ -144,7 +143,10 @@ def access_lines(df: DataFrame, line: str = "value", tz: str = times.DEFAULT_TZ)
 # ---------------------------------------------------------------- coin trades
 
 def coin_json_lines(df: DataFrame, line: str = "value") -> DataFrame:
-    """Coin log with one object or an array; each object is parsed, and rejected, alone."""
+    """Coin log with one object or an array; each object is parsed, and rejected, alone.
+
+    A line without the tag is one reject without an object number.
+    """
     src = F.col(line)
     tag = "GAME_COIN_LOG["
     many = F.instr(src, tag + "[") > 0
@@ -154,9 +156,10 @@ def coin_json_lines(df: DataFrame, line: str = "value") -> DataFrame:
     # the outer brackets are gone, so objects part where "}" meets ",{"
     objects = F.split(F.regexp_replace(body, r"\},\{", "}\x02{"), "\x02")
     kept = [F.col(f"`{c}`") for c in df.columns]
-    each = df.select(*kept, F.posexplode(objects).alias("object_no", "object"))
+    each = df.select(*kept, F.posexplode_outer(objects).alias("object_no", "object"))
     parsed = with_document(each, F.translate("object", "\t", " "), schemas.texts(schemas.COIN), "_d")
-    return _coin_out(parsed, [*kept, F.col("object_no"), F.col("object")], "json parse error")
+    reason = F.when(F.col("object_no").isNull(), F.lit("no tag")).otherwise(F.lit("json parse error"))
+    return _coin_out(parsed, [*kept, F.col("object_no"), F.col("object")], reason)
 
 
 def coin_tsv_lines(df: DataFrame, line: str = "value") -> DataFrame:
@@ -166,31 +169,41 @@ def coin_tsv_lines(df: DataFrame, line: str = "value") -> DataFrame:
     whole = F.size("_cells") == len(schemas.COIN)
     record = F.struct(*[F.try_element_at("_cells", F.lit(i + 1)).alias(c) for i, c in enumerate(schemas.COIN)])
     return _coin_out(df.withColumn("_cells", cells).select(*kept, F.when(whole, record).alias("_d")),
-                     kept, "not 14 fields")
+                     kept, F.lit("not 14 fields"))
 
 
-def _coin_out(df: DataFrame, kept: list[Column], reason: str) -> DataFrame:
+def _coin_out(df: DataFrame, kept: list[Column], reason: Column) -> DataFrame:
     fields = [F.coalesce(F.col("_d")[c], F.lit("")).alias(c) for c in schemas.COIN]
-    return (df.select(*kept, *fields, F.col("_d").isNotNull().alias("ok"))
-            .withColumn("reject_reason", F.when(~F.col("ok"), F.lit(reason))))
+    ok = F.col("_d").isNotNull()
+    return df.select(*kept, *fields, ok.alias("ok"), F.when(~ok, reason).alias("reject_reason"))
 
 
 # ---------------------------------------------------------------- envelopes and records
 
 def binlog_rows(df: DataFrame, data: list[str], line: str = "value") -> DataFrame:
-    """Change-data envelope -> one row per changed row: database, table, type, data."""
-    kept = [F.col(f"`{c}`") for c in df.columns]
-    parsed = with_document(df, F.col(line), schemas.binlog_schema(data), "_d")
-    return (parsed.select(*kept, F.posexplode("_d.rows").alias("row_no", "_r"))
-            .select(*kept, "row_no", F.col("_r.database").alias("database"),
-                    F.col("_r.table").alias("table"), F.col("_r.type").alias("type"),
-                    F.col("_r.data").alias("data")))
+    """Change-data envelope -> one row per changed row: row_no, database, table, type, raw, data, reject_reason.
+
+    ``raw`` is the row's whole object as text, ``data`` its fields named in ``data``. A line that is no envelope, or
+    has no rows, is one row with a reason; so is a changed row without an object.
+    """
+    kept = df.columns
+    parsed = with_document(df, F.col(line), schemas.BINLOG, "_d")
+    rows = F.when(F.size("_d.rows") > 0, F.col("_d.rows"))
+    each = (parsed.withColumn("_why", F.when(F.col("_d").isNull(), F.lit("json parse error"))
+                              .when(F.coalesce(F.size("_d.rows"), F.lit(0)) <= 0, F.lit("no rows")))
+            .select(*[F.col(f"`{c}`") for c in kept], "_why", F.posexplode_outer(rows).alias("row_no", "_r"))
+            .select(*[F.col(f"`{c}`") for c in kept], "_why", "row_no", "_r.database", "_r.table", "_r.type",
+                    F.col("_r.data").alias("raw")))
+    out = with_document(each, F.col("raw"), schemas.texts(data), "data")
+    reason = F.coalesce("_why", F.when(F.col("data").isNull(), F.lit("row without data")))
+    return out.withColumn("reject_reason", reason).drop("_why")
 
 
 def sdk_fanout(df: DataFrame, line: str = "value", tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Analytics line: the header is copied onto each event record; the header wins.
 
-    ``event_record`` may be one object or an array. Records come out as a map.
+    ``event_record`` may be one object or an array. Records come out as a map. A line that cannot be read, or holds no
+    record, is one row without a record number, with a reason.
     """
     kept = [F.col(f"`{c}`") for c in df.columns]
     shape = T.StructType([T.StructField("device", T.MapType(T.StringType(), T.StringType())),
@@ -206,8 +219,11 @@ def sdk_fanout(df: DataFrame, line: str = "value", tz: str = times.DEFAULT_TZ) -
                                      F.lit("server_ts"), F.col("line_ts").cast("string"),
                                      F.lit("server_date_day"), times.day(F.col("line_ts"), tz),
                                      F.lit("ip"), F.col("line_ip")))
-    each = framed.where("ok").select(*kept, head.alias("_head"), F.posexplode(records).alias("record_no", "_rec"))
-    return each.select(*kept, "record_no", merged(F.col("_rec"), F.col("_head")).alias("record"))
+    each = framed.select(*kept, "reject_reason", F.when(F.col("ok"), head).alias("_head"),
+                         F.posexplode_outer(F.filter(records, lambda r: r.isNotNull())).alias("record_no", "_rec"))
+    reason = F.coalesce("reject_reason", F.when(F.col("_rec").isNull(), F.lit("no event record")))
+    return each.select(*kept, "record_no", F.when(F.col("_rec").isNotNull(), merged(F.col("_rec"), F.col("_head"))).alias("record"),
+                       reason.alias("reject_reason")).withColumn("ok", F.col("reject_reason").isNull())
 
 
 def merged(left: Column, right: Column) -> Column:
@@ -240,8 +256,3 @@ def rejects(df: DataFrame, source: str, raw: str = "value", time: Column | None
     return df.where(~F.col("ok")).select(*kept, F.lit(source).alias("source"),
                                          F.col("reject_reason").alias("info"),
                                          F.col(raw).alias("data"), at.alias("time"))
-
-
-def blank_to_empty(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[F.when(blank(F.col(c)), F.lit("")).otherwise(F.col(c)).alias(c)
-                       if c in columns else F.col(f"`{c}`") for c in df.columns])

@@ -33,9 +33,15 @@ def sent_metrics(rows: DataFrame, host: str, run_id: str, time: Column, topic: s
 
 
 def received_metrics(lines: DataFrame) -> DataFrame:
-    """Lines read per (source, ip, file)."""
-    return (lines.where((F.col("file_path") != "") & (F.col("ip") != ""))
-            .groupBy("data_system", "ip", "file_path").agg(F.sum("line_count").alias("value")))
+    """Lines read per (source, ip, file): those the text of each message splits into, whatever it declares.
+
+    Closing line breaks do not count; a text without any character is one line.
+    """
+    raw = F.col("message_body").cast("string")
+    text = F.regexp_replace(raw, "\n+$", "")
+    counted = F.when((text == "") & (raw != ""), F.lit(0)).otherwise(F.size(F.split(text, "\n")))
+    return (lines.where(F.col("ok") & (F.col("file_path") != "") & (F.col("ip") != ""))
+            .groupBy("data_system", "ip", "file_path").agg(F.sum(counted.cast("bigint")).alias("value")))
 
 
 def metric_rows(counts: DataFrame, data_source: Column, host: Column, name: str, file_name: Column,

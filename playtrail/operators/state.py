@@ -29,18 +29,20 @@ NO_HISTORY = 999999999
 LOGIN, ORDER, REGISTER, ACTIVE = "login", "order", "register", "active"
 
 
-def prior_minimum(df: DataFrame, keys: list[str], arrival: str, marks: dict[str, Column],
+def prior_minimum(df: DataFrame, keys: list[str], arrival: str | list[str], marks: dict[str, Column],
                   state: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add, per entry of ``marks``, the minimum of that expression over earlier rows of the key.
 
-    ``arrival`` is a BIGINT that orders the rows of a key, unique within it. A block
-    spans ``block_rows`` numbers: widely spaced numbers ask for a larger value.
+    ``arrival`` is a BIGINT that orders the rows of a key, or such a column and further ones that order rows with
+    the same number (the rows of one line); together they are unique within a key. A block spans ``block_rows``
+    numbers of the first: widely spaced numbers ask for a larger value.
     ``state`` holds ``keys`` plus one column per mark with earlier knowledge.
     Rows with a NULL in any key get NULL; they share no group larger than a block.
     """
     names = list(marks)
     tmp = [f"_m_{n}" for n in names]
-    block = F.expr(f"cast(`{arrival}` AS bigint) div {int(block_rows)}L")
+    order = [arrival] if isinstance(arrival, str) else arrival
+    block = F.expr(f"cast(`{order[0]}` AS bigint) div {int(block_rows)}L")
     base = df.select("*", *[marks[n].cast("bigint").alias(t) for n, t in zip(names, tmp)],
                      block.alias("_block"))
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -60,7 +62,7 @@ def prior_minimum(df: DataFrame, keys: list[str], arrival: str, marks: dict[str,
 
     rows = base.withColumn("_real", F.lit(1))
     both = rows.unionByName(carried.withColumn("_real", F.lit(0)), allowMissingColumns=True)
-    within = (Window.partitionBy(*keys, "_block").orderBy("_real", arrival)
+    within = (Window.partitionBy(*keys, "_block").orderBy("_real", *order)
               .rowsBetween(Window.unboundedPreceding, -1))
     keep = [F.col(f"`{c}`") for c in df.columns if c not in names]
     return (both.select("*", *[F.min(t).over(within).alias(f"_p{t}") for t in tmp])
@@ -89,6 +91,32 @@ def state_key(*parts: Column) -> Column:
     return F.when(ok, F.concat_ws("_", *parts))
 
 
+# Services whose key is that of the agency, and services that write state.
+AGENCY, DOMESTIC, OVERSEAS, SDK, CHANNEL = "agent", "domestic", "overseas", "sdk", "channel"
+AGENCY_KEYED, WRITERS = (AGENCY, DOMESTIC), (AGENCY, DOMESTIC, OVERSEAS)
+
+
+def service_key(service: str, event: Column, *, channel_id: Column, game_id: Column, user_id: Column,
+                device_id: Column, game_name: Column | None = None, app_id: Column | None = None) -> Column:
+    """State key of a service's row, the same in every job: a missing part is blank, no part bars a key.
+
+    Agency and domestic own channel share agent_channel_game_user; other own channels have
+    channel_service_game_user; analytics go by game name and app. Activations and crashes
+    are keyed by device, and by channel alone where the channel is part of the key.
+    """
+    part = lambda c: F.coalesce(F.lit("") if c is None else c.cast("string"), F.lit(""))
+    by_device = F.coalesce(event.isin("active", "crash"), F.lit(False))
+    who = F.when(by_device, part(device_id)).otherwise(part(user_id))
+    if service in AGENCY_KEYED:
+        return F.concat_ws("_", F.lit("agent"), part(channel_id), F.when(~by_device, part(game_id)), who)
+    if service == SDK:
+        return F.concat_ws("_", F.lit("agent"), part(game_name), part(app_id), who)
+    if service == CHANNEL:
+        return F.when(by_device, F.concat(F.lit("agent_channel"), who)) \
+            .otherwise(F.concat(F.lit("agent_channel_"), part(game_id), who))
+    return F.concat_ws("_", F.lit("channel"), F.lit(service), part(game_id), who)
+
+
 def paid(pay_status: Column, status: Column, flag_only: bool = False) -> Column:
     """A paid order; history exports only carry the pay flag."""
     if flag_only:
@@ -118,19 +146,20 @@ def date_columns(event: Column, ts: Column, login_ts: Column, order_ts: Column,
             "reg_date": first_login}
 
 
-def first_events(df: DataFrame, arrival: str, key: Column, event: Column, ts: Column,
+def first_events(df: DataFrame, arrival: str | list[str], key: Column, event: Column, ts: Column,
                  is_test: Column, pay_status: Column, status: Column, *,
                  flag_only: bool = False, state: DataFrame | None = None,
                  tz: str = times.DEFAULT_TZ, block_rows: int = BLOCK_ROWS,
-                 shortest: int = 0) -> DataFrame:
+                 shortest: int = 0, writes: bool = True) -> DataFrame:
     """Stamp first login and first payment dates in arrival order.
 
     ``state`` is ``key, login_ts, order_ts``. ``shortest`` drops history below that
-    value (10-digit rule of the service-scoped store).
+    value (10-digit rule of the service-scoped store). Without ``writes`` the rows only
+    read the stored state.
     """
     work = df.select("*", key.alias("__key"), event.alias("__event"), ts.cast("bigint").alias("__ts"),
                      is_test.alias("__test"), pay_status.alias("__pay"), status.alias("__status"))
-    long_enough = F.col("__ts") >= shortest if shortest else F.lit(True)
+    long_enough = F.lit(writes) & (F.col("__ts") >= shortest if shortest else F.lit(True))
     marks = {
         "login_ts": F.when(long_enough, login_mark(F.col("__event"), F.col("__ts"), F.col("__test"))),
         "order_ts": F.when(long_enough, order_mark(
@@ -156,7 +185,7 @@ def first_event_state(df: DataFrame, key: Column, event: Column, ts: Column, is_
     return settled_minimum(work, ["key"], {n: F.col(n) for n in marks}, state)
 
 
-def first_order_dates(df: DataFrame, arrival: str, key: Column, ts: Column, is_paid: Column, *,
+def first_order_dates(df: DataFrame, arrival: str | list[str], key: Column, ts: Column, is_paid: Column, *,
                       state: DataFrame | None = None, tz: str = times.DEFAULT_TZ,
                       block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Database orders: first payment date even while unpaid, first login from the stored state."""
@@ -176,7 +205,7 @@ def first_order_dates(df: DataFrame, arrival: str, key: Column, ts: Column, is_p
     return seen.select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
-def new_device(df: DataFrame, keys: list[str], arrival: str, ts: str, *,
+def new_device(df: DataFrame, keys: list[str], arrival: str | list[str], ts: str, *,
                state: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """1 when the key has no history or the row is not later than it, else 0."""
     seen = prior_minimum(df, keys, arrival, {"_first": F.col(ts)},
@@ -186,11 +215,11 @@ def new_device(df: DataFrame, keys: list[str], arrival: str, ts: str, *,
     return seen.withColumn("new_device", F.when(fresh, 1).otherwise(0)).drop("_first")
 
 
-def first_seen(df: DataFrame, keys: list[str], arrival: str, *, state: DataFrame | None = None,
+def first_seen(df: DataFrame, keys: list[str], arrival: str | list[str], *, state: DataFrame | None = None,
                block_rows: int = BLOCK_ROWS) -> DataFrame:
     """1 for the first row of a key that the stored state does not know, else 0."""
     before = None if state is None else state.select(*keys, F.lit(-1).cast("bigint").alias("_seen"))
-    seen = prior_minimum(df, keys, arrival, {"_seen": F.col(arrival)}, before, block_rows)
+    seen = prior_minimum(df, keys, arrival, {"_seen": F.lit(1)}, before, block_rows)
     return seen.withColumn("new_device", F.when(F.col("_seen").isNull(), 1).otherwise(0)).drop("_seen")
 
 

@@ -67,13 +67,15 @@ def overseas_log_load(df: DataFrame, dims: Dims, arrival: str, *, stage: str | N
 
 def _load_rows(df: DataFrame, arrival: str) -> DataFrame:
     fields = list(dict.fromkeys(schemas.OWN_ORDER + schemas.USER_ROW))
-    return lines.binlog_rows(df, fields).select(arrival, "row_no", "table", "type", "data")
+    rows = lines.binlog_rows(df, fields).withColumn("ok", F.col("reject_reason").isNull())
+    return rows.select(arrival, F.coalesce("row_no", F.lit(0)).alias("row_no"), "table", "type", "data", "ok", "reject_reason",
+                       F.when(~F.col("ok"), F.col("value")).alias("value"))
 
 
 def database_load(df: DataFrame, arrival: str, *, dims: Dims | None = None, overseas: bool = False,
                   batch: bool = False, device_state: DataFrame | None = None, stage: str | None = None,
-                  rows_per_line: int = 1 << 16, tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
-    """order_log (placed and paid rows) and user (inserted rows) from change data."""
+                  tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
+    """order_log (placed and paid rows) and user (inserted rows) from change data, and the lines that are none."""
     rows = staged(_load_rows(df, arrival), stage, "table")
     d = F.col("data")
     orders = rows.where(guards.order_states(F.col("table"), int_of(d["pay_status"]), int_of(d["status"])))
@@ -84,17 +86,16 @@ def database_load(df: DataFrame, arrival: str, *, dims: Dims | None = None, over
     else:
         order_rows = wh.order_rows(orders, "data", [arrival, "row_no"], tz, batch)
     user_rows = wh.user_rows(users, "data", [arrival, "row_no"], tz, overseas)
-    flagged = _new_devices(user_rows, arrival, device_state, rows_per_line)
-    return {"order_log": order_rows, "user": flagged}
+    flagged = _new_devices(user_rows, arrival, device_state)
+    return {"order_log": order_rows, "user": flagged, "rejects": lines.rejects(rows, "database_load", kept=[arrival])}
 
 
-def _new_devices(users: DataFrame, arrival: str, state: DataFrame | None, rows_per_line: int) -> DataFrame:
+def _new_devices(users: DataFrame, arrival: str, state: DataFrame | None) -> DataFrame:
     work = (users.drop("new_device").withColumn("_ts", F.unix_timestamp("register_time"))
-            .withColumn("_no", F.col(arrival) * rows_per_line + F.col("row_no"))
             .withColumn("_key", F.concat_ws("_", "game", "device_id")))
     before = None if state is None else state.select(F.col("key").alias("_key"), "first_ts")
-    flagged = st.new_device(work, ["_key"], "_no", "_ts", state=before, block_rows=st.BLOCK_ROWS * rows_per_line)
-    return flagged.drop("_ts", "_no", "_key")
+    flagged = st.new_device(work, ["_key"], [arrival, "row_no"], "_ts", state=before)
+    return flagged.drop("_ts", "_key")
 
 
 def insert_rows(rows: DataFrame, target: DataFrame | None, arrival: Column | str) -> DataFrame:

@@ -62,12 +62,8 @@ USER_ROW = ["user_id", "user_name", "tel_num", "tel_status", "email", "reg_type"
             "birth"]
 
 
-def binlog_schema(data: list[str]) -> T.StructType:
-    row = T.StructType([T.StructField("database", T.StringType()),
-                        T.StructField("table", T.StringType()),
-                        T.StructField("type", T.StringType()),
-                        T.StructField("data", texts(data))])
-    return T.StructType([T.StructField("rows", T.ArrayType(row))])
+# the row's object stays text, so that no field of it is lost
+BINLOG = T.StructType([T.StructField("rows", T.ArrayType(texts(["database", "table", "type", "data"])))])
 
 
 ENVELOPE = T.StructType([

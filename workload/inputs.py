@@ -149,18 +149,28 @@ def stored_login_lines(spark: SparkSession, sf: str) -> DataFrame:
     return once(e, {"value": F.when(F.col("et") == "error", F.substring(doc, 1, 25)).otherwise(doc)}, ["eid"])
 
 
+def ext(number: str) -> F.Column:
+    """An object with an array that no job knows."""
+    return F.struct((F.col(number) % 7).alias("a"), F.array(F.lit(1), F.lit(2)).alias("list"))
+
+
+def cut_some(line: F.Column, number: str, every: int) -> F.Column:
+    """One line of ``every`` breaks off."""
+    return F.when(F.col(number) % every == 5, F.substring(line, F.lit(1), F.length(line) - 7)).otherwise(line)
+
+
 def agency_order_lines(spark: SparkSession, sf: str, wrapped: bool = False) -> DataFrame:
-    """One change-data envelope per order: the order row and, for one priority, its copy."""
+    """One change-data envelope per order: the order row and, for one priority, its copy. Some lines break off."""
     o = od(spark, sf)
     data = F.struct(F.col("oid").alias("order_sn"), F.col("game").alias("game_id"), F.col("col").alias("channel_id"),
                     F.col("uid").alias("user_id"), "server", "money", F.col("pay").alias("pay_status"),
                     F.col("step").alias("status"), F.col("ip").alias("create_ip"),
-                    (F.col("t") * 1000).alias("update_time"), stamp().alias("create_time"))
+                    (F.col("t") * 1000).alias("update_time"), stamp().alias("create_time"), ext("oid").alias("ext"), F.lit("n").alias("note"))
     row = lambda name: F.struct(F.lit("d").alias("database"), F.lit(name).alias("table"), F.lit("INSERT").alias("type"),
                                 data.alias("data"))
     rows = F.when(F.col("pr") == "4-NOT SPECIFIED", F.array(row("agent_order"), row("agent_order_copy"))) \
         .otherwise(F.array(row("agent_order")))
-    line = F.to_json(F.struct(F.lit("f").alias("binlogFilename"), F.col("oid").alias("xid"), rows.alias("rows")))
+    line = cut_some(F.to_json(F.struct(F.lit("f").alias("binlogFilename"), F.col("oid").alias("xid"), rows.alias("rows"))), "oid", 37)
     return once(o, {"value": wrap(line) if wrapped else line}, ["oid"])
 
 
@@ -169,10 +179,13 @@ def own_tables() -> F.Column:
             .when(F.col("pr") == "4-NOT SPECIFIED", F.lit("misc")).otherwise(F.lit("order")))
 
 
-def own_order_lines(spark: SparkSession, sf: str, wrapped: bool = False) -> DataFrame:
-    """Own-channel change data: order, side order, user and other tables, texts as the exports give them."""
+def own_order_lines(spark: SparkSession, sf: str, wrapped: bool = False, broken: bool = False, later: int = 0) -> DataFrame:
+    """Own-channel change data: order, side order, user and other tables, texts as the exports give them.
+
+    ``broken``: some lines break off; ``later`` moves the times of the rows.
+    """
     text = lambda c: F.col(c).cast("string")
-    o = od(spark, sf)
+    o = od(spark, sf).withColumn("t", F.col("t") + later)
     data = F.struct(
         text("oid").alias("order_sn"), text("uid").alias("user_id"), "money", F.col("cur").alias("money_type"),
         F.lit("1").alias("type"), F.col("step").alias("status"), F.col("pay").alias("pay_status"),
@@ -187,11 +200,13 @@ def own_order_lines(spark: SparkSession, sf: str, wrapped: bool = False) -> Data
         F.concat(F.lit("u"), text("uid")).alias("user_name"), F.lit("1").alias("tel_num"), F.lit(0).alias("tel_status"),
         F.lit("e").alias("email"), F.lit(3).alias("reg_type"),
         (100000000 + F.col("uid") % 80).cast("string").alias("own_app_id"), F.col("ip").alias("register_ip"),
-        F.col("t").alias("register_time"), (F.col("oid") % 3).cast("string").alias("sex"), F.lit("1990").alias("birth"))
+        F.col("t").alias("register_time"), (F.col("oid") % 3).cast("string").alias("sex"), F.lit("1990").alias("birth"),
+        ext("oid").alias("ext"))
     row = F.struct(F.lit("d").alias("database"), own_tables().alias("table"),
                    F.when(F.col("oid") % 2 == 0, F.lit("INSERT")).otherwise(F.lit("UPDATE")).alias("type"),
                    data.alias("data"))
     line = F.to_json(F.struct(F.array(row).alias("rows")))
+    line = cut_some(line, "oid", 41) if broken else line
     return once(o, {"value": wrap(line) if wrapped else line}, ["oid"])
 
 
@@ -226,7 +241,7 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("et") == "error", F.lit("")).otherwise(F.concat(F.lit("sys-"), F.col("et"))).alias("data_system"),
         F.when(F.col("et") == "error", F.lit("")).otherwise(F.concat(F.lit("10.0.0."), F.col("uid") % 7)).alias("ip"),
         F.when(F.col("et") == "error", F.lit("")).otherwise(F.concat(F.lit("/log/"), F.col("k") % 3)).alias("file_path"),
-        F.lit(2).cast("bigint").alias("line_count"))
+        (2 + F.col("eid") % 3).cast("bigint").alias("line_count"))
 
 
 # ---------------------------------------------------------------- dimensions

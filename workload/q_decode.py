@@ -151,13 +151,15 @@ def coin_tsv_parse(spark, sf):
 
 
 @query("binlog_explode", w(OD) + """SELECT oid, 0 AS row_no, 'd' AS database, 'agent_order' AS "table", 'INSERT' AS type, CAST(oid AS VARCHAR) AS order_sn,
-  CAST(col AS VARCHAR) AS channel_id, server, CAST(t * 1000 AS VARCHAR) AS update_time FROM od
- UNION ALL SELECT oid, 1, 'd', 'agent_order_copy', 'INSERT', CAST(oid AS VARCHAR), CAST(col AS VARCHAR), server, CAST(t * 1000 AS VARCHAR)
-  FROM od WHERE pr = '4-NOT SPECIFIED'""")
+  CAST(col AS VARCHAR) AS channel_id, server, CAST(t * 1000 AS VARCHAR) AS update_time, '{"a":' || (oid % 7) || ',"list":[1,2]}' AS ext, CAST(NULL AS VARCHAR) AS reject_reason
+  FROM od WHERE oid % 37 <> 5
+ UNION ALL SELECT oid, 1, 'd', 'agent_order_copy', 'INSERT', CAST(oid AS VARCHAR), CAST(col AS VARCHAR), server, CAST(t * 1000 AS VARCHAR), '{"a":' || (oid % 7) || ',"list":[1,2]}', NULL
+  FROM od WHERE pr = '4-NOT SPECIFIED' AND oid % 37 <> 5
+ UNION ALL SELECT oid, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'json parse error' FROM od WHERE oid % 37 = 5""")
 def binlog_explode(spark, sf):
     rows = lines.binlog_rows(i.agency_order_lines(spark, sf), schemas.AGENCY_ORDER)
     return rows.select("oid", "row_no", "database", "table", "type", "data.order_sn", "data.channel_id", "data.server",
-                       "data.update_time")
+                       "data.update_time", F.get_json_object("raw", "$.ext").alias("ext"), "reject_reason")
 
 
 def sdk_input(spark, sf):
@@ -229,7 +231,7 @@ MSG_SQL = """msg AS (SELECT *, 'top-' || et AS topic, 'b1' AS broker, CAST(eid %
 
 
 @query("envelope_decode", w(EV, MSG_SQL) + """SELECT eid, CASE WHEN k = 3 THEN '' ELSE data_system END AS data_system, CASE WHEN k = 3 THEN '' ELSE mip END AS ip,
-  CASE WHEN k = 3 THEN '' ELSE file_path END AS file_path, CASE WHEN k = 3 THEN 1 ELSE 2 END::BIGINT AS line_count,
+  CASE WHEN k = 3 THEN '' ELSE file_path END AS file_path, CASE WHEN k = 3 THEN 1 ELSE 2 + eid % 3 END::BIGINT AS line_count,
   CASE WHEN k = 4 THEN NULL WHEN k = 3 THEN 'plain text' ELSE 'line ' || eid || chr(10) || 'value ' || k || CASE WHEN et = 'click' THEN chr(10) ELSE '' END END AS text,
   k <> 4 AS ok FROM msg WHERE k <> 4 UNION ALL SELECT eid, '', '', '', 0, NULL, FALSE FROM msg WHERE k = 4""")
 def envelope_decode(spark, sf):

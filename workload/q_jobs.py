@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from playtrail.functions import times
-from playtrail.operators import rules as rl
+from playtrail.operators import resolve, rules as rl
 from playtrail.operators.guards import packed_test_rules
 from playtrail.plans import feeds, loads, logins, orders
 from playtrail.sources import messages, tables
@@ -113,67 +113,167 @@ def service_clean_own(spark, sf):
     return named.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in named.columns[3:]])
 
 
-ORDER_CLEAN = f"""op AS (SELECT oc.*, 0 AS row_no, FALSE AS is_copy FROM oc UNION ALL SELECT oc.*, 1, TRUE FROM oc WHERE pr = '4-NOT SPECIFIED'),
-oq AS (SELECT op.*, CASE WHEN is_copy THEN 'agentDBCopy' WHEN EXISTS (SELECT 1 FROM test_rule r WHERE r.game_id = g AND (server IN (CAST(n AS VARCHAR), CAST(n + 100 AS VARCHAR)) OR TRY_CAST(server AS INTEGER) BETWEEN 200 + n AND 260 + n))
-  THEN 'agentDBTest' WHEN game_channel_id IN {SPECIAL} THEN 'agentDBOther' ELSE 'agentDB' END AS route FROM op),
-orr AS (SELECT *, CASE WHEN route = 'agentDB' AND game_channel_id <> 'error' THEN uid || '_' || game_channel_id END AS key FROM oq),
+def names_of(*groups):
+    """Names of a record's fields in order, as one text."""
+    return ",".join(sorted(n for g in groups for n in g.split()))
+
+
+RAW_ORDER = "order_sn game_id channel_id user_id server money pay_status status create_ip update_time create_time ext note"
+REGION, DATES = "country province city", " ".join(STAMPS)
+JOINED = "game_channel_id os_type company_id server_ts event is_test"
+TEST_SERVER = """EXISTS (SELECT 1 FROM test_rule r WHERE r.game_id = g AND (server IN (CAST(n AS VARCHAR), CAST(n + 100 AS VARCHAR)) OR TRY_CAST(server AS INTEGER) BETWEEN 200 + n AND 260 + n))"""
+EXT = """'{"a":' || (oid % 7) || ',"list":[1,2]}'"""
+ORDER_CLEAN = f"""op AS (SELECT oc.*, 0 AS row_no, CASE WHEN oid % 37 = 5 THEN 'broken' ELSE 'order' END AS kind FROM oc UNION ALL SELECT oc.*, 1, 'copy' FROM oc WHERE pr = '4-NOT SPECIFIED' AND oid % 37 <> 5),
+oq AS (SELECT op.*, CASE WHEN kind = 'broken' THEN 'agentDBError' WHEN kind = 'copy' THEN 'agentDBCopy' WHEN {TEST_SERVER} THEN 'agentDBTest' WHEN game_channel_id IN {SPECIAL} THEN 'agentDBOther' ELSE 'agentDB' END AS route FROM op),
+orr AS (SELECT *, CASE WHEN route = 'agentDB' AND game_channel_id <> 'error' THEN uid || '_' || game_channel_id END AS key, CASE WHEN kind <> 'broken' THEN ipn END AS ipk FROM oq),
 os1 AS (SELECT *, CASE WHEN key IS NOT NULL THEN min(CASE WHEN pay = 1 AND step = 2 THEN t END) OVER (PARTITION BY key ORDER BY oid, row_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS order_ts,
   CAST(NULL AS BIGINT) AS login_ts FROM orr),
-os2 AS (SELECT os1.*, coalesce(b.country, '') AS country FROM os1 ASOF LEFT JOIN bounds b ON os1.ipn <= b.ip_hi)"""
+os2 AS (SELECT os1.*, coalesce(b.country, '') AS country FROM os1 ASOF LEFT JOIN bounds b ON os1.ipk <= b.ip_hi),
+os3 AS (SELECT *, {stamped_sql('t', "'order'", 'login_ts', 'order_ts')} FROM os2)"""
+
+
+def only(flag, *names):
+    return ", ".join(f"CASE WHEN {flag} THEN {n} END AS {n}" for n in names)
+
+
+def record_fields(**paths):
+    """Names of all fields of the outgoing record, and the text of some."""
+    keys = F.when(F.col("reject_reason").isNull(), F.json_object_keys("value"))
+    return [F.array_join(F.array_sort(keys), ",").alias("names"),
+            *[F.get_json_object("value", f"$['{p}']").alias(n) for n, p in paths.items()]]
 
 
-@query("order_clean", w(OD, DIMS, REGIONS, ORDER_SQL, ORDER_CLEAN) + f"""SELECT oid, row_no, route, channel_id, game_channel_id, os_type, company_id, country, {stamped_sql('t', "'order'", 'login_ts', 'order_ts')} FROM os2""")
+ORDER_KEYS = f"""CASE WHEN kind = 'copy' THEN '{names_of(RAW_ORDER, REGION)}' WHEN route = 'agentDB' THEN '{names_of(RAW_ORDER, REGION, JOINED, DATES)}' WHEN kind = 'order' THEN '{names_of(RAW_ORDER, REGION, JOINED)}' END"""
+
+
+@query("order_clean", w(OD, DIMS, REGIONS, ORDER_SQL, ORDER_CLEAN) + f"""SELECT oid, row_no, route, CASE kind WHEN 'broken' THEN 'json parse error' END AS reject_reason,
+  CASE kind WHEN 'copy' THEN c WHEN 'order' THEN channel_id END AS channel_id, {only("kind = 'order'", 'game_channel_id', 'os_type', 'company_id')}, country, {only("route = 'agentDB'", *STAMPS)},
+  {ORDER_KEYS} AS names, CASE WHEN kind <> 'broken' THEN {EXT} END AS ext, CASE kind WHEN 'copy' THEN c WHEN 'order' THEN channel_id END AS rec_channel,
+  CASE kind WHEN 'copy' THEN CAST(t * 1000 AS VARCHAR) WHEN 'order' THEN CAST(t AS VARCHAR) END AS rec_update, CASE WHEN route = 'agentDB' THEN first_order_date END AS rec_first FROM os3""")
 def order_clean(spark, sf):
     d = i.dims(spark, sf)
     out = orders.agency_orders(i.agency_order_lines(spark, sf, wrapped=True), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "oid")
-    return out.select("oid", "row_no", "route", "channel_id", "game_channel_id", "os_type", "company_id", "country", *STAMPS)
+    return out.select("oid", "row_no", "route", "reject_reason", "channel_id", "game_channel_id", "os_type", "company_id", "country", *STAMPS,
+                      *record_fields(ext="ext", rec_channel="channel_id", rec_update="update_time", rec_first="first_order_date"))
+
+
+FAR = 2 ** 47
+
+
+def wide_lines(spark, sf):
+    """One envelope with an order row per line item, and two more lines of the same users, numbered from 2 ** 47 on."""
+    li = i.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    data = F.struct((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_sn"), F.lit(70).alias("game_id"), F.lit(5000).alias("channel_id"),
+                    (F.col("l_suppkey") % 50).alias("user_id"), F.lit("x").alias("server"), F.lit(1).alias("pay_status"), F.lit(2).alias("status"), F.lit("").alias("create_ip"),
+                    ((800000000 + F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000).alias("update_time"))
+    row = F.struct(F.lit("agent_order").alias("table"), data.alias("data"))
+    return li.groupBy((F.lit(FAR) + F.when(F.col("l_linenumber") == 1, 0).otherwise(F.col("l_orderkey") % 2 + 1)).alias("line_no")).agg(
+        F.to_json(F.struct(F.sort_array(F.collect_list(row)).alias("rows"))).alias("value"))
+
+
+@query("order_clean_wide_line", w(DIMS, f"""rw AS (SELECT {FAR}::BIGINT + CASE WHEN l_linenumber = 1 THEN 0 ELSE l_orderkey % 2 + 1 END AS line_no, l_orderkey * 10 + l_linenumber AS sn, l_suppkey % 50 AS uid FROM lineitem),
+rn AS (SELECT *, row_number() OVER (PARTITION BY line_no ORDER BY sn, uid) - 1 AS row_no, 800000000 + sn AS t FROM rw),
+rs AS (SELECT *, min(t) OVER (PARTITION BY uid ORDER BY line_no, row_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hist FROM rn)""")
+       + f"""SELECT line_no, CAST(row_no AS INTEGER) AS row_no, CAST(sn AS VARCHAR) AS order_sn, CASE WHEN '5000' IN {SPECIAL} THEN NULL WHEN hist IS NULL OR hist > t THEN {day('t')} ELSE {day('hist')} END AS first_order_date FROM rs""")
+def order_clean_wide_line(spark, sf):
+    """Lines with very many rows and very large arrival numbers keep their order."""
+    d = i.dims(spark, sf)
+    out = orders.agency_orders(wide_lines(spark, sf), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "line_no", wrapped=False)
+    return out.select("line_no", "row_no", "order_sn", "first_order_date")
 
 
 OWN_ORDER = f"""oo AS (SELECT ok.*, coalesce(cny, 1.0) * money AS cny_amount, coalesce(usd, 1.0) * money AS usd_amount, CASE WHEN jgc <> 'error' THEN uid || '_' || jgc END AS key
-  FROM ok LEFT JOIN rate ON cur = currency WHERE tab = 'order'),
+  FROM ok LEFT JOIN rate ON cur = currency WHERE tab = 'order' AND oid % 41 <> 5),
 op1 AS (SELECT *, CASE WHEN key IS NOT NULL THEN min(CASE WHEN pay = 1 AND step = 2 THEN t END) OVER (PARTITION BY key ORDER BY oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS order_ts,
   CAST(NULL AS BIGINT) AS login_ts FROM oo)"""
 
 
-@query("own_order_clean", w(OD, DIMS, ORDER_IDS.replace("BELONG", "belong_overseas"), OWN_ORDER) + f"""SELECT oid, 'ownDB' AS route, jg AS game_id, cny_amount, usd_amount, first_order_date, reg_date FROM
-  (SELECT *, {stamped_sql('t', "'order'", 'login_ts', 'order_ts')} FROM op1) UNION ALL SELECT oid, 'ownDBFilter', NULL, NULL, NULL, NULL, NULL FROM od WHERE tab <> 'order'""")
+@query("own_order_clean", w(OD, DIMS, ORDER_IDS.replace("BELONG", "belong_overseas"), OWN_ORDER) + f"""SELECT oid, 'ownDB' AS route, NULL AS reject_reason, jg AS game_id, cny_amount, usd_amount, first_order_date, reg_date,
+  first_order_date AS rec_first, CAST(oid AS VARCHAR) AS rec_sn, NULL AS nested, NULL AS line_len FROM (SELECT *, {stamped_sql('t', "'order'", 'login_ts', 'order_ts')} FROM op1)
+  UNION ALL SELECT oid, 'ownDBFilter', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, tab || {EXT}, NULL FROM od WHERE tab <> 'order' AND oid % 41 <> 5
+  UNION ALL SELECT oid, 'ownDBError', 'json parse error', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, TRUE FROM od WHERE oid % 41 = 5""")
 def own_order_clean(spark, sf):
-    """Overseas orders with both converted amounts; all other tables go to the filter."""
+    """Overseas orders with both converted amounts; all other tables go to the filter, whole, under their name."""
     d = i.dims(spark, sf, platforms=("4", "5"))
-    out = orders.own_orders(i.own_order_lines(spark, sf), d, None, "oid", source="ownDBSrc", overseas=True, wrapped=False)
-    return out.select("oid", "route", "game_id", "cny_amount", "usd_amount", "first_order_date", "reg_date")
+    given = i.own_order_lines(spark, sf, broken=True)
+    out = orders.own_orders(given, d, None, "oid", source="ownDBSrc", overseas=True, wrapped=False)
+    inside = F.coalesce(*[F.concat(F.lit(t), F.get_json_object("value", f"$.{t}.ext")) for t in ("user", "order_side", "misc")])
+    kept = F.when(F.col("route") == "ownDBError", F.col("value").startswith('{"rows":[{"database":"d"'))
+    return out.select("oid", "route", "reject_reason", "game_id", "cny_amount", "usd_amount", "first_order_date", "reg_date",
+                      F.get_json_object("value", "$.first_order_date").alias("rec_first"), F.get_json_object("value", "$.order_sn").alias("rec_sn"),
+                      inside.alias("nested"), kept.alias("line_len"))
 
 
-DB_EVENTS = f"""side AS (SELECT od.*, coalesce(b.channel_id, 'error') AS jch, coalesce(b.game_id, 'error') AS jg FROM od LEFT JOIN by_game_channel b ON b.game_channel_id = {OWNCH} WHERE tab = 'order_side'),
-de AS (SELECT oid, uid, t, pay, step, tab, jch, jg FROM ok WHERE tab IN ('order', 'user') UNION ALL SELECT oid, uid, t, pay, step, tab, jch, jg FROM side),
-df AS (SELECT *, CASE WHEN tab = 'user' THEN 'register' ELSE 'order' END AS event, CAST(NULL AS BIGINT) AS login_ts,
-  min(CASE WHEN tab <> 'user' AND pay = 1 AND step = 2 AND t >= 1000000000 THEN t END) OVER (PARTITION BY tab, jch, jg, uid ORDER BY oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS order_ts FROM de)"""
+LATER = 600_000_000
+DB_EVENTS = f"""side AS (SELECT od.*, coalesce(b.channel_id, 'error') AS jch, coalesce(b.game_id, 'error') AS jg, {OWNCH} AS jgc FROM od LEFT JOIN by_game_channel b ON b.game_channel_id = {OWNCH} WHERE tab = 'order_side'),
+de AS (SELECT oid, uid, t + {LATER} AS t, pay, step, tab, jch, jg, jgc FROM ok WHERE tab IN ('order', 'user') UNION ALL SELECT oid, uid, t + {LATER}, pay, step, tab, jch, jg, jgc FROM side),
+dg AS (SELECT *, CASE WHEN tab = 'user' THEN 'register' ELSE 'order' END AS event, CASE WHEN tab <> 'user' AND pay = 1 AND step = 2 THEN t END AS om FROM de WHERE oid % 41 <> 5)"""
+DB_REST = f"""UNION ALL SELECT oid, 'others', NULL, NULL, {GID}, NULL, NULL, {EXT} FROM od WHERE tab = 'misc' AND oid % 41 <> 5 UNION ALL SELECT oid, 'rejects', 'json parse error', NULL, NULL, NULL, NULL, NULL FROM od WHERE oid % 41 = 5"""
 
 
-@query("channel_database", w(OD, DIMS, ORDER_IDS.replace("BELONG", "belong"), DB_EVENTS) + f"""SELECT oid, CASE WHEN tab = 'order_side' THEN 'side_orders' ELSE 'orders' END AS route, event, jg AS game_id,
-  first_order_date, reg_date FROM (SELECT *, {stamped_sql('t', 'event', 'login_ts', 'order_ts')} FROM df) UNION ALL SELECT oid, 'others', NULL, {GID}, NULL, NULL FROM od WHERE tab = 'misc'""")
-def channel_database(spark, sf):
-    """Orders, side orders and registers as flattened JSON events; other tables as they are."""
-    out = orders.channel_database(i.own_order_lines(spark, sf), i.dims(spark, sf), None, "oid", service="agent")
+def database_rows(out):
+    """Whole fields of an event are under its group, those of another table as they came."""
     field = lambda n: F.get_json_object("value", f"$['{n}']")
-    return out.select("oid", "route", field("event").alias("event"), F.coalesce(field("game-game_id"), field("game_id")).alias("game_id"),
-                      field("first_order_date").alias("first_order_date"), field("reg_date").alias("reg_date"))
+    inside = lambda g, n: F.get_json_object("value", f"$.{g}.{n}")
+    return out.select("oid", "route", "reject_reason", field("event").alias("event"), F.coalesce(field("game-game_id"), inside("game", "game_id"), field("game_id")).alias("game_id"),
+                      field("first_order_date").alias("first_order_date"), field("reg_date").alias("reg_date"), field("ext").alias("ext"))
 
 
-JOIN_SQL = f"""aj AS (SELECT oc.*, min(CASE WHEN pay = 1 AND step = 2 THEN t END) OVER (PARTITION BY CASE WHEN 'error' IN (channel_id) THEN NULL ELSE channel_id || '_' || game || '_' || uid END
-  ORDER BY oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h0 FROM oc),
-ak AS (SELECT *, CASE WHEN channel_id = 'error' THEN NULL ELSE h0 END AS hist, CASE WHEN EXISTS (SELECT 1 FROM test_rule r WHERE r.game_id = g AND (server IN (CAST(n AS VARCHAR), CAST(n + 100 AS VARCHAR)) OR TRY_CAST(server AS INTEGER) BETWEEN 200 + n AND 260 + n))
-  THEN 'jobTest' WHEN game_channel_id IN {SPECIAL} THEN 'jobOther' ELSE 'job' END AS route FROM aj),
-cp AS (SELECT oid, t, ipn FROM od WHERE pr = '4-NOT SPECIFIED')"""
+@query("channel_database", w(OD, DIMS, ORDER_IDS.replace("BELONG", "belong"), DB_EVENTS, """dh AS (SELECT *, CAST(NULL AS BIGINT) AS login_ts,
+  min(om) OVER (PARTITION BY jg, uid ORDER BY oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS order_ts FROM dg)""")
+       + f"""SELECT oid, CASE WHEN tab = 'order_side' THEN 'side_orders' ELSE 'orders' END AS route, NULL AS reject_reason, event, jg AS game_id,
+  first_order_date, reg_date, NULL AS ext FROM (SELECT *, {stamped_sql('t', 'event', 'login_ts', 'order_ts')} FROM dh) {DB_REST}""")
+def channel_database(spark, sf):
+    """Overseas form: orders, side orders and registers of a user share one state; other tables as they are."""
+    return database_rows(orders.channel_database(i.own_order_lines(spark, sf, broken=True, later=LATER), i.dims(spark, sf), None, "oid", service="overseas"))
+
+
+def login_history(spark, sf):
+    """Login state of agency users, under the keys that the login back-fill writes."""
+    b, users = i.belong_rows(spark, sf), i.table(spark, sf, "customer").select("c_custkey")
+    last = b.groupBy("belong_game_id").agg(F.max_by(F.struct("channel_id", "game_id"), "pos").alias("v"))
+    pairs = users.join(last, F.col("belong_game_id") == (100000000 + F.col("c_custkey") % 80).cast("string"))
+    return pairs.select(F.concat_ws("_", F.lit("agent"), "v.channel_id", "v.game_id", F.col("c_custkey").cast("string")).alias("key"),
+                        (F.lit(1000000000) + F.col("c_custkey")).cast("bigint").alias("login_ts"), F.lit(None).cast("bigint").alias("order_ts"))
+
+
+@query("channel_database_domestic", w(OD, DIMS, ORDER_IDS.replace("BELONG", "belong"), DB_EVENTS, f"""dh AS (SELECT *, tab = 'user' OR (tab = 'order' AND jgc NOT IN {SPECIAL}) AS apart FROM dg),
+hist AS (SELECT DISTINCT b.channel_id AS hch, b.game_id AS hg, c_custkey AS huid FROM customer JOIN belong b ON b.belong_game_id = CAST(100000000 + c_custkey % 80 AS VARCHAR)),
+di AS (SELECT dh.*, 1000000000 + huid AS login_ts, min(CASE WHEN NOT apart THEN om END) OVER (PARTITION BY jch, jg, uid ORDER BY oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS order_ts
+  FROM dh LEFT JOIN hist ON hch = jch AND hg = jg AND huid = uid)""")
+       + f"""SELECT oid, CASE WHEN apart THEN 'others' WHEN tab = 'order_side' THEN 'side_orders' ELSE 'orders' END AS route, NULL AS reject_reason, event, jg AS game_id,
+  CASE WHEN NOT apart THEN first_order_date END AS first_order_date, CASE WHEN NOT apart THEN reg_date END AS reg_date, NULL AS ext FROM (SELECT *, {stamped_sql('t', 'event', 'login_ts', 'order_ts')} FROM di) {DB_REST}""")
+def channel_database_domestic(spark, sf):
+    """Domestic form: the key is the agency's, so the login history of agency logins is found; registers go to the others."""
+    d = i.dims(spark, sf)
+    out = orders.channel_database(i.own_order_lines(spark, sf, broken=True, later=LATER), d, d.special, "oid", service="domestic", state=login_history(spark, sf))
+    return database_rows(out)
+
+
+JOIN_SQL = f"""aj AS (SELECT oc.*, min(CASE WHEN pay = 1 AND step = 2 THEN t END) OVER (PARTITION BY channel_id, game, uid ORDER BY oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hist FROM oc WHERE oid % 37 <> 5),
+ak AS (SELECT *, CASE WHEN uid % 3 = 0 THEN 600000000 + uid END AS login, CASE WHEN {TEST_SERVER} THEN 'jobTest' WHEN game_channel_id IN {SPECIAL} THEN 'jobOther' ELSE 'job' END AS route FROM aj),
+cp AS (SELECT oid, t, ipn FROM od WHERE pr = '4-NOT SPECIFIED' AND oid % 37 <> 5)"""
+FLAT_ORDER = RAW_ORDER.replace(" ext", " ext-a ext-list")
 
 
-@query("agency_order_join", w(OD, DIMS, REGIONS, ORDER_SQL, JOIN_SQL) + f"""SELECT oid, route, channel_id, CASE WHEN hist IS NULL OR hist > t THEN {day('t')} ELSE {day('hist')} END AS first_order_date, {day('t')} AS server_date_day, CAST(NULL AS VARCHAR) AS country FROM ak
-  UNION ALL SELECT oid, 'jobCopy', NULL, NULL, {day('t')}, coalesce(b.country, '') FROM cp ASOF LEFT JOIN bounds b ON cp.ipn <= b.ip_hi""")
+@query("agency_order_join", w(OD, DIMS, REGIONS, ORDER_SQL, JOIN_SQL) + f"""SELECT oid, route, NULL AS reject_reason, channel_id, CASE WHEN hist IS NULL OR hist > t THEN {day('t')} ELSE {day('hist')} END AS first_order_date, {day('t')} AS server_date_day, CAST(NULL AS VARCHAR) AS country,
+  CASE WHEN login IS NULL THEN {day('t')} ELSE {day('login')} END AS reg_date, '{names_of(FLAT_ORDER, "game_channel_id sub_pf company_id", DATES)}' AS names, CAST(oid % 7 AS VARCHAR) AS ext_a, '[1,2]' AS ext_list, CAST(t AS VARCHAR) AS rec_update, os_type AS sub_pf FROM ak
+  UNION ALL SELECT oid, 'jobCopy', NULL, NULL, NULL, {day('t')}, coalesce(b.country, ''), NULL, '{names_of(RAW_ORDER, REGION, "server_date_day")}', NULL, NULL, CAST(t * 1000 AS VARCHAR), NULL FROM cp ASOF LEFT JOIN bounds b ON cp.ipn <= b.ip_hi
+  UNION ALL SELECT oid, 'jobError', 'json parse error', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM od WHERE oid % 37 = 5""")
 def agency_order_join(spark, sf):
+    """Stored logins are found under agent_channel_game_user; every user and channel has a state, 'error' ones too."""
     d = i.dims(spark, sf)
-    out = orders.agency_order_join(i.agency_order_lines(spark, sf), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "oid", topic="job")
+    keys = resolved_orders(spark, sf, d).where("uid % 3 = 0").select(F.concat_ws("_", F.lit("agent"), "channel_id", "g", F.col("uid").cast("string")).alias("key"),
+                                                                     (600000000 + F.col("uid")).cast("bigint").alias("login_ts"), F.lit(None).cast("bigint").alias("order_ts")).distinct()
+    out = orders.agency_order_join(i.agency_order_lines(spark, sf), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "oid", topic="job", state=keys)
     copied = F.col("route") == "jobCopy"
-    return out.select("oid", "route", F.when(~copied, F.col("channel_id")).alias("channel_id"), "first_order_date", "server_date_day", "country")
+    return out.select("oid", "route", "reject_reason", F.when(~copied, F.col("channel_id")).alias("channel_id"), F.when(~copied, F.col("first_order_date")).alias("first_order_date"), "server_date_day", "country",
+                      "reg_date", *record_fields(ext_a="ext-a", ext_list="ext-list", rec_update="update_time", sub_pf="sub_pf"))
+
+
+def resolved_orders(spark, sf, d):
+    o = i.od(spark, sf).select("uid", F.col("game").cast("string").alias("g"), F.col("col").cast("string").alias("c"))
+    return resolve.resolve_order(o, d, game_id=F.col("g"), column=F.col("c"))
 
 
 ACTIVE_SQL = f"""ac AS (SELECT *, CASE et WHEN 'view' THEN ch WHEN 'signup' THEN sub ELSE CASE WHEN k = 5 THEN '0' ELSE gc END END AS given, uid % 97 + 1 < 63 AS small FROM ev),
@@ -219,14 +319,16 @@ def log_load(spark, sf):
             .unionByName(out["rejects"].agg(F.lit("rejects").alias("table"), n, zero)))
 
 
-@query("database_load", w(OD, f"""us AS (SELECT oid, {GID} AS game, 'dev-' || (uid % 40) AS device, t FROM od WHERE tab = 'user' AND oid % 2 = 0)""")
-       + """SELECT 'order_log' AS kind, oid, upper(md5(oid || '' || step || pay)) AS id, CAST(NULL AS INTEGER) AS new_device FROM od WHERE tab = 'order' AND ((pay = 0 AND step = 1) OR (pay = 1 AND step = 2))
+@query("database_load", w(OD, f"""us AS (SELECT oid, {GID} AS game, 'dev-' || (uid % 40) AS device, t FROM od WHERE tab = 'user' AND oid % 2 = 0 AND oid % 41 <> 5)""")
+       + """SELECT 'order_log' AS kind, oid, upper(md5(oid || '' || step || pay)) AS id, CAST(NULL AS INTEGER) AS new_device FROM od WHERE oid % 41 <> 5 AND tab = 'order' AND ((pay = 0 AND step = 1) OR (pay = 1 AND step = 2))
   UNION ALL SELECT 'user', us.oid, upper(md5(CAST(uid AS VARCHAR))), CASE WHEN coalesce(min(us.t) OVER (PARTITION BY us.game, us.device ORDER BY us.oid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), us.t) >= us.t THEN 1 ELSE 0 END
-  FROM us JOIN od USING (oid)""")
+  FROM us JOIN od USING (oid) UNION ALL SELECT 'reject', oid, 'json parse error', NULL FROM od WHERE oid % 41 = 5""")
 def database_load(spark, sf):
-    out = loads.database_load(i.own_order_lines(spark, sf), "oid", stage=fresh_path(spark, "database_load"))
-    return (out["order_log"].select(F.lit("order_log").alias("kind"), "oid", "id", F.lit(None).cast("int").alias("new_device"))
-            .unionByName(out["user"].select(F.lit("user").alias("kind"), "oid", "id", "new_device")))
+    out = loads.database_load(i.own_order_lines(spark, sf, broken=True), "oid", stage=fresh_path(spark, "database_load"))
+    none = F.lit(None).cast("int").alias("new_device")
+    return (out["order_log"].select(F.lit("order_log").alias("kind"), "oid", "id", none)
+            .unionByName(out["user"].select(F.lit("user").alias("kind"), "oid", "id", "new_device"))
+            .unionByName(out["rejects"].select(F.lit("reject").alias("kind"), "oid", F.col("info").alias("id"), none)))
 
 
 COIN_OK = "game_id <> '' AND (own OR gch = '2050' OR num IS NOT NULL) AND 'error' NOT IN (game_id, channel_id, game_channel_id)"

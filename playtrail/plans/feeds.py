@@ -71,16 +71,16 @@ def coin_trades(df: DataFrame, dims: Dims, *, tsv: bool = False, tz: str = times
 
 
 def sdk_events(df: DataFrame, tz: str = times.DEFAULT_TZ) -> DataFrame:
-    """Analytics lines -> one JSON record per event."""
+    """Analytics lines -> one JSON record per event; a line that gives none stays as it came, with a reason."""
     fan = lines.sdk_fanout(df, "value", tz)
-    return fan.withColumn("value", F.to_json("record"))
+    return fan.withColumn("value", F.when(F.col("ok"), F.to_json("record")).otherwise(F.col("value")))
 
 
 def sdk_flat(df: DataFrame, groups: list[str], tz: str = times.DEFAULT_TZ) -> DataFrame:
-    """``DATA[`` analytics lines flattened, with ip, time and day of the line."""
-    framed = lines.framed_lines(df, schemas.event_schema(groups), "DATA[", "value", tz).where("ok")
+    """``DATA[`` analytics lines flattened, with ip, time and day of the line; rejects stay, marked, without fields."""
+    framed = lines.framed_lines(df, schemas.event_schema(groups), "DATA[", "value", tz)
     kept = [c for c in df.columns if c != "value"]
-    flat = events.flatten_dashed(framed.select(*kept, "line_ts", "line_ip", "doc.*").drop("_bad", "server_ts"))
+    flat = events.flatten_dashed(framed.select(*kept, "ok", "reject_reason", "line_ts", "line_ip", "doc.*").drop("_bad", "server_ts"))
     return (flat.withColumnsRenamed({"line_ip": "ip", "line_ts": "server_ts"})
             .withColumn("server_date_day", times.day(F.col("server_ts"), tz)))
 

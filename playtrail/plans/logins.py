@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import times
 from ..functions.coerce import double_of, int_of, text_of
-from ..operators import guards, lines, resolve, route, rules as rl, state as st
+from ..operators import guards, lines, records, resolve, route, rules as rl, state as st
 from ..operators.dims import Dims
 from ..operators.events import flatten_dashed, login_event
 from ..operators.geo import add_region
@@ -51,8 +51,7 @@ def agency_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
     failing = rl.first_failure(F.struct(*[F.col(c) for c in ("event", "user", "game", "agent", "device")]),
                                [r for r in rules if r[0] == "login"])
     checked = named.withColumn("reject_reason", F.coalesce("reject_reason", rl.failure_text(failing)))
-    located = add_region(checked.withColumn("ok", F.col("reject_reason").isNull()), regions, F.col("client_ip"))
-    work = resolve.resolve_login(located, dims, agent=F.col("agent"), game_id=F.col("game.game_id"),
+    work = resolve.resolve_login(checked.withColumn("ok", F.col("reject_reason").isNull()), dims, agent=F.col("agent"), game_id=F.col("game.game_id"),
                                  channel_id=F.col("agent.channel_id"),
                                  game_channel_id=F.col("agent.game_channel_id"), strict=strict)
     merged = (work.withColumn("agent", _field_set("agent", work, {
@@ -63,7 +62,7 @@ def agency_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
         .withColumn("ok", F.col("reject_reason").isNull())
         .drop("channel_id", "game_channel_id", "company_id", "os_type", "resolved"))
     flagged = guards.member(merged, F.col("agent.game_channel_id"), special, "_special")
-    stamped = _stamp(flagged, arrival, state, flag_only, tz)
+    stamped = add_region(_stamp(flagged, arrival, state, flag_only, tz), regions, F.col("client_ip"))
     return _routed(stamped, arrival, route.route_login(source, F.col("ok"), F.col("_special")))
 
 
@@ -83,10 +82,9 @@ def own_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension
     if strict and special is None:
         reason = F.coalesce(reason, F.when(~F.coalesce(platform, F.lit(False)), F.lit("channel platform missing")))
     opened = checked.withColumn("reject_reason", reason).select(
-        *[c for c in df.columns if c != "value"], "value", "reject_reason", "line_ip", "line_ts", "doc.*")
-    located = add_region(opened.withColumn("ok", F.col("reject_reason").isNull()).drop("_bad", *REGION),
-                         regions, F.col("client_ip"))
-    work = resolve.resolve_own(located, dims, game_id=text_of(F.col("game.game_id")), aliases=aliases)
+        *[c for c in df.columns if c != "value"], "value", "reject_reason", "line_ip", "line_ts",
+        lines.payload_of(F.col("_line"), "DATA[").alias("_raw"), "doc.*")
+    work = resolve.resolve_own(opened.withColumn("ok", F.col("reject_reason").isNull()).drop("_bad", *REGION), dims, game_id=text_of(F.col("game.game_id")), aliases=aliases)
     work = work.withColumn("game", _field_set("game", work, {
         "app_id": F.col("app_id"), "company_id": F.col("company_id")}))
     swapped, not_web = resolve.game_app_swap(F.col("game"))
@@ -100,15 +98,24 @@ def own_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension
               .withColumn("agent", F.struct(F.col("channel_id"), F.col("game_channel_id"),
                                             text_of(F.col("agent.access_token")).alias("access_token")))
               .drop("app_id", "channel_id", "game_channel_id", "company_id"))
-    stamped = _stamp(merged, arrival, state, flag_only, tz)
-    return _routed(stamped, arrival, route.route_login(source, F.col("ok"), None, folded_into))
+    stamped = add_region(_stamp(merged, arrival, state, flag_only, tz), regions, F.col("client_ip"))
+    return _routed(stamped, arrival, route.route_login(source, F.col("ok"), None, folded_into), "_raw")
 
 
-def _routed(df: DataFrame, arrival: str, destination: Column) -> DataFrame:
+OWN_CHANGED = ["agent-channel_id", "agent-game_channel_id", "game-game_id", "game-app_id", "game-company_id", *REGION, *STAMPS]
+
+
+def _routed(df: DataFrame, arrival: str, destination: Column, raw: str | None = None) -> DataFrame:
+    """Flattened columns, and as ``value`` the record: made of them, or the whole of ``raw`` with the changed fields."""
     groups = [g for g in GROUPS if g in df.columns]
     tops = [c for c in schemas.TOP if c in df.columns and c != "status"]
-    flat = flatten_dashed(df.select(arrival, "value", "ok", "reject_reason", destination.alias("route"),
+    given = [F.col(raw).alias("_raw")] if raw else []
+    flat = flatten_dashed(df.select(arrival, "value", "ok", "reject_reason", destination.alias("route"), *given,
                                     *groups, *tops, *STAMPS))
+    if raw:
+        staged = records.once(flat, {"_items": F.when(F.col("ok"), records.entries(F.col("_raw")))})
+        whole = records.with_record(staged, "value", records.flat(F.col("_items")), {c: F.col(f"`{c}`") for c in OWN_CHANGED}, F.col("value"))
+        return whole.drop("_items", "_raw")
     body = [c for c in flat.columns if c not in (arrival, "value", "ok", "reject_reason", "route")]
     record = F.when(F.col("ok"), record_json(body)).otherwise(F.col("value"))
     return flat.withColumn("value", record)
@@ -123,6 +130,18 @@ def service_shape(rules: list[rl.Rule], groups: list[str] | None = None) -> T.St
     return schemas.event_fields(wanted)
 
 
+def _agency_lines(df: DataFrame, arrival: str, rules: list[rl.Rule], tz: str) -> DataFrame:
+    """Agency lines of the generic clean: old-format logins as events; activation lines are only marked."""
+    parsed = login_event(lines.old_login_lines(df.select(arrival, "value"), "value", tz))
+    guard = guards.threshold_guard(F.col("game.game_id"), F.col("agent.game_channel_id"))
+    failing = rl.first_failure(F.struct(*[F.col(c) for c in ("event", "user", "game", "agent", "device")]),
+                               [r for r in rules if r[0] == "login"])
+    reason = F.coalesce("reject_reason", F.when(~guard, F.lit("game channel missing")), rl.failure_text(failing))
+    absent = {g: F.lit(None).cast(schemas.texts(schemas.GROUPS[g])) for g in ("order", "sdk_platform", "channel_platform")}
+    return (parsed.withColumn("reject_reason", reason).withColumns(absent).drop("ok")
+            .withColumn("_active", F.col("value").contains("ACTIVE_LOG")))
+
+
 def service_events(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension, arrival: str, *,
                    service: str, rules: list[rl.Rule] = rl.DEFAULT_RULES, state: DataFrame | None = None,
                    batch: bool = False, int_strict: bool = False, folded: dict[str, str] | None = None,
@@ -130,56 +149,69 @@ def service_events(df: DataFrame, dims: Dims, regions: Dimension, special: Dimen
                    aliases: dict[str, str] | None = None, tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Generic clean of one service: ``agent``, ``sdk``, ``channel`` or an own-channel name.
 
-    ``overseas`` adds converted amounts to orders; ``only_special_logins`` (``keep`` or
-    ``drop`` for other events) limits own-channel logins to the special set. ``value`` is
-    the flattened record, or the raw line of a reject.
+    Agency lines are old-format logins; their activation lines go on as they are (route ``agentActive``). Lines of the
+    other services need the tag, not the frame. ``overseas`` adds converted amounts to orders; ``only_special_logins``
+    (``keep`` or ``drop`` for other events) limits own-channel logins to the special set. ``value`` is the flattened
+    whole record, or the raw line of a reject. State is written by the services of ``state.WRITERS`` only.
     """
-    needed = {"agent": resolve.AGENCY_DIMS, "sdk": (), "channel": ()}.get(
+    agency = service == st.AGENCY
+    needed = {st.AGENCY: resolve.AGENCY_DIMS, st.SDK: (), st.CHANNEL: ()}.get(
         service, ("belong", "company", *(("rate",) if overseas else ())))
     dims.measured(*needed, also=(regions, special))
-    framed = lines.framed_lines(df, service_shape(rules), "DATA[", "value", tz, frame=not batch)
-    checked = rl.validated(framed, "doc", rules, batch=batch, int_strict=int_strict)
-    opened = checked.select(arrival, "value", "reject_reason", "line_ip", "doc.*").drop("_bad", *REGION)
-    work = add_region(opened.withColumn("ok", F.col("reject_reason").isNull()), regions,
-                      F.coalesce(F.col("client_ip"), F.col("line_ip")))
-    user, device = text_of(F.col("user.user_id")), text_of(F.col("device.device_id"))
+    if agency:
+        work = _agency_lines(df, arrival, rules, tz)
+    else:
+        framed = lines.framed_lines(df, service_shape(rules), "DATA[", "value", tz, frame=False)
+        checked = rl.validated(framed, "doc", rules, batch=batch, int_strict=int_strict)
+        work = (checked.select(arrival, "value", "reject_reason", "doc.*").drop("_bad", *REGION)
+                .withColumn("_active", F.lit(False)))
     game = text_of(F.col("game.game_id"))
-    if service == "agent":
+    if agency:
         work = resolve.resolve_login(work, dims, agent=F.col("agent"), game_id=game,
                                      channel_id=text_of(F.col("agent.channel_id")),
                                      game_channel_id=text_of(F.col("agent.game_channel_id")))
         work = (_put(work, "agent", "channel_id", "game_channel_id").transform(_put, "game", "company_id")
                 .transform(_put, "device", "os_type").withColumnRenamed("resolved", "_fine"))
-        prefix = F.concat(F.lit("agent_"), F.col("agent.channel_id"), F.lit("_"), game)
-    elif service == "sdk":
+    elif service == st.SDK:
         work = work.withColumn("_fine", guards.sdk_guard(F.col("sdk_platform"), F.col("sdk_platform.app_id")))
-        prefix = F.concat(F.lit("agent_"), text_of(F.col("game.game_name")), F.lit("_"),
-                          text_of(F.col("sdk_platform.app_id")))
     else:
         fine = guards.channel_guard(F.col("channel_platform"), F.col("channel_platform.ad_id"), F.col("game.game_id"))
         work = work.withColumn("_fine", F.coalesce(fine, F.lit(False)))
-        if service != "channel":
+        if service != st.CHANNEL:
             work = _own_channel(work, dims, special, overseas, only_special_logins, aliases)
-        prefix = F.concat(F.lit(f"channel_{service}_"), game)
-    who = F.when(F.col("event").isin("active", "crash"), device).otherwise(user)
-    done = (work.withColumn("reject_reason", F.coalesce("reject_reason", F.when(
-        ~F.coalesce(F.col("_fine"), F.lit(False)), F.lit("service check"))))
-        .withColumn("ok", F.col("reject_reason").isNull()).drop("_fine")
-        .withColumn("_key", F.when(F.col("ok") & st.usable(who), F.concat(prefix, F.lit("_"), who))))
+    done = (work.withColumn("reject_reason", F.when(~F.col("_active"), F.coalesce("reject_reason", F.when(
+        ~F.coalesce(F.col("_fine"), F.lit(False)), F.lit("service check")))))
+        .withColumn("ok", F.col("reject_reason").isNull() & ~F.col("_active")).drop("_fine"))
+    key = F.when(F.col("ok"), st.service_key(
+        service, F.col("event"), channel_id=F.col("agent.channel_id"), game_id=game, user_id=F.col("user.user_id"),
+        device_id=F.col("device.device_id"), game_name=F.col("game.game_name"), app_id=F.col("sdk_platform.app_id")))
     flagged = guards.member(done, F.col("agent.game_channel_id"), special, "_special")
-    stamped = st.first_events(flagged, arrival, F.col("_key"), F.col("event"), int_of(F.col("server_ts")),
-                              F.col("is_test"), text_of(F.col("order.order_status")),
-                              text_of(F.col("order.order_step")), flag_only=batch, state=state, tz=tz,
-                              shortest=10 ** 9)
-    target = route.route_service(F.lit(service), F.col("ok"), F.col("_special"), folded)
-    groups = [g for g in schemas.GROUPS if g in stamped.columns]
-    body = flatten_dashed(stamped.select(*groups, *[c for c in schemas.TOP if c != "status"], *STAMPS), as_columns=True)
+    ts = F.col("server_ts").cast("bigint") if agency else int_of(F.col("server_ts"))
+    stamped = st.first_events(flagged, arrival, key, F.col("event"), ts, F.col("is_test"),
+                              text_of(F.col("order.order_status")), text_of(F.col("order.order_step")), flag_only=batch,
+                              state=state, tz=tz, shortest=10 ** 9, writes=service in st.WRITERS)
+    stamped = add_region(stamped, regions, F.col("client_ip"))
+    target = F.when(F.col("_active"), F.lit("agentActive")).otherwise(
+        route.route_service(F.lit(service), F.col("ok"), F.col("_special"), folded))
     # activations have no user, but the narrow feed expects the field
-    body["user-user_id"] = F.when(F.col("event") == "active", F.lit("")).otherwise(F.col("user.user_id"))
-    record = F.to_json(F.struct(*[c.alias(n) for n, c in body.items()]))
-    return stamped.select(arrival, "ok", "reject_reason", target.alias("route"), "event",
-                          F.col("agent.game_channel_id").alias("game_channel_id"), *REGION, *STAMPS,
-                          F.when(F.col("ok"), record).otherwise(F.col("value")).alias("value"))
+    no_user = F.when(F.col("event") == "active", F.lit(""))
+    if agency:
+        body = flatten_dashed(stamped.select("user", "game", "agent", "device", *[c for c in schemas.TOP if c in stamped.columns and c != "status"],
+                                             *STAMPS), as_columns=True)
+        record = F.to_json(F.struct(*[c.alias(n) for n, c in body.items()]))
+        whole = stamped.withColumn("value", F.when(F.col("ok"), record).otherwise(F.col("value")))
+    else:
+        changed = {**{c: F.col(c) for c in [*REGION, *STAMPS]}, "user-user_id": no_user}
+        if service != st.CHANNEL and service != st.SDK:
+            changed |= {f"agent-{c}": F.col(f"agent.{c}") for c in ("channel_id", "game_channel_id")}
+            changed |= {f"game-{c}": F.col(f"game.{c}") for c in ("game_id", "app_id", "company_id")}
+        if overseas:
+            changed |= {f"order-{c}": F.col(f"order.{c}").cast("double") for c in ("cny_amount", "usd_amount")}
+        items = F.when(F.col("ok"), records.entries(lines.payload_of(F.col("value"), "DATA[")))
+        staged = records.once(stamped, {"_items": items})
+        whole = records.with_record(staged, "value", records.flat(F.col("_items")), changed, F.col("value"))
+    return whole.select(arrival, "ok", "reject_reason", target.alias("route"), "event",
+                        F.col("agent.game_channel_id").alias("game_channel_id"), *REGION, *STAMPS, "value")
 
 
 def _put(df: DataFrame, struct: str, *names: str) -> DataFrame:
@@ -225,8 +257,8 @@ def old_logins(df: DataFrame, dims: Dims, regions: Dimension, arrival: str, *,
     kept = work.where(guards.not_in(F.col("channel_id"), guards.OWN_CHANNELS))
     os_type = F.when(text_of(F.col("agent.game_channel_id")) == "",
                      codes.label(F.col("sub_pf"), codes.OS_BY_PLATFORM)).otherwise(text_of(F.col("device.os_type")))
-    key = F.when(st.usable(F.col("user.user_id")), F.concat_ws(
-        "_", F.lit("agent"), F.col("channel_id"), F.col("game.game_id"), F.col("user.user_id")))
+    key = st.service_key(st.AGENCY, F.col("event"), channel_id=F.col("channel_id"), game_id=F.col("game.game_id"),
+                         user_id=F.col("user.user_id"), device_id=F.col("device.device_id"))
     return st.first_events(kept.withColumn("os_type", os_type), arrival, key, F.col("event"),
                            int_of(F.col("server_ts")), F.col("is_test"), F.lit(""), F.lit(""), state=state, tz=tz,
                            shortest=10 ** 9)

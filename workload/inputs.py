@@ -93,7 +93,7 @@ def event_doc() -> F.Column:
         F.col("kind").alias("event"), F.when(F.col("k") != 77, F.lit("regular")).otherwise(F.lit("test")).alias("is_test"),
         F.lit("1.0").alias("data_ver"), F.lit("+08:00").alias("client_time_zone"), F.lit(0).alias("client_ts"),
         F.when(F.col("k") != 33, F.lit("+08:00")).alias("server_time_zone"), F.col("sts").alias("server_ts"),
-        F.col("ip").alias("client_ip")))
+        F.col("ip").alias("client_ip"), ext("k").alias("ext"), F.array(F.lit("x"), F.lit("y")).alias("tags")))
 
 
 def event_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,6 +104,23 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
     return once(e, {"value": frame("DATA", body)}, ["eid"])
 
 
+def mixed_agency_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Agency lines: old-format logins, one kind of event as activation lines instead."""
+    e = ev(spark, sf)
+    good = frame("CONTENT", old_login_doc())
+    line = (F.when(F.col("et") == "error", F.regexp_replace(good, r"\] CIP\[", " "))
+            .when(F.col("et") == "purchase", frame("ACTIVE_LOG", F.lit("{}"))).otherwise(good))
+    return once(e, {"value": line}, ["eid"])
+
+
+def bare_event_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Event lines without time and address, some without the tag."""
+    doc = event_doc()
+    body = F.when(F.col("et") == "error", F.substring(doc, F.lit(1), F.length(doc) - 5)).otherwise(doc)
+    line = F.concat(F.when(F.col("k") == 44, F.lit("NOTE[")).otherwise(F.lit("DATA[")), body, F.lit("]"))
+    return once(ev(spark, sf), {"value": line}, ["eid"])
+
+
 def old_login_doc() -> F.Column:
     channel = (F.when(F.col("et") == "view", F.lit("")).when(F.col("et") == "signup", F.col("sub")).otherwise(F.col("ch")))
     game_channel = (F.when(F.col("et") == "signup", F.lit("")).when(F.col("et") == "click", F.lit("0"))

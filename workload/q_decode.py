@@ -116,12 +116,13 @@ COIN_SQL = """coin AS (SELECT *, CASE et WHEN 'view' THEN CAST(100000000 + uid %
 
 
 def coin_json_input(spark, sf):
-    """Clicks carry two trades in one line, one of them broken when k is 20."""
+    """Clicks carry two trades in one line, one of them broken when k is 20; some lines have another tag."""
     e = i.ev(spark, sf)
     one, two = i.obj(**coin_record()), i.obj(**coin_record(1000))
     second = F.when(F.col("k") == 20, F.lit('{"game_id":"1","x":}')).otherwise(two)
     body = F.when(F.col("et") == "click", F.concat(F.lit("["), one, F.lit(","), second, F.lit("]"))).otherwise(one)
-    return once(e, {"value": i.frame("GAME_COIN_LOG", body)}, ["eid"])
+    line = F.when(F.col("k") == 8, i.frame("OTHER", body)).otherwise(i.frame("GAME_COIN_LOG", body))
+    return once(e, {"value": line}, ["eid"])
 
 
 def coin_tsv_input(spark, sf):
@@ -132,11 +133,12 @@ def coin_tsv_input(spark, sf):
 
 
 @query("coin_json_explode", w(EV, COIN_SQL) + """SELECT eid, 0 AS object_no, TRUE AS ok, CAST(NULL AS VARCHAR) AS reject_reason, gid AS game_id, chn AS channel_id,
-  gch AS game_channel_id, CAST(uid AS VARCHAR) AS user_id, CAST(k AS VARCHAR) AS trade_count, CAST(t AS VARCHAR) AS trade_time FROM coin
+  gch AS game_channel_id, CAST(uid AS VARCHAR) AS user_id, CAST(k AS VARCHAR) AS trade_count, CAST(t AS VARCHAR) AS trade_time FROM coin WHERE k <> 8
+ UNION ALL SELECT eid, NULL, FALSE, 'no tag', '', '', '', '', '', '' FROM coin WHERE k = 8
  UNION ALL SELECT eid, 1, k <> 20, CASE WHEN k = 20 THEN 'json parse error' END, CASE WHEN k = 20 THEN '' ELSE gid END,
   CASE WHEN k = 20 THEN '' ELSE chn END, CASE WHEN k = 20 THEN '' ELSE gch END, CASE WHEN k = 20 THEN '' ELSE CAST(uid AS VARCHAR) END,
   CASE WHEN k = 20 THEN '' ELSE CAST(k + 1000 AS VARCHAR) END, CASE WHEN k = 20 THEN '' ELSE CAST(t AS VARCHAR) END
-  FROM coin WHERE et = 'click'""")
+  FROM coin WHERE et = 'click' AND k <> 8""")
 def coin_json_explode(spark, sf):
     return lines.coin_json_lines(coin_json_input(spark, sf)).select("eid", "object_no", "ok", "reject_reason", *COIN_COLS)
 
@@ -163,27 +165,30 @@ def binlog_explode(spark, sf):
 
 
 def sdk_input(spark, sf):
-    """Views carry an array of two records, the others one object; one header key clashes."""
+    """Views carry an array of two records, the others one object; one header key clashes; errors break off."""
     e = i.ev(spark, sf)
     rec = lambda n: F.struct(F.concat(F.lit(f"e{n}-"), F.col("k")).alias("event"), F.lit(str(n)).alias("id"),
                              F.lit("own").alias("device_id"))
     head = F.struct(F.col("device").alias("device_id"), F.lit("4.1").alias("sdk_version"))
     aid = F.concat(F.lit("A"), F.col("eid")).alias("analysis_id")
     doc = F.when(F.col("et") == "view", F.to_json(F.struct(head.alias("device"), aid, F.array(rec(1), rec(2)).alias("event_record")))) \
+        .when(F.col("k") == 9, F.to_json(F.struct(head.alias("device"), aid))) \
         .otherwise(F.to_json(F.struct(head.alias("device"), aid, rec(1).alias("event_record"))))
+    doc = F.when(F.col("et") == "error", F.substring(doc, F.lit(1), F.length(doc) - 5)).otherwise(doc)
     return once(e, {"value": i.frame("ANALYSIS", doc)}, ["eid"])
 
 
 SDK_SQL = w(EV) + f"""SELECT eid, n - 1 AS record_no, 'e' || n || '-' || k AS event, CAST(n AS VARCHAR) AS id, device AS device_id,
-  '4.1' AS sdk_version, 'A' || eid AS analysis_id, CAST(t AS VARCHAR) AS server_ts, {day('t')} AS server_date_day, ip
-  FROM ev, (VALUES (1), (2)) AS r(n) WHERE n = 1 OR et = 'view'"""
+  '4.1' AS sdk_version, 'A' || eid AS analysis_id, CAST(t AS VARCHAR) AS server_ts, {day('t')} AS server_date_day, ip, CAST(NULL AS VARCHAR) AS reject_reason
+  FROM ev, (VALUES (1), (2)) AS r(n) WHERE (n = 1 AND et <> 'error' AND (k <> 9 OR et = 'view')) OR et = 'view'
+  UNION ALL SELECT eid, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN et = 'error' THEN 'json parse error' ELSE 'no event record' END FROM ev WHERE et = 'error' OR (k = 9 AND et <> 'view')"""
 SDK_KEYS = ["event", "id", "device_id", "sdk_version", "analysis_id", "server_ts", "server_date_day", "ip"]
 
 
 @query("sdk_fanout", SDK_SQL)
 def sdk_fanout(spark, sf):
     fan = lines.sdk_fanout(sdk_input(spark, sf))
-    return fan.select("eid", "record_no", *[F.col("record")[k].alias(k) for k in SDK_KEYS])
+    return fan.select("eid", "record_no", *[F.col("record")[k].alias(k) for k in SDK_KEYS], "reject_reason")
 
 
 def active_input(spark, sf):

@@ -54,6 +54,18 @@ def login_clean(spark, sf):
     return login_columns(out)
 
 
+def names_of(*groups):
+    """Names of a record's fields in order, as one text."""
+    return ",".join(sorted(n for g in groups for n in g.split()))
+
+
+def record_fields(**paths):
+    """Names of all fields of the outgoing record, and the text of some."""
+    keys = F.when(F.col("reject_reason").isNull(), F.json_object_keys("value"))
+    return [F.array_join(F.array_sort(keys), ",").alias("names"),
+            *[F.get_json_object("value", f"$['{p}']").alias(n) for n, p in paths.items()]]
+
+
 OWN_LOGIN = f"""ol AS (SELECT ev.*, coalesce(b.game_id, 'error') AS jg, coalesce(b.channel_id, 'error') AS channel_id, coalesce(b.game_channel_id, 'error') AS game_channel_id,
   coalesce(c.company_id, 'error') AS company_id FROM ev LEFT JOIN belong b ON b.belong_game_id = {GID} LEFT JOIN company c ON c.game_id = b.game_id),
 om AS (SELECT *, et = 'view' AND k <> 33 AND k >= 10 AND k <> 50 AND uid % 80 <> 11 AND game_channel_id IN {SPECIAL} AS ok FROM ol),
@@ -62,7 +74,18 @@ on2 AS (SELECT *, CASE WHEN key IS NOT NULL THEN min(CASE WHEN k <> 77 THEN sts
   CAST(NULL AS BIGINT) AS order_ts FROM on1)"""
 
 
-@query("own_login_clean", w(EV, DIMS, OWN_LOGIN) + f"""SELECT eid, ok, CASE WHEN ok THEN 'agentLogin' ELSE 'ownLoginFilter' END AS route, {ok_only('channel_id', 'game_channel_id', 'company_id', 'game_id', 'app_id', 'reg_date')}
+SERVICE_FIELDS = """agent-access_token agent-channel_id agent-game_channel_id channel_platform-ad_id city client_ip client_time_zone client_ts country data_ver device-android_imei
+  device-device_id device-device_name device-os_ver device-package_name device-screen_height device-screen_width device-sdk_ver event ext-a ext-list first_order_date game-game_id game-game_ver
+  is_test province reg_date role-role_id role-role_name role-role_server sdk_platform-app_id server_date_day server_date_hour server_date_minute server_time_zone server_ts tags user-user_id user-user_name"""
+
+
+OWN_NAMES = f"""'{names_of(SERVICE_FIELDS, "game-app_id game-company_id game-game_name")}'"""
+
+
+@query("own_login_clean", w(EV, DIMS, OWN_LOGIN) + f"""SELECT eid, ok, CASE WHEN ok THEN 'agentLogin' ELSE 'ownLoginFilter' END AS route, {ok_only('channel_id', 'game_channel_id', 'company_id', 'game_id', 'app_id', 'reg_date')},
+  CASE WHEN ok THEN {OWN_NAMES} END AS names, CASE WHEN ok THEN CAST(k % 7 AS VARCHAR) END AS ext_a, CASE WHEN ok THEN channel_id END AS rec_channel, CASE WHEN ok THEN reg_date END AS rec_reg,
+  CASE WHEN et = 'error' THEN 'json parse error' WHEN k = 33 THEN '1.Error value in common column may be null.' WHEN et <> 'error' AND ({FIRST}) IS NOT NULL AND et = 'view' THEN 'Error value in ' || ({FIRST}) || ' column may be null.'
+   WHEN et <> 'view' THEN 'not a login' WHEN uid % 80 = 11 THEN 'web pay game' WHEN NOT ok THEN 'outside the special set' END AS reject_reason
   FROM (SELECT *, jg AS game_id, {GID} AS app_id, {stamped_sql('sts', "'login'", 'login_ts', 'order_ts')} FROM on2)""")
 def own_login_clean(spark, sf):
     """New-format logins of an own channel, folded into the agency destination."""
@@ -70,52 +93,82 @@ def own_login_clean(spark, sf):
     out = logins.own_logins(i.event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", rules=rl.DEFAULT_RULES, source="ownLoginSrc",
                             folded_into="agentLogin", wrapped=False, aliases={})
     named = out.select("eid", "ok", "route", "reg_date", F.col("agent-channel_id").alias("channel_id"), F.col("agent-game_channel_id").alias("game_channel_id"),
-                       F.col("game-company_id").alias("company_id"), F.col("game-game_id").alias("game_id"), F.col("game-app_id").alias("app_id"))
-    return named.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in named.columns[3:]])
-
-
-def service_sql(service, ok, key, other=False):
-    target = f"CASE WHEN NOT ok THEN '{service}Error' " + (f"WHEN gc IN {SPECIAL} THEN '{service}StdOther' " if other else "") + f"ELSE '{service}Std' END"
-    base = running("k < 55", key=f"CASE WHEN {ok} THEN {key} END")
-    return w(EV, DIMS, base) + f"""SELECT eid, ok, {target} AS route, {ok_only('first_order_date', 'reg_date')} FROM (SELECT *, {ok} AS ok, {stamped_sql('sts', 'kind', 'login_ts', 'order_ts')} FROM se)"""
+                       F.col("game-company_id").alias("company_id"), F.col("game-game_id").alias("game_id"), F.col("game-app_id").alias("app_id"),
+                       "reject_reason", *record_fields(ext_a="ext-a", rec_channel="agent-channel_id", rec_reg="reg_date"))
+    shown = [c for c in named.columns if c not in ("eid", "ok", "route", "reject_reason")]
+    return named.select("eid", "ok", "route", "reject_reason", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in shown])
 
 
 CLEAN = f"(et <> 'error' AND k <> 33 AND ({FIRST}) IS NULL"
+# no state is written by these services: stored history only
+NO_STATE = "CAST(NULL AS BIGINT) AS login_ts, CAST(NULL AS BIGINT) AS order_ts"
+def service_names(extra="", order_extra=""):
+    """Names of the flattened record by event; a missing game name or order leaves its fields out."""
+    order = "order-currency_amount order-order_sn order-order_status order-order_step order-order_type " + order_extra
+    named = lambda *g: f"'{names_of(SERVICE_FIELDS, extra, *g)}'"
+    return (f"CASE WHEN kind = 'order' THEN {named(order, 'game-game_name')} WHEN kind = 'click' THEN {named('click-click_time click-event_tag', 'game-game_name')} "
+            f"WHEN k = 50 THEN {named()} ELSE {named('game-game_name')} END")
+
+
+@query("service_clean_agent", w(EV, DIMS, REGIONS, LOGIN_SQL, f"""sa AS (SELECT lr.*, et = 'purchase' AS active, et NOT IN ('error', 'purchase') AND NOT (uid % 97 + 1 >= 63 AND g0 = '') AND channel_id NOT IN ('6001', '10081') AS ok FROM lr),
+sb AS (SELECT *, CASE WHEN ok THEN channel_id || '_' || game || '_' || uid END AS key FROM sa),
+sc AS (SELECT *, CASE WHEN key IS NOT NULL THEN min(CASE WHEN t >= 1000000000 THEN t END) OVER (PARTITION BY key ORDER BY eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS login_ts, CAST(NULL AS BIGINT) AS order_ts FROM sb),
+sd AS (SELECT sc.*, coalesce(b.country, '') AS country FROM sc ASOF LEFT JOIN bounds b ON sc.ipn <= b.ip_hi)""")
+       + f"""SELECT eid, ok, CASE WHEN active THEN 'agentActive' WHEN NOT ok THEN 'agentError' WHEN game_channel_id IN {SPECIAL} THEN 'agentStdOther' ELSE 'agentStd' END AS route,
+  CASE WHEN active OR ok THEN NULL WHEN et = 'error' THEN 'bad frame' WHEN uid % 97 + 1 >= 63 AND g0 = '' THEN 'game channel missing' ELSE 'service check' END AS reject_reason,
+  {ok_only('first_order_date', 'reg_date', 'channel_id', 'country')}, active AS as_it_came FROM (SELECT *, {stamped_sql('t', "'login'", 'login_ts', 'order_ts')} FROM sd)""")
+def service_clean_agent(spark, sf):
+    """Old-format agency logins; activation lines go on as they came."""
+    d = i.dims(spark, sf)
+    out = logins.service_events(i.mixed_agency_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", service="agent", rules=LOGIN_RULES)
+    field = lambda n: F.get_json_object("value", f"$['{n}']")
+    named = out.select("eid", "ok", "route", "reject_reason", "first_order_date", "reg_date", field("agent-channel_id").alias("channel_id"), field("country").alias("country"),
+                       (F.col("value").endswith("ACTIVE_LOG[{}]")).alias("as_it_came"))
+    return named.select("eid", "ok", "route", "reject_reason", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ("first_order_date", "reg_date", "channel_id", "country")], "as_it_came")
 
 
-def service_rows(spark, sf, service, **options):
+@query("service_clean_sdk", w(EV, DIMS, f"se AS (SELECT *, {CLEAN} AND k % 9 <> 0 AND k <> 44) AS ok, {NO_STATE} FROM ev)") + f"""SELECT eid, ok, CASE WHEN ok THEN 'sdkStd' ELSE 'sdkError' END AS route,
+  {ok_only('first_order_date', 'reg_date')}, CASE WHEN ok THEN {service_names()} END AS names, CASE WHEN ok THEN CAST(k % 7 AS VARCHAR) END AS ext_a, CASE WHEN ok THEN '["x","y"]' END AS tags,
+  CASE WHEN ok THEN reg_date END AS rec_reg FROM (SELECT *, {stamped_sql('sts', 'kind', 'login_ts', 'order_ts')} FROM se)""")
+def service_clean_sdk(spark, sf):
+    """Lines without a frame; the service writes no state, so only stored history would show."""
     d = i.dims(spark, sf)
-    out = logins.service_events(i.event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", service=service, **options)
-    return out.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ("first_order_date", "reg_date")])
+    out = logins.service_events(i.bare_event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", service="sdk")
+    return out.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ("first_order_date", "reg_date")],
+                      *record_fields(ext_a="ext-a", tags="tags", rec_reg="reg_date"))
 
 
-@query("service_clean_agent", service_sql("agent", CLEAN + ")", f"{GID} || '_' || uid", other=True))
-def service_clean_agent(spark, sf):
-    return service_rows(spark, sf, "agent")
+def own_service_sql(service, belong, ok, target, key, amounts=True):
+    base = running("k < 55", key=f"CASE WHEN {ok} THEN {key} END").replace("FROM ev)", f"FROM evb)")
+    joined = f"""evb AS (SELECT ev.*, coalesce(b.game_id, 'error') AS jg, coalesce(b.channel_id, 'error') AS jch, coalesce(b.game_channel_id, 'error') AS jgc FROM ev LEFT JOIN {belong} b ON b.belong_game_id = {GID})"""
+    cny = "CASE WHEN ok AND kind = 'order' THEN val::DOUBLE END" if amounts else "CAST(NULL AS DOUBLE)"
+    names = service_names("game-app_id game-company_id", "order-cny_amount order-usd_amount" if amounts else "")
+    return w(EV, DIMS, joined, base) + f"""SELECT eid, ok, {target} AS route, {ok_only('first_order_date', 'reg_date')}, CASE WHEN ok THEN jg END AS game_id,
+  CASE WHEN ok THEN {GID} END AS app_id, {cny} AS cny, CASE WHEN ok THEN {names} END AS names, CASE WHEN ok THEN CAST(k % 7 AS VARCHAR) END AS ext_a, CASE WHEN ok THEN jch END AS channel_id
+  FROM (SELECT *, {ok} AS ok, {stamped_sql('sts', 'kind', 'login_ts', 'order_ts')} FROM se) x"""
 
 
-@query("service_clean_sdk", service_sql("sdk", CLEAN + " AND k % 9 <> 0)", "k || '_' || uid"))
-def service_clean_sdk(spark, sf):
-    return service_rows(spark, sf, "sdk")
+OWN_OK = f"{CLEAN} AND k <> 30 AND uid % 80 <> 11)"
 
 
-@query("service_clean_own", w(EV, DIMS, running("k < 55", key=f"CASE WHEN {CLEAN} AND k <> 30 AND uid % 80 <> 11) THEN {GID} || '_' || uid END"))
-       + f"""SELECT eid, ok, CASE WHEN ok THEN 'overseasStd' ELSE 'overseasError' END AS route, {ok_only('first_order_date', 'reg_date')}, CASE WHEN ok THEN coalesce(b.game_id, 'error') END AS game_id,
-  CASE WHEN ok THEN {GID} END AS app_id, CASE WHEN ok AND kind = 'order' THEN val::DOUBLE END AS cny FROM (SELECT *, {CLEAN} AND k <> 30 AND uid % 80 <> 11) AS ok, {stamped_sql('sts', 'kind', 'login_ts', 'order_ts')} FROM se) x
-  LEFT JOIN belong_overseas b ON b.belong_game_id = {GID}""")
-def service_clean_own(spark, sf):
-    """Overseas own channel: game and app change places, orders without a known currency count one to one."""
-    d = i.dims(spark, sf, platforms=("4", "5"))
-    out = logins.service_events(i.event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", service="overseas", overseas=True, aliases={})
+def own_service(spark, sf, d, **options):
+    out = logins.service_events(i.event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", aliases={}, **options)
     field = lambda n: F.get_json_object("value", f"$['{n}']")
     named = out.select("eid", "ok", "route", "first_order_date", "reg_date", field("game-game_id").alias("game_id"), field("game-app_id").alias("app_id"),
-                       F.when(F.col("event") == "order", field("order-cny_amount").cast("double")).alias("cny"))
+                       F.when(F.col("event") == "order", field("order-cny_amount").cast("double")).alias("cny"), *record_fields(ext_a="ext-a", channel_id="agent-channel_id"))
     return named.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in named.columns[3:]])
 
 
-def names_of(*groups):
-    """Names of a record's fields in order, as one text."""
-    return ",".join(sorted(n for g in groups for n in g.split()))
+@query("service_clean_own", own_service_sql("overseas", "belong_overseas", OWN_OK, "CASE WHEN ok THEN 'overseasStd' ELSE 'overseasError' END", "jg || '_' || uid_or_device".replace("uid_or_device", "CASE WHEN kind = 'active' THEN device ELSE CAST(uid AS VARCHAR) END")))
+def service_clean_own(spark, sf):
+    """Overseas own channel: game and app change places, orders without a known currency count one to one."""
+    return own_service(spark, sf, i.dims(spark, sf, platforms=("4", "5")), service="overseas", overseas=True)
+
+
+@query("service_clean_domestic", own_service_sql("domestic", "belong", OWN_OK, "CASE WHEN ok THEN 'agentStd' ELSE 'domesticError' END", "jch || '_' || jg || '_' || CAST(uid AS VARCHAR)", amounts=False))
+def service_clean_domestic(spark, sf):
+    """Domestic own channel: folded into the agency, whose key it shares."""
+    return own_service(spark, sf, i.dims(spark, sf), service="domestic", folded={"domestic": "agent"})
 
 
 RAW_ORDER = "order_sn game_id channel_id user_id server money pay_status status create_ip update_time create_time ext note"
@@ -136,13 +189,6 @@ def only(flag, *names):
     return ", ".join(f"CASE WHEN {flag} THEN {n} END AS {n}" for n in names)
 
 
-def record_fields(**paths):
-    """Names of all fields of the outgoing record, and the text of some."""
-    keys = F.when(F.col("reject_reason").isNull(), F.json_object_keys("value"))
-    return [F.array_join(F.array_sort(keys), ",").alias("names"),
-            *[F.get_json_object("value", f"$['{p}']").alias(n) for n, p in paths.items()]]
-
-
 ORDER_KEYS = f"""CASE WHEN kind = 'copy' THEN '{names_of(RAW_ORDER, REGION)}' WHEN route = 'agentDB' THEN '{names_of(RAW_ORDER, REGION, JOINED, DATES)}' WHEN kind = 'order' THEN '{names_of(RAW_ORDER, REGION, JOINED)}' END"""
 
 
@@ -363,9 +409,12 @@ def overseas_log_load(spark, sf):
 
 
 @query("coin_trades", w(EV, COIN_SQL, DIMS, COIN_RESOLVED) + f"""SELECT eid, 0 AS object_no, {COIN_OK} AS ok, game_id, channel_id, game_channel_id, strftime(make_timestamp((t + 28800) * 1000000), '%Y%m%d') AS trade_date FROM cr
-  UNION ALL SELECT eid, 1, {COIN_OK}, game_id, channel_id, game_channel_id, strftime(make_timestamp((t + 28800) * 1000000), '%Y%m%d') FROM cr WHERE et = 'click' AND k <> 20""")
+  WHERE k <> 8 UNION ALL SELECT eid, 1, {COIN_OK}, game_id, channel_id, game_channel_id, strftime(make_timestamp((t + 28800) * 1000000), '%Y%m%d') FROM cr WHERE et = 'click' AND k NOT IN (8, 20)
+  UNION ALL SELECT eid, 1, FALSE, NULL, NULL, NULL, NULL FROM cr WHERE et = 'click' AND k = 20 UNION ALL SELECT eid, NULL, FALSE, NULL, NULL, NULL, NULL FROM cr WHERE k = 8""")
 def coin_trades(spark, sf):
-    out = feeds.coin_trades(coin_json_input(spark, sf), i.dims(spark, sf)).where("reject_reason IS NULL OR reject_reason <> 'json parse error'")
+    out = feeds.coin_trades(coin_json_input(spark, sf), i.dims(spark, sf))
+    read = F.col("object").isNotNull() & F.coalesce(~F.col("reject_reason").isin("json parse error", "no tag"), F.lit(True))
+    out = out.withColumns({c: F.when(read, F.col(c)) for c in ("game_id", "channel_id", "game_channel_id", "trade_date")})
     return out.select("eid", "object_no", "ok", "game_id", "channel_id", "game_channel_id", "trade_date")
 
 
@@ -378,12 +427,13 @@ def coin_export(spark, sf):
 @query("sdk_events", SDK_SQL)
 def sdk_events(spark, sf):
     out = feeds.sdk_events(sdk_input(spark, sf))
-    return out.select("eid", "record_no", *[F.get_json_object("value", f"$.{k}").alias(k) for k in SDK_KEYS])
+    return out.select("eid", "record_no", *[F.when(F.col("ok"), F.get_json_object("value", f"$.{k}")).alias(k) for k in SDK_KEYS], "reject_reason")
 
 
-@query("sdk_flat", w(EV) + f"""SELECT eid, CAST(uid AS VARCHAR) AS "user-user_id", device AS "device-device_id", kind AS event, ip, t AS server_ts, {day('t')} AS server_date_day FROM ev WHERE et <> 'error'""")
+@query("sdk_flat", w(EV) + f"""SELECT eid, CAST(uid AS VARCHAR) AS "user-user_id", device AS "device-device_id", kind AS event, ip, t AS server_ts, {day('t')} AS server_date_day, CAST(NULL AS VARCHAR) AS reject_reason FROM ev WHERE et <> 'error'
+  UNION ALL SELECT eid, NULL, NULL, NULL, ip, t, {day('t')}, 'json parse error' FROM ev WHERE et = 'error'""")
 def sdk_flat(spark, sf):
-    return feeds.sdk_flat(i.event_lines(spark, sf), ["user", "device"]).select("eid", "user-user_id", "device-device_id", "event", "ip", "server_ts", "server_date_day")
+    return feeds.sdk_flat(i.event_lines(spark, sf), ["user", "device"]).select("eid", "user-user_id", "device-device_id", "event", "ip", "server_ts", "server_date_day", "reject_reason")
 
 
 @query("olap_feed", w(EV, OD) + f"""SELECT event, server_date_day, count(*) AS n, sum(cents)::BIGINT AS cents FROM (SELECT 'login' AS event, {day('t')} AS server_date_day, 0 AS cents FROM ev WHERE kind = 'login' AND k <> 77

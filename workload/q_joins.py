@@ -151,9 +151,10 @@ cr AS (SELECT *, CASE WHEN own THEN og ELSE gid END AS game_id, CASE WHEN own TH
   CASE WHEN own THEN ogc WHEN gch = '2050' THEN gch WHEN num < 63 THEN CASE WHEN sub_ch IS NULL THEN rev WHEN old_gc = 'error' THEN rev ELSE old_gc END ELSE gch END AS game_channel_id FROM ck)"""
 
 
-@query("resolve_channel_coin", w(EV, COIN_SQL, DIMS, COIN_RESOLVED) + """SELECT eid, game_id, channel_id, game_channel_id, own OR gch = '2050' OR num IS NOT NULL AS resolved FROM cr""")
+@query("resolve_channel_coin", w(EV, COIN_SQL, DIMS, COIN_RESOLVED) + """SELECT eid, game_id, channel_id, game_channel_id, own OR gch = '2050' OR num IS NOT NULL AS resolved FROM cr WHERE k <> 8
+  UNION ALL SELECT eid, game_id, channel_id, game_channel_id, own OR gch = '2050' OR num IS NOT NULL FROM cr WHERE et = 'click' AND k NOT IN (8, 20)""")
 def resolve_channel_coin(spark, sf):
-    trades = lines.coin_json_lines(coin_json_input(spark, sf)).where("object_no = 0").select("eid", "game_id", "channel_id", "game_channel_id")
+    trades = lines.coin_json_lines(coin_json_input(spark, sf)).where("ok").select("eid", "game_id", "channel_id", "game_channel_id")
     return resolve.resolve_coin(trades, i.dims(spark, sf))
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import times
 from ..functions.coerce import blank
 from ..functions.hashing import glued, md5_upper, row_identity
 from .warehouse import PLATFORM
@@ -91,7 +90,3 @@ def page_clicks_per_minute(df: DataFrame) -> DataFrame:
     joined = F.concat(m, tick, "event_tag", tick, "apk_name")
     return counts.select(md5_upper(glued(joined, F.col("click_cnt"))).alias("id"), "event_tag", "apk_name",
                          *[c.alias(n) for n, c in _minute_columns(m).items()], "click_cnt")
-
-
-def click_epoch(click_time: Column, tz: str = times.DEFAULT_TZ) -> Column:
-    return times.parse(click_time, times.FULL, tz)

@@ -35,10 +35,13 @@ def dedupe_ttl(df: DataFrame, key: str, ts: str, arrival: str, ttl: int = 300,
     kept, so only the first of each second is looked at: a group of (key, span) holds
     at most ``span`` pairs of numbers. Each span reports how it maps an entry point to
     an exit point, the maps are chained per key, and the spans finish on their own.
-    Rows without key or time have no window and stay.
+    Rows without key or time have no window and stay; so do all rows when ``ttl`` is not
+    positive.
     """
     if span < ttl:
         raise ValueError("span must be at least ttl")
+    if ttl <= 0:  # no window: every row stays
+        return df
     timed = F.col(key).isNotNull() & F.col(ts).isNotNull()
     points = (df.where(timed).groupBy(F.col(key).alias("k"), F.col(ts).alias("sec"))
               .agg(F.min(arrival).alias("no")).withColumn("span", F.floor(F.col("sec") / span).cast("bigint")))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coerce import blank, unquoted
-from .lookup import Dimension, hot_keys, measure, SPREAD
+from .lookup import Dimension, hot_keys
 
 BLOCK_BITS = 16
 REGION = ["country", "province", "city"]
@@ -73,15 +73,13 @@ def add_region(df: DataFrame, regions: Dimension, ip: Column, fallback: Column |
 
 
 def _salted(keyed: DataFrame, side: DataFrame, inside: Column, hot_rows: int) -> DataFrame:
-    """Shuffle on (block, salt): only hot blocks and missing addresses are spread."""
-    salts = 64
-    hot = hot_keys(keyed.where(F.col("_b").isNotNull()), ["_b"], hot_rows).withColumn("_hot", F.lit(True))
+    """Shuffle on (block, salt): only hot blocks, by their rows, and missing addresses are spread."""
+    hot = hot_keys(keyed.where(F.col("_b").isNotNull()), ["_b"], hot_rows)
     place = F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns])
     left = keyed.join(F.broadcast(hot), "_b", "left").select(
-        "*", F.when(F.col("_b").isNull(), F.pmod(place, F.lit(SPREAD)))
-        .when(F.col("_hot"), F.pmod(place, F.lit(salts))).otherwise(F.lit(0)).cast("bigint").alias("_s"))
+        "*", F.when(F.col("_b").isNull(), place).when(F.col("_parts").isNotNull(), F.pmod(place, F.col("_parts")))
+        .otherwise(F.lit(0)).cast("bigint").alias("_s"))
     right = (side.join(F.broadcast(hot.withColumnRenamed("_b", "_rb")), "_rb", "left")
-             .select("*", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                    .otherwise(F.array(F.lit(0)))).alias("_t")))
-    return left.join(right.drop("_hot"), (F.col("_b") == F.col("_rb")) & (F.col("_s") == F.col("_t")) & inside,
+             .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)).alias("_t")))
+    return left.join(right.drop("_parts"), (F.col("_b") == F.col("_rb")) & (F.col("_s") == F.col("_t")) & inside,
                      "left")

@@ -9,6 +9,7 @@ to broadcast, and the rows themselves stay spread over all tasks.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field as dc_field
 from functools import reduce
 
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 4_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
+# what all broadcast dimensions of a job may take together, once hashed
+BROADCAST_TOTAL = 512 * 1024 * 1024
+ROW_BYTES = 64
 HOT_ROWS = 2_000_000
-SPREAD = 4096
+MAX_AGE = 600.0
 
 
 @dataclass
@@ -33,6 +37,7 @@ class Dimension:
     broadcast_bytes: int = BROADCAST_BYTES
     hot_rows: int = HOT_ROWS
     _small: bool | None = dc_field(default=None, repr=False)
+    _measured: float = dc_field(default=0.0, repr=False)
 
     @property
     def small(self) -> bool:
@@ -42,10 +47,15 @@ class Dimension:
 
 
 def measure(dims: list[Dimension]) -> None:
-    """One job that counts the rows and bytes of several dimensions."""
-    open_dims = [d for d in dims if d._small is None]
-    if not open_dims:
+    """One job that counts the rows and bytes of the dimensions of a job.
+
+    Each has its own bound; of those below it the smallest ones are broadcast as long as all together stay below
+    BROADCAST_TOTAL. A measure older than MAX_AGE seconds is taken again, so a stream notices a dimension that grows.
+    """
+    now = time.monotonic()
+    if all(d._small is not None and now - d._measured < MAX_AGE for d in dims):
         return
+    open_dims = list({id(d): d for d in dims}.values())
     parts = []
     for i, d in enumerate(open_dims):
         width = reduce(lambda a, b: a + b,
@@ -53,9 +63,13 @@ def measure(dims: list[Dimension]) -> None:
                         for c in d.keys + d.values])
         parts.append(d.df.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n"),
                               F.coalesce(F.sum(width), F.lit(0)).cast("bigint").alias("b")))
-    for row in reduce(DataFrame.unionAll, parts).collect():
+    taken = 0
+    for row in sorted(reduce(DataFrame.unionAll, parts).collect(), key=lambda r: (r["b"], r["i"])):
         d = open_dims[row["i"]]
-        d._small = row["n"] <= d.broadcast_rows and row["b"] <= d.broadcast_bytes
+        held = row["b"] + row["n"] * ROW_BYTES
+        d._small = row["n"] <= d.broadcast_rows and row["b"] <= d.broadcast_bytes and taken + held <= BROADCAST_TOTAL
+        d._measured = now
+        taken += held if d._small else 0
 
 
 def last_wins(df: DataFrame, keys: list[str], values: list[str], position: str) -> DataFrame:
@@ -101,19 +115,18 @@ def lookup(df: DataFrame, dim: Dimension, on: list[Column], out: dict[str, str],
 
 
 def hot_keys(keyed: DataFrame, names: list[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows; counted with map-side combine."""
-    return (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > hot_rows).select(*names))
+    """Keys with more than ``hot_rows`` rows, and into how many parts each is to be cut; map-side combine."""
+    return (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+            .select(*names, F.ceil(F.col("_n") / hot_rows).cast("bigint").alias("_parts")))
 
 
 def _spread_join(keyed: DataFrame, side: DataFrame, names: list[str], hot: DataFrame) -> DataFrame:
-    hot_side = (hot.join(side, names, "left")
+    hot_side = (hot.select(*names).join(side, names, "left")
                 .select(*names, F.struct(F.col("_v")).alias("_h")))
     first = keyed.join(F.broadcast(hot_side), names, "left")
     # NULL keys never match and hot keys are already served: both only need a place to go
     served = F.col("_h").isNotNull() | reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
-    place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns
-                                if not _is_map(keyed, c)]), F.lit(SPREAD))
+    place = F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns if not _is_map(keyed, c)])
     first = first.select("*", F.when(served, place).otherwise(F.lit(-1)).cast("bigint").alias("_p"))
     cold = side.select(*[F.col(n).alias("_c" + n) for n in names],
                        F.col("_v").alias("_w"), F.lit(-1).cast("bigint").alias("_q"))

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from ..functions import times
 from ..functions.coerce import blank
-from .lookup import Dimension, lookup
 
 BLOCK_ROWS = 1 << 20
 # Fixed value: stands for a device without history in the back-fill.
@@ -233,7 +232,10 @@ def read_through(keys: DataFrame, hot: DataFrame, cold: DataFrame) -> DataFrame:
 
 
 def insert_if_absent(rows: DataFrame, target: DataFrame | None, key: str, arrival: str) -> DataFrame:
-    """Rows whose key the target lacks; of several rows with one key the first wins."""
+    """Rows whose key the target lacks; of several rows with one key the first wins.
+
+    The target is only asked for the keys at hand: restrict it to the days loaded where it is partitioned by day.
+    """
     others = [c for c in rows.columns if c != key]
     packed = F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), F.col(arrival)).alias("_v")
     first = rows.groupBy(key).agg(packed).select(key, *[F.col(f"_v.`{c}`").alias(c) for c in others])
@@ -252,7 +254,6 @@ def latest_with_ttl(df: DataFrame, key: str, value: str, ts: str, arrival: str,
 
 def backfill_new_device(rows: DataFrame, state: DataFrame, keys: list[str], registered: str) -> DataFrame:
     """Recompute the flag of stored rows from the state; without state the row is not new."""
-    dim = Dimension(state, keys, ["first_ts"], "device_state")
-    known = lookup(rows, dim, [F.col(k) for k in keys], {"_first": "first_ts"}, default=None)
+    known = rows.join(state.select(*keys, F.col("first_ts").alias("_first")), keys, "left")
     flag = F.when(F.coalesce(F.col("_first"), F.lit(NO_HISTORY)) < F.col(registered), 0).otherwise(1)
     return known.withColumn("new_device", flag).drop("_first")

@@ -242,8 +242,6 @@ def refund_update(purchases: DataFrame, refunds: DataFrame, order: str = "voided
     last = (refunds.groupBy("pack_name", "purchase_token")
             .agg(F.max_by(F.struct(*values), F.col(order)).alias("_r"))
             .select("pack_name", "purchase_token", *[F.col(f"_r.{v}").alias(v) for v in values]))
-    dim = Dimension(last, ["pack_name", "purchase_token"], values, "refunds")
-    out = lookup(purchases, dim, [F.col("pack_name"), F.col("purchase_token")], {v: v for v in values},
-                 default=None, found="_hit")
+    out = purchases.drop(*values).join(last.withColumn("_hit", F.lit(True)), ["pack_name", "purchase_token"], "left")
     return out.withColumn("mark", F.when(F.col("_hit"), 1).otherwise(0)).drop("_hit")
 

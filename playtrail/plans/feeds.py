@@ -10,6 +10,7 @@ from ..functions import times
 from ..functions.coerce import long_of, text_of
 from ..operators import clicks, events, guards, lines, resolve, state as st
 from ..operators.dims import Dims
+from ..sinks.files import write_dated
 from ..sources import messages
 
 
@@ -53,6 +54,19 @@ def ad_click_counts(parsed: DataFrame, companies: dict[str, str]) -> DataFrame:
     return clicks.ad_click_rows(counts, ["target"])
 
 
+def ad_click_job(df: DataFrame, arrival: str, companies: dict[str, str], *, now: Column, ttl: int = 259200,
+                 ad_field: str = "adid", tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
+    """The whole click job from one parse: topic records, detail rows, store keys, counts per minute, rejects."""
+    parsed = ad_clicks(df, ad_field)
+    good = parsed.where("ok")
+    split = clicks.company_split(good, companies).where(F.col("target").isNotNull())
+    at = times.parse(F.col("click_time"), times.FULL, tz)
+    keyed = clicks.lookup_keys(good).select("key", F.col(arrival).alias("value"), at.alias("at"), arrival)
+    return {"topic": clicks.click_detail(split, [arrival, "target"]), "detail": clicks.click_detail_rows(good, [arrival]),
+            "keys": st.latest_with_ttl(keyed, "key", "value", "at", arrival, ttl, now),
+            "counts": ad_click_counts(parsed, companies), "rejects": lines.rejects(parsed, "ad_click", kept=[arrival])}
+
+
 def page_clicks(df: DataFrame, tz: str = times.DEFAULT_TZ) -> DataFrame:
     return clicks.page_clicks_per_minute(lines.access_lines(df, "value", tz).where("ok"))
 
@@ -95,8 +109,9 @@ def olap_feed(logins: DataFrame, orders: DataFrame) -> DataFrame:
     return left.unionByName(right)
 
 
-def cohort_export(df: DataFrame, game_channel_id: str, dates: list[str]) -> DataFrame:
-    return guards.new_user_cohort(df, game_channel_id, dates)
+def cohort_export(df: DataFrame, game_channel_id: str, dates: list[str], path: str) -> None:
+    """Device ids of new users, one folder per date."""
+    write_dated(guards.new_user_cohort(df, game_channel_id, dates), path, "reg_date")
 
 
 def replay(df: DataFrame, topic: str) -> DataFrame:

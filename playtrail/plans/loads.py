@@ -41,8 +41,11 @@ def staged(rows: DataFrame, path: str | None, part: str) -> DataFrame:
 
 
 def log_load(df: DataFrame, arrival: str, *, device_state: DataFrame | None = None, stage: str | None = None,
-             tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
-    """login_log and active_log rows; activations carry the new-device flag as an extra column."""
+             stored: dict[str, DataFrame] | None = None, tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
+    """What a load adds to login_log and active_log: the first row of each id that the tables in ``stored`` lack.
+
+    Activations carry the new-device flag as an extra column.
+    """
     parsed = staged(parsed_load(df), stage, "route")
     logins = wh.login_rows(parsed.where("route = 'login'"), "doc", [arrival], tz)
     active = wh.active_rows(parsed.where("route = 'active'"), "doc", [arrival], tz)
@@ -50,8 +53,10 @@ def log_load(df: DataFrame, arrival: str, *, device_state: DataFrame | None = No
     flagged = st.new_device(stamped.withColumn("_key", F.concat_ws("_", "union_app_id", "device_id")),
                             ["_key"], arrival, "_ts",
                             state=None if device_state is None else device_state.withColumnRenamed("key", "_key"))
-    return {"login_log": logins, "active_log": flagged.drop("_ts", "_key"),
-            "rejects": lines.rejects(parsed, "log_load")}
+    known = stored or {}
+    return {"login_log": insert_rows(logins, known.get("login_log"), arrival),
+            "active_log": insert_rows(flagged.drop("_ts", "_key"), known.get("active_log"), arrival),
+            "rejects": lines.rejects(parsed, "log_load", kept=[arrival])}
 
 
 def overseas_log_load(df: DataFrame, dims: Dims, arrival: str, *, stage: str | None = None,

@@ -46,15 +46,6 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file:{LOCAL_FOLDER}"
 
 
-def use_all_cores(df):
-    """Spread a source that has fewer splits than the cluster has cores.
-
-    A large source has more splits than cores and passes unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; nothing is ever reused or removed."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

@@ -10,8 +10,12 @@ from ..operators.events import texts_to_time
 
 
 def write_topics(rows: DataFrame, path: str, topic: str = "topic", mode: str = "append") -> None:
-    """One pass over the rows, one folder per topic (file stand-in of a topic write)."""
-    rows.write.mode(mode).partitionBy(topic).parquet(path)
+    """One pass over the rows, one folder per topic (file stand-in of a topic write).
+
+    Rows of a topic are brought together before the write and large topics are split again, so that the number of
+    files follows the bytes and not tasks times topics.
+    """
+    rows.hint("rebalance", topic).write.mode(mode).partitionBy(topic).parquet(path)
 
 
 def write_kafka(rows: DataFrame, options: dict[str, str], topic: str = "topic", value: str = "value") -> None:
@@ -33,14 +37,14 @@ def write_text(rows: DataFrame, column: str, path: str, mode: str = "overwrite")
 
 
 def write_dated(rows: DataFrame, path: str, day: str = "dt", fmt: str = "parquet") -> None:
-    """Replace exactly the days the rows contain."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace exactly the days the rows contain; files per day follow its bytes."""
+    (rows.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day).format(fmt).save(path))
 
 
 def write_jdbc(rows: DataFrame, table: str, options: dict[str, str], writers: int = 16, batch: int = 5000) -> None:
-    """Batched insert with a bounded number of connections."""
-    (rows.coalesce(writers).write.format("jdbc").options(**options)
+    """Batched insert with a bounded number of connections; the stages before it keep their own width."""
+    (rows.repartition(writers).write.format("jdbc").options(**options)
      .option("dbtable", table).option("batchsize", batch).mode("append").save())
 
 

@@ -1,4 +1,4 @@
-"""Queue messages: bounded offset reads and the binary envelope of the collectors.
+"""Queue messages: the binary envelope of the collectors. Offset ranges are read with a source's start and end options.
 
 Envelope, read from the end: mark byte 0xFF, data length, then backwards
 ``data | compression | lines | raw length | system\\x01ip\\x01path``. Integers are
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import times
-from ..operators.lookup import BROADCAST_ROWS
 from ..operators.once import once
 
 # Fixed values of the envelope format.
@@ -25,32 +24,6 @@ PULL_ERROR = "mqPullError"
 SIGN_BIT = 2147483648
 
 
-def offset_range_read(messages: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Rows with ``from_offset <= queue_offset < until_offset`` of their queue.
-
-    Ranges are one row per queue of the run; more than the bound (never seen in
-    practice) leaves the join strategy to the engine.
-    """
-    keys = ["topic", "broker", "queue_id"]
-    side = ranges
-    if ranges.count() <= BROADCAST_ROWS:
-        side = F.broadcast(ranges)
-    inside = (F.col("queue_offset") >= F.col("from_offset")) & (F.col("queue_offset") < F.col("until_offset"))
-    return messages.join(side, keys).where(inside).drop("from_offset", "until_offset")
-
-
-def offset_range_count(ranges: DataFrame) -> DataFrame:
-    """Messages per topic from the ranges alone; a negative range is an error."""
-    size = F.col("until_offset") - F.col("from_offset")
-    checked = F.when(size < 0, F.raise_error(F.concat(F.lit("negative offset range in "), F.col("topic")))
-                     .cast("bigint")).otherwise(size)
-    return ranges.groupBy("topic").agg(F.sum(checked).alias("messages"))
-
-
-def take_by_offset(messages: DataFrame, n: int, order: list[str]) -> DataFrame:
-    return messages.orderBy(*order).limit(n)
-
-
 def _int_at(body: Column, position: Column) -> Column:
     """Decode the 4-byte integer that starts at a 1-based position."""
     return F.conv(F.hex(F.substring(body, position, F.lit(4))), 16, 10).cast("bigint") - SIGN_BIT

@@ -9,9 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lookup import Dimension, lookup
-
-RULE_FILE_LIMIT = 4 * 1024 * 1024
 
 
 def text_scan(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -36,22 +33,19 @@ def jdbc_table(spark: SparkSession, table: str, options: dict[str, str]) -> Data
 
 
 def warehouse_exists(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """How many stored rows each requested key has (0 when none): one lookup, no per-row query."""
-    counts = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("stored"))
-    found = lookup(rows, Dimension(counts, keys, ["stored"], "stored"), [F.col(k) for k in keys], {"stored": "stored"},
-                   default=None)
-    return found.withColumn("stored", F.coalesce("stored", F.lit(0).cast("bigint")))
+    """How many stored rows each requested key has (0 when none).
 
+    Only rows of requested keys are counted; the joins choose their way by size at run time.
+    """
+    asked = rows.select(*keys).distinct()
+    counts = table.select(*keys).join(asked, keys, "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("stored"))
+    return rows.join(counts, keys, "left").withColumn("stored", F.coalesce("stored", F.lit(0).cast("bigint")))
 
-def read_rules(spark: SparkSession, path: str) -> list[tuple[str, str, str, str]]:
-    """(event, group, field, rule) of the XML rule file, in file order.
 
-    The file is configuration: one small file, refused above a fixed size.
-    """
-    found = spark.read.format("binaryFile").load(path).select("length", "content").limit(2).collect()
-    if len(found) != 1 or found[0]["length"] > RULE_FILE_LIMIT:
-        raise ValueError(f"{path} is not a rule file")
-    return rules_of_xml(bytes(found[0]["content"]).decode("utf-8"))
+def read_rules(spark: SparkSession, path: str) -> list[tuple[str, str, str, str]]:
+    """(event, group, field, rule) of an XML rule file, or of all files of a folder by name, in file order."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    return [rule for row in files.orderBy("file").collect() for rule in rules_of_xml(row["value"])]
 
 
 def rules_of_xml(text: str) -> list[tuple[str, str, str, str]]:

@@ -77,6 +77,21 @@ def first_events_stream(stream: DataFrame, out: str, table: StateTable, checkpoi
     return run_batches(stream, handle, checkpoint, interval)
 
 
+def stateful(out: str, table: StateTable, make: Callable[[DataFrame, DataFrame], DataFrame],
+             delta: Callable[[DataFrame], DataFrame], compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """Handler of a whole job with state: ``make(batch, state)`` is written, ``delta(result)`` enters the state.
+
+    A repeated batch reads the state before it and replaces both its rows and its state.
+    """
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if number and number % compact_every == 0:
+            table.compact(spark, number)
+        make(batch, table.read(spark, number)).write.mode("overwrite").parquet(batch_folder(out, number))
+        table.append(delta(spark.read.parquet(batch_folder(out, number))), number)
+    return handle
+
+
 def deduplicated(stream: DataFrame, key: list[str], event_time: str, ttl: str = "300 seconds") -> DataFrame:
     """First row per key within the delay, by event time."""
     return stream.withWatermark(event_time, ttl).dropDuplicatesWithinWatermark(key)

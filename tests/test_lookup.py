@@ -36,7 +36,7 @@ def test_large_dimension_is_not_broadcast_whole(spark):
     source = spark.range(1000).select(F.concat(F.lit("k"), "id").alias("k"), "id")
     dim = Dimension(source, ["k"], ["id"], broadcast_rows=10, hot_rows=50)
     plan = lookup(df, dim, [F.col("k")], {"v": "id"}, default=None)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("strategy=broadcast") == 1 and "left_semi" not in plan.lower().split("strategy=broadcast")[0][:0]
+    assert plan.count("strategy=broadcast") == 1  # the hot keys alone
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         physical = lookup(df, dim, [F.col("k")], {"v": "id"}, default=None)._jdf.queryExecution().executedPlan().toString()

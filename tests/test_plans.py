@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 JOBS = ["login_clean", "order_clean", "own_order_clean", "channel_database", "agency_order_join", "service_clean_agent", "coin_trades", "activations",
-        "old_logins", "ip_region", "refund_update", "lookup_large_dimension", "first_event_running", "offset_range_read"]
+        "old_logins", "ip_region", "refund_update", "lookup_large_dimension", "first_event_running"]
 
 
 def plan(spark, name):

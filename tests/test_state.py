@@ -135,6 +135,27 @@ def test_time_window_duplicates_equal_greedy(spark, seed, span, ttl):
     assert len(got) == len(set(got)) and set(got) == greedy(rows, ttl) | set(free)
 
 
+def test_without_a_window_every_row_stays(spark):
+    df = spark.createDataFrame([("a", 5, 1), ("a", 5, 2), ("b", 6, 3)], "key string, ts bigint, no bigint")
+    for ttl in (0, -1):
+        assert dedupe.dedupe_ttl(df, "key", "ts", "no", ttl=ttl).count() == 3
+
+
+def test_rows_of_one_line_keep_their_order(spark):
+    rows = [(2 ** 50 + i // 4, i % 4, "a", 100 - i) for i in range(40)]
+    df = spark.createDataFrame(rows, "line bigint, row_no int, k string, ts bigint")
+    got = {(r["line"], r["row_no"]): r["low"] for r in st.prior_minimum(df, ["k"], ["line", "row_no"], {"low": F.col("ts")}, block_rows=3).collect()}
+    assert got == {(line, n): (None if i == 0 else 101 - i) for i, (line, n, _, _) in enumerate(rows)}
+
+
+def test_keys_are_shared_where_services_share_them(spark):
+    parts = dict(channel_id=F.lit("c"), game_id=F.lit("g"), user_id=F.lit("u"), device_id=F.lit("d"), game_name=F.lit("n"), app_id=F.lit("p"))
+    key = lambda service, event: spark.range(1).select(st.service_key(service, F.lit(event), **parts)).first()[0]
+    assert key("agent", "login") == key("domestic", "order") == "agent_c_g_u" and key("agent", "active") == "agent_c_d"
+    assert key("overseas", "order") == "channel_overseas_g_u" and key("overseas", "crash") == "channel_overseas_g_d"
+    assert key("sdk", "login") == "agent_n_p_u" and key("channel", "login") == "agent_channel_gu"
+
+
 def test_groups_of_the_window_plan_are_bounded(spark):
     """Both sides of the plan are partitioned by key and block, never by the key alone."""
     df = spark.createDataFrame(rows_with_hot_key(50), SCHEMA)

@@ -56,6 +56,19 @@ def test_restart_reads_nothing_twice(spark, tmp_path):
     assert sorted(r["no"] for r in spark.read.parquet(out).collect()) == list(range(40))
 
 
+def test_repeated_batch_replaces_its_rows(spark, tmp_path):
+    src = folder(spark, tmp_path, [(i,) for i in range(40)], "id bigint")
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    write = jobs.append_once(out, lambda b: b)
+
+    def twice(batch, number):
+        write(batch, number)
+        write(batch, number)
+
+    done(jobs.run_batches(jobs.read_folder(spark, src, "id bigint", options={"maxFilesPerTrigger": "1"}), twice, check))
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(40))
+
+
 def test_windowed_minutes_and_duplicates(spark, tmp_path):
     rows = [(i, i % 3, 1_704_000_000 + i * 7) for i in range(300)]
     src = folder(spark, tmp_path, rows, "id bigint, k int, t bigint")

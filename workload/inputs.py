@@ -16,7 +16,6 @@ from playtrail.operators import geo, guards
 from playtrail.operators.dims import Dims
 from playtrail.operators.lookup import Dimension
 from playtrail.operators.once import once
-from playtrail.session import use_all_cores
 
 
 @lru_cache(maxsize=64)
@@ -27,8 +26,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @lru_cache(maxsize=64)
 def spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table whose rows feed line parsing: small files still use every core."""
-    return use_all_cores(table(spark, sf, name))
+    """A given table whose rows feed line parsing, dealt over all cores as a log of many files is."""
+    return table(spark, sf, name).repartition(spark.sparkContext.defaultParallelism)
 
 
 def ev(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,9 +95,11 @@ def event_doc() -> F.Column:
         F.col("ip").alias("client_ip"), ext("k").alias("ext"), F.array(F.lit("x"), F.lit("y")).alias("tags")))
 
 
-def event_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Framed event lines; error events are truncated JSON."""
+def event_lines(spark: SparkSession, sf: str, activations: bool = False) -> DataFrame:
+    """Framed event lines; error events are truncated JSON. ``activations``: registers are activations instead."""
     e = ev(spark, sf)
+    if activations:
+        e = e.withColumn("kind", F.when(F.col("et") == "signup", F.lit("active")).otherwise(F.col("kind")))
     doc = event_doc()
     body = F.when(F.col("et") == "error", F.substring(doc, F.lit(1), F.length(doc) - 5)).otherwise(doc)
     return once(e, {"value": frame("DATA", body)}, ["eid"])

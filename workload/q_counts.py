@@ -6,7 +6,7 @@ from playtrail.operators import clicks as ck, lines, metrics as mt
 from playtrail.sources import messages
 
 from . import inputs as i
-from .q_decode import CLICK_SQL, MSG_SQL, access_input
+from .q_decode import CLICKED, CLICK_SQL, MSG_SQL, access_input
 from .registry import query
 from .sql import EV, w
 
@@ -20,7 +20,7 @@ def ad_click_per_minute(spark, sf):
     return ck.ad_clicks_per_minute(lines.ad_click_lines(i.click_lines(spark, sf)).where("ok"))
 
 
-@query("page_click_per_minute", w(EV, """pc AS (SELECT strftime(make_timestamp((t + 28800) * 1000000), '%Y-01-%d %H:%M') AS m, et, 'pkg_' || (uid % 6) AS apk, count(*) AS n FROM ev WHERE et <> 'error' GROUP BY ALL)""")
+@query("page_click_per_minute", w(EV, f"""pc AS (SELECT strftime(make_timestamp(({CLICKED} + 28800) * 1000000), '%Y-%m-%d %H:%M') AS m, et, 'pkg_' || (uid % 6) AS apk, count(*) AS n FROM ev WHERE et <> 'error' GROUP BY ALL)""")
        + f"""SELECT upper(md5(m || '`' || et || '`' || apk || n)) AS id, et AS event_tag, apk AS apk_name, {MINUTE}, n::INTEGER AS click_cnt FROM pc""")
 def page_click_per_minute(spark, sf):
     return ck.page_clicks_per_minute(lines.access_lines(access_input(spark, sf)).where("ok"))

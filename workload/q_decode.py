@@ -77,7 +77,7 @@ def ad_click_parse(spark, sf):
 
 def access_input(spark, sf):
     e = i.ev(spark, sf)
-    stamp = F.concat(times.render(F.col("t"), "dd"), F.lit("/Jan/"), times.render(F.col("t"), "yyyy:HH:mm:ss"), F.lit(" +0800"))
+    stamp = F.concat(times.render(F.col("t") + 86400 * (F.col("k") % 300), "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0800"))
     apk = F.when(F.col("et") == "error", F.lit("/none/")).otherwise(
         F.concat(F.lit("/apk_sem/pkg_"), F.col("uid") % 6, F.lit(".apk")))
     line = F.concat(F.col("ip"), F.lit(" - - ["), stamp, F.lit('] "GET /collect.gif?act='), F.col("et"),
@@ -85,12 +85,11 @@ def access_input(spark, sf):
     return once(e, {"value": line}, ["eid"])
 
 
-@query("access_log_parse", w(EV) + f"""SELECT eid, et <> 'error' AS ok, {loc('t')} AS click_time, et AS event_tag,
-  CASE WHEN et = 'error' THEN '' ELSE 'pkg_' || (uid % 6) END AS apk_name,
-  CASE WHEN et = 'error' THEN 'access line error' END AS reject_reason FROM ev WHERE month(make_timestamp((t + 28800) * 1000000)) = 1
-  UNION ALL SELECT eid, et <> 'error', {loc('t').replace('28800', '28800 - 86400 * 31')}, et,
-  CASE WHEN et = 'error' THEN '' ELSE 'pkg_' || (uid % 6) END,
-  CASE WHEN et = 'error' THEN 'access line error' END FROM ev WHERE month(make_timestamp((t + 28800) * 1000000)) <> 1""")
+CLICKED = "t + 86400 * (k % 300)"
+
+
+@query("access_log_parse", w(EV) + f"""SELECT eid, et <> 'error' AS ok, {loc(CLICKED)} AS click_time, et AS event_tag,
+  CASE WHEN et = 'error' THEN '' ELSE 'pkg_' || (uid % 6) END AS apk_name, CASE WHEN et = 'error' THEN 'access line error' END AS reject_reason FROM ev""")
 def access_log_parse(spark, sf):
     return lines.access_lines(access_input(spark, sf)).drop("value")
 

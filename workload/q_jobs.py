@@ -11,14 +11,14 @@ from playtrail.session import fresh_path
 from playtrail.sinks import files
 
 from . import inputs as i
-from .q_decode import CLICK_SQL, COIN_SQL, SDK_KEYS, SDK_SQL, MSG_SQL, access_input, active_input, coin_json_input, coin_tsv_input, sdk_input
+from .q_decode import CLICKED, CLICK_SQL, COIN_SQL, SDK_KEYS, SDK_SQL, MSG_SQL, access_input, active_input, coin_json_input, coin_tsv_input, sdk_input
 from .q_filters import FIRST
 from .q_joins import COIN_RESOLVED, LOGIN_SQL, ORDER_SQL
 from .q_routes import flat_logins
-from .q_rows import GID, ORDER_IDS, OWNCH
+from .q_rows import AD, GID, ORDER_IDS, OWNCH, PF, UNAME
 from .q_state import running, stamped_sql
 from .registry import query
-from .sql import DIMS, EV, OD, REGIONS, STATE, day, w
+from .sql import DIMS, EV, OD, REGIONS, STATE, day, daykey, w
 
 LOGIN_RULES = [("login", "user", "user_id", "1"), ("login", "game", "game_id", "1")]
 STAMPS = ["first_order_date", "server_date_day", "server_date_hour", "server_date_minute", "reg_date"]
@@ -336,33 +336,64 @@ def activations(spark, sf):
     return out.select("eid", "ok", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ("channel_id", "game_id", "device_id", "new_device")])
 
 
-@query("forward", w(EV, MSG_SQL) + """SELECT data_system AS topic, count(*) * 2 AS n FROM msg WHERE data_system <> '' GROUP BY 1""")
+@query("forward", w(EV, MSG_SQL) + """SELECT data_system AS topic, eid, n - 1 AS line_no, CASE WHEN n = 1 THEN 'line ' || eid ELSE 'value ' || k END AS value FROM msg, (VALUES (1), (2)) AS r(n) WHERE data_system <> ''""")
 def forward(spark, sf):
     coded = messages.envelope_encode(i.messages(spark, sf)).select("eid", "body")
-    return feeds.forward(coded, lz4=False).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("ad_click_load", w(EV, CLICK_SQL) + """SELECT CASE company_id WHEN '1' THEN 'a' ELSE 'b' END AS target, CASE WHEN ad0 = '' THEN 0 ELSE CAST(ad0 AS INTEGER) END AS ad_id, cgame AS game, sum(n)::BIGINT AS clicks, count(*) AS rows FROM (
-  SELECT company_id, ad0, substr(click_time, 1, 16) AS m, cgame, pf, channel, count(*) AS n FROM clicks WHERE reason IS NULL AND cgame LIKE 'U%' GROUP BY ALL) GROUP BY ALL""")
-def ad_click_load(spark, sf):
-    counts = feeds.ad_click_counts(feeds.ad_clicks(i.click_lines(spark, sf)), {"1": "a", "5": "b"})
-    return counts.groupBy("target", "ad_id", "game").agg(F.sum("click_cnt").alias("clicks"), F.count(F.lit(1)).alias("rows"))
-
-
-@query("page_click_load", w(EV) + """SELECT event_tag, sum(n)::BIGINT AS clicks, count(*) AS rows FROM (SELECT et AS event_tag, strftime(make_timestamp((t + 28800) * 1000000), '%Y-01-%d %H:%M') AS m, uid % 6 AS apk, count(*) AS n
-  FROM ev WHERE et <> 'error' GROUP BY ALL) GROUP BY 1""")
+    return feeds.forward(coded, lz4=False).select("topic", "eid", "line_no", "value")
+
+
+AD_JOB = """counted AS (SELECT *, CASE company_id WHEN '1' THEN 'a' WHEN '5' THEN 'b' END AS target FROM clicks WHERE reason IS NULL AND cgame LIKE 'U%'),
+stored AS (SELECT 'company_id_' || company_id || '_api_click_detail_' || cgame || '_' || x AS key, eid, CASE WHEN et = 'purchase' THEN sts ELSE t END AS moment FROM clicks, (VALUES (0), (1)) AS r(n),
+  LATERAL (SELECT CASE WHEN n = 0 THEN ip ELSE cdev END AS x) WHERE reason IS NULL AND (n = 0 OR cdev <> ''))"""
+
+
+@query("ad_click_job", w(EV, CLICK_SQL, AD_JOB) + """SELECT 'topic' AS part, eid, target AS a, click_time AS b, NULL AS n FROM counted WHERE target IS NOT NULL
+  UNION ALL SELECT 'detail', eid, company_id, click_time, CASE WHEN channel <> '' THEN 1 ELSE 0 END FROM clicks WHERE reason IS NULL
+  UNION ALL SELECT 'keys', max(eid), key, NULL, arg_max(moment, eid) + 259200 FROM stored GROUP BY key HAVING arg_max(moment, eid) + 259200 > 1706140800
+  UNION ALL SELECT 'counts', NULL, target || CASE WHEN ad0 = '' THEN '0' ELSE ad0 END || cgame || channel, substr(click_time, 1, 16), count(*) FROM counted WHERE target IS NOT NULL GROUP BY target, ad0, cgame, channel, pf, substr(click_time, 1, 16)
+  UNION ALL SELECT 'rejects', eid, reason, NULL, NULL FROM clicks WHERE reason IS NOT NULL""")
+def ad_click_job(spark, sf):
+    """Every output of the click job, row by row."""
+    out = feeds.ad_click_job(i.click_lines(spark, sf).drop("t"), "eid", {"1": "a", "5": "b"}, now=F.lit(1706140800))
+    eid, none, number = F.col("eid"), F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    minute = F.concat(F.regexp_replace(F.col("click_date").cast("string"), "(....)(..)(..)", "$1-$2-$3"), F.format_string(" %02d:%02d", "click_hour", "click_minute"))
+    parts = {"topic": (eid, F.col("target"), F.col("click_time"), number), "detail": (eid, F.col("company_id"), F.col("click_time"), F.col("ok").cast("bigint")),
+             "keys": (F.col("value"), F.col("key"), none, F.col("expires_at")), "rejects": (eid, F.col("info"), none, number)}
+    rows = [out[p].select(F.lit(p).alias("part"), *[c.alias(n) for n, c in zip(("eid", "a", "b", "n"), cols)]) for p, cols in parts.items()]
+    counts = out["counts"].select(F.lit("counts").alias("part"), number.alias("eid"), F.concat("target", F.col("ad_id").cast("string"), "game", "channel").alias("a"), minute.alias("b"), F.col("click_cnt").cast("bigint").alias("n"))
+    done = counts
+    for r in rows:
+        done = done.unionByName(r)
+    return done
+
+
+@query("page_click_load", w(EV) + f"""SELECT event_tag, 'pkg_' || apk AS apk_name, CAST(replace(substr(m, 1, 10), '-', '') AS INTEGER) AS click_date, CAST(substr(m, 12, 2) AS INTEGER) AS click_hour, CAST(substr(m, 15, 2) AS INTEGER) AS click_minute, n::INTEGER AS click_cnt FROM
+  (SELECT et AS event_tag, strftime(make_timestamp(({CLICKED} + 28800) * 1000000), '%Y-%m-%d %H:%M') AS m, uid % 6 AS apk, count(*) AS n FROM ev WHERE et <> 'error' GROUP BY ALL)""")
 def page_click_load(spark, sf):
-    return feeds.page_clicks(access_input(spark, sf)).groupBy("event_tag").agg(F.sum("click_cnt").alias("clicks"), F.count(F.lit(1)).alias("rows"))
+    return feeds.page_clicks(access_input(spark, sf)).select("event_tag", "apk_name", "click_date", "click_hour", "click_minute", "click_cnt")
 
 
-@query("log_load", w(EV) + f"""SELECT 'login_log' AS "table", count(*) AS n, count(DISTINCT device) AS devices FROM ev WHERE et = 'view' UNION ALL
-  SELECT 'active_log', count(*), 0 FROM ev WHERE FALSE UNION ALL SELECT 'rejects', count(*), 0 FROM ev WHERE et = 'error'""")
+@query("log_load", w(EV) + f"""SELECT 'login_log' AS "table", min(eid) AS eid, upper(md5(sts || {day('sts')} || {daykey('sts')} || uid || {UNAME} || {GID} || {AD} || device || ip || {PF})) AS id, NULL AS new_device FROM ev
+  WHERE et = 'view' AND eid >= 500 GROUP BY ALL
+  UNION ALL SELECT 'active_log', a.eid, a.id, CASE WHEN coalesce(prior, sts) >= sts THEN 1 ELSE 0 END FROM (SELECT *, upper(md5({GID} || device)) AS id, row_number() OVER (PARTITION BY {GID}, device ORDER BY eid) AS nth,
+    min(sts) OVER (PARTITION BY {GID}, device ORDER BY eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM ev WHERE et = 'signup') a WHERE nth = 1 AND uid % 80 >= 5
+  UNION ALL SELECT 'rejects', eid, 'json parse error', NULL FROM ev WHERE et = 'error'""")
 def log_load(spark, sf):
-    out = loads.log_load(i.event_lines(spark, sf), "eid", stage=fresh_path(spark, "log_load"))
-    n, zero = F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("devices")
-    return (out["login_log"].agg(F.lit("login_log").alias("table"), n, F.countDistinct("device_id").alias("devices"))
-            .unionByName(out["active_log"].agg(F.lit("active_log").alias("table"), n, zero))
-            .unionByName(out["rejects"].agg(F.lit("rejects").alias("table"), n, zero)))
+    """Logins and activations of one log; ids that the tables already hold are not added again."""
+    lines_in = i.event_lines(spark, sf, activations=True)
+    known = loads.log_load(lines_in, "eid", stage=fresh_path(spark, "log_load"))
+    game = F.concat(100000000 + F.col("uid") % 80)
+    stored = {"login_log": known["login_log"].where("eid < 500").select("id"),
+              "active_log": i.ev(spark, sf).where("uid % 80 < 5").select(F.upper(F.md5(F.concat(game.cast("string"), "device"))).alias("id")).distinct()}
+    out = loads.log_load(lines_in, "eid", stage=fresh_path(spark, "log_load"), stored=stored)
+    none = F.lit(None).cast("int").alias("new_device")
+    return (out["login_log"].select(F.lit("login_log").alias("table"), "eid", "id", none)
+            .unionByName(out["active_log"].select(F.lit("active_log").alias("table"), "eid", "id", "new_device"))
+            .unionByName(lines_rejects(out["rejects"])))
+
+
+def lines_rejects(rejected):
+    return rejected.select(F.lit("rejects").alias("table"), F.col("eid"), F.col("info").alias("id"), F.lit(None).cast("int").alias("new_device"))
 
 
 @query("database_load", w(OD, f"""us AS (SELECT oid, {GID} AS game, 'dev-' || (uid % 40) AS device, t FROM od WHERE tab = 'user' AND oid % 2 = 0 AND oid % 41 <> 5)""")
@@ -380,10 +411,10 @@ def database_load(spark, sf):
 COIN_OK = "game_id <> '' AND (own OR gch = '2050' OR num IS NOT NULL) AND 'error' NOT IN (game_id, channel_id, game_channel_id)"
 
 
-@query("overseas_log_load", w(EV, DIMS) + f"""SELECT 'login_log' AS "table", count(*) AS n, sum(k)::BIGINT AS total FROM (SELECT uid % 97 AS k FROM ev WHERE et = 'view')
-  UNION ALL SELECT 'af_active', count(*), sum(p_partkey)::BIGINT FROM ev LEFT JOIN part ON p_partkey = k * 30 WHERE et = 'signup'
-  UNION ALL SELECT 'voided_order', count(*), sum(eid)::BIGINT FROM ev WHERE et = 'purchase'
-  UNION ALL SELECT 'refunds', 2 * count(*), sum(3 + 3)::BIGINT FROM ev WHERE et = 'click'""")
+@query("overseas_log_load", w(EV, DIMS) + f"""SELECT 'login_log' AS "table", eid, CAST(uid % 97 AS VARCHAR) AS what, NULL AS hours FROM ev WHERE et = 'view'
+  UNION ALL SELECT 'af_active', eid, CAST(1 + p_partkey % 97 AS VARCHAR), NULL FROM ev LEFT JOIN part ON p_partkey = k * 30 WHERE et = 'signup'
+  UNION ALL SELECT 'voided_order', eid, CAST(eid AS VARCHAR), NULL FROM ev WHERE et = 'purchase'
+  UNION ALL SELECT 'refunds', eid, 'tok-' || eid, 3::BIGINT FROM ev, (VALUES (0), (1)) AS r(n) WHERE et = 'click'""")
 def overseas_log_load(spark, sf):
     """One log with logins, installs, purchases and refund lists, each to its own table."""
     e = F.col
@@ -397,15 +428,11 @@ def overseas_log_load(spark, sf):
                 google_data=F.when(kind("click"), F.struct(F.array(entry, entry).alias("voidedPurchases"))))
     text = F.when(kind("error"), F.lit("DATA[{]")).otherwise(F.concat(F.lit("DATA["), doc, F.lit("]")))
     lines_in = i.once(i.ev(spark, sf), {"value": text}, ["eid"])
-    d = i.dims(spark, sf)
-    out = loads.overseas_log_load(lines_in, d, "eid", stage=fresh_path(spark, "overseas_log_load"))
-    n = F.count(F.lit(1)).alias("n")
-    total = lambda c: F.sum(c.cast("bigint")).alias("total")
-    part_of = F.regexp_extract("game", r"(\d+)$", 1)
-    return (out["login_log"].agg(F.lit("login_log").alias("table"), n, total(e("user_id")))
-            .unionByName(out["af_active"].agg(F.lit("af_active").alias("table"), n, total(F.when(e("game_id").isNotNull(), part_of))))
-            .unionByName(out["voided_order"].agg(F.lit("voided_order").alias("table"), n, total(e("order_sn"))))
-            .unionByName(out["refunds"].agg(F.lit("refunds").alias("table"), n, total(e("time_interval")))))
+    out = loads.overseas_log_load(lines_in, i.dims(spark, sf), "eid", stage=fresh_path(spark, "overseas_log_load"))
+    row = lambda name, what, hours=F.lit(None): out[name].select(F.lit(name).alias("table"), "eid", what.alias("what"), hours.cast("bigint").alias("hours"))
+    installed = F.when(e("game_id").isNotNull() & (e("game_id") != ""), e("game_id").cast("string")) if "game_id" in out["af_active"].columns else e("game").cast("string")
+    return (row("login_log", e("user_id")).unionByName(row("af_active", installed)).unionByName(row("voided_order", e("order_sn").cast("string")))
+            .unionByName(row("refunds", e("purchase_token"), e("time_interval"))))
 
 
 @query("coin_trades", w(EV, COIN_SQL, DIMS, COIN_RESOLVED) + f"""SELECT eid, 0 AS object_no, {COIN_OK} AS ok, game_id, channel_id, game_channel_id, strftime(make_timestamp((t + 28800) * 1000000), '%Y%m%d') AS trade_date FROM cr
@@ -418,10 +445,12 @@ def coin_trades(spark, sf):
     return out.select("eid", "object_no", "ok", "game_id", "channel_id", "game_channel_id", "trade_date")
 
 
-@query("coin_export", w(EV, COIN_SQL, DIMS, COIN_RESOLVED) + f"""SELECT ok, reason, count(*) AS n FROM (SELECT k NOT IN (20, 21) AND {COIN_OK} AS ok, CASE WHEN k IN (20, 21) THEN 'not 14 fields' WHEN NOT ({COIN_OK}) THEN 'unresolved field' END AS reason FROM cr) GROUP BY ALL""")
+@query("coin_export", w(EV, COIN_SQL, DIMS, COIN_RESOLVED) + f"""SELECT eid, k NOT IN (20, 21) AND {COIN_OK} AS ok, CASE WHEN k IN (20, 21) THEN 'not 14 fields' WHEN NOT ({COIN_OK}) THEN 'unresolved field' END AS reason,
+  CASE WHEN k NOT IN (20, 21) THEN game_id END AS game_id, CASE WHEN k NOT IN (20, 21) THEN channel_id END AS channel_id FROM cr""")
 def coin_export(spark, sf):
     out = feeds.coin_trades(coin_tsv_input(spark, sf), i.dims(spark, sf), tsv=True)
-    return out.groupBy("ok", F.col("reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    read = F.coalesce(F.col("reject_reason") != "not 14 fields", F.lit(True))
+    return out.select("eid", "ok", F.col("reject_reason").alias("reason"), F.when(read, F.col("game_id")).alias("game_id"), F.when(read, F.col("channel_id")).alias("channel_id"))
 
 
 @query("sdk_events", SDK_SQL)
@@ -436,8 +465,8 @@ def sdk_flat(spark, sf):
     return feeds.sdk_flat(i.event_lines(spark, sf), ["user", "device"]).select("eid", "user-user_id", "device-device_id", "event", "ip", "server_ts", "server_date_day", "reject_reason")
 
 
-@query("olap_feed", w(EV, OD) + f"""SELECT event, server_date_day, count(*) AS n, sum(cents)::BIGINT AS cents FROM (SELECT 'login' AS event, {day('t')} AS server_date_day, 0 AS cents FROM ev WHERE kind = 'login' AND k <> 77
-  UNION ALL SELECT 'order', {day('t')}, CAST(round(money * 100) AS BIGINT) FROM od WHERE pay = 1 AND step = 2) GROUP BY ALL""")
+@query("olap_feed", w(EV, OD) + f"""SELECT 'login' AS event, {day('t')} AS server_date_day, CAST(uid AS VARCHAR) AS user_id, game AS game_id, NULL AS cents FROM ev WHERE kind = 'login' AND k <> 77
+  UNION ALL SELECT 'order', {day('t')}, CAST(uid AS VARCHAR), CAST(game AS VARCHAR), CAST(round(money * 100) AS BIGINT) FROM od WHERE pay = 1 AND step = 2""")
 def olap_feed(spark, sf):
     o = i.od(spark, sf)
     t = F.col("t")
@@ -445,8 +474,7 @@ def olap_feed(spark, sf):
                     F.col("money").cast("string").alias("money"), times.day(t).alias("server_date_day"), times.hour(t).alias("server_date_hour"), F.lit("").alias("reg_date"),
                     F.lit("").alias("first_order_date"), F.col("game").alias("game_id"), F.lit("c").alias("channel_id"), F.lit("g").alias("game_channel_id"), F.lit("o").alias("os_type"), F.col("uid").alias("user_id"))
     feed = feeds.olap_feed(flat_logins(spark, sf), paid)
-    cents = F.coalesce(F.round(F.col("money") * 100).cast("bigint"), F.lit(0))
-    return feed.groupBy("event", "server_date_day").agg(F.count(F.lit(1)).alias("n"), F.sum(cents).alias("cents"))
+    return feed.select("event", "server_date_day", "user_id", "game_id", F.round(F.col("money") * 100).cast("bigint").alias("cents"))
 
 
 OLD_SQL = f"""ba AS (SELECT *, uid % 97 >= 62 AS big, et IN ('signup', 'click') AS open, CASE WHEN uid % 97 >= 62 THEN gc WHEN et = 'signup' THEN sub ELSE ch END AS c0 FROM ev WHERE et <> 'error'),
@@ -464,11 +492,54 @@ def old_logins(spark, sf):
     return out.select("eid", "channel_id", "game_channel_id", "os_type", "reg_date")
 
 
-@query("replay", w(EV) + "SELECT 'again' AS topic, count(*) AS n, sum(length(device))::BIGINT AS chars FROM ev")
+@query("replay", w(EV) + "SELECT 'again' AS topic, device || ' ' || eid AS value FROM ev")
 def replay(spark, sf):
     path = fresh_path(spark, "replay")
-    files.write_text(i.ev(spark, sf), "device", path)
-    out = feeds.replay(tables.text_scan(spark, path), "again")
-    return out.groupBy("topic").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars"))
+    files.write_text(i.ev(spark, sf).select(F.concat_ws(" ", "device", "eid").alias("l")), "l", path)
+    return feeds.replay(tables.text_scan(spark, path), "again")
+
+
+@query("login_replay", LOGIN_CLEAN_SQL)
+def login_replay(spark, sf):
+    """Batch replay of logins from plain text with an arrival number: the rows of the stream job."""
+    d = i.dims(spark, sf)
+    out = logins.agency_logins(i.old_login_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", rules=LOGIN_RULES, state=i.stored_state(spark, sf),
+                               wrapped=False, flag_only=True)
+    return login_columns(out)
 
 
+@query("order_replay", w(OD, DIMS, REGIONS, ORDER_SQL, ORDER_CLEAN.replace("pay = 1 AND step = 2", "pay = 1")) + f"""SELECT oid, row_no, route, {only("route = 'agentDB'", 'first_order_date', 'reg_date')} FROM os3""")
+def order_replay(spark, sf):
+    """Batch replay of orders: the pay flag alone makes a payment."""
+    d = i.dims(spark, sf)
+    out = orders.agency_orders(i.agency_order_lines(spark, sf), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "oid", wrapped=False, flag_only=True)
+    return out.select("oid", "row_no", "route", "first_order_date", "reg_date")
+
+
+@query("cohort_export", w(EV) + f"""SELECT {day('t')} AS reg_date, 'im' || uid AS android_imei FROM ev WHERE {day('t')} = {day('sts')} AND gc = '5007'""")
+def cohort_export(spark, sf):
+    """One folder per date."""
+    path = fresh_path(spark, "cohort")
+    users = i.ev(spark, sf).select(times.day(F.col("t")).alias("reg_date"), times.day(F.col("sts")).alias("server_date_day"), F.col("gc").alias("game_channel_id"),
+                                   F.concat(F.lit("im"), "uid").alias("android_imei"))
+    feeds.cohort_export(users, "5007", [f"2024-{m:02d}-{d:02d}" for m in (1, 2) for d in range(1, 32)], path)
+    return spark.read.schema("android_imei string, reg_date string").parquet(path)
+
+
+@query("database_load_batch", w(OD) + f"""SELECT oid, upper(md5(oid || '' || (CASE WHEN pay = 1 THEN 2 ELSE step END) || pay)) AS id, CASE WHEN pay = 1 THEN 2 ELSE step END AS status, money FROM od
+  WHERE tab = 'order' AND ((pay = 0 AND step = 1) OR (pay = 1 AND step = 2))""")
+def database_load_batch(spark, sf):
+    """Export form: a paid order has status 2."""
+    out = loads.database_load(i.own_order_lines(spark, sf), "oid", batch=True, stage=fresh_path(spark, "database_load"))
+    return out["order_log"].select("oid", "id", "status", "money")
+
+
+@query("database_load_overseas", w(OD, DIMS) + f"""SELECT 'order_log' AS kind, oid, upper(md5(oid || '' || step || pay || (t * 1000) || (t * 1000))) AS id, coalesce(cny, 1.0) * money AS money, coalesce(usd, 1.0) * money AS imf_money
+  FROM od LEFT JOIN rate ON cur = currency WHERE tab = 'order' AND ((pay = 0 AND step = 1) OR (pay = 1 AND step = 2))
+  UNION ALL SELECT 'user', oid, CAST(uid AS VARCHAR), NULL, NULL FROM od WHERE tab = 'user' AND oid % 2 = 0""")
+def database_load_overseas(spark, sf):
+    """Overseas form: both converted amounts; users as they register."""
+    out = loads.database_load(i.own_order_lines(spark, sf), "oid", dims=i.dims(spark, sf), overseas=True, stage=fresh_path(spark, "database_load"))
+    none = F.lit(None).cast("double")
+    return (out["order_log"].select(F.lit("order_log").alias("kind"), "oid", "id", "money", "imf_money")
+            .unionByName(out["user"].select(F.lit("user").alias("kind"), "oid", F.col("user_id").alias("id"), none.alias("money"), none.alias("imf_money"))))

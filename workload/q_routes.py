@@ -71,13 +71,12 @@ def every_row_one_route(spark, sf):
     return out.groupBy(route.route_login("agentLoginSrc", F.col("resolved"), F.col("s")).alias("route")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sink_topics", w(EV) + """SELECT 'top-' || et AS topic, count(*) AS n, sum(length('v' || eid))::BIGINT AS chars FROM ev GROUP BY 1""")
+@query("sink_topics", w(EV) + """SELECT 'top-' || et AS topic, 'v' || eid AS value FROM ev""")
 def sink_topics(spark, sf):
     path = fresh_path(spark, "sink_topics")
     rows = i.ev(spark, sf).select(F.concat(F.lit("top-"), "et").alias("topic"), F.concat(F.lit("v"), "eid").alias("value"))
     files.write_topics(rows, path)
-    return spark.read.parquet(path).groupBy(F.col("topic").cast("string").alias("topic")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars"))
+    return spark.read.schema("value string, topic string").parquet(path)
 
 
 @query("sink_json", w(EV) + """SELECT eid, et, device, val FROM ev""")
@@ -87,24 +86,22 @@ def sink_json(spark, sf):
     return spark.read.schema("eid bigint, et string, device string, val double").json(path)
 
 
-@query("sink_partitioned", w(EV) + f"""SELECT {day('t')} AS dt, count(*) AS n, min(eid) AS lo FROM ev GROUP BY 1""")
+@query("sink_partitioned", w(EV) + f"""SELECT {day('t')} AS dt, eid FROM ev""")
 def sink_partitioned(spark, sf):
     """Days written twice: the second write replaces exactly its own days."""
     path = fresh_path(spark, "sink_partitioned")
     rows = i.ev(spark, sf).select(times.day(F.col("t")).alias("dt"), "eid")
     files.write_dated(rows.where("dt < '2024-01-20'").withColumn("eid", F.lit(-1).cast("bigint")), path)
     files.write_dated(rows, path)
-    back = spark.read.schema("eid bigint, dt string").parquet(path)
-    return back.groupBy("dt").agg(F.count(F.lit(1)).alias("n"), F.min("eid").alias("lo"))
+    return spark.read.schema("eid bigint, dt string").parquet(path)
 
 
-@query("click_detail_by_day", w(EV, CLICK_SQL) + """SELECT substr(click_time, 1, 10) AS click_day, company_id, count(*) AS n FROM clicks WHERE reason IS NULL AND channel <> '' GROUP BY ALL""")
+@query("click_detail_by_day", w(EV, CLICK_SQL) + """SELECT eid, substr(click_time, 1, 10) AS click_day, company_id, click_time, channel, 0::SMALLINT AS is_used FROM clicks WHERE reason IS NULL AND channel <> ''""")
 def click_detail_by_day(spark, sf):
     path = fresh_path(spark, "click_detail")
-    rows = ck.click_detail_rows(lines.ad_click_lines(i.click_lines(spark, sf)).where("ok"))
+    rows = ck.click_detail_rows(lines.ad_click_lines(i.click_lines(spark, sf)).where("ok"), ["eid"])
     files.write_dated(rows.where("ok").drop("ok"), path, "click_day")
-    back = spark.read.schema("company_id string, click_day string").parquet(path)
-    return back.groupBy("click_day", "company_id").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.schema("eid bigint, company_id string, click_time string, channel string, is_used smallint, click_day string").parquet(path)
 
 
 def flat_logins(spark, sf):

@@ -151,9 +151,11 @@ ORDER_IDS = f"""oj AS (SELECT od.*, coalesce(b.game_channel_id, 'error') AS jgc,
   LEFT JOIN BELONG b ON b.belong_game_id = {GID}),
 ok AS (SELECT oj.*, coalesce(c.company_id, 'error') AS company, coalesce(os.pf, '') AS os FROM oj LEFT JOIN company c ON c.game_id = jg LEFT JOIN os ON os.channel_id = jch)"""
 STEPS = "CASE step WHEN 1 THEN 'create_order' WHEN 2 THEN 'paid_success' ELSE 'notify_cp_success' END"
-DOM = ("CASE oid % 24 WHEN 1 THEN 'alipay' WHEN 9 THEN 'alipay' WHEN 10 THEN 'alipay' WHEN 14 THEN 'alipay' WHEN 5 THEN 'yeebao' WHEN 7 THEN 'apple_pay' "
-       "WHEN 8 THEN 'iapppay' WHEN 20 THEN 'unionpay' " + " ".join(f"WHEN {c} THEN 'weichat_pay'" for c in (6, 12, 13, 15, 17, 18, 19, 21, 22))
-       + " ELSE CAST(oid % 24 AS VARCHAR) END")
+# Payment type codes and their labels, code by code.
+DOM = ("CASE oid % 24 WHEN 1 THEN 'alipay' WHEN 5 THEN 'yeebao' WHEN 6 THEN 'weichat_pay' WHEN 7 THEN 'apple_pay' WHEN 8 THEN 'iapppay' WHEN 9 THEN 'alipay' "
+       "WHEN 10 THEN 'alipay' WHEN 12 THEN 'weichat_pay' WHEN 13 THEN 'weichat_pay' WHEN 14 THEN 'alipay' WHEN 15 THEN 'weichat_pay' WHEN 17 THEN 'weichat_pay' "
+       "WHEN 18 THEN 'weichat_pay' WHEN 19 THEN 'weichat_pay' WHEN 20 THEN 'unionpay' WHEN 21 THEN 'weichat_pay' WHEN 22 THEN 'weichat_pay' "
+       "ELSE CAST(oid % 24 AS VARCHAR) END")
 EVENT_COLS = ["user.user_id", "game.game_id", "game.company_id", "game.app_key", "agent.channel_id", "agent.game_channel_id", "device.os_type",
               "device.device_id", "role.role_id", "role.role_server", "order.order_sn", "order.order_step", "order.order_status", "order.order_type",
               "order.money", "order.currency_type", "order.channel_trade_sn", "event", "is_test", "server_ts", "client_ip", "sub_pf"]
@@ -200,13 +202,12 @@ def register_event(spark, sf):
     return events.register_event(own_rows(spark, sf), i.dims(spark, sf)).select("oid", *REGISTER_COLS)
 
 
-@query("union_events", w(OD, DIMS, ORDER_IDS.replace("BELONG", "belong")) + """SELECT event, game_id, count(*) AS n, count(order_sn) AS with_order FROM (
-  SELECT 'order' AS event, jg AS game_id, oid AS order_sn FROM ok WHERE tab = 'order' UNION ALL SELECT 'register', jg, NULL FROM ok WHERE tab = 'user') GROUP BY ALL""")
+@query("union_events", w(OD, DIMS, ORDER_IDS.replace("BELONG", "belong")) + """SELECT oid, 'order' AS event, jg AS game_id, CAST(oid AS VARCHAR) AS order_sn, t AS server_ts FROM ok WHERE tab = 'order' UNION ALL SELECT oid, 'register', jg, NULL, t FROM ok WHERE tab = 'user'""")
 def union_events(spark, sf):
     rows, d = own_rows(spark, sf), i.dims(spark, sf)
     both = events.union_events(events.order_event(rows.where(F.col("table") == "order"), d),
                                events.register_event(rows.where(F.col("table") == "user"), d).drop("status"))
-    return both.groupBy("event", F.col("game.game_id").alias("game_id")).agg(F.count(F.lit(1)).alias("n"), F.count("order.order_sn").alias("with_order"))
+    return both.select("oid", "event", "game.game_id", "order.order_sn", "server_ts")
 
 
 @query("login_event", w(EV) + """SELECT eid, CAST(uid AS VARCHAR) AS user_id, '' AS user_name, game AS game_id, CASE et WHEN 'view' THEN '' WHEN 'signup' THEN sub ELSE ch END AS channel_id,

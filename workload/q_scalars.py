@@ -86,9 +86,11 @@ def label_sql(col, table):
 
 # the expected labels are written out here on their own, not taken from the library
 STEP = {"1": "create_order", "2": "paid_success", "4": "notify_cp_success"}
-DOMESTIC = {**{str(c): "alipay" for c in (1, 9, 10, 14)}, **{str(c): "weichat_pay" for c in (6, 12, 13, 15, 17, 18, 19, 21, 22)},
-            "5": "yeebao", "7": "apple_pay", "8": "iapppay", "20": "unionpay"}
-OVERSEAS = dict(zip("1234567", ("google_pay", "mycard", "visa_global", "apple_pay", "mol", "huawei", "onestore")))
+# Payment type codes and their labels, code by code.
+DOMESTIC = {"1": "alipay", "5": "yeebao", "6": "weichat_pay", "7": "apple_pay", "8": "iapppay", "9": "alipay", "10": "alipay",
+            "12": "weichat_pay", "13": "weichat_pay", "14": "alipay", "15": "weichat_pay", "17": "weichat_pay", "18": "weichat_pay",
+            "19": "weichat_pay", "20": "unionpay", "21": "weichat_pay", "22": "weichat_pay"}
+OVERSEAS = {"1": "google_pay", "2": "mycard", "3": "visa_global", "4": "apple_pay", "5": "mol", "6": "huawei", "7": "onestore"}
 
 
 @query("code_labels", w(OD) + f"""SELECT oid, {label_sql('step', STEP)} AS step_label, CASE pay WHEN 0 THEN 'failure' ELSE 'success' END AS pay_label,

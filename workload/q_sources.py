@@ -5,49 +5,19 @@ from pyspark.sql import functions as F
 from playtrail.operators import dims as dm, geo, state as st
 from playtrail.session import fresh_path
 from playtrail.sinks import files
-from playtrail.sources import messages, tables
+from playtrail.sources import tables
 
 from . import inputs as i
 from .registry import query
 from .sql import EV, REGIONS, w
 
-MSG = """msg AS (SELECT *, 'top-' || et AS topic, 'b1' AS broker, CAST(eid % 4 AS INTEGER) AS queue_id, eid // 4 AS queue_offset FROM ev)"""
-RANGES = """ranges AS (SELECT topic, broker, queue_id, (max(queue_offset) + 1) // 3 AS from_offset, (max(queue_offset) + 1) * 2 // 3 AS until_offset
-  FROM msg GROUP BY ALL)"""
-
-
-def offset_ranges(spark, sf):
-    """The middle third of every queue."""
-    return i.messages(spark, sf).groupBy("topic", "broker", "queue_id").agg(F.max("queue_offset").alias("m")).selectExpr(
-        "topic", "broker", "queue_id", "(m + 1) div 3 AS from_offset", "(m + 1) * 2 div 3 AS until_offset")
-
-
-@query("offset_range_read", w(EV, MSG, RANGES) + """SELECT topic, broker, queue_id, queue_offset, eid FROM msg JOIN ranges USING (topic, broker, queue_id)
-  WHERE queue_offset >= from_offset AND queue_offset < until_offset""")
-def offset_range_read(spark, sf):
-    read = messages.offset_range_read(i.messages(spark, sf), offset_ranges(spark, sf))
-    return read.select("topic", "broker", "queue_id", "queue_offset", "eid")
-
-
-@query("offset_range_count", w(EV, MSG, RANGES) + """SELECT topic, sum(until_offset - from_offset)::BIGINT AS messages FROM ranges GROUP BY 1""")
-def offset_range_count(spark, sf):
-    return messages.offset_range_count(offset_ranges(spark, sf))
-
-
-@query("take_by_offset", w(EV, MSG) + "SELECT topic, queue_id, queue_offset, eid FROM msg ORDER BY queue_offset, queue_id, topic LIMIT 500")
-def take_by_offset(spark, sf):
-    taken = messages.take_by_offset(i.messages(spark, sf), 500, ["queue_offset", "queue_id", "topic"])
-    return taken.select("topic", "queue_id", "queue_offset", "eid")
-
-
-@query("text_scan", w(EV) + """SELECT et, count(*) AS n, sum(k)::BIGINT AS k FROM ev GROUP BY 1""")
+@query("text_scan", w(EV) + """SELECT eid, et, k FROM ev""")
 def text_scan(spark, sf):
     """Lines written as text files, read back by glob."""
     path = fresh_path(spark, "text_scan")
-    files.write_text(i.ev(spark, sf).select(F.concat_ws("\t", "et", F.col("k").cast("string")).alias("l")), "l", path)
+    files.write_text(i.ev(spark, sf).select(F.concat_ws("\t", "eid", "et", "k").alias("l")), "l", path)
     cells = F.split("value", "\t")
-    return tables.text_scan(spark, f"{path}/part-*").groupBy(cells[0].alias("et")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(cells[1].cast("bigint")).alias("k"))
+    return tables.text_scan(spark, f"{path}/part-*").select(cells[0].cast("bigint").alias("eid"), cells[1].alias("et"), cells[2].cast("int").alias("k"))
 
 
 @query("dim_snapshot_latest_good", """SELECT 'brand' || (p_partkey // 50) AS name, p_brand AS brand, p_size AS size,

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from playtrail.operators import state as st
 from playtrail.operators.lines import ad_click_lines
 from playtrail.plans import logins
 from playtrail.session import fresh_path
@@ -16,9 +17,17 @@ from .registry import query
 from .sql import EV, w
 
 
+BATCHES = 4
+
+
 def event_stream(spark, sf):
-    schema = i.table(spark, sf, "events").schema
-    return jobs.read_folder(spark, sf, schema, options={"pathGlobFilter": "events.parquet", "maxFilesPerTrigger": "1000"})
+    """The events as a growing folder: four files in order of arrival, one to a batch."""
+    events, path = i.table(spark, sf, "events"), fresh_path(spark, "events")
+    top = events.agg(F.max("event_id")).first()[0] + 1
+    for n in range(BATCHES):
+        part = F.floor(F.col("event_id") * BATCHES / top) == n
+        events.where(part).coalesce(1).write.mode("append").parquet(path)
+    return jobs.read_folder(spark, path, events.schema, options={"maxFilesPerTrigger": "1"})
 
 
 def finish(query_handle):
@@ -42,30 +51,23 @@ def stream_ingest_files(spark, sf):
 
 @query("stream_login", LOGIN_CLEAN_SQL)
 def stream_login(spark, sf):
-    """The login job as a stream gives the rows of the batch job."""
+    """The login job over four batches, its state carried between them, gives the rows of the batch job."""
     out, check = fresh_path(spark, "login"), fresh_path(spark, "login-offsets")
     d, regions, state = i.dims(spark, sf), i.regions(spark, sf), i.stored_state(spark, sf)
 
-    def clean(batch):
-        lines = i.old_login_lines_of(i.ev_of(batch), wrapped=True)
-        return login_columns(logins.agency_logins(lines, d, regions, d.special, "eid", rules=LOGIN_RULES, state=state))
+    table = StateTable(fresh_path(spark, "login-state"), ["key"], ["login_ts", "order_ts"])
 
-    finish(jobs.run_batches(event_stream(spark, sf), jobs.append_once(out, clean), check))
-    return read_batches(spark, out)
-
-
-@query("stream_exactly_once", w(EV) + "SELECT et, count(*) AS n, count(DISTINCT eid) AS ids FROM ev GROUP BY 1")
-def stream_exactly_once(spark, sf):
-    """Every batch is delivered twice; the second delivery replaces the first."""
-    out, check = fresh_path(spark, "once"), fresh_path(spark, "once-offsets")
-    write = jobs.append_once(out, lambda b: b)
+    def clean(batch, before):
+        lines = i.old_login_lines_of(i.ev_of(batch), wrapped=True)
+        known = state.unionByName(before)
+        return logins.agency_logins(lines, d, regions, d.special, "eid", rules=LOGIN_RULES, state=known)
 
-    def twice(batch, number):
-        write(batch, number)
-        write(batch, number)
+    def seen(done):
+        key = F.when(F.col("ok"), st.state_key(F.col("user-user_id"), F.col("agent-game_channel_id")))
+        return st.first_event_state(done, key, F.col("event"), F.col("server_ts"), F.col("is_test"), F.lit(""), F.lit(""))
 
-    finish(jobs.run_batches(i.ev_of(event_stream(spark, sf)).select("eid", "et"), twice, check))
-    return read_batches(spark, out).groupBy("et").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("eid").alias("ids"))
+    finish(jobs.run_batches(event_stream(spark, sf), jobs.stateful(out, table, clean, seen), check))
+    return login_columns(read_batches(spark, out))
 
 
 @query("stream_first_event", w(EV, running(PAID)) + f"SELECT eid, first_order_date, reg_date FROM (SELECT eid, {stamped_sql('sts', 'kind', 'login_ts', 'order_ts')} FROM se)")
@@ -81,24 +83,23 @@ def stream_first_event(spark, sf):
     return read_batches(spark, out).select("eid", "first_order_date", "reg_date")
 
 
-@query("stream_click_minute", w(EV, CLICK_SQL) + """SELECT cgame AS game, substr(click_time, 1, 10) AS click_day, sum(n)::BIGINT AS clicks, count(*) AS rows FROM (
-  SELECT ad0, substr(click_time, 1, 16) AS click_time, cgame, pf, channel, count(*) AS n FROM clicks WHERE reason IS NULL GROUP BY ALL) GROUP BY ALL""")
+@query("stream_click_minute", w(EV, CLICK_SQL) + """SELECT CAST(eid * 4 // (SELECT max(eid) + 1 FROM ev) AS INTEGER) AS batch, CASE WHEN ad0 = '' THEN 0 ELSE CAST(ad0 AS INTEGER) END AS ad_id, cgame AS game, channel,
+  CASE WHEN pf = '' THEN 2 ELSE CAST(pf AS INTEGER) END AS pf, CAST(replace(substr(click_time, 1, 10), '-', '') AS INTEGER) AS click_date, CAST(substr(click_time, 12, 2) AS INTEGER) AS click_hour,
+  CAST(substr(click_time, 15, 2) AS INTEGER) AS click_minute, count(*)::INTEGER AS click_cnt FROM clicks WHERE reason IS NULL GROUP BY ALL""")
 def stream_click_minute(spark, sf):
     """Counts per minute and batch."""
     out, check = fresh_path(spark, "minute"), fresh_path(spark, "minute-offsets")
     parsed = ad_click_lines(i.click_lines_of(i.ev_of(event_stream(spark, sf)))).where("ok")
     finish(jobs.run_batches(parsed, jobs.clicks_per_batch(out), check))
-    day = F.concat_ws("-", F.substring(F.col("click_date").cast("string"), 1, 4), F.substring(F.col("click_date").cast("string"), 5, 2),
-                      F.substring(F.col("click_date").cast("string"), 7, 2))
-    return read_batches(spark, out).groupBy("game", day.alias("click_day")).agg(F.sum("click_cnt").alias("clicks"), F.count(F.lit(1)).alias("rows"))
+    return spark.read.parquet(out).select("batch", "ad_id", "game", "channel", "pf", "click_date", "click_hour", "click_minute", "click_cnt")
 
 
-@query("stream_dedupe", w(EV) + "SELECT uid, count(*) AS n FROM (SELECT DISTINCT uid, k FROM ev) GROUP BY 1")
+@query("stream_dedupe", w(EV) + "SELECT DISTINCT uid, k FROM ev")
 def stream_dedupe(spark, sf):
     """First row per (user, k) inside a delay longer than the data."""
     out, check = fresh_path(spark, "dedupe"), fresh_path(spark, "dedupe-offsets")
     e = i.ev_of(event_stream(spark, sf)).select("eid", "uid", "k", F.timestamp_seconds("t").alias("at"))
     unique = jobs.deduplicated(e, ["uid", "k"], "at", "60 days")
     finish(jobs.run_batches(unique, jobs.append_once(out, lambda b: b.select("eid", "uid", "k")), check))
-    return read_batches(spark, out).groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+    return read_batches(spark, out).select("uid", "k")
 

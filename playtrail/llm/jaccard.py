@@ -31,7 +31,7 @@ from .components import components
 SHINGLE = 5
 CELL_BITS, CHUNK = 22, 16384  # cells of the counting table, and how many travel together
 SMALLEST = 8  # smallest hashes that find a leader
-NEXT, SALTS = 4, 16  # nodes of a hash that are compared with their next ones, and into how many parts a hash is dealt
+NEXT, SALTS = 6, 16  # nodes of a hash that are compared with their next ones, and into how many parts a hash is dealt
 KEY_BITS, GRAM_BITS = 23, 26  # bits of the fixed-size filters
 BUCKET_ROWS = 500_000  # prefix rows of a bucket
 CACHE = 400_000  # words a worker remembers
@@ -227,14 +227,21 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
 def star_pairs(nodes: DataFrame) -> DataFrame:
     """Each node with the leader (smallest node) of each of its smallest hashes, and with the next NEXT nodes of the same
-    hash and salt. In a large group of copies every node so meets a few dozen others, whatever the size of the group."""
-    rows = nodes.select("node", F.explode("smallest").alias("value"))
-    leaders = rows.groupBy("value").agg(F.min("node").alias("b"), F.count("*").alias("c")).where("c > 1").drop("c")
-    stars = rows.join(leaders, "value").where("node <> b").select(F.col("node").alias("a"), "b")
-    inside = Window.partitionBy("value", F.pmod(F.hash("value", "node"), F.lit(SALTS))).orderBy("node")
-    later = F.array(*[F.lead("node", i).over(inside) for i in range(1, NEXT + 1)])
-    chains = rows.select(later.alias("later"), "node").select(F.explode("later").alias("a"), F.col("node").alias("b")).where("a is not null")
-    return stars.union(chains).distinct()
+    hash and salt; of these, pairs of like length that share most of their smallest hashes. In a large group of copies
+    every node so meets a few dozen others, whatever the size of the group."""
+    def alike(x, y):
+        shared = F.size(F.array_intersect(x["smallest"], y["smallest"]))
+        return ((x["node"] != y["node"]) & (4 * F.least(x["n"], y["n"]) >= 3 * F.greatest(x["n"], y["n"]))
+                & (shared * 8 >= 5 * F.least(F.size(x["smallest"]), F.size(y["smallest"]))))
+
+    rows = nodes.select(F.struct("node", "n", "smallest").alias("x"), F.explode("smallest").alias("value"))
+    leaders = rows.groupBy("value").agg(F.min("x").alias("y"), F.count("*").alias("c")).where("c > 1").drop("c")
+    inside = Window.partitionBy("value", F.pmod(F.hash("value", "x.node"), F.lit(SALTS))).orderBy("x.node")
+    later = F.array(*[F.lead("x", i).over(inside) for i in range(1, NEXT + 1)])
+    near = F.filter("later", lambda y: y.isNotNull() & alike(F.col("x"), y))
+    chains = rows.select("x", later.alias("later")).select("x", F.explode(near).alias("y"))
+    both = rows.join(leaders, "value").where(alike(F.col("x"), F.col("y"))).select("x", "y").union(chains)
+    return both.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
 
 
 def contested(nodes: DataFrame) -> DataFrame:

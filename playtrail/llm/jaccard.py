@@ -34,7 +34,8 @@ SMALLEST = 8  # smallest hashes that find a leader
 NEXT, SALTS = 6, 16  # nodes of a hash that are compared with their next ones, and into how many parts a hash is dealt
 KEY_BITS, GRAM_BITS = 23, 26  # bits of the fixed-size filters
 BUCKET_ROWS = 500_000  # prefix rows of a bucket
-CACHE = 400_000  # words a worker remembers
+SENT_ROWS = 1_000_000  # prefix rows, or shingles to count, that a task gathers before it works on them
+CACHE = 200_000  # words a worker remembers
 ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -106,7 +107,7 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches):
         codes, table, seen = Codes(), np.zeros(2 ** CELL_BITS, dtype=np.uint32), set()
         for batch in batches:
-            keys, sizes, pending = [], [], []
+            keys, sizes, pending, held = [], [], [], 0
             for value in pieces(batch.column(1)):
                 grams = shingles(value, codes)
                 keys.append(content(value))
@@ -114,9 +115,10 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
                 if keys[-1] not in seen:
                     seen.add(keys[-1])
                     pending.append(grams)
-                if len(pending) >= 512:
+                    held += len(grams)
+                if held >= SENT_ROWS:
                     count(table, pending)
-                    pending = []
+                    pending, held = [], 0
             count(table, pending)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()),
                                               pa.nulls(len(keys), pa.int32()), pa.nulls(len(keys), pa.binary())], names=names)
@@ -215,7 +217,7 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["content", "grams"])
 
     lead = F.conv(F.hex(F.substring("content", 1, 8)), 16, -10).cast("long")
-    wanted = pairs.select(F.explode(F.array("ca", "cb")).alias("content")).select(lead.alias("hash"))
+    wanted = pairs.select(F.col("ca").alias("content")).union(pairs.select("cb")).distinct().select(lead.alias("hash"))
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, KEY_BITS))
     sets = docs.select(text).mapInArrow(run, "content binary, grams array<bigint>").dropDuplicates(["content"])
     sets = written(sets, "shingle-sets")
@@ -261,7 +263,7 @@ def contested(nodes: DataFrame) -> DataFrame:
             grams.append(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
             roots.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)))
             held += len(grams[-1])
-            if held > 4_000_000:
+            if held > SENT_ROWS:
                 yield from send(np.concatenate(grams), np.concatenate(roots))
                 grams, roots, held = [], [], 0
         if held:
@@ -366,3 +368,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             .dropDuplicates(["_kept_id", "_kept_content"]))
     alone = F.col(key).isNull() | ~F.coalesce(F.col(text), F.lit("")).rlike(WORD)
     return stay.select(*docs.columns).union(docs.where(alone))
+
+
+ORACLE_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+side AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT x, y FROM side UNION SELECT reach.x, side.y FROM reach JOIN side ON side.x = reach.y)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS low FROM reach GROUP BY 1) USING (doc_id)"""

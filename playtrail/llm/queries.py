@@ -38,7 +38,7 @@ def op8_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
-@query("op3_jaccard")
+@query("op3_jaccard", jaccard.ORACLE_SQL)
 def op3_jaccard(spark, sf_dir):
     return jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 

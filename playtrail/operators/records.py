@@ -44,11 +44,16 @@ def with_record(df: DataFrame, out: str, items: Column, changed: dict[str, Colum
     given = F.filter(F.array(*[F.struct(F.lit(n).alias("key"), c.cast("variant").alias("value")) for n, c in changed.items()]),
                      lambda e: e["value"].isNotNull())
     kept = [c for c in df.columns if c != out]
+    aside = [] if otherwise is None else ["_else"]
     held = df.select("*", *([] if otherwise is None else [otherwise.alias("_else")]))
     both = once(held, {"_came": items, "_new": given})
-    both = once(both, {"_all": F.concat("_came", "_new")}, [*kept, *(["_else"] if otherwise is not None else [])])
-    both = once(both, {"_keys": F.transform("_all", lambda e: e["key"])}, both.columns)
+    both = once(both, {"_names": F.transform("_new", lambda e: e["key"])}, [*kept, *aside, "_came", "_new"])
+    stay = F.filter("_came", lambda e: ~F.array_contains("_names", e["key"]))
+    both = once(both, {"_all": F.concat(stay, "_new")}, [*kept, *aside])
+    both = once(both, {"_keys": F.transform("_all", lambda e: e["key"])}, [*kept, *aside, "_all"])
+    # only a record that repeats a name is searched for its last entries
     last = F.filter("_all", lambda e, i: ~F.array_contains(F.slice("_keys", i + 2, F.size("_keys")), e["key"]))
-    text = F.to_json(F.map_from_entries(last))
+    unique = F.when(F.size(F.array_distinct("_keys")) == F.size("_keys"), F.col("_all")).otherwise(last)
+    text = F.to_json(F.map_from_entries(unique))
     text = text if otherwise is None else F.when(F.col("_all").isNotNull(), text).otherwise(F.col("_else"))
     return both.select(*[F.col(f"`{c}`") for c in kept], text.alias(out))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import times
 from ..functions.coerce import blank
+from ..session import fresh_path
 
 BLOCK_ROWS = 1 << 20
 # Fixed value: stands for a device without history in the back-fill.
@@ -69,6 +70,17 @@ def prior_minimum(df: DataFrame, keys: list[str], arrival: str | list[str], mark
             .select(*keep, *[F.when(known, F.col(f"_p{t}")).alias(n) for n, t in zip(names, tmp)]))
 
 
+def settled(df: DataFrame, label: str = "rows") -> DataFrame:
+    """The rows, written once to the shared folder.
+
+    `prior_minimum` reads its rows twice, and of the first reading only the key, the number and the marks. Where they
+    come out of parsing and lookups, both would run twice; a written table is read by columns instead.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settled_minimum(df: DataFrame, keys: list[str], marks: dict[str, Column],
                     state: DataFrame | None = None) -> DataFrame:
     """Order-free form: the final state per key, merged with the stored one."""

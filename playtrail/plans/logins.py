@@ -62,7 +62,8 @@ def agency_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
         .withColumn("ok", F.col("reject_reason").isNull())
         .drop("channel_id", "game_channel_id", "company_id", "os_type", "resolved"))
     flagged = guards.member(merged, F.col("agent.game_channel_id"), special, "_special")
-    stamped = add_region(_stamp(flagged, arrival, state, flag_only, tz), regions, F.col("client_ip"))
+    stamped = _stamp(st.settled(flagged, "agency-logins"), arrival, state, flag_only, tz)
+    stamped = add_region(stamped, regions, F.col("client_ip"))
     return _routed(stamped, arrival, route.route_login(source, F.col("ok"), F.col("_special")))
 
 
@@ -98,7 +99,8 @@ def own_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension
               .withColumn("agent", F.struct(F.col("channel_id"), F.col("game_channel_id"),
                                             text_of(F.col("agent.access_token")).alias("access_token")))
               .drop("app_id", "channel_id", "game_channel_id", "company_id"))
-    stamped = add_region(_stamp(merged, arrival, state, flag_only, tz), regions, F.col("client_ip"))
+    stamped = _stamp(st.settled(merged, "own-logins"), arrival, state, flag_only, tz)
+    stamped = add_region(stamped, regions, F.col("client_ip"))
     return _routed(stamped, arrival, route.route_login(source, F.col("ok"), None, folded_into), "_raw")
 
 
@@ -185,7 +187,7 @@ def service_events(df: DataFrame, dims: Dims, regions: Dimension, special: Dimen
     key = F.when(F.col("ok"), st.service_key(
         service, F.col("event"), channel_id=F.col("agent.channel_id"), game_id=game, user_id=F.col("user.user_id"),
         device_id=F.col("device.device_id"), game_name=F.col("game.game_name"), app_id=F.col("sdk_platform.app_id")))
-    flagged = guards.member(done, F.col("agent.game_channel_id"), special, "_special")
+    flagged = st.settled(guards.member(done, F.col("agent.game_channel_id"), special, "_special"), "service-events")
     ts = F.col("server_ts").cast("bigint") if agency else int_of(F.col("server_ts"))
     stamped = st.first_events(flagged, arrival, key, F.col("event"), ts, F.col("is_test"),
                               text_of(F.col("order.order_status")), text_of(F.col("order.order_step")), flag_only=batch,

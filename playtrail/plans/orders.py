@@ -61,6 +61,7 @@ def agency_orders(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
         **{c: joined(F.col(c)) for c in RESOLVED[1:]}, "channel_id": F.when(F.col("_joined"), F.col("channel_id")).otherwise(F.col("_given")),
         "server_ts": joined(epoch_of_text(F.col("update_time"), times.FULL, tz)), "event": joined(F.lit("order")),
         "is_test": joined(F.lit(events.REGULAR))})
+    work = st.settled(work, "agency-orders")
     main = F.col("route") == route.destination(source)
     key = F.when(main, st.state_key(F.col("user_id"), F.col("game_channel_id")))
     out = st.first_events(work, [arrival, "row_no"], key, F.col("event"), F.col("server_ts"), F.col("is_test"),
@@ -95,7 +96,7 @@ def own_orders(df: DataFrame, dims: Dims, special: Dimension | None, arrival: st
     if special is not None:
         work = guards.member(work, F.col("game_channel_id"), special, "_special")
         ok = ok & F.col("_special")
-    work = work.withColumn("ok", ok)
+    work = st.settled(work.withColumn("ok", ok), "own-orders")
     key = F.when(F.col("ok"), st.state_key(F.col("user_id"), F.col("game_channel_id")))
     stamped = st.first_events(work, [arrival, "row_no"], key, F.col("event"), F.col("server_ts"), F.col("is_test"),
                               F.col("pay_status"), F.col("status"), state=state, tz=tz)
@@ -130,6 +131,7 @@ def channel_database(df: DataFrame, dims: Dims, special: Dimension | None, arriv
         work = guards.member(work, F.col("agent.game_channel_id"), special, "_special")
         apart = (F.col("table") == "user") | ((F.col("table") == "order") & ~F.col("_special"))
     work = work.withColumn("_apart", F.coalesce(apart, F.lit(False))).drop("_special")
+    work = st.settled(work, "channel-database")
     stamps = F.col("is_event") & ~F.col("_apart")
     key = F.when(stamps, st.service_key(
         service, F.col("event"), channel_id=F.col("agent.channel_id"), game_id=F.col("game.game_id"),
@@ -170,7 +172,7 @@ def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Di
     excluded = guards.OWN_CHANNELS if batch else guards.OVERSEAS_CHANNELS
     work = work.where(~F.col("_main") | guards.not_in(F.col("channel_id"), excluded))
     ts = epoch_of_text(F.when(copied, F.col("create_time")).otherwise(F.col("update_time")), times.FULL, tz)
-    work = work.withColumn("_ts", ts)
+    work = st.settled(work.withColumn("_ts", ts), "agency-order-join")
     paid = (F.col("pay_status") == 1) if batch else (F.col("pay_status") == 1) & (F.col("status") == 2)
     key = F.when(F.col("_main"), st.service_key(st.AGENCY, F.lit(st.ORDER), channel_id=F.col("channel_id"),
                                                 game_id=F.col("game_id"), user_id=F.col("user_id"), device_id=F.lit("")))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import times
+from . import records
 from .once import once
 
 # The frame around a payload.
@@ -77,6 +78,18 @@ def with_document(df: DataFrame, text: Column, schema: T.StructType, out: str =
     return parsed.withColumn(out, F.when(F.col("_raw._bad").isNull(), F.col("_raw"))).drop("_raw")
 
 
+def renamed_line(line: Column, tag: str, names: dict[str, str]) -> Column:
+    """The line with members of its object called as here: ``names`` maps their names to those used here.
+
+    A line without tag or object stays as it is.
+    """
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    items = F.transform(records.entries(payload_of(line, tag)), lambda e: F.struct(
+        F.coalesce(F.element_at(known, e["key"]), e["key"]).alias("key"), e["value"].alias("value")))
+    head = F.substring(line, F.lit(1), _after(line, tag) - 1)
+    return F.coalesce(F.concat(head, F.to_json(F.map_from_entries(items)), F.lit("]")), line)
+
+
 def wrapped_lines(df: DataFrame, line: str = "value", out: str = "value") -> DataFrame:
     """Collector wrapper ``{"message": "..."}`` -> the inner text (NULL when broken)."""
     return df.withColumn(out, F.get_json_object(line, "$.message"))
@@ -180,23 +193,34 @@ def _coin_out(df: DataFrame, kept: list[Column], reason: Column) -> DataFrame:
 
 # ---------------------------------------------------------------- envelopes and records
 
-def binlog_rows(df: DataFrame, data: list[str], line: str = "value") -> DataFrame:
+def binlog_rows(df: DataFrame, data: list[str], line: str = "value", names: dict[str, str] | None = None,
+                tables: dict[str, str] | None = None, aside: tuple[str, ...] = ()) -> DataFrame:
     """Change-data envelope -> one row per changed row: row_no, database, table, type, raw, data, reject_reason.
 
     ``raw`` is the row's whole object as text, ``data`` its fields named in ``data``. A line that is no envelope, or
-    has no rows, is one row with a reason; so is a changed row without an object.
+    has no rows, is one row with a reason; so is a changed row without an object. Where a database calls fields or
+    tables otherwise, ``names`` maps the name used here to its field, ``tables`` its table to the name used here.
+    The line, and the columns ``aside``, stay with lines that are rejected only: an envelope may hold very many rows.
     """
     kept = df.columns
     parsed = with_document(df, F.col(line), schemas.BINLOG, "_d")
     rows = F.when(F.size("_d.rows") > 0, F.col("_d.rows"))
-    each = (parsed.withColumn("_why", F.when(F.col("_d").isNull(), F.lit("json parse error"))
-                              .when(F.coalesce(F.size("_d.rows"), F.lit(0)) <= 0, F.lit("no rows")))
+    parsed = parsed.withColumn("_why", F.when(F.col("_d").isNull(), F.lit("json parse error"))
+                               .when(F.coalesce(F.size("_d.rows"), F.lit(0)) <= 0, F.lit("no rows")))
+    each = (parsed.withColumns({c: F.when(F.col("_why").isNotNull(), F.col(c)) for c in (line, *aside)})
             .select(*[F.col(f"`{c}`") for c in kept], "_why", F.posexplode_outer(rows).alias("row_no", "_r"))
             .select(*[F.col(f"`{c}`") for c in kept], "_why", "row_no", "_r.database", "_r.table", "_r.type",
                     F.col("_r.data").alias("raw")))
-    out = with_document(each, F.col("raw"), schemas.texts(data), "data")
+    given = {n: (names or {}).get(n, n) for n in data}
+    out = with_document(each, F.col("raw"), schemas.texts(list(dict.fromkeys(given.values()))), "data")
     reason = F.coalesce("_why", F.when(F.col("data").isNull(), F.lit("row without data")))
-    return out.withColumn("reject_reason", reason).drop("_why")
+    out = out.withColumn("reject_reason", reason).drop("_why")
+    if names:
+        out = out.withColumn("data", F.when(F.col("data").isNotNull(), F.struct(*[F.col("data")[c].alias(n) for n, c in given.items()])))
+    if tables:
+        known = F.create_map(*[F.lit(x) for pair in tables.items() for x in pair])
+        out = out.withColumn("table", F.coalesce(F.element_at(known, F.col("table")), F.col("table")))
+    return out
 
 
 def sdk_fanout(df: DataFrame, line: str = "value", tz: str = times.DEFAULT_TZ) -> DataFrame:

@@ -70,18 +70,19 @@ def overseas_log_load(df: DataFrame, dims: Dims, arrival: str, *, stage: str | N
             "refunds": wh.refund_rows(parsed.where("route = 'refund'"), "doc", [arrival], tz)}
 
 
-def _load_rows(df: DataFrame, arrival: str) -> DataFrame:
+def _load_rows(df: DataFrame, arrival: str, names: dict[str, str] | None, tables: dict[str, str] | None) -> DataFrame:
     fields = list(dict.fromkeys(schemas.OWN_ORDER + schemas.USER_ROW))
-    rows = lines.binlog_rows(df, fields).withColumn("ok", F.col("reject_reason").isNull())
+    rows = lines.binlog_rows(df, fields, "value", names, tables).withColumn("ok", F.col("reject_reason").isNull())
     return rows.select(arrival, F.coalesce("row_no", F.lit(0)).alias("row_no"), "table", "type", "data", "ok", "reject_reason",
                        F.when(~F.col("ok"), F.col("value")).alias("value"))
 
 
 def database_load(df: DataFrame, arrival: str, *, dims: Dims | None = None, overseas: bool = False,
                   batch: bool = False, device_state: DataFrame | None = None, stage: str | None = None,
+                  names: dict[str, str] | None = None, tables: dict[str, str] | None = None,
                   tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
     """order_log (placed and paid rows) and user (inserted rows) from change data, and the lines that are none."""
-    rows = staged(_load_rows(df, arrival), stage, "table")
+    rows = staged(_load_rows(df, arrival, names, tables), stage, "table")
     d = F.col("data")
     orders = rows.where(guards.order_states(F.col("table"), int_of(d["pay_status"]), int_of(d["status"])))
     users = rows.where(guards.user_inserts(F.col("table"), F.col("type")))

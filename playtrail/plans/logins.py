@@ -70,11 +70,17 @@ def agency_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
 def own_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension | None, arrival: str, *,
                rules: list[rl.Rule], source: str, folded_into: str | None = None, wrapped: bool = True,
                state: DataFrame | None = None, strict: bool = True, flag_only: bool = False,
-               aliases: dict[str, str] | None = None, tz: str = times.DEFAULT_TZ) -> DataFrame:
-    """New-format own-channel logins; with ``special`` only logins inside the set count."""
+               aliases: dict[str, str] | None = None, names: dict[str, str] | None = None,
+               tz: str = times.DEFAULT_TZ) -> DataFrame:
+    """New-format own-channel logins; with ``special`` only logins inside the set count.
+
+    ``names`` maps the groups of a log that calls them otherwise to the names used here; the record keeps its own.
+    """
     dims.measured("belong", "company", also=(regions, special))
     inner = lines.wrapped_lines(df, out="_line") if wrapped else df.withColumn("_line", F.col("value"))
-    framed = lines.framed_lines(inner, schemas.event_schema(GROUPS), "DATA[", "_line", tz, frame=False)
+    if names:
+        inner = inner.withColumn("_renamed", lines.renamed_line(F.col("_line"), "DATA[", names))
+    framed = lines.framed_lines(inner, schemas.event_schema(GROUPS), "DATA[", "_renamed" if names else "_line", tz, frame=False)
     checked = rl.validated(framed, "doc", [r for r in rules if r[0] == "login"])
     d = F.col("doc")
     is_login = F.when(text_of(d["event"]) != "login", F.lit("not a login"))
@@ -148,13 +154,15 @@ def service_events(df: DataFrame, dims: Dims, regions: Dimension, special: Dimen
                    service: str, rules: list[rl.Rule] = rl.DEFAULT_RULES, state: DataFrame | None = None,
                    batch: bool = False, int_strict: bool = False, folded: dict[str, str] | None = None,
                    overseas: bool = False, only_special_logins: str | None = None,
-                   aliases: dict[str, str] | None = None, tz: str = times.DEFAULT_TZ) -> DataFrame:
+                   aliases: dict[str, str] | None = None, names: dict[str, str] | None = None,
+                   tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Generic clean of one service: ``agent``, ``sdk``, ``channel`` or an own-channel name.
 
     Agency lines are old-format logins; their activation lines go on as they are (route ``agentActive``). Lines of the
     other services need the tag, not the frame. ``overseas`` adds converted amounts to orders; ``only_special_logins``
     (``keep`` or ``drop`` for other events) limits own-channel logins to the special set. ``value`` is the flattened
-    whole record, or the raw line of a reject. State is written by the services of ``state.WRITERS`` only.
+    whole record, or the raw line of a reject. State is written by the services of ``state.WRITERS`` only. ``names``
+    maps the groups of a log that calls them otherwise to the names used here; the record keeps its own.
     """
     agency = service == st.AGENCY
     needed = {st.AGENCY: resolve.AGENCY_DIMS, st.SDK: (), st.CHANNEL: ()}.get(
@@ -163,7 +171,8 @@ def service_events(df: DataFrame, dims: Dims, regions: Dimension, special: Dimen
     if agency:
         work = _agency_lines(df, arrival, rules, tz)
     else:
-        framed = lines.framed_lines(df, service_shape(rules), "DATA[", "value", tz, frame=False)
+        given = df.withColumn("_renamed", lines.renamed_line(F.col("value"), "DATA[", names)) if names else df
+        framed = lines.framed_lines(given, service_shape(rules), "DATA[", "_renamed" if names else "value", tz, frame=False)
         checked = rl.validated(framed, "doc", rules, batch=batch, int_strict=int_strict)
         work = (checked.select(arrival, "value", "reject_reason", "doc.*").drop("_bad", *REGION)
                 .withColumn("_active", F.lit(False)))

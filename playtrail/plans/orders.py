@@ -24,11 +24,12 @@ RESOLVED = ["channel_id", "game_channel_id", "os_type", "company_id"]
 COPY_TABLE = "agent_order_copy"
 
 
-def _changed_rows(df: DataFrame, fields: list[str], wrapped: bool, arrival: str) -> DataFrame:
-    """arrival, value (the line), row_no, table, raw, data, reject_reason, broken."""
+def _changed_rows(df: DataFrame, fields: list[str], wrapped: bool, arrival: str, names: dict[str, str] | None = None,
+                  tables: dict[str, str] | None = None) -> DataFrame:
+    """arrival, value (of a reject: the line, or the row's text), row_no, table, raw, data, reject_reason, broken."""
     inner = lines.wrapped_lines(df, out="_line") if wrapped else df.withColumn("_line", F.col("value"))
-    rows = lines.binlog_rows(inner, fields, "_line")
-    return rows.select(arrival, "value", F.coalesce("row_no", F.lit(0)).alias("row_no"), "table", "raw", "data",
+    rows = lines.binlog_rows(inner.select(arrival, "value", "_line"), fields, "_line", names, tables, aside=("value",))
+    return rows.select(arrival, F.coalesce("value", F.when(F.col("reject_reason").isNotNull(), F.col("raw"))).alias("value"), F.coalesce("row_no", F.lit(0)).alias("row_no"), "table", "raw", "data",
                        "reject_reason", F.col("reject_reason").isNotNull().alias("broken"))
 
 
@@ -80,13 +81,14 @@ def agency_orders(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
 
 def own_orders(df: DataFrame, dims: Dims, special: Dimension | None, arrival: str, *, source: str,
                overseas: bool = False, folded_into: str | None = None, state: DataFrame | None = None,
-               wrapped: bool = True, tz: str = times.DEFAULT_TZ) -> DataFrame:
+               wrapped: bool = True, names: dict[str, str] | None = None, tables: dict[str, str] | None = None,
+               tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Own-channel change data: order rows become flat order events; all other tables are filtered.
 
     A row of another table is nested under the table's name; an order row without a game stays as it came.
     """
     dims.measured("belong", "company", "os", *(("rate",) if overseas else ()), also=(special,))
-    rows = _changed_rows(df, schemas.OWN_ORDER, wrapped, arrival)
+    rows = _changed_rows(df, schemas.OWN_ORDER, wrapped, arrival, names, tables)
     is_order = F.coalesce((F.col("table") == "order") & (text_of(F.col("data.game_id")) != ""), F.lit(False))
     work = events.order_event(rows.withColumn("_order", is_order & ~F.col("broken")), dims, overseas=overseas, flat=True,
                               only=F.col("_order"), tz=tz)
@@ -115,6 +117,7 @@ def own_orders(df: DataFrame, dims: Dims, special: Dimension | None, arrival: st
 
 def channel_database(df: DataFrame, dims: Dims, special: Dimension | None, arrival: str, *, service: str,
                      overseas: bool = False, state: DataFrame | None = None, leaf_names: bool = False,
+                     names: dict[str, str] | None = None, tables: dict[str, str] | None = None,
                      tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Orders and registers of an own channel as flattened events with stamps, other tables as they are.
 
@@ -123,7 +126,7 @@ def channel_database(df: DataFrame, dims: Dims, special: Dimension | None, arriv
     With ``special`` (the domestic form) registers and orders outside the set go to the others, nested and unstamped.
     """
     fields = list(dict.fromkeys(schemas.OWN_ORDER + schemas.USER_ROW))
-    rows = _changed_rows(df, fields, False, arrival)
+    rows = _changed_rows(df, fields, False, arrival, names, tables)
     dims.measured("belong", "company", "os", "by_game_channel", *(("rate",) if overseas else ()), also=(special,))
     work = events.database_events(rows, dims, F.col("table"), overseas=overseas, tz=tz)
     apart = F.lit(False)

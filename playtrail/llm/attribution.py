@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import pieces
+from .common import pieces, small_batches
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that cuts text into pieces for this vocabulary.
@@ -140,4 +140,4 @@ def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", secti
     kind = docs.schema[key].dataType.simpleString()
     key_type = {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())
     columns = [F.col(key), F.col(text)] + ([F.transform(sections, lambda s: F.struct(s["start"].cast("long").alias("start"), s["stop"].cast("long").alias("stop"))).alias("sections")] if sections else [])
-    return docs.select(*columns).mapInArrow(run, f"doc_id {kind}, section int, start long, stop long, n_tokens long, share double, n_crossing long")
+    return small_batches(docs).select(*columns).mapInArrow(run, f"doc_id {kind}, section int, start long, stop long, n_tokens long, share double, n_crossing long")

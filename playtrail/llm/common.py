@@ -8,12 +8,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from playtrail.session import fresh_path
 
 WORD = r"[^\x20\x09-\x0D]+"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same rows; from now on the session hands at most BATCH_ROWS of them to Python at a time.
+
+    Texts are long: the usual 10,000 rows of them, held several times over, would not fit beside the heap.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(ARROW_ROWS)) <= BATCH_ROWS:
+        conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    return df
+
+
 def words(text: str | None) -> list[bytes]:
     """Words between the white space \\x20 \\x09-\\x0D, A-Z lower-cased, as UTF-8; none for null.
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bit_filter, passes, pieces, words, written
+from .common import bit_filter, passes, pieces, small_batches, words, written
 
 MASKS = ("1101100101101", "1110010110111", "1011110011011")
 SHORTEST = 5  # tokens of the shortest item that is looked for
@@ -145,7 +145,7 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
     lengths = [r[0] for r in items.select(F.size("item").alias("n")).where(F.col("n") < len(MASKS[0])).distinct().collect()]
     low = hashed.select(F.call_function("shiftleft", F.col("hash"), F.lit(32)).alias("hash"))
     shared = docs.sparkSession.sparkContext.broadcast((bit_filter(hashed, BITS), bit_filter(low, BITS), sorted(lengths)))
-    segments = written(docs.select(F.col(key).cast("long"), text).mapInArrow(
+    segments = written(small_batches(docs).select(F.col(key).cast("long"), text).mapInArrow(
         find, "doc_id long, content string, start int, passage array<bigint>, at array<int>, hashes array<bigint>")
         .withColumn("segment", F.monotonically_increasing_id()), "leak-segments")
     hits = segments.select("segment", F.explode(F.arrays_zip("at", "hashes")).alias("hit")).select("segment", "hit.at", F.col("hit.hashes").alias("hash"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import WORD, bit_filter, passes, pieces, words, written
+from .common import WORD, bit_filter, passes, pieces, small_batches, words, written
 from .components import components
 
 SHINGLE = 5
@@ -136,7 +136,7 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary()), pa.nulls(len(used), pa.int32()),
                                           pa.array([u[0] for u in used], pa.int32()), pa.array([u[1] for u in used], pa.binary())], names=names)
 
-    return written(docs.select(key, text).mapInArrow(run, "doc_id long, content binary, n int, chunk int, counts binary"), "shingle-scan")
+    return written(small_batches(docs).select(key, text).mapInArrow(run, "doc_id long, content binary, n int, chunk int, counts binary"), "shingle-scan")
 
 
 def cell_counts(parts: DataFrame) -> np.ndarray:
@@ -183,7 +183,7 @@ def nodes_of(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
                  pa.array([r[3] for r in rows], pa.list_(pa.int64())), pa.array([r[4] for r in rows], pa.binary())], names=["content", "n", "grams", "smallest", "hist"])
 
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    found = docs.select(text).mapInArrow(run, "content binary, n int, grams array<bigint>, smallest array<bigint>, hist binary")
+    found = small_batches(docs).select(text).mapInArrow(run, "content binary, n int, grams array<bigint>, smallest array<bigint>, hist binary")
     return written(found.dropDuplicates(["content"]).select(F.monotonically_increasing_id().alias("node"), "*"), "shingle-nodes")
 
 
@@ -219,7 +219,7 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     lead = F.conv(F.hex(F.substring("content", 1, 8)), 16, -10).cast("long")
     wanted = pairs.select(F.col("ca").alias("content")).union(pairs.select("cb")).distinct().select(lead.alias("hash"))
     shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted, KEY_BITS))
-    sets = docs.select(text).mapInArrow(run, "content binary, grams array<bigint>").dropDuplicates(["content"])
+    sets = small_batches(docs).select(text).mapInArrow(run, "content binary, grams array<bigint>").dropDuplicates(["content"])
     sets = written(sets, "shingle-sets")
     common = F.size(F.array_intersect("ga", "gb"))
     return (pairs.join(sets.select(F.col("content").alias("ca"), F.col("grams").alias("ga")), "ca")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from .common import small_batches
+
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str, wanted, rows: int, key: str = "doc_id",
              text: str = "text") -> DataFrame:
@@ -15,7 +17,7 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, wanted, rows: int,
     picked = (labels.where(F.col(key).isNotNull() & F.col(column).isin(0, 1) & wanted)
               .select(F.col(key).alias("_key"), F.col(column).cast("int").alias("y"))
               .orderBy(F.md5(F.col("_key").cast("string")), "_key", "y").limit(rows))
-    return (docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return (small_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text"))
             .join(F.broadcast(picked), F.col("key") == F.col("_key")).select("key", "y", "text"))
 
 

@@ -14,7 +14,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import pieces
+from .common import pieces, small_batches
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn", "tel", "card_part")
@@ -185,7 +185,7 @@ def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                         *[(f"n_{k}", pa.int64()) for k in BASE], ("base_sha256", pa.string()), ("spans", pa.string()),
                         ("found", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
                                                       ("score", pa.float64())])))])
-    return docs.select(key, text).mapInArrow(run, shape)
+    return small_batches(docs).select(key, text).mapInArrow(run, shape)
 
 
 def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
@@ -211,4 +211,4 @@ def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> Data
             yield batch
 
     counted = docs.columns.index(length) if length in docs.columns else -1
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import in_fold, pieces
+from .common import in_fold, pieces, small_batches
 from .learning import fit_logistic, labelled, probability
 
 PIECE = 2048  # bytes compressed at a time
@@ -115,6 +115,6 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(key, text).mapInArrow(run, f"doc_id {kind}, score double, difference double, ratio double")
+    out = small_batches(docs).select(key, text).mapInArrow(run, f"doc_id {kind}, score double, difference double, ratio double")
     return out.select("doc_id", in_fold("doc_id", *held).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"), "difference", "ratio")

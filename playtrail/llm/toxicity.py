@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import in_fold, pieces, words, written
+from .common import in_fold, pieces, small_batches, words, written
 from .learning import fit_logistic, labelled, probability
 
 EXAMPLES = 8000  # labelled rows, at most
@@ -172,7 +172,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     kind = docs.schema[key].dataType.simpleString()
     near_type = pa.list_(pa.struct([("example", {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())), ("cosine", pa.float64()), ("toxic", pa.int32())]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = docs.select(key, text).mapInArrow(
+    out = small_batches(docs).select(key, text).mapInArrow(
         run, f"doc_id {kind}, score double, neighbours array<struct<example:{kind},cosine:double,toxic:int>>, terms array<string>")
     return out.select("doc_id", in_fold("doc_id", *held).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"), "neighbours", "terms")
@@ -193,4 +193,4 @@ def keep_clean(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

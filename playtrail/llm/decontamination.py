@@ -2,9 +2,9 @@
 
 A mask is laid over every position of a text and only the tokens under its ones are hashed, so a changed word under a
 zero leaves the hash as it is. Training positions whose hash passes a fixed-size filter of the benchmark's hashes leave
-the scan as segments (token codes around neighbouring hits); the hits are joined with the benchmark on the hash. Around
-each hit the passage and the benchmark item are compared token by token along the diagonal, and the best ungapped
-stretch decides. Items shorter than the masks get a plain mask of their length.
+the scan as segments (token codes around neighbouring hits); the hits are joined with the benchmark on the hash. The
+passage and the benchmark item are compared token by token along the diagonal of a hit, the best ungapped stretch through
+every agreeing token decides.
 """
 
 from __future__ import annotations
@@ -18,13 +18,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import bit_filter, passes, pieces, small_batches, words, written
 
-MASKS = ("1101100101101", "1110010110111", "1011110011011")
-SHORTEST = 5  # tokens of the shortest item that is looked for
+# The single token is not hashed: it is laid over the diagonals that the others hit. A stretch of five or more agreeing
+# tokens, three quarters of it, that avoids all three others does not exist (tested up to 18 tokens).
+MASKS = ("1", "1111", "11011", "11101")
+HASHED = MASKS[1:]
+SPAN = max(map(len, MASKS))
+SHORTEST = 5  # tokens of the shortest item that is looked for, and agreeing tokens of the shortest stretch
 BITS = 23  # of either filter
 AROUND = 64  # tokens kept beyond the outermost hit of a segment
 LEAST_TOKENS, LEAST_IDENTITY = 12, 0.75
 PENALTY = 2.0  # of a token that differs, against 1 for one that agrees
 CACHE = 400_000
+AT_ONCE = 1 << 17  # tokens whose hashes are taken together
 STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,18 +63,32 @@ def seeds(code: np.ndarray, mask: str, number: int) -> np.ndarray:
     return total * MIX
 
 
-def stretch(passage: np.ndarray, item: np.ndarray, shift: int, at: int) -> tuple[int, int, int]:
-    """(start in the item, tokens, agreeing tokens) of the best stretch through item position `at`.
+def stretch(same: np.ndarray, at: int) -> tuple[int, int]:
+    """(start, end) of the best stretch of a diagonal through position `at`, where `same` says which tokens agree.
 
     Agreeing tokens count 1, others -PENALTY; on either side the stretch ends where the sum is largest.
     """
-    low, high = max(0, -shift), min(len(item), len(passage) - shift)
-    same = passage[low + shift:high + shift] == item[low:high]
     gain = np.where(same, 1.0, -PENALTY)
-    after, before = np.cumsum(gain[at - low:]), np.cumsum(gain[:at - low][::-1])
+    after, before = np.cumsum(gain[at:]), np.cumsum(gain[:at][::-1])
     end = at + 1 + int(np.argmax(after))
     start = at - (int(np.argmax(before)) + 1 if len(before) and before.max() > 0 else 0)
-    return start, end - start, int(same[start - low:end - low].sum())
+    return start, end
+
+
+def stretches(same: np.ndarray, least: int):
+    """(start, tokens, agreeing tokens) of the stretches of a diagonal with `least` tokens, enough of them agreeing.
+
+    All tokens of an agreeing run lead to the same stretch, so its first one is tried.
+    """
+    reach = 0
+    if int(same.sum()) < SHORTEST or len(same) < least:
+        return
+    for at in np.flatnonzero(same & ~np.concatenate(([False], same[:-1]))).tolist():
+        if at >= reach:  # runs inside a stretch that was tried lead to it again
+            start, reach = stretch(same, at)
+            size, equal = reach - start, int(same[start:reach].sum())
+            if size >= least and equal >= max(SHORTEST, LEAST_IDENTITY * size):
+                yield start, size, equal
 
 
 def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -77,8 +96,9 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
     """One row per document row and benchmark item that overlap: doc_id, item_id, content (md5 of the text), start (token
     of the document), n_tokens, n_same, identity, n_item. The longest stretch of a pair is shown.
 
-    A stretch counts from LEAST_TOKENS tokens on (or the whole of a shorter item) with LEAST_IDENTITY of them equal.
-    Null, empty and shorter texts and items of fewer than SHORTEST tokens match nothing. Repeated document rows give
+    A stretch counts from LEAST_TOKENS tokens on (or the whole of a shorter item) with LEAST_IDENTITY of them, and at
+    least SHORTEST, equal. It begins and ends where its sum is largest, so a shorter item whose outer words are changed
+    is not whole. Null, empty and shorter texts and items of fewer than SHORTEST tokens match nothing. Repeated document rows give
     one row each text; equal items each match. Null keys are kept. An empty table gives no rows.
     """
     def read_items(batches):
@@ -91,50 +111,67 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
         for batch in batches:
             for k, c in zip(pieces(batch.column(0)), pieces(batch.column(1))):
                 code, rows = np.array(c, dtype=np.int64).view(np.uint64), []
-                for number, mask in enumerate((*MASKS, "1" * len(code)) if len(code) < len(MASKS[0]) else MASKS):
-                    hashes = seeds(code, mask, number if number < len(MASKS) else 100)
+                for number, mask in enumerate(HASHED):
+                    hashes = seeds(code, mask, number)
                     rows += [(k, h, p) for p, h in enumerate(hashes.view(np.int64).tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["item_id", "hash", "item_at"])
 
+    def hits_of(codes, first, second):
+        """Of the texts laid end to end: the position among all and the hash of every hit, and where the texts begin."""
+        gap = np.zeros(SPAN, dtype=np.uint64)
+        starts = np.cumsum([0, *(len(c) + SPAN for c in codes[:-1])])
+        code = np.concatenate([part for c in codes for part in (c, gap)])
+        places, found = [], []
+        for number, mask in enumerate(HASHED):
+            hashes = seeds(code, mask, number)
+            at = np.flatnonzero(passes(first, BITS, hashes) & (code[:len(hashes)] != 0) & (code[len(mask) - 1:] != 0))
+            at = at[passes(second, BITS, hashes[at] << np.uint64(32))]
+            places.append(at)
+            found.append(hashes[at])
+        at, hashes = np.concatenate(places), np.concatenate(found)
+        order = np.argsort(at, kind="stable")
+        return at[order], hashes[order].view(np.int64), starts
+
+    def segments_of(keys, texts, codes, first, second):
+        at, hashes, starts = hits_of(codes, first, second)
+        for n, start in enumerate(starts.tolist()):
+            code = codes[n]
+            a, b = np.searchsorted(at, (start, start + len(code)))
+            if a == b:
+                continue
+            digest = hashlib.md5(texts[n].encode("utf-8", "surrogatepass")).hexdigest()
+            own = at[a:b] - start
+            for group in np.split(np.arange(b - a), np.flatnonzero(np.diff(own) > AROUND) + 1):
+                begin = max(0, int(own[group[0]]) - AROUND)
+                part = code[begin:int(own[group[-1]]) + SPAN + AROUND]
+                yield keys[n], digest, begin, part.view(np.int64), own[group] - begin, hashes[a:b][group]
+
     def find(batches):
-        codes, (first, second, lengths) = Codes(), shared.value
-        masks = [*((i, m) for i, m in enumerate(MASKS)), *((100, "1" * n) for n in lengths)]
+        codes, (first, second) = Codes(), shared.value
+        kinds = pa.int64(), pa.string(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())
         for batch in batches:
-            rows = []
+            rows, given, size = [], [], 0
             for k, t in zip(pieces(batch.column(0)), pieces(batch.column(1))):
-                code = tokens(t, codes)
-                found = []
-                for number, mask in masks:
-                    hashes = seeds(code, mask, number)
-                    at = np.flatnonzero(passes(first, BITS, hashes))
-                    at = at[passes(second, BITS, hashes[at] << np.uint64(32))]
-                    found += zip(at.tolist(), hashes[at].view(np.int64).tolist())
-                found.sort()
-                digest = hashlib.md5(t.encode("utf-8", "surrogatepass")).hexdigest() if found else None
-                while found:
-                    cut = next((i for i in range(1, len(found)) if found[i][0] - found[i - 1][0] > AROUND), len(found))
-                    group, found = found[:cut], found[cut:]
-                    start = max(0, group[0][0] - AROUND)
-                    part = code[start:group[-1][0] + len(MASKS[0]) + AROUND]
-                    rows.append((k, digest, start, part.view(np.int64), [g[0] - start for g in group], [g[1] for g in group]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.int64(), pa.string(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())))],
-                names=["doc_id", "content", "start", "passage", "at", "hashes"])
+                given.append((k, t, tokens(t, codes)))
+                size += len(given[-1][2])
+                if size >= AT_ONCE:
+                    rows += segments_of(*zip(*given), first, second)
+                    given, size = [], 0
+            if given:
+                rows += segments_of(*zip(*given), first, second)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
+                                             names=["doc_id", "content", "start", "passage", "at", "hashes"])
 
     def verify(batches):
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                passage, code = np.array(r["passage"], dtype=np.int64), np.array(r["item"], dtype=np.int64)
-                tried, reach = [], 0
-                for at in r["item_at"]:  # hits inside a stretch that was tried lead to it again
-                    if at >= reach:
-                        tried.append(stretch(passage, code, r["shift"], at))
-                        reach = tried[-1][0] + tried[-1][1]
-                good = [t for t in tried if t[1] >= min(LEAST_TOKENS, len(code)) and t[2] >= LEAST_IDENTITY * t[1]]
+                passage, code, shift = np.array(r["passage"], dtype=np.int64), np.array(r["item"], dtype=np.int64), r["shift"]
+                low, high = max(0, -shift), min(len(code), len(passage) - shift)
+                good = list(stretches(passage[low + shift:high + shift] == code[low:high], min(LEAST_TOKENS, len(code))))
                 if good:
                     start, size, same = max(good, key=lambda t: (t[2], t[1]))
-                    out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "content": r["content"], "start": r["start"] + r["shift"] + start,
+                    out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "content": r["content"], "start": r["start"] + shift + low + start,
                                 "n_tokens": size, "n_same": same, "identity": same / size, "n_item": len(code)})
             yield pa.RecordBatch.from_pylist(out, schema=result)
 
@@ -142,17 +179,15 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
                         ("n_same", pa.int32()), ("identity", pa.float64()), ("n_item", pa.int32())])
     items = written(bench.select(F.col(item).cast("long"), item_text).mapInArrow(read_items, "item_id long, item array<bigint>"), "bench-items")
     hashed = written(items.mapInArrow(mask_items, "item_id long, hash long, item_at int"), "bench-hashes")
-    lengths = [r[0] for r in items.select(F.size("item").alias("n")).where(F.col("n") < len(MASKS[0])).distinct().collect()]
     low = hashed.select(F.call_function("shiftleft", F.col("hash"), F.lit(32)).alias("hash"))
-    shared = docs.sparkSession.sparkContext.broadcast((bit_filter(hashed, BITS), bit_filter(low, BITS), sorted(lengths)))
+    shared = docs.sparkSession.sparkContext.broadcast((bit_filter(hashed, BITS), bit_filter(low, BITS)))
     segments = written(small_batches(docs).select(F.col(key).cast("long"), text).mapInArrow(
         find, "doc_id long, content string, start int, passage array<bigint>, at array<int>, hashes array<bigint>")
         .withColumn("segment", F.monotonically_increasing_id()), "leak-segments")
     hits = segments.select("segment", F.explode(F.arrays_zip("at", "hashes")).alias("hit")).select("segment", "hit.at", F.col("hit.hashes").alias("hash"))
-    tried = (hits.join(hashed, "hash").select("segment", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at")
-             .groupBy("segment", "item_id", "shift").agg(F.sort_array(F.collect_set("item_at")).alias("item_at")))
+    tried = (hits.join(hashed, "hash").select("segment", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
     rows = tried.join(segments.drop("at", "hashes"), "segment").join(items, "item_id")
-    checked = rows.select("doc_id", "item_id", "content", "start", "passage", "item", "shift", "item_at").mapInArrow(
+    checked = rows.select("doc_id", "item_id", "content", "start", "passage", "item", "shift").mapInArrow(
         verify, "doc_id long, item_id long, content string, start int, n_tokens int, n_same int, identity double, n_item int")
     best = F.max_by(F.struct("start", "n_tokens", "n_same", "identity", "n_item"), F.struct("n_same", "n_tokens", -F.col("start")))
     return (checked.groupBy("doc_id", "item_id", "content").agg(best.alias("best"))

@@ -87,3 +87,59 @@ def test_a_seed_survives_changes_under_its_zeros():
         other = code.copy()
         other[[i for i, c in enumerate(mask) if c == "0"]] = 99
         assert dc.seeds(code, mask, number)[0] == dc.seeds(other, mask, number)[0]
+
+
+def maskless(docs, bench):
+    """Every agreeing token of every diagonal of every pair, whatever the masks."""
+    found = set()
+    for d, text, *_ in docs:
+        a = plain(text)
+        for i, item in bench:
+            b = plain(item)
+            for shift in range(-len(b) + 1, len(a)):
+                places = range(max(0, -shift), min(len(b), len(a) - shift))
+                same = [a[p + shift] == b[p] for p in places]
+                if len(b) < dc.SHORTEST or sum(same) < dc.SHORTEST:
+                    continue
+                gain = [1 if s else -dc.PENALTY for s in same]
+                for at in (p for p, s in enumerate(same) if s):
+                    end = max(range(at + 1, len(same) + 1), key=lambda e: (sum(gain[at:e]), -e))
+                    start = max(range(at + 1), key=lambda s: (sum(gain[s:at]), s))
+                    n, eq = end - start, sum(same[start:end])
+                    if n >= min(dc.LEAST_TOKENS, len(b)) and eq >= max(dc.SHORTEST, dc.LEAST_IDENTITY * n):
+                        found.add((d, i))
+    return sorted(found)
+
+
+def test_changed_words_hide_no_item_whatever_the_masks(spark, frame):
+    rng = random.Random(9)
+    bench = [(n, [f"i{n}t{j}" for j in range(n)]) for n in (5, 6, 7, 8, 9, 10, 11, 12, 13, 15, 20, 25, 40)]
+    docs = []
+    for n, item in bench:
+        for _ in range(30):
+            part = list(item)
+            if n > 20 and rng.random() < 0.5:  # a piece of a long item
+                at = rng.randrange(n - 12)
+                part = part[at:at + 12]
+            for at in rng.sample(range(len(part)), rng.randint(0, len(part) // 4)):
+                part[at] = "changed"
+            docs.append((len(docs), " ".join(["before"] * 7 + part + ["after"] * 5), "en", "s", 1))
+    bench = [(i, " ".join(b)) for i, b in bench]
+    got = overlaps(frame(docs, DOCS), frame(bench, BENCH)).collect()
+    want = maskless(docs, bench)
+    assert {i for _, i in want} == {i for i, _ in bench}
+    assert sorted((r.doc_id, r.item_id) for r in got) == want
+    assert sum("changed" in docs[d][1] and i < 13 for d, i in want) > 40
+
+
+def test_no_stretch_avoids_every_hashed_mask():
+    for n in range(dc.SHORTEST, 19):
+        inner = np.arange(1 << (n - 2))
+        same = ((((inner << 1) | 1 | (1 << (n - 1)))[:, None] >> np.arange(n)) & 1).astype(bool)
+        same = same[same.sum(axis=1) >= max(dc.SHORTEST, dc.LEAST_IDENTITY * n)]
+        hit = np.zeros(len(same), dtype=bool)
+        for mask in dc.HASHED:
+            ones = [j for j, c in enumerate(mask) if c == "1"]
+            for at in range(n - len(mask) + 1):
+                hit |= same[:, [at + j for j in ones]].all(axis=1)
+        assert not [s for s in same[~hit] if any(dc.stretch(s, at) == (0, n) for at in np.flatnonzero(s))]

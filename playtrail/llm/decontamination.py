@@ -4,7 +4,7 @@ A mask is laid over every position of a text and only the tokens under its ones
 zero leaves the hash as it is. Training positions whose hash passes a fixed-size filter of the benchmark's hashes leave
 the scan as segments (token codes around neighbouring hits); the hits are joined with the benchmark on the hash. The
 passage and the benchmark item are compared token by token along the diagonal of a hit, the best ungapped stretch through
-every agreeing token decides.
+every agreeing token is tried, and one that is too unlike is tried again in two parts.
 """
 
 from __future__ import annotations
@@ -78,17 +78,32 @@ def stretch(same: np.ndarray, at: int) -> tuple[int, int]:
 def stretches(same: np.ndarray, least: int):
     """(start, tokens, agreeing tokens) of the stretches of a diagonal with `least` tokens, enough of them agreeing.
 
-    All tokens of an agreeing run lead to the same stretch, so its first one is tried.
+    All tokens of an agreeing run lead to the same stretch, so its first one is tried; runs inside a stretch that passed
+    or is too short lead to parts of it. A stretch that is too unlike may hide a good part: its runs are tried too, and
+    both sides of its lowest running sum.
     """
-    reach = 0
-    if int(same.sum()) < SHORTEST or len(same) < least:
-        return
-    for at in np.flatnonzero(same & ~np.concatenate(([False], same[:-1]))).tolist():
-        if at >= reach:  # runs inside a stretch that was tried lead to it again
-            start, reach = stretch(same, at)
-            size, equal = reach - start, int(same[start:reach].sum())
-            if size >= least and equal >= max(SHORTEST, LEAST_IDENTITY * size):
-                yield start, size, equal
+    todo = [(0, len(same))]
+    seen = set(todo)
+    while todo:
+        low, high = todo.pop()
+        part, reach = same[low:high], 0
+        if int(part.sum()) < SHORTEST or high - low < least:
+            continue
+        for at in np.flatnonzero(part & ~np.concatenate(([False], part[:-1]))).tolist():
+            if at < reach:
+                continue
+            start, end = stretch(part, at)
+            size, equal = end - start, int(part[start:end].sum())
+            if size < least or equal < SHORTEST:
+                reach = end
+            elif equal >= LEAST_IDENTITY * size:
+                reach = end
+                yield low + start, size, equal
+            else:
+                cut = start + 1 + int(np.argmin(np.cumsum(np.where(part[start:end], 1.0, -PENALTY))))
+                sides = [(low + start, low + cut), (low + cut, low + end)]
+                todo += [side for side in sides if side not in seen]
+                seen.update(sides)
 
 
 def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",

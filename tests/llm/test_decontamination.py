@@ -143,3 +143,12 @@ def test_no_stretch_avoids_every_hashed_mask():
             for at in range(n - len(mask) + 1):
                 hit |= same[:, [at + j for j in ones]].all(axis=1)
         assert not [s for s in same[~hit] if any(dc.stretch(s, at) == (0, n) for at in np.flatnonzero(s))]
+
+
+def test_a_rejected_stretch_hides_no_verbatim_part(spark, frame):
+    item = [f"t{i}" for i in range(150)]
+    docs = [(1, " ".join(item[:20] + ["new"] * 40 + item[60:]), "en", "s", 1), (2, " ".join(item[:90] + ["new"] * 40 + item[130:]), "en", "s", 1)]
+    four = [f"f{i}" for i in range(116)]  # each of the runs leads to the whole, which is 0.741 alike
+    docs.append((3, " ".join(w if not 22 <= i < 32 and not 53 <= i < 63 and not 84 <= i < 94 else "new" for i, w in enumerate(four)), "en", "s", 1))
+    rows = overlaps(frame(docs, DOCS), frame([(10, " ".join(item)), (11, " ".join(four))], BENCH)).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.n_tokens, r.n_same) for r in rows) == [(1, 10, 60, 90, 90), (2, 10, 0, 90, 90), (3, 11, 32, 84, 64)]

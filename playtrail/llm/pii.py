@@ -78,26 +78,36 @@ def ips(text: str):
 
 
 def cards(text: str, parts: bool):
-    """Valid numbers of 13 to 19 digits, or, of runs that are none, the leftmost valid one of whole digit groups."""
+    """Valid numbers of 13 to 19 digits, or, of runs that are none, the valid ones of whole digit groups and the run."""
     for match in CARD.finditer(text):
         digits = only_digits(match.group())
         valid = 13 <= len(digits) <= 19 and luhn(digits)
         if valid and not parts:
             yield match.span()
         elif parts and not valid and len(digits) > 13:
-            groups = [m.span() for m in re.finditer("[0-9]+", match.group())]
-            for i in range(len(groups)):
-                found = None
-                for j in range(i, min(i + 8, len(groups))):
-                    a, b = groups[i][0], groups[j][1]
-                    number = only_digits(match.group()[a:min(b, a + 40)])
-                    if b - a > 40 or len(number) > 19:
-                        break
-                    if len(number) >= 13 and luhn(number):
-                        found = (match.start() + a, match.start() + b)
-                if found:
-                    yield found
-                    break
+            for start, end in within(match.group()):
+                yield match.start() + start, match.start() + end, *match.span()
+
+
+def within(run: str) -> list[tuple[int, int]]:
+    """Of a run of digit groups, the valid numbers of whole groups that have the most digits together, none overlapping."""
+    groups = [m.span() for m in re.finditer("[0-9]+", run)]
+    best = [(0, 0)] * (len(groups) + 1)  # from each group on: digits of the numbers, groups of the first (0: no number begins here)
+    for i in range(len(groups) - 1, -1, -1):
+        best[i], number = (best[i + 1][0], 0), ""
+        for j in range(i, len(groups)):
+            a, b = groups[j]
+            if len(number) + b - a > 19:
+                break
+            number += run[a:b]
+            if len(number) >= 13 and len(number) + best[j + 1][0] >= best[i][0] and luhn(number):
+                best[i] = (len(number) + best[j + 1][0], j + 1 - i)
+    found, i = [], 0
+    while i < len(groups):
+        if best[i][1]:
+            found.append((groups[i][0], groups[i + best[i][1] - 1][1]))
+        i += best[i][1] or 1
+    return found
 
 
 def phones(text: str):
@@ -107,14 +117,21 @@ def phones(text: str):
 
 
 def ibans(text: str):
-    """Account numbers whose checksum holds, cut back at spaces where words in capitals follow."""
-    for match in IBAN.finditer(text):
-        found = match.group()
+    """Account numbers whose checksum holds, cut back at spaces where words in capitals or another number follow.
+
+    The search goes on behind a number, or at the next group of a match that holds none.
+    """
+    match = IBAN.search(text)
+    while match:
+        found, at = match.group(), match.start()
+        behind = at + found.find(" ") + 1 if " " in found else match.end()
         while found:
             if mod97(found):
-                yield match.start(), match.start() + len(found)
+                behind = at + len(found)
+                yield at, behind
                 break
             found = found[:found.rfind(" ")] if " " in found else ""
+        match = IBAN.search(text, behind)
 
 
 def scored(kind: str, text: str, start: int, end: int) -> float:
@@ -137,8 +154,8 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
                 "tel": ((m.span()) for m in TEL.finditer(text)) if digits >= 10 else ()}
     spans = []
     for kind in KINDS:
-        for start, end in proposed[kind]:
-            score = scored(kind, text, start, end)
+        for start, end, *run in proposed[kind]:
+            score = scored(kind, text, *(run or (start, end)))  # the words near a run stand beside each of its numbers
             if kind in BASE or score >= THRESHOLD:
                 spans.append((kind, start, end, score))
     return spans

@@ -80,3 +80,15 @@ def test_whole_table(spark):
         want = plain(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(w[0] == k for w in want) for k in pii.BASE)
+
+
+def test_every_number_of_a_run_is_found():
+    spans = lambda t: [(s[0], t[s[1]:s[2]]) for s in find(t)]
+    visa, master, amex = "4111 1111 1111 1111", "5500-0000-0000-0004", "3782 822463 10005"
+    assert spans(f"card {visa} {master} end") == [("card_part", visa), ("card_part", master)]
+    assert spans(f"card {master}-{visa} {amex} {visa} end") == [("card_part", c) for c in (master, visa, amex, visa)]
+    assert spans(f"card 12345 {visa} 99 {master}") == [("card_part", visa), ("card_part", master)]
+    assert spans(f"card 41 11 11 11 11 11 11 1 1 {master}") == [("card_part", "41 11 11 11 11 11 11 1 1"), ("card_part", master)]
+    one, two = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    assert spans(f"to {one} {two} {one}") == [("iban", one), ("iban", two), ("iban", one)]
+    assert spans(f"to AB12 CD {one}") == [("iban", one)] and spans(f"to DE88 3705 0044 {two} NOW") == [("iban", two)]

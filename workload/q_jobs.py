@@ -1,6 +1,6 @@
 """Whole jobs, from raw lines to routed rows."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from playtrail.functions import times
 from playtrail.operators import resolve, rules as rl
@@ -203,29 +203,47 @@ def order_clean(spark, sf):
                       *record_fields(ext="ext", rec_channel="channel_id", rec_update="update_time", rec_first="first_order_date"))
 
 
-FAR = 2 ** 47
+FAR, APART = 2 ** 47, 44  # the first number; bits between the numbers of the three groups of lines
+LINE_KEYS = 2 ** 12  # order keys of one line
 
 
-def wide_lines(spark, sf):
-    """One envelope with an order row per line item, and two more lines of the same users, numbered from 2 ** 47 on."""
+def wide_items(spark, sf, keys=LINE_KEYS):
+    """Line items with the number of their line: one line per group and `keys` order keys, numbered by the first of them."""
     li = i.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    group = F.when(F.col("l_linenumber") == 1, 0).otherwise(F.col("l_orderkey") % 2 + 1).cast("long")
+    return li.withColumn("line_no", F.lit(FAR) + F.shiftleft(group, APART) + F.col("l_orderkey") - F.col("l_orderkey") % keys)
+
+
+def wide_lines(spark, sf, keys=LINE_KEYS):
+    """Envelopes with an order row per line item, three groups of lines of the same users, numbered from 2 ** 47 on."""
     data = F.struct((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_sn"), F.lit(70).alias("game_id"), F.lit(5000).alias("channel_id"),
                     (F.col("l_suppkey") % 50).alias("user_id"), F.lit("x").alias("server"), F.lit(1).alias("pay_status"), F.lit(2).alias("status"), F.lit("").alias("create_ip"),
                     ((800000000 + F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000).alias("update_time"))
     row = F.struct(F.lit("agent_order").alias("table"), data.alias("data"))
-    return li.groupBy((F.lit(FAR) + F.when(F.col("l_linenumber") == 1, 0).otherwise(F.col("l_orderkey") % 2 + 1)).alias("line_no")).agg(
-        F.to_json(F.struct(F.sort_array(F.collect_list(row)).alias("rows"))).alias("value"))
+    return wide_items(spark, sf, keys).groupBy("line_no").agg(F.to_json(F.struct(F.sort_array(F.collect_list(row)).alias("rows"))).alias("value"))
+
+
+def rows_before(spark, sf, keys=LINE_KEYS):
+    """Per line the rows of its group in the lines before it: a sum over blocks of lines, then one inside each block."""
+    lines = wide_items(spark, sf, keys).groupBy("line_no").agg(F.count("*").alias("n")).withColumns(
+        {"group": F.shiftright(F.col("line_no") - FAR, APART), "block": F.shiftright("line_no", 30)})
+    earlier = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("group", "block").agg(F.sum("n").alias("n")).select(
+        "block", F.coalesce(F.sum("n").over(earlier("group", "block")), F.lit(0)).alias("blocks_before"))
+    within = F.coalesce(F.sum("n").over(earlier("block", "line_no")), F.lit(0))
+    return lines.withColumn("within", within).join(blocks, "block").select("line_no", "group", (F.col("within") + F.col("blocks_before")).alias("before"))
 
 
 @query("order_clean_wide_line", w(DIMS, f"""rw AS (SELECT {FAR}::BIGINT + CASE WHEN l_linenumber = 1 THEN 0 ELSE l_orderkey % 2 + 1 END AS line_no, l_orderkey * 10 + l_linenumber AS sn, l_suppkey % 50 AS uid FROM lineitem),
 rn AS (SELECT *, row_number() OVER (PARTITION BY line_no ORDER BY sn, uid) - 1 AS row_no, 800000000 + sn AS t FROM rw),
 rs AS (SELECT *, min(t) OVER (PARTITION BY uid ORDER BY line_no, row_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS hist FROM rn)""")
        + f"""SELECT line_no, CAST(row_no AS INTEGER) AS row_no, CAST(sn AS VARCHAR) AS order_sn, CASE WHEN '5000' IN {SPECIAL} THEN NULL WHEN hist IS NULL OR hist > t THEN {day('t')} ELSE {day('hist')} END AS first_order_date FROM rs""")
-def order_clean_wide_line(spark, sf):
-    """Lines with very many rows and very large arrival numbers keep their order."""
+def order_clean_wide_line(spark, sf, keys=LINE_KEYS):
+    """Lines with many rows and very large arrival numbers keep their order; rows are numbered through the lines of a group."""
     d = i.dims(spark, sf)
-    out = orders.agency_orders(wide_lines(spark, sf), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "line_no", wrapped=False)
-    return out.select("line_no", "row_no", "order_sn", "first_order_date")
+    out = orders.agency_orders(wide_lines(spark, sf, keys), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "line_no", wrapped=False)
+    return out.join(rows_before(spark, sf, keys), "line_no").select(
+        (F.lit(FAR) + F.col("group")).alias("line_no"), (F.col("row_no") + F.col("before")).cast("int").alias("row_no"), "order_sn", "first_order_date")
 
 
 OWN_ORDER = f"""oo AS (SELECT ok.*, coalesce(cny, 1.0) * money AS cny_amount, coalesce(usd, 1.0) * money AS usd_amount, CASE WHEN jgc <> 'error' THEN uid || '_' || jgc END AS key

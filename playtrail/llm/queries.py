@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from . import attribution, brown, decontamination, jaccard, mixing, neighbours, pii, quality, toxicity, transcripts
+from . import attribution, brown, centroids, decontamination, jaccard, mixing, neighbours, pii, quality, toxicity, transcripts
 from .common import table
 from .registry import query
 
@@ -67,4 +67,9 @@ def op5_transcripts(spark, sf_dir):
     return transcripts.summary(transcripts.parse(raw, transcripts.fit(raw)), chats.select("conv_id", "turn", "role"))
 
 
+@query("op12_centroids", centroids.ORACLE_SQL)
+def op12_centroids(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

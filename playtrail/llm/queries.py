@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from . import attribution, brown, centroids, decontamination, jaccard, mixing, neighbours, pii, quality, toxicity, transcripts
+from . import attribution, brown, centroids, decontamination, jaccard, mixing, neighbours, pii, quality, token_store, toxicity, transcripts
 from .common import table
 from .registry import query
 
@@ -72,4 +72,10 @@ def op12_centroids(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
 
+@query("op13_token_store")
+def op13_token_store(spark, sf_dir):
+    from public_tokenizers import path
+    return token_store.digests(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from . import attribution, brown, centroids, decontamination, jaccard, mixing, neighbours, pii, quality, token_store, toxicity, transcripts
+from . import attribution, brown, centroids, decontamination, jaccard, mixing, neighbours, pii, prefix_trie, quality, token_store, toxicity, transcripts
 from .common import table
 from .registry import query
 
@@ -67,6 +67,11 @@ def op5_transcripts(spark, sf_dir):
     return transcripts.summary(transcripts.parse(raw, transcripts.fit(raw)), chats.select("conv_id", "turn", "role"))
 
 
+@query("op11_prefix_trie", prefix_trie.ORACLE_SQL)
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(prefix_trie.regrouped(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
 @query("op12_centroids", centroids.ORACLE_SQL)
 def op12_centroids(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings"))

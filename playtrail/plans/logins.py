@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,14 +29,20 @@ def _field_set(struct: str, df: DataFrame, given: dict[str, Column]) -> Column:
     return F.struct(*cols, *[c.alias(n) for n, c in given.items() if n not in names])
 
 
-def _stamp(df: DataFrame, arrival: str, state: DataFrame | None, flag_only: bool, tz: str) -> DataFrame:
+State = DataFrame | Callable[[DataFrame], DataFrame] | None
+
+
+def _stamp(df: DataFrame, arrival: str, state: State, flag_only: bool, tz: str) -> DataFrame:
+    """``state`` is the stored state, or gives that of the keys it is called with."""
     key = F.when(F.col("ok"), st.state_key(F.col("user.user_id"), F.col("agent.game_channel_id")))
+    if callable(state):
+        state = state(df.select(key.alias("key")).where("key IS NOT NULL"))
     return st.first_events(df, arrival, key, F.col("event"), int_of(F.col("server_ts").cast("string")),
                            F.col("is_test"), F.lit(""), F.lit(""), flag_only=flag_only, state=state, tz=tz)
 
 
 def agency_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension, arrival: str, *,
-                  rules: list[rl.Rule], source: str = "agentLoginSrc", state: DataFrame | None = None,
+                  rules: list[rl.Rule], source: str = "agentLoginSrc", state: State = None,
                   wrapped: bool = True, strict: bool = True, flag_only: bool = False,
                   tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Old-format agency logins. Result: arrival, route, value, reject_reason and the stamps.
@@ -69,7 +77,7 @@ def agency_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
 
 def own_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension | None, arrival: str, *,
                rules: list[rl.Rule], source: str, folded_into: str | None = None, wrapped: bool = True,
-               state: DataFrame | None = None, strict: bool = True, flag_only: bool = False,
+               state: State = None, strict: bool = True, flag_only: bool = False,
                aliases: dict[str, str] | None = None, names: dict[str, str] | None = None,
                tz: str = times.DEFAULT_TZ) -> DataFrame:
     """New-format own-channel logins; with ``special`` only logins inside the set count.

@@ -69,22 +69,8 @@ def topic_table_rows(df: DataFrame, topic: str, tables: dict[str, str] | None =
     return texts_to_time(rows, fields).withColumn("table_name", F.lit(table))
 
 
-def finished_parts(spark: SparkSession, path: str, part: str) -> list[int]:
-    """Numbers of the ``part=N`` folders whose write was committed."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(root):
-        return []
-    folders = [f.getPath() for f in fs.listStatus(root) if f.isDirectory()]
-    marked = [p for p in folders if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    names = [p.getName() for p in marked]
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith(part + "="))
-
-
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A folder written by this library, or no rows while it does not exist yet."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(fs_path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that this library wrote and no reader needs any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

@@ -13,7 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import times
 from ..operators import state as st
 from ..operators.clicks import ad_clicks_per_minute
-from ..sinks.state_table import StateTable
+from ..operators.dedupe import dedupe_ttl
+from ..sinks.state_table import EXPIRES, StateTable
 
 
 def read_topics(spark: SparkSession, topics: list[str], servers: str, options: dict[str, str] | None = None) -> DataFrame:
@@ -55,18 +56,15 @@ def append_once(out: str, make: Callable[[DataFrame], DataFrame]) -> Callable[[D
 
 def first_events_stream(stream: DataFrame, out: str, table: StateTable, checkpoint: str, columns: dict[str, Column],
                         arrival: str, interval: str | None = None, flag_only: bool = False,
-                        compact_every: int = 100, tz: str = times.DEFAULT_TZ) -> StreamingQuery:
+                        tz: str = times.DEFAULT_TZ) -> StreamingQuery:
     """First login and payment dates across batches: same window code as batch, state in ``table``.
 
-    ``columns`` names key, event, ts, is_test, pay_status and status. Every ``compact_every``
-    batches the deltas before the batch are merged into a new base.
+    ``columns`` names key, event, ts, is_test, pay_status and status. A batch reads and writes the buckets of its keys.
     """
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if number and number % compact_every == 0:
-                table.compact(spark, number)
             keys = kept.select(columns["key"].alias("key")).where("key IS NOT NULL")
             before = table.read(spark, number, keys)
             st.first_events(kept, arrival, **columns, flag_only=flag_only, state=before, tz=tz) \
@@ -77,21 +75,45 @@ def first_events_stream(stream: DataFrame, out: str, table: StateTable, checkpoi
     return run_batches(stream, handle, checkpoint, interval)
 
 
-def stateful(out: str, table: StateTable, make: Callable[[DataFrame, DataFrame], DataFrame],
-             delta: Callable[[DataFrame], DataFrame], compact_every: int = 100) -> Callable[[DataFrame, int], None]:
-    """Handler of a whole job with state: ``make(batch, state)`` is written, ``delta(result)`` enters the state.
+def stateful(out: str, table: StateTable, make: Callable[[DataFrame, Callable[[DataFrame], DataFrame]], DataFrame],
+             delta: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Handler of a whole job with state: ``make(batch, known)`` is written, ``delta(result)`` enters the state.
 
-    A repeated batch reads the state before it and replaces both its rows and its state.
+    ``known`` gives the state of the keys it is called with, as the job finds them. A repeated batch reads the state
+    before it and replaces both its rows and its state.
     """
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if number and number % compact_every == 0:
-            table.compact(spark, number)
-        make(batch, table.read(spark, number)).write.mode("overwrite").parquet(batch_folder(out, number))
+        make(batch, lambda keys: table.read(spark, number, keys)).write.mode("overwrite").parquet(batch_folder(out, number))
         table.append(delta(spark.read.parquet(batch_folder(out, number))), number)
     return handle
 
 
+def deduplicated_by_window(out: str, table: StateTable, key: str, ts: str, arrival: str, ttl: int = 300) -> Callable[[DataFrame, int], None]:
+    """Handler that keeps a row when ``ttl`` seconds passed since the last kept row of its key, in whichever batch.
+
+    ``table`` holds ``key`` and ``sec``, the last kept second, with the larger one winning, and ``expires_at``, from
+    which second on the row says nothing. Batches come in order of time; a row older than the last kept one of its key
+    lies inside the window and goes. Rows that were left out never extend the window.
+    """
+    if (table.keys, table.values, table.merge, table.ends) != (["key"], ["sec"], "max", True):
+        raise ValueError("the state of a window is key, sec and expires_at, merged by max")
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            now = kept.agg(F.min(ts)).first()[0]
+            before = table.read(spark, number, kept.select(F.col(key).cast("string").alias("key")).where("key IS NOT NULL"), now)
+            dedupe_ttl(kept, key, ts, arrival, ttl, state=before).write.mode("overwrite").parquet(batch_folder(out, number))
+            done = spark.read.schema(batch.schema).parquet(batch_folder(out, number)).where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+            last = done.groupBy(F.col(key).cast("string").alias("key")).agg(F.max(ts).alias("sec"))
+            table.append(last.withColumn(EXPIRES, F.col("sec") + ttl), number, now)
+        finally:
+            kept.unpersist()
+    return handle
+
+
 def deduplicated(stream: DataFrame, key: list[str], event_time: str, ttl: str = "300 seconds") -> DataFrame:
     """First row per key within the delay, by event time."""
     return stream.withWatermark(event_time, ttl).dropDuplicatesWithinWatermark(key)

@@ -79,7 +79,7 @@ def test_stored_state_enters_every_block(spark):
 def test_batches_through_the_state_table_equal_one_run(spark, tmp_path):
     rows = rows_with_hot_key(seed=9)
     want, store = replay(rows)
-    table = StateTable(f"file:{tmp_path}/state", ["key"], ["login_ts", "order_ts"])
+    table = StateTable(f"file:{tmp_path}/state", ["key"], ["login_ts", "order_ts"], buckets=3, deltas=2)
     got = {}
     for number, start in enumerate(range(0, 600, 150)):
         part = spark.createDataFrame(rows[start:start + 150], SCHEMA)
@@ -87,9 +87,6 @@ def test_batches_through_the_state_table_equal_one_run(spark, tmp_path):
         got.update({r["no"]: (r["first_order_date"], r["reg_date"]) for r in out.collect()})
         for _ in range(2):  # a repeated batch replaces its own rows
             table.append(st.first_event_state(part, **args()), number)
-        if number >= 2:
-            for _ in range(2):  # so does a repeated compaction
-                table.compact(spark, number)
     assert got == want
     final = {r["key"]: [r["login_ts"], r["order_ts"]] for r in table.read(spark).collect()}
     assert final == {k: v for k, v in store.items() if v != [None, None]}
@@ -123,7 +120,7 @@ def greedy(rows, ttl):
     return kept
 
 
-@pytest.mark.parametrize("seed,span,ttl", [(1, 300, 300), (2, 1000, 300), (3, 86400, 300), (4, 700, 650), (5, 400, 1)])
+@pytest.mark.parametrize("seed,span,ttl", [(1, 600, 300), (2, 1000, 300), (3, 86400, 300), (4, 1300, 650), (5, 400, 1)])
 def test_time_window_duplicates_equal_greedy(spark, seed, span, ttl):
     """A key without gaps must be followed across spans exactly."""
     rnd = random.Random(seed)
@@ -164,11 +161,70 @@ def test_groups_of_the_window_plan_are_bounded(spark):
     assert "Join" not in plan
 
 
-def test_unfinished_base_is_not_read(spark, tmp_path):
+def state_rows(spark, rows):
+    return spark.createDataFrame(rows, "key string, login_ts bigint, order_ts bigint")
+
+
+def test_a_batch_without_manifest_is_no_part_of_the_state(spark, tmp_path):
     table = StateTable(f"file:{tmp_path}/state", ["key"], ["login_ts", "order_ts"])
-    delta = spark.createDataFrame([("a", 5, None)], "key string, login_ts bigint, order_ts bigint")
-    table.append(delta, 0)
-    table.compact(spark, 1)
-    (tmp_path / "state" / "base" / "upto=1" / "_SUCCESS").unlink()
-    spark.createDataFrame([("a", 1, None)], "key string, login_ts bigint, order_ts bigint").write.mode("overwrite").parquet(f"file:{tmp_path}/x")
+    table.append(state_rows(spark, [("a", 5, None)]), 0)
+    table._write(state_rows(spark, [("a", 1, None)]), "delta-1")  # broke off before its manifest
+    assert [tuple(r) for r in table.read(spark).collect()] == [("a", 5, None)]
+    table.append(state_rows(spark, []), 1)  # repeated, without rows this time
     assert [tuple(r) for r in table.read(spark).collect()] == [("a", 5, None)]
+
+
+def test_a_batch_opens_the_buckets_of_its_keys_and_old_files_go(spark, tmp_path):
+    table = StateTable(f"file:{tmp_path}/state", ["key"], ["login_ts", "order_ts"], buckets=16, deltas=3)
+    keys = [f"k{n}" for n in range(200)]
+    for batch in range(7):
+        table.append(state_rows(spark, [(k, 100 - batch, None) for k in keys[batch % 2::2]]), batch)
+    found = table.read(spark, only=spark.createDataFrame([("k4",)], "key string"))
+    assert [tuple(r) for r in found.collect()] == [("k4", 94, None)]
+    opened = {f.split("bucket=")[1].split("/")[0] for f in found.inputFiles()}
+    assert len(opened) == 1 and len(table.read(spark).inputFiles()) > 8 * len(found.inputFiles())
+    folders = {p.parent.name for p in (tmp_path / "state" / "data").glob("*/bucket=*")}
+    assert any(f.startswith("base-") for f in folders) and "delta-0" not in folders  # merged, then removed
+    assert len(list((tmp_path / "state" / "manifest").glob("version=*"))) <= 2
+    before = {tuple(r) for r in table.read(spark, 6).collect()}
+    assert before == {(k, 95 if n % 2 else 96, None) for n, k in enumerate(keys)}  # what a repeated batch 6 would read
+    assert table.read(spark, only=spark.createDataFrame([], "key string")).count() == 0
+
+
+def test_expired_rows_are_left_out_and_merged_away(spark, tmp_path):
+    table = StateTable(f"file:{tmp_path}/state", ["key"], ["sec"], buckets=1, merge="max", ends=True, deltas=2)
+    make = lambda rows: spark.createDataFrame(rows, "key string, sec bigint, expires_at bigint")
+    table.append(make([("a", 1, 11), ("b", 2, 12)]), 0)
+    table.append(make([("a", 5, 15)]), 1)
+    assert {tuple(r) for r in table.read(spark).collect()} == {("a", 5, 15), ("b", 2, 12)}
+    assert {tuple(r) for r in table.read(spark, now=12).collect()} == {("a", 5, 15)}
+    table.append(make([("c", 20, 30)]), 2, now=12)
+    assert {tuple(r) for r in table.read(spark).collect()} == {("a", 5, 15), ("c", 20, 30)}
+
+
+def test_number_of_buckets_is_part_of_the_state(spark, tmp_path):
+    StateTable(f"file:{tmp_path}/state", ["key"], ["login_ts", "order_ts"], buckets=4).append(state_rows(spark, [("a", 5, None)]), 0)
+    with pytest.raises(ValueError):
+        StateTable(f"file:{tmp_path}/state", ["key"], ["login_ts", "order_ts"], buckets=5).read(spark)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_window_over_batches_equals_one_run(spark, seed):
+    rnd = random.Random(seed)
+    rows = sorted({(f"k{rnd.randrange(3)}", rnd.randrange(9000)) for _ in range(500)}, key=lambda r: r[1])
+    rows = [(k, t, n) for n, (k, t) in enumerate(rows)]
+    got, state = set(), {}
+    for start in range(0, len(rows), 120):
+        before = spark.createDataFrame(list(state.items()), "key string, sec bigint")
+        part = spark.createDataFrame(rows[start:start + 120], "key string, ts bigint, no bigint")
+        kept = [tuple(r) for r in dedupe.dedupe_ttl(part, "key", "ts", "no", ttl=300, span=600, state=before).collect()]
+        got |= set(kept)
+        state.update({k: max(t for j, t, _ in kept if j == k) for k in {k for k, _, _ in kept}})
+    assert got == greedy(rows, 300)
+
+
+def test_window_runs_without_python(spark):
+    df = spark.createDataFrame([("hot", t, t) for t in range(0, 5000, 7)], "key string, ts bigint, no bigint")
+    out = dedupe.dedupe_ttl(df, "key", "ts", "no", ttl=300, span=600)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString() and "InPandas" not in out._jdf.queryExecution().toString()
+    assert [r["ts"] for r in out.orderBy("ts").collect()] == [t for t, in sorted({(x[1],) for x in greedy([("hot", t, t) for t in range(0, 5000, 7)], 300)})]

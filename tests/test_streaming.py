@@ -35,10 +35,10 @@ def test_first_events_over_batches(spark, tmp_path):
     want, store = replay(rows)
     src = folder(spark, tmp_path, rows, SCHEMA)
     out, check = str(tmp_path / "out"), str(tmp_path / "check")
-    table = StateTable(str(tmp_path / "state"), ["key"], ["login_ts", "order_ts"])
+    table = StateTable(str(tmp_path / "state"), ["key"], ["login_ts", "order_ts"], buckets=4, deltas=2)
     stream = jobs.read_folder(spark, src, SCHEMA, options={"maxFilesPerTrigger": "1"})
-    done(jobs.first_events_stream(stream, out, table, check, args(), "no", compact_every=2))
-    assert (tmp_path / "state" / "base" / "upto=2").is_dir()
+    done(jobs.first_events_stream(stream, out, table, check, args(), "no"))
+    assert list((tmp_path / "state" / "data").glob("base-*"))
     got = {r["no"]: (r["first_order_date"], r["reg_date"]) for r in spark.read.parquet(out).collect()}
     assert got == want
     assert spark.read.parquet(out).select("batch").distinct().count() == 4

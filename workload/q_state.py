@@ -126,13 +126,13 @@ def first_seen_flag(spark, sf):
     return st.first_seen(e, ["game", "device"], "eid", state=known, block_rows=BLOCK).select("eid", "new_device")
 
 
-@query("dedupe_ttl", w(EV, """pts AS (SELECT uid % 10 AS key, t, min(eid) AS eid FROM ev GROUP BY ALL),
-nxt AS (SELECT p.key, p.t, p.eid, min(q.t) AS nt FROM pts p LEFT JOIN pts q ON q.key = p.key AND q.t >= p.t + 900 GROUP BY ALL),
+DEDUPE_TTL_SQL = w(EV, """pts AS (SELECT uid % 10 AS key, t, min(eid) AS eid FROM ev GROUP BY ALL),
+nxt AS (SELECT p.key, p.t, p.eid, q.t AS nt FROM pts p ASOF LEFT JOIN pts q ON q.key = p.key AND p.t + 900 <= q.t),
 chain AS (SELECT n.* FROM nxt n JOIN (SELECT key, min(t) AS t FROM pts GROUP BY 1) f USING (key, t)
-  UNION ALL SELECT n.* FROM chain c JOIN nxt n ON n.key = c.key AND n.t = c.nt)""".replace(
-    "nxt AS (SELECT p.key, p.t, p.eid, min(q.t) AS nt FROM pts p LEFT JOIN pts q ON q.key = p.key AND q.t >= p.t + 900 GROUP BY ALL)",
-    "nxt AS (SELECT p.key, p.t, p.eid, q.t AS nt FROM pts p ASOF LEFT JOIN pts q ON q.key = p.key AND p.t + 900 <= q.t)"))
-       + "SELECT key, t, eid FROM chain")
+  UNION ALL SELECT n.* FROM chain c JOIN nxt n ON n.key = c.key AND n.t = c.nt)""") + "SELECT key, t, eid FROM chain"
+
+
+@query("dedupe_ttl", DEDUPE_TTL_SQL)
 def dedupe_ttl(spark, sf):
     """Kept rows of ten busy keys, 15 minutes apart at least."""
     e = i.ev(spark, sf).selectExpr("uid % 10 AS key", "t", "eid")
@@ -160,13 +160,12 @@ def kv_latest_with_ttl(spark, sf):
 @query("state_upsert", w(EV, running(PAID)) + """SELECT key, min(lm) AS login_ts, min(om) AS order_ts FROM se WHERE key IS NOT NULL GROUP BY 1
   HAVING min(lm) IS NOT NULL OR min(om) IS NOT NULL""")
 def state_upsert(spark, sf):
-    """Three batches, one of them written twice, and a compaction in between."""
+    """Four batches, one of them written twice; buckets are merged in between."""
     rows = state_rows(spark, sf)
-    table = StateTable(fresh_path(spark, "state_upsert"), ["key"], ["login_ts", "order_ts"])
-    for number, part in enumerate(("login", "order", "register")):
+    table = StateTable(fresh_path(spark, "state_upsert"), ["key"], ["login_ts", "order_ts"], buckets=8, deltas=2)
+    for number, part in enumerate(("login", "order", "register", "order")):
         delta = st.first_event_state(rows.where(F.col("kind") == part), **columns())
         table.append(delta, number)
         if number == 1:
             table.append(delta, number)
-            table.compact(spark, 2)
     return table.read(spark)

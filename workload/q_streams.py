@@ -12,22 +12,23 @@ from playtrail.streaming import jobs
 from . import inputs as i
 from .q_decode import CLICK_SQL
 from .q_jobs import LOGIN_CLEAN_SQL, LOGIN_RULES, login_columns
-from .q_state import PAID, columns, running, stamped_sql
+from .q_state import DEDUPE_TTL_SQL, PAID, columns, running, stamped_sql
 from .registry import query
 from .sql import EV, w
 
 
-BATCHES = 4
+FILE_ROWS = 250_000
 
 
-def event_stream(spark, sf):
-    """The events as a growing folder: four files in order of arrival, one to a batch."""
+def event_stream(spark, sf, batches=4):
+    """The events as a growing folder, in order of arrival; a batch has as many files as its rows ask for."""
     events, path = i.table(spark, sf, "events"), fresh_path(spark, "events")
-    top = events.agg(F.max("event_id")).first()[0] + 1
-    for n in range(BATCHES):
-        part = F.floor(F.col("event_id") * BATCHES / top) == n
-        events.where(part).coalesce(1).write.mode("append").parquet(path)
-    return jobs.read_folder(spark, path, events.schema, options={"maxFilesPerTrigger": "1"})
+    top, rows = events.agg(F.max("event_id") + 1, F.count("*")).first()
+    files = 1 + rows // (batches * FILE_ROWS)
+    for n in range(batches):
+        part = F.floor(F.col("event_id") * batches / top) == n
+        events.where(part).repartition(files).write.mode("append").parquet(path)
+    return jobs.read_folder(spark, path, events.schema, options={"maxFilesPerTrigger": str(files)})
 
 
 def finish(query_handle):
@@ -51,30 +52,29 @@ def stream_ingest_files(spark, sf):
 
 @query("stream_login", LOGIN_CLEAN_SQL)
 def stream_login(spark, sf):
-    """The login job over four batches, its state carried between them, gives the rows of the batch job."""
+    """The login job over eight batches, its state carried between them, gives the rows of the batch job."""
     out, check = fresh_path(spark, "login"), fresh_path(spark, "login-offsets")
     d, regions, state = i.dims(spark, sf), i.regions(spark, sf), i.stored_state(spark, sf)
 
-    table = StateTable(fresh_path(spark, "login-state"), ["key"], ["login_ts", "order_ts"])
+    table = StateTable(fresh_path(spark, "login-state"), ["key"], ["login_ts", "order_ts"], buckets=8, deltas=3)
 
-    def clean(batch, before):
+    def clean(batch, known):
         lines = i.old_login_lines_of(i.ev_of(batch), wrapped=True)
-        known = state.unionByName(before)
-        return logins.agency_logins(lines, d, regions, d.special, "eid", rules=LOGIN_RULES, state=known)
+        return logins.agency_logins(lines, d, regions, d.special, "eid", rules=LOGIN_RULES, state=lambda keys: state.unionByName(known(keys)))
 
     def seen(done):
         key = F.when(F.col("ok"), st.state_key(F.col("user-user_id"), F.col("agent-game_channel_id")))
         return st.first_event_state(done, key, F.col("event"), F.col("server_ts"), F.col("is_test"), F.lit(""), F.lit(""))
 
-    finish(jobs.run_batches(event_stream(spark, sf), jobs.stateful(out, table, clean, seen), check))
+    finish(jobs.run_batches(event_stream(spark, sf, 8), jobs.stateful(out, table, clean, seen), check))
     return login_columns(read_batches(spark, out))
 
 
 @query("stream_first_event", w(EV, running(PAID)) + f"SELECT eid, first_order_date, reg_date FROM (SELECT eid, {stamped_sql('sts', 'kind', 'login_ts', 'order_ts')} FROM se)")
 def stream_first_event(spark, sf):
     out, check = fresh_path(spark, "first"), fresh_path(spark, "first-offsets")
-    table = StateTable(fresh_path(spark, "first-state"), ["key"], ["login_ts", "order_ts"])
-    e = i.ev_of(event_stream(spark, sf))
+    table = StateTable(fresh_path(spark, "first-state"), ["key"], ["login_ts", "order_ts"], buckets=8, deltas=3)
+    e = i.ev_of(event_stream(spark, sf, 8))
     gc = F.when(F.col("k") == 5, F.lit("error")).when(F.col("k") == 6, F.lit("")).otherwise(F.col("gc"))
     rows = e.select("eid", "uid", "sts", "kind", gc.alias("gc"), F.when(F.col("k") != 77, F.lit("regular")).otherwise(F.lit("test")).alias("is_test"),
                     F.when(F.col("k") < 70, F.lit("1")).otherwise(F.lit("0")).alias("pay"),
@@ -103,3 +103,12 @@ def stream_dedupe(spark, sf):
     finish(jobs.run_batches(unique, jobs.append_once(out, lambda b: b.select("eid", "uid", "k")), check))
     return read_batches(spark, out).select("uid", "k")
 
+
+@query("stream_dedupe_ttl", DEDUPE_TTL_SQL)
+def stream_dedupe_ttl(spark, sf):
+    """The window of dedupe_ttl over eight batches: the last kept second of each key goes from one to the next."""
+    out, check = fresh_path(spark, "window"), fresh_path(spark, "window-offsets")
+    table = StateTable(fresh_path(spark, "window-state"), ["key"], ["sec"], buckets=4, merge="max", ends=True, deltas=3)
+    e = i.ev_of(event_stream(spark, sf, 8)).selectExpr("uid % 10 AS key", "t", "eid")
+    finish(jobs.run_batches(e, jobs.deduplicated_by_window(out, table, "key", "t", "eid", 900), check))
+    return read_batches(spark, out)

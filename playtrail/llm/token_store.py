@@ -21,10 +21,10 @@ Copies of a key are the keys (key, 0), (key, 1), ..., so that a key with many ro
 from __future__ import annotations
 
 import json
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from playtrail.session import fresh_path
@@ -35,18 +35,24 @@ END_ID = 0
 SHARD_IDS = 1 << 22  # ids after which a shard is closed
 TEXT_BYTES = 1 << 25  # bytes of text that a writing task is meant to get
 BUCKET_KEYS = 1 << 15  # keys of an index bucket, about
-CACHED = 1 << 18  # encoded pieces a process remembers
+CACHED = 1 << 19  # encoded pieces a process remembers, of 32 bytes on average at most
 MARK = b"ids\n"
-SAFE = re.compile(r"[\w!-/:-@\[-`{-~]")
+AT_ONCE = 4096  # new pieces encoded as one text
+# Fixed value: how a byte-level vocabulary writes a blank.
+BLANK = "\u0120"
+EDGE = r"[!-~\pL\pN]"  # characters that are white space in no library
+STOPS = ".,;:!?"
 _TOKENIZERS: dict = {}
 
 
 class Encoder:
     """Ids of whole texts as packed bytes, from pieces that are encoded once and remembered.
 
-    The tokenizer cuts a text before a single blank between two characters that are no white space, whatever stands
-    further left or right. Texts are cut there, each distinct piece is encoded by the library, and the ids are joined:
-    the same ids as for the whole text. Texts that hold an added token's mark are encoded whole.
+    A byte-level tokenizer cuts a text before a single blank between two characters that are no white space, and between
+    a letter and a full stop, whatever stands further left or right. Texts are cut there, each new piece is encoded by
+    the library and the ids are joined: the same ids as for the whole text. New pieces are encoded as one text; the ids
+    that begin with a blank tell them apart. Texts that hold an added token or another blank, and all texts of
+    tokenizers that work otherwise, are encoded whole.
     """
 
     def __init__(self, definition: bytes):
@@ -54,33 +60,115 @@ class Encoder:
         self.tokenizer = Tokenizer.from_buffer(definition)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        if any(m in text for m in self.marks):
-            return [text]
-        parts = text.split(" ")
-        out = [parts[0]]
-        open_end = not (parts[0] and SAFE.match(parts[0][-1]))
-        for part in parts[1:]:
-            if open_end or not part or not SAFE.match(part[0]):
-                out[-1] += " " + part
-            else:
-                out.append(" " + part)
-            open_end = not (part and SAFE.match(part[-1]))
+        form = json.loads(definition)
+        before = form.get("pre_tokenizer") or {}
+        self.cuts = (not form.get("normalizer") and before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
+                     and before.get("use_regex", True) and form["model"]["type"] == "BPE" and not form["model"].get("dropout"))
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.begins[number] = token.startswith(BLANK)
+        self.stops = np.array([self.tokenizer.encode(c, add_special_tokens=False).ids[0] for c in STOPS], dtype=self.kind) if self.cuts else None
+        self.forget()
+
+    def forget(self) -> None:
+        """ids[start:start + size] are those of a piece behind a blank; opens and closes tell whether it may be cut there."""
+        self.pieces = pa.array([], pa.string())
+        self.ids, self.start, self.size = np.empty(0, dtype=self.kind), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        self.opens, self.closes = np.empty(0, dtype=bool), np.empty(0, dtype=bool)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def together(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and how many each has, of pieces that follow a blank, hold none and do not end in white space."""
+        texts = ["".join([" " + p for p in pieces.slice(n, AT_ONCE).to_pylist()]) for n in range(0, len(pieces), AT_ONCE)]
+        ids = np.concatenate([self.whole([text])[0] for text in texts])
+        at = np.flatnonzero(self.begins[ids])
+        if len(at) != len(pieces):
+            raise ValueError("pieces were not cut at their blanks")
+        return ids, np.diff(np.append(at, len(ids)))
+
+    def enter(self, pieces: pa.Array, ids: np.ndarray, size: np.ndarray) -> None:
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.start = np.append(self.start, len(self.ids) + np.cumsum(size) - size)
+        self.size, self.ids = np.append(self.size, size), np.append(self.ids, ids)
+        self.opens, self.closes = np.append(self.opens, matches(pieces, f"^{EDGE}")), np.append(self.closes, matches(pieces, f"{EDGE}$"))
+
+    def numbers(self, pieces: pa.Array) -> np.ndarray:
+        """A number for each of these distinct pieces; new ones are encoded. A word and a stop take the ids of the word."""
+        closed = matches(pieces, f"^[A-Za-z]+[{STOPS}]$")
+        words = pc.utf8_slice_codeunits(pieces.filter(pa.array(closed)), 0, -1)
+        found = places(pa.concat_arrays([pieces, words]), self.pieces)
+        own, word = found[:len(pieces)], found[len(pieces):]
+        new = own < 0
+        word = word[new[closed]]
+        words = words.filter(pa.array(new[closed]))
+        todo = pc.unique(pa.concat_arrays([pieces.filter(pa.array(new & ~closed)), words.filter(pa.array(word < 0))]))
+        first, plain = len(self.pieces), matches(todo, f"^[^ ]*{EDGE}$")
+        some, odd = todo.filter(pa.array(plain)), todo.filter(pa.array(~plain))
+        if len(some):
+            self.enter(some, *self.together(some))
+        if len(odd):
+            ids = self.whole([" " + p for p in odd.to_pylist()])
+            self.enter(odd, np.concatenate(ids), np.array([len(x) for x in ids], dtype=np.int64))
+        entered = pa.concat_arrays([some, odd])
+        if len(words):
+            ends = pieces.filter(pa.array(new & closed))
+            number = np.where(word < 0, first + places(words, entered), word)
+            size = self.size[number] + 1
+            ids, last = np.empty(size.sum(), dtype=self.kind), np.cumsum(size) - 1
+            ids[last] = self.stops[places(pc.utf8_slice_codeunits(ends, -1), pa.array(list(STOPS)))]
+            ids[np.delete(np.arange(len(ids)), last)] = self.ids[spans(self.start[number], size - 1)]
+            self.enter(ends, ids, size)
+            entered = pa.concat_arrays([entered, ends])
+        own[new] = first + places(pieces.filter(pa.array(new)), entered)
+        return own
+
+    def packed(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text and the end id."""
+        end = np.array([END_ID], dtype=self.kind)
+        odd = np.full(len(texts), not self.cuts)
+        for mark in self.marks:
+            odd |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        out = [b""] * len(texts)
+        if not odd.all():
+            if len(self.pieces) > CACHED or self.pieces.nbytes > 32 * CACHED:
+                self.forget()
+            parts = pc.split_pattern(texts, " ")
+            offsets, cut = parts.offsets.to_numpy().astype(np.int64), parts.flatten().dictionary_encode()
+            offsets = offsets - offsets[0]
+            number = self.numbers(cut.dictionary)[cut.indices.to_numpy()]
+            inner = np.ones(len(number), dtype=bool)
+            inner[offsets[:-1]] = False  # the first piece of a text follows no blank
+            bad = np.flatnonzero(inner[1:] & ~(self.closes[number[:-1]] & self.opens[number[1:]])) + 1
+            odd[np.searchsorted(offsets, bad, side="right") - 1] = True  # a blank that may not be cut
+            size = np.where(inner & ~np.repeat(odd, np.diff(offsets)), self.size[number], 0)
+            stop = np.cumsum(size)
+            ids = self.ids[spans(self.start[number], size)]
+            bounds = np.concatenate([[0], stop])[offsets]
+            plain = np.flatnonzero(~odd)
+            heads = self.whole(pc.list_element(pc.split_pattern(texts.take(pa.array(plain)), " ", max_splits=1), 0).to_pylist())
+            for i, head in zip(plain.tolist(), heads):
+                out[i] = np.concatenate([head, ids[bounds[i]:bounds[i + 1]], end]).tobytes()
+        rest = np.flatnonzero(odd)
+        for i, ids in zip(rest.tolist(), self.whole(texts.take(pa.array(rest)).to_pylist())):
+            out[i] = np.append(ids, end).tobytes()
         return out
 
-    def packed(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) if t else [] for t in texts]
-        if len(self.known) > CACHED:
-            self.known = {}
-        new = list({p for parts in cut for p in parts} - self.known.keys())
-        ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        found = {p: np.array(e.ids, dtype=self.kind).tobytes() for p, e in zip(new, ids)}
-        self.known.update((p, b) for p, b in found.items() if len(p) <= 32)
-        known = self.known
-        end = np.array([END_ID], dtype=self.kind).tobytes()
-        return [b"".join([known[p] if p in known else found[p] for p in parts]) + end for parts in cut]
+
+def matches(texts: pa.Array, pattern: str) -> np.ndarray:
+    return pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False)
+
+
+def places(values: pa.Array, among: pa.Array) -> np.ndarray:
+    """Position of each value in the other array, -1 for those that are not in it."""
+    return pc.fill_null(pc.index_in(values, value_set=among), -1).to_numpy().astype(np.int64)
+
+
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of each span, one span after the other."""
+    stop = np.cumsum(size)
+    return np.repeat(start - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
 
 
 def encoder(definition) -> Encoder:
@@ -98,7 +186,7 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, key: str = "doc_id"
         definition = spark.sparkContext.broadcast(file.read())  # one file of fixed size
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     tasks = max(1, -(-size // TEXT_BYTES))
-    rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = small_batches(docs).select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     tie = F.xxhash64("t")  # rows with one key are ordered by their texts, and may be dealt to several tasks
     ordered = rows.repartitionByRange(tasks, "k", tie).sortWithinPartitions("k", tie, "t").select(F.col("k").cast("string").alias("k"), "t")
 
@@ -116,10 +204,10 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, key: str = "doc_id"
                                                pa.array([o[2] for o in out], pa.binary())], names=["shard", "no", "value"])
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                few = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 1024):
+                few = batch.slice(start, 1024)
                 out = []
-                for k, payload in zip(few.column(0).to_pylist(), encode.packed(few.column(1).to_pylist())):
+                for k, payload in zip(few.column(0).to_pylist(), encode.packed(few.column(1))):
                     out.append(((part << 24) + number, at, payload[:-1]))
                     listed.append((k, len(payload) // wide))
                     at, ids = at + 1, ids + len(payload) // wide

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -60,6 +61,9 @@ def member(df: DataFrame, column: Column, members: Dimension, out: str) -> DataF
     return lookup(df, members, [column], {}, found=out)
 
 
+LOWEST = 1 << 31  # what makes every INT a number from 0 on
+
+
 def test_server_rules(df: DataFrame, game: str = "game_id", servers: str = "test_server") -> DataFrame:
     """Rule rows (game, exact server | lo..hi) from arrays mixing texts and {start,end} objects."""
     each = df.select(F.col(game).alias("game_id"), F.explode(
@@ -71,25 +75,77 @@ def test_server_rules(df: DataFrame, game: str = "game_id", servers: str = "test
                       F.col("_s").isNotNull().alias("ranged"))
 
 
-def packed_test_rules(rules: DataFrame) -> Dimension:
-    """One row per game with its exact servers and ranges, to be looked up like any dimension.
+@dataclass
+class ServerRules:
+    """Rules of test orders: those of most games packed, one row a game; those of games with very many as blocks."""
+
+    packed: Dimension
+    blocks: DataFrame | None
+
+    def dimensions(self) -> list[Dimension]:
+        return [self.packed]
+
+
+def range_blocks(lo: Column, hi: Column) -> Column:
+    """The aligned blocks that together cover lo to hi: array of (level, block), block ``b`` of level ``n`` being the
+    numbers from ``b << n`` on, ``1 << n`` of them. A range has at most two blocks a level."""
+    none = F.array().cast("array<struct<level:int,block:bigint>>")
+
+    def step(acc: Column, level: Column) -> Column:
+        left, right = acc["left"], acc["right"]
+        odd, even = left % 2 == 1, right % 2 == 0
+        one = lambda at, found: F.when(found & (left <= right), F.array(F.struct(level.alias("level"), at.alias("block"))))
+        more = F.concat(F.coalesce(one(left, odd), none), F.coalesce(one(right, even), none))
+        return F.struct(F.floor((left + F.when(odd, 1).otherwise(0)) / 2).cast("bigint").alias("left"),
+                        F.floor((right - F.when(even, 1).otherwise(0)) / 2).cast("bigint").alias("right"),
+                        F.concat(acc["out"], more).alias("out"))
+
+    # numbers are shifted to begin at 0, so that halves of odd and even are the same for all
+    start = F.struct((lo.cast("bigint") + LOWEST).alias("left"), (hi.cast("bigint") + LOWEST).alias("right"), none.alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(32)), start, step, lambda acc: acc["out"])
+
+
+def packed_test_rules(rules: DataFrame, most: int = 1000) -> ServerRules:
+    """Rules (game, exact server | lo..hi) as a dimension with one row per game.
 
-    A game has as many entries as the operators typed in, a handful.
+    Games with more than ``most`` rules do not become a row: their ranges are cut into aligned blocks and their rules go
+    by equal keys, so that a game may have any number of them.
     """
-    packed = rules.groupBy("game_id").agg(
+    counts = rules.groupBy("game_id").agg(F.count("*").alias("_n"))
+    many = counts.where(F.col("_n") > most).select("game_id")
+    big = None if many.isEmpty() else rules.join(many, "game_id", "left_semi")
+    few = rules if big is None else rules.join(many, "game_id", "left_anti")
+    packed = few.groupBy("game_id").agg(
         F.collect_set("server").alias("servers"),
         F.collect_set(F.when(F.col("ranged"), F.struct("lo", "hi"))).alias("spans"))
-    return Dimension(packed, ["game_id"], ["servers", "spans"], "test_rules")
+    if big is not None:
+        exact = big.where(F.col("server").isNotNull()).select("game_id", F.lit(-1).alias("level"), F.col("server").alias("place"))
+        cut = big.where(F.col("ranged") & (F.col("lo") <= F.col("hi"))).select("game_id", F.inline(range_blocks(F.col("lo"), F.col("hi"))))
+        big = exact.union(cut.select("game_id", "level", F.col("block").cast("string"))).distinct()
+    return ServerRules(Dimension(packed, ["game_id"], ["servers", "spans"], "test_rules"), big)
 
 
-def flag_test_orders(df: DataFrame, rules: Dimension, game: str = "game_id", server: str = "server",
+def flag_test_orders(df: DataFrame, rules: ServerRules, game: str = "game_id", server: str = "server",
                      out: str = "is_test_order") -> DataFrame:
     """Exact server or inside a range of the game; a server that is no number is no range match."""
-    found = lookup(df, rules, [F.col(game)], {"_servers": "servers", "_spans": "spans"}, default=None)
+    found = lookup(df, rules.packed, [F.col(game)], {"_servers": "servers", "_spans": "spans"}, default=None)
     number = F.col(server).try_cast("int")
     hit = F.array_contains("_servers", F.col(server)) | F.exists(
         "_spans", lambda s: number.between(s["lo"], s["hi"]))
-    return found.withColumn(out, F.coalesce(hit, F.lit(False))).drop("_servers", "_spans")
+    flagged = found.withColumn(out, F.coalesce(hit, F.lit(False))).drop("_servers", "_spans")
+    if rules.blocks is None:
+        return flagged
+    # every server of a game is looked up once, under its text and under the block of each level that holds its number
+    asked = df.select(F.col(game).cast("string").alias("game_id"), F.col(server).alias("server")).where("server IS NOT NULL").distinct()
+    at = F.col("server").try_cast("int").cast("bigint") + LOWEST
+    levels = F.transform(F.sequence(F.lit(0), F.lit(32)), lambda n: F.struct(
+        n.alias("level"), F.floor(at / F.pow(F.lit(2.0), n)).cast("bigint").cast("string").alias("place")))
+    places = F.concat(F.array(F.struct(F.lit(-1).alias("level"), F.col("server").alias("place"))), F.when(at.isNotNull(), levels).otherwise(F.array()))
+    hits = (asked.select("game_id", "server", F.inline(places)).join(rules.blocks, ["game_id", "level", "place"], "left_semi")
+            .select("game_id", "server").distinct())
+    many = Dimension(hits, ["game_id", "server"], ["server"], "test_servers")
+    again = lookup(flagged, many, [F.col(game), F.col(server)], {}, found="_many")
+    return again.withColumn(out, F.col(out) | F.col("_many")).drop("_many")
 
 
 def test_order_rows(df: DataFrame, rules: DataFrame, game: str = "game_id", server: str = "server") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import times
+from ..functions.extended_json import plain_values
 from . import records
 from .once import once
 
@@ -63,14 +64,14 @@ def framed_lines(df: DataFrame, schema: T.StructType, tag: str = "DATA[", line:
 
 def with_document(df: DataFrame, text: Column, schema: T.StructType, out: str = "doc",
                   kept: list[str] | None = None, more: dict[str, Column] | None = None) -> DataFrame:
-    """Add the JSON object ``text`` parsed by ``schema``, NULL when it is not one.
+    """Add the JSON object ``text`` parsed by ``schema``, NULL when it is not one. Wrapped numbers and times are plain.
 
     The text is parsed once, whatever is read from it later. The permissive parser
     returns an all-NULL row for broken text, so a corrupt-record field is checked.
     """
     names = df.columns if kept is None else kept
     wide = T.StructType(list(schema.fields) + [T.StructField("_bad", T.StringType())])
-    given = df.select(*[F.col(f"`{n}`") for n in names], text.alias("_text"),
+    given = df.select(*[F.col(f"`{n}`") for n in names], plain_values(text).alias("_text"),
                       *[c.alias(n) for n, c in (more or {}).items()])
     raw = F.from_json(F.when(F.ltrim("_text").startswith("{"), F.col("_text")), wide,
                       {"columnNameOfCorruptRecord": "_bad"})

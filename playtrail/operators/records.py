@@ -6,18 +6,21 @@ equal keys the last one counts, as in the text. Each step is evaluated once per
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .once import once
+from ..functions.extended_json import plain_values
+from .once import once  # noqa: F401
 
 MEMBERS = "map<string,variant>"
 DEPTH = 4  # objects inside objects that are flattened; deeper ones stay whole
 
 
 def entries(text: Column) -> Column:
-    """Members of a JSON object; NULL when the text is none."""
-    return F.map_entries(F.from_json(F.when(F.ltrim(text).startswith("{"), text), MEMBERS))
+    """Members of a JSON object, wrapped numbers and times as plain ones; NULL when the text is none."""
+    return F.map_entries(F.from_json(F.when(F.ltrim(text).startswith("{"), plain_values(text)), MEMBERS))
 
 
 def _opened(items: Column, joined: bool) -> Column:
@@ -36,24 +39,33 @@ def flat(items: Column, joined: bool = True) -> Column:
     return items
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _unique(items: Column) -> Column:
+    """Of equal names the last entry; only a record that repeats a name is searched for them."""
+    def last(names: Column) -> Column:
+        kept = F.filter(items, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
+        return F.when(F.size(F.array_distinct(names)) == F.size(names), items).otherwise(kept)
+    return let(F.transform(items, lambda e: e["key"]), last)
+
+
 def with_record(df: DataFrame, out: str, items: Column, changed: dict[str, Column], otherwise: Column | None = None) -> DataFrame:
     """Add ``out``: the record as JSON text with the changed fields in place of those of the same name.
 
-    A NULL leaves the field as it came. Rows without entries get ``otherwise``.
+    A NULL leaves the field as it came. Rows without entries get ``otherwise``. One expression per row: the row's other
+    columns are not copied.
     """
     given = F.filter(F.array(*[F.struct(F.lit(n).alias("key"), c.cast("variant").alias("value")) for n, c in changed.items()]),
                      lambda e: e["value"].isNotNull())
-    kept = [c for c in df.columns if c != out]
-    aside = [] if otherwise is None else ["_else"]
-    held = df.select("*", *([] if otherwise is None else [otherwise.alias("_else")]))
-    both = once(held, {"_came": items, "_new": given})
-    both = once(both, {"_names": F.transform("_new", lambda e: e["key"])}, [*kept, *aside, "_came", "_new"])
-    stay = F.filter("_came", lambda e: ~F.array_contains("_names", e["key"]))
-    both = once(both, {"_all": F.concat(stay, "_new")}, [*kept, *aside])
-    both = once(both, {"_keys": F.transform("_all", lambda e: e["key"])}, [*kept, *aside, "_all"])
-    # only a record that repeats a name is searched for its last entries
-    last = F.filter("_all", lambda e, i: ~F.array_contains(F.slice("_keys", i + 2, F.size("_keys")), e["key"]))
-    unique = F.when(F.size(F.array_distinct("_keys")) == F.size("_keys"), F.col("_all")).otherwise(last)
-    text = F.to_json(F.map_from_entries(unique))
-    text = text if otherwise is None else F.when(F.col("_all").isNotNull(), text).otherwise(F.col("_else"))
-    return both.select(*[F.col(f"`{c}`") for c in kept], text.alias(out))
+
+    def laid_over(s: Column) -> Column:
+        def record(names: Column) -> Column:
+            both = F.concat(F.filter(s["came"], lambda e: ~F.array_contains(names, e["key"])), s["new"])
+            return F.to_json(F.map_from_entries(let(both, _unique)))
+        return F.when(s["came"].isNotNull(), let(F.transform(s["new"], lambda e: e["key"]), record))
+    text = let(F.struct(items.alias("came"), given.alias("new")), laid_over)
+    text = text if otherwise is None else F.coalesce(text, otherwise)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != out], text.alias(out))

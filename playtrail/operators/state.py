@@ -243,15 +243,24 @@ def read_through(keys: DataFrame, hot: DataFrame, cold: DataFrame) -> DataFrame:
             .select("key", pick["login_ts"].alias("login_ts"), pick["order_ts"].alias("order_ts")))
 
 
-def insert_if_absent(rows: DataFrame, target: DataFrame | None, key: str, arrival: str) -> DataFrame:
+def insert_if_absent(rows: DataFrame, target: DataFrame | None, key: str, arrival: str, day: str | None = None) -> DataFrame:
     """Rows whose key the target lacks; of several rows with one key the first wins.
 
-    The target is only asked for the keys at hand: restrict it to the days loaded where it is partitioned by day.
+    ``day`` names a column of both by which the target is partitioned, and says that rows of one key are of one day, as
+    keys made of a record with its time are. The days of the load, a short list, then reach the target's scan as a
+    partition filter, and of these days only the keys at hand are carried on.
     """
     others = [c for c in rows.columns if c != key]
     packed = F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), F.col(arrival)).alias("_v")
     first = rows.groupBy(key).agg(packed).select(key, *[F.col(f"_v.`{c}`").alias(c) for c in others])
-    return first if target is None else first.join(target.select(key), key, "left_anti")
+    if target is None:
+        return first
+    if day is None:
+        return first.join(target.select(key), key, "left_anti")
+    days = [r[0] for r in rows.select(day).distinct().collect()]
+    held = target.where(F.col(day).isin(days)).select(key)
+    known = held.join(rows.select(key), key, "left_semi")
+    return first.join(known, key, "left_anti")
 
 
 def latest_with_ttl(df: DataFrame, key: str, value: str, ts: str, arrival: str, ttl: int,

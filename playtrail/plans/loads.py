@@ -44,7 +44,7 @@ def log_load(df: DataFrame, arrival: str, *, device_state: DataFrame | None = No
              stored: dict[str, DataFrame] | None = None, tz: str = times.DEFAULT_TZ) -> dict[str, DataFrame]:
     """What a load adds to login_log and active_log: the first row of each id that the tables in ``stored`` lack.
 
-    Activations carry the new-device flag as an extra column.
+    The id of a login is made of its time, so a ``login_log`` with its ``login_date`` is only read for the days loaded. Activations carry the new-device flag as an extra column.
     """
     parsed = staged(parsed_load(df), stage, "route")
     logins = wh.login_rows(parsed.where("route = 'login'"), "doc", [arrival], tz)
@@ -54,7 +54,7 @@ def log_load(df: DataFrame, arrival: str, *, device_state: DataFrame | None = No
                             ["_key"], arrival, "_ts",
                             state=None if device_state is None else device_state.withColumnRenamed("key", "_key"))
     known = stored or {}
-    return {"login_log": insert_rows(logins, known.get("login_log"), arrival),
+    return {"login_log": insert_rows(logins, known.get("login_log"), arrival, "login_date"),
             "active_log": insert_rows(flagged.drop("_ts", "_key"), known.get("active_log"), arrival),
             "rejects": lines.rejects(parsed, "log_load", kept=[arrival])}
 
@@ -104,6 +104,7 @@ def _new_devices(users: DataFrame, arrival: str, state: DataFrame | None) -> Dat
     return flagged.drop("_ts", "_key")
 
 
-def insert_rows(rows: DataFrame, target: DataFrame | None, arrival: Column | str) -> DataFrame:
-    """What a load adds: the first row of each id the table lacks."""
-    return st.insert_if_absent(rows, target, "id", arrival)
+def insert_rows(rows: DataFrame, target: DataFrame | None, arrival: Column | str, day: str | None = None) -> DataFrame:
+    """What a load adds: the first row of each id the table lacks. A target that has the column ``day`` is read by the days loaded."""
+    dated = day if target is not None and day in target.columns else None
+    return st.insert_if_absent(rows, target, "id", arrival, dated)

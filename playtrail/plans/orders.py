@@ -38,7 +38,7 @@ def _agency_rows(df: DataFrame, wrapped: bool, arrival: str) -> DataFrame:
     return rows.select("*", *[F.col("data")[c].alias(c) for c in schemas.AGENCY_ORDER]).drop("data")
 
 
-def agency_orders(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension, test_rules: Dimension,
+def agency_orders(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension, test_rules: guards.ServerRules,
                   arrival: str, *, source: str = "agentDBSrc", state: DataFrame | None = None,
                   wrapped: bool = True, flag_only: bool = False, tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Agency order change data: channel, exclusions, first payment, region, route, whole record.
@@ -46,7 +46,7 @@ def agency_orders(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
     Copy rows keep their ids and only get a region. Stamps are set on rows of the main route.
     The key needs no region, so the state step runs before the region lookup.
     """
-    dims.measured(*resolve.AGENCY_DIMS, also=(regions, special, test_rules))
+    dims.measured(*resolve.AGENCY_DIMS, also=(regions, special, *test_rules.dimensions()))
     rows = _agency_rows(df, wrapped, arrival)
     copied = F.col("table") == COPY_TABLE
     rows = rows.withColumn("_order", ~F.col("broken") & ~F.coalesce(copied, F.lit(False))).withColumn("_given", F.col("channel_id"))
@@ -156,7 +156,7 @@ def channel_database(df: DataFrame, dims: Dims, special: Dimension | None, arriv
     return nested.select(f"h.{arrival}", "h.row_no", "h.route", "h.reject_reason", value.alias("value"))
 
 
-def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension, test_rules: Dimension,
+def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension, test_rules: guards.ServerRules,
                       arrival: str, *, topic: str, state: DataFrame | None = None, batch: bool = False,
                       tz: str = times.DEFAULT_TZ) -> DataFrame:
     """Agency order join: copy rows get a region and a day, order rows channel, dates and a route; whole records.
@@ -165,7 +165,7 @@ def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Di
     history, ``agent_channel_game_user``, whatever its parts hold. Rows of other tables and of excluded channels
     are not part of the result.
     """
-    dims.measured(*resolve.AGENCY_DIMS, also=(regions, special, test_rules))
+    dims.measured(*resolve.AGENCY_DIMS, also=(regions, special, *test_rules.dimensions()))
     rows = _agency_rows(df, False, arrival)
     rows = rows.where(F.col("broken") | F.col("table").isin("agent_order", COPY_TABLE))
     copied = F.coalesce(F.col("table") == COPY_TABLE, F.lit(False))

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +49,31 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file:{LOCAL_FOLDER}"
 
 
+_OPEN: ContextVar[list[str] | None] = ContextVar("intermediate", default=None)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder; nothing is ever reused or removed."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path under the shared folder. Nothing is reused; what is written inside ``intermediate`` goes at its end."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _OPEN.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """The tables that jobs write on their way are removed at the end of this block, whether it succeeds or not.
+
+    Results have to be written inside the block: a job's rows are still read from these tables when they are used. A
+    block inside another one removes its own tables only.
+    """
+    made: list[str] = []
+    token = _OPEN.set(made)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

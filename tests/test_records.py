@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from playtrail import schemas
+from playtrail.functions.extended_json import plain_values
 from playtrail.operators import lines, records
 
 RAW = '{"id":7,"g":{"a":1.50,"b":{"c":[1,{"d":2}],"e":{}}},"list":["x",null],"none":null,"big":12345678901234567890,"a-b":1}'
@@ -48,3 +49,18 @@ def test_lines_under_other_names(spark):
     renamed = df.select(lines.renamed_line(F.col("value"), "DATA[", {"sdk": "sdk_platform"}).alias("value"))
     parsed = lines.framed_lines(renamed, schemas.event_schema(["sdk_platform"]), frame=False).collect()
     assert [r["doc"]["sdk_platform"]["app_id"] for r in parsed if r["ok"]] == ["1"] and len(parsed) == 4
+
+
+def test_wrapped_numbers_are_plain(spark):
+    text = ('{"a":{"$numberLong":"9007199254740993"},"b":[{"$numberInt":"-07"},{ "$numberDouble" : "1.50" }],"c":{"$date":{"$numberLong":"1700000000000"}},'
+            '"d":{"$date":"2024-01-01T00:00:00Z"},"e":{"$numberDouble":"NaN"},"f":{"$numberDecimal":"0.5E+3"},"g":{"$numberLong":"+0"},"h":{"$oid":"0a"},"s":"{\\"$numberLong\\":\\"5\\"}"}')
+    want = {"a": 9007199254740993, "b": [-7, 1.5], "c": 1700000000000, "d": "2024-01-01T00:00:00Z", "e": "NaN", "f": 500.0, "g": 0,
+            "h": {"$oid": "0a"}, "s": '{"$numberLong":"5"}'}
+    assert record_of(spark, text, lambda i: i, {"q": F.lit(1)}) == {**want, "q": 1}
+    df = spark.createDataFrame([('{"rows":[{"table":"t","data":' + text + "}]}",)], "value string")
+    row = lines.binlog_rows(df, ["a", "c", "s"]).first()
+    data = row["data"].asDict()
+    assert {c: data[c] for c in ("a", "c", "s")} == {"a": "9007199254740993", "c": "1700000000000", "s": '{"$numberLong":"5"}'}
+    assert json.loads(row["raw"]) == want
+    nothing = spark.createDataFrame([(None,), ("",), ('{"$numberLong":"x"}',), ('{"$number":1}',)], "t string")
+    assert [r[0] for r in nothing.select(plain_values(F.col("t"))).collect()] == [None, "", '{"$numberLong":"x"}', '{"$number":1}']

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from playtrail.operators import clicks as ck, metrics as mt, route, state as st
 from playtrail.sinks import files
+from playtrail.sinks.outputs import Outputs
 from playtrail.sinks.state_table import StateTable
 from playtrail.streaming import jobs
 
@@ -125,3 +126,41 @@ def test_click_keys_and_insert_if_absent(spark):
     rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 3, "z")], "id string, no int, v string")
     target = spark.createDataFrame([("b",)], "id string")
     assert [tuple(r) for r in st.insert_if_absent(rows, target, "id", "no").collect()] == [("a", 1, "y")]
+
+
+def test_insert_reads_the_days_of_the_load_only(spark, tmp_path):
+    path = str(tmp_path / "log")
+    table = spark.createDataFrame([(f"id{n}", n % 10) for n in range(100)], "id string, dt int")
+    files.write_dated(table, path, "dt")
+    target = spark.read.schema("id string, dt int").parquet(path)
+    load = spark.createDataFrame([("id3", 3, 1, "old"), ("new", 3, 2, "first"), ("new", 3, 3, "second"), ("id4", 4, 4, "old"), ("other", 5, 5, "x")], "id string, dt int, no int, v string")
+    out = st.insert_if_absent(load, target, "id", "no", "dt")
+    assert sorted((r["id"], r["v"]) for r in out.collect()) == [("new", "first"), ("other", "x")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("PartitionFilters: ["):]
+    assert "dt#" in scan.split("]")[0] and all(day in scan.split("PushedFilters")[0] for day in "345")
+    assert sorted((r["id"], r["v"]) for r in st.insert_if_absent(load, target, "id", "no").collect()) == [("new", "first"), ("other", "x")]
+
+
+def test_outputs_appear_together(spark, tmp_path):
+    run = Outputs(f"file:{tmp_path}/out")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c")], "id int, route string")
+    assert run.read(spark, "rows", rows.schema).count() == 0 and run.counts(spark, "src").count() == 0
+    run.write({"rows": rows, "ids": rows.select("id")}, 1, {"rows": ("a", "b", "z")})
+    rows.where("id < 3").write.parquet(f"file:{tmp_path}/out/rows/run-2-broken")  # broke off before its manifest
+    assert {r["id"] for r in run.read(spark, "rows", "id int, route string").collect()} == {1, 2, 3, 4}
+    counts = {(r["destination"], r["value"]) for r in run.counts(spark, "src").collect()}
+    assert ("a", 2) in counts and ("b", 1) in counts and not any(d == "z" for d, _ in counts)
+    run.write({"rows": rows.where("id = 1"), "ids": rows.where("id = 1").select("id")}, 1, {"rows": ("a",)})  # repeated
+    run.write({"rows": rows.where("id = 2"), "ids": rows.where("id = 2").select("id")}, 2, {"rows": ("b",)})
+    assert sorted(r["id"] for r in run.read(spark, "ids", "id int").collect()) == [1, 2]
+    assert len(list((tmp_path / "out" / "ids").iterdir())) == 2  # the replaced attempt is gone
+
+
+def test_batches_write_several_tables_at_once(spark, tmp_path):
+    src = folder(spark, tmp_path, [(i,) for i in range(40)], "id bigint")
+    run = Outputs(str(tmp_path / "out"))
+    handle = lambda batch, number: run.write({"odd": batch.where("id % 2 = 1"), "all": batch}, number)
+    done(jobs.run_batches(jobs.read_folder(spark, src, "id bigint", options={"maxFilesPerTrigger": "1"}), handle, str(tmp_path / "check")))
+    assert len(run.runs(spark, "odd")) == 4 and run.read(spark, "odd", "id bigint").count() == 20 and run.read(spark, "all", "id bigint").count() == 40
+    assert {r["value"] for r in run.counts(spark, "s").collect()} == {60}

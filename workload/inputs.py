@@ -172,6 +172,15 @@ def ext(number: str) -> F.Column:
     return F.struct((F.col(number) % 7).alias("a"), F.array(F.lit(1), F.lit(2)).alias("list"))
 
 
+def wrap_some(line: F.Column, number: str, every: int, **kinds: str) -> F.Column:
+    """Number fields of one line of ``every`` as some exports write them: an object that names the kind, and a text."""
+    wrapped = line
+    for name, kind in kinds.items():
+        inner = '{"$numberLong":"$2"}' if kind == "$date" else '"$2"'
+        wrapped = F.regexp_replace(wrapped, f'("{name}":)"?([0-9]+)"?', f'$1{{"\\{kind}":{inner}}}'.replace('{"$n', '{"\\$n'))
+    return F.when(F.col(number) % every == 3, wrapped).otherwise(line)
+
+
 def cut_some(line: F.Column, number: str, every: int) -> F.Column:
     """One line of ``every`` breaks off."""
     return F.when(F.col(number) % every == 5, F.substring(line, F.lit(1), F.length(line) - 7)).otherwise(line)
@@ -188,7 +197,8 @@ def agency_order_lines(spark: SparkSession, sf: str, wrapped: bool = False) -> D
                                 data.alias("data"))
     rows = F.when(F.col("pr") == "4-NOT SPECIFIED", F.array(row("agent_order"), row("agent_order_copy"))) \
         .otherwise(F.array(row("agent_order")))
-    line = cut_some(F.to_json(F.struct(F.lit("f").alias("binlogFilename"), F.col("oid").alias("xid"), rows.alias("rows"))), "oid", 37)
+    plain = F.to_json(F.struct(F.lit("f").alias("binlogFilename"), F.col("oid").alias("xid"), rows.alias("rows")))
+    line = cut_some(wrap_some(plain, "oid", 11, order_sn="$numberLong", a="$numberInt", update_time="$date"), "oid", 37)
     return once(o, {"value": wrap(line) if wrapped else line}, ["oid"])
 
 

@@ -9,6 +9,7 @@ from playtrail.plans import feeds, loads, logins, orders
 from playtrail.sources import messages, tables
 from playtrail.session import fresh_path
 from playtrail.sinks import files
+from playtrail.sinks.outputs import Outputs
 
 from . import inputs as i
 from .q_decode import CLICKED, CLICK_SQL, COIN_SQL, SDK_KEYS, SDK_SQL, MSG_SQL, access_input, active_input, coin_json_input, coin_tsv_input, sdk_input
@@ -18,7 +19,7 @@ from .q_routes import flat_logins
 from .q_rows import AD, GID, ORDER_IDS, OWNCH, PF, UNAME
 from .q_state import running, stamped_sql
 from .registry import query
-from .sql import DIMS, EV, OD, REGIONS, STATE, day, daykey, w
+from .sql import DIMS, EV, OD, REGIONS, STATE, day, daykey, loc, w
 
 LOGIN_RULES = [("login", "user", "user_id", "1"), ("login", "game", "game_id", "1")]
 STAMPS = ["first_order_date", "server_date_day", "server_date_hour", "server_date_minute", "reg_date"]
@@ -29,7 +30,16 @@ LOGIN_CLEAN = """lf AS (SELECT lr.*, et <> 'error' AND NOT (uid % 97 + 1 >= 63 A
 lg1 AS (SELECT *, CASE WHEN ok AND game_channel_id NOT IN ('', 'error') THEN uid || '_' || game_channel_id END AS key FROM lf),
 lg2 AS (SELECT lg1.*, CASE WHEN lg1.key IS NOT NULL THEN least(min(t) OVER (PARTITION BY lg1.key ORDER BY eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), q.login_ts) END AS login_ts,
   CASE WHEN lg1.key IS NOT NULL THEN q.order_ts END AS order_ts FROM lg1 LEFT JOIN stored q ON q.key = lg1.key),
-lg3 AS (SELECT lg2.*, coalesce(b.country, '') AS country FROM lg2 ASOF LEFT JOIN bounds b ON lg2.ipn <= b.ip_hi)"""
+lg3 AS (SELECT lg2.*, coalesce(b.country, '') AS country, coalesce(b.province, '') AS province, coalesce(b.city, '') AS city FROM lg2 ASOF LEFT JOIN bounds b ON lg2.ipn <= b.ip_hi)"""
+# every field of the outgoing record: those with a value, then those that this log never has
+LOGIN_RECORD = {
+    "user-user_id": "uid", "game-game_id": "game", "game-company_id": "company", "agent-channel_id": "channel_id", "agent-game_channel_id": "game_channel_id", "device-os_type": "os_type",
+    "event": "'login'", "is_test": "'regular'", "data_ver": "'1.0'", "client_ts": "'0'", "server_time_zone": "'+08:00'", "server_ts": "t", "client_ip": "ip", "country": "country",
+    "province": "province", "city": "city", "first_order_date": "first_order_date", "server_date_day": "server_date_day", "server_date_hour": "server_date_hour",
+    "server_date_minute": "server_date_minute", "reg_date": "reg_date",
+    **dict.fromkeys("""user-user_name user-gender user-birth user-age game-game_name game-game_ver agent-access_token device-screen_height device-screen_width device-device_id device-ios_idfa
+    device-android_imei device-android_adv_id device-android_id device-device_name device-os_ver device-sdk_ver device-package_name device-net_type device-user_agent client_time_zone""".split(), "''")}
+LOGIN_LINE = """'NORMAL: [' || {at} || CASE WHEN et = 'error' THEN ' ' ELSE '] CIP[' END || ip || '] CONTENT[{{"user_id":"' || uid || '","channel_id":"' || c0 || '","game_id":"' || game || '","channel_name":"x","game_channel_id":"' || g0 || '"}}]'""".format(at=loc("t"))
 
 
 def ok_only(*names):
@@ -37,13 +47,18 @@ def ok_only(*names):
 
 
 LOGIN_CLEAN_SQL = w(EV, DIMS, REGIONS, STATE, LOGIN_SQL, LOGIN_CLEAN) + f"""SELECT eid, ok, CASE WHEN NOT ok THEN 'agentLoginFilter' WHEN game_channel_id IN {SPECIAL} THEN 'agentLoginOther' ELSE 'agentLogin' END AS route,
-  {ok_only('channel_id', 'game_channel_id', 'os_type', 'country', 'first_order_date', 'server_date_day', 'server_date_hour', 'server_date_minute', 'reg_date')}, CASE WHEN ok THEN company END AS company_id
+  {ok_only('channel_id', 'game_channel_id', 'os_type', 'country', 'first_order_date', 'server_date_day', 'server_date_hour', 'server_date_minute', 'reg_date')}, CASE WHEN ok THEN company END AS company_id,
+  CASE WHEN et = 'error' THEN 'bad frame' WHEN NOT ok THEN 'game channel missing' END AS reject_reason,
+  CASE WHEN ok THEN {" || '|' || ".join(f"'{n}=' || {LOGIN_RECORD[n]}" for n in sorted(LOGIN_RECORD, key=lambda n: n + "="))} ELSE {LOGIN_LINE} END AS record
   FROM (SELECT *, {stamped_sql('t', "'login'", 'login_ts', 'order_ts')} FROM lg3)"""
 
 
 def login_columns(out):
-    named = out.select("eid", "ok", "route", "country", *STAMPS, *[F.col(f"`{s}`").alias(n) for n, s in FLAT.items()])
-    return named.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ["country", *STAMPS, *FLAT]])
+    """The record goes out as text: all its fields in order, or the line that was rejected."""
+    fields = F.array_sort(F.transform(F.map_entries(F.from_json("value", "map<string,string>")), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    record = F.when(F.col("ok"), F.array_join(fields, "|")).otherwise(F.coalesce(F.get_json_object("value", "$.message"), "value"))
+    named = out.select("eid", "ok", "route", "reject_reason", record.alias("record"), "country", *STAMPS, *[F.col(f"`{s}`").alias(n) for n, s in FLAT.items()])
+    return named.select("eid", "ok", "route", "reject_reason", "record", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ["country", *STAMPS, *FLAT]])
 
 
 @query("login_clean", LOGIN_CLEAN_SQL)
@@ -203,6 +218,19 @@ def order_clean(spark, sf):
                       *record_fields(ext="ext", rec_channel="channel_id", rec_update="update_time", rec_first="first_order_date"))
 
 
+ORDER_ROUTES = tuple("agentDB" + end for end in ("", "Copy", "Test", "Other", "Filter", "Error"))
+
+
+@query("order_clean_totals", w(OD, DIMS, REGIONS, ORDER_SQL, ORDER_CLEAN) + """SELECT 'agentDBSrc' AS source, coalesce(route, '') AS destination, count(*) AS value FROM os3 GROUP BY ROLLUP (route)""")
+def order_clean_totals(spark, sf):
+    """Rows per destination of the order clean, counted by the pass that writes them."""
+    d = i.dims(spark, sf)
+    out = orders.agency_orders(i.agency_order_lines(spark, sf, wrapped=True), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "oid")
+    run = Outputs(fresh_path(spark, "order-run"))
+    run.write({"orders": out.select("oid", "row_no", "route", "value")}, 1, {"orders": ORDER_ROUTES})
+    return run.counts(spark, "agentDBSrc")
+
+
 FAR, APART = 2 ** 47, 44  # the first number; bits between the numbers of the three groups of lines
 LINE_KEYS = 2 ** 12  # order keys of one line
 
@@ -365,14 +393,14 @@ stored AS (SELECT 'company_id_' || company_id || '_api_click_detail_' || cgame |
   LATERAL (SELECT CASE WHEN n = 0 THEN ip ELSE cdev END AS x) WHERE reason IS NULL AND (n = 0 OR cdev <> ''))"""
 
 
-@query("ad_click_job", w(EV, CLICK_SQL, AD_JOB) + """SELECT 'topic' AS part, eid, target AS a, click_time AS b, NULL AS n FROM counted WHERE target IS NOT NULL
+AD_CLICK_JOB_SQL = w(EV, CLICK_SQL, AD_JOB) + """SELECT 'topic' AS part, eid, target AS a, click_time AS b, NULL AS n FROM counted WHERE target IS NOT NULL
   UNION ALL SELECT 'detail', eid, company_id, click_time, CASE WHEN channel <> '' THEN 1 ELSE 0 END FROM clicks WHERE reason IS NULL
   UNION ALL SELECT 'keys', max(eid), key, NULL, arg_max(moment, eid) + 259200 FROM stored GROUP BY key HAVING arg_max(moment, eid) + 259200 > 1706140800
   UNION ALL SELECT 'counts', NULL, target || CASE WHEN ad0 = '' THEN '0' ELSE ad0 END || cgame || channel, substr(click_time, 1, 16), count(*) FROM counted WHERE target IS NOT NULL GROUP BY target, ad0, cgame, channel, pf, substr(click_time, 1, 16)
-  UNION ALL SELECT 'rejects', eid, reason, NULL, NULL FROM clicks WHERE reason IS NOT NULL""")
-def ad_click_job(spark, sf):
-    """Every output of the click job, row by row."""
-    out = feeds.ad_click_job(i.click_lines(spark, sf).drop("t"), "eid", {"1": "a", "5": "b"}, now=F.lit(1706140800))
+  UNION ALL SELECT 'rejects', eid, reason, NULL, NULL FROM clicks WHERE reason IS NOT NULL"""
+
+
+def click_rows(out):
     eid, none, number = F.col("eid"), F.lit(None).cast("string"), F.lit(None).cast("bigint")
     minute = F.concat(F.regexp_replace(F.col("click_date").cast("string"), "(....)(..)(..)", "$1-$2-$3"), F.format_string(" %02d:%02d", "click_hour", "click_minute"))
     parts = {"topic": (eid, F.col("target"), F.col("click_time"), number), "detail": (eid, F.col("company_id"), F.col("click_time"), F.col("ok").cast("bigint")),
@@ -385,6 +413,23 @@ def ad_click_job(spark, sf):
     return done
 
 
+@query("ad_click_job", AD_CLICK_JOB_SQL)
+def ad_click_job(spark, sf):
+    """Every output of the click job, row by row."""
+    return click_rows(feeds.ad_click_job(i.click_lines(spark, sf).drop("t"), "eid", {"1": "a", "5": "b"}, now=F.lit(1706140800)))
+
+
+@query("ad_click_run", AD_CLICK_JOB_SQL)
+def ad_click_run(spark, sf):
+    """The five outputs as readers find them: of whole runs only, the later attempt of a repeated one."""
+    out = feeds.ad_click_job(i.click_lines(spark, sf).drop("t"), "eid", {"1": "a", "5": "b"}, now=F.lit(1706140800))
+    run = Outputs(fresh_path(spark, "click-run"))
+    run.write({name: rows.limit(5) for name, rows in out.items()}, 1)  # an earlier attempt of the run, replaced by the next
+    run.write(out, 1)
+    out["topic"].write.parquet(f"{run.path}/topic/run-2-broken")  # broke off before its other tables
+    return click_rows({name: run.read(spark, name, rows.schema) for name, rows in out.items()})
+
+
 @query("page_click_load", w(EV) + f"""SELECT event_tag, 'pkg_' || apk AS apk_name, CAST(replace(substr(m, 1, 10), '-', '') AS INTEGER) AS click_date, CAST(substr(m, 12, 2) AS INTEGER) AS click_hour, CAST(substr(m, 15, 2) AS INTEGER) AS click_minute, n::INTEGER AS click_cnt FROM
   (SELECT et AS event_tag, strftime(make_timestamp(({CLICKED} + 28800) * 1000000), '%Y-%m-%d %H:%M') AS m, uid % 6 AS apk, count(*) AS n FROM ev WHERE et <> 'error' GROUP BY ALL)""")
 def page_click_load(spark, sf):
@@ -401,7 +446,9 @@ def log_load(spark, sf):
     lines_in = i.event_lines(spark, sf, activations=True)
     known = loads.log_load(lines_in, "eid", stage=fresh_path(spark, "log_load"))
     game = F.concat(100000000 + F.col("uid") % 80)
-    stored = {"login_log": known["login_log"].where("eid < 500").select("id"),
+    held = fresh_path(spark, "login_log")
+    files.write_dated(known["login_log"].where("eid < 500").select("id", "login_date"), held, "login_date")
+    stored = {"login_log": spark.read.schema("id string, login_date int").parquet(held),
               "active_log": i.ev(spark, sf).where("uid % 80 < 5").select(F.upper(F.md5(F.concat(game.cast("string"), "device"))).alias("id")).distinct()}
     out = loads.log_load(lines_in, "eid", stage=fresh_path(spark, "log_load"), stored=stored)
     none = F.lit(None).cast("int").alias("new_device")

@@ -9,6 +9,7 @@ parts are also shared out by bytes. Tokens outside every section are counted und
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that cuts text into pieces for this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ENCODERS: dict = {}
+# white space of the pattern, in runs that are too long for its look-ahead
+LONG_BLANK = re.compile("[ \t\n\r\f\v\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 
 def encoder(path: str, pattern: str):
@@ -35,6 +38,17 @@ def encoder(path: str, pattern: str):
     return _ENCODERS[path, pattern]
 
 
+def ids_of(encode, text: str) -> list[int]:
+    """Ids of a whole text. A very long run of white space is one piece, but for its last character before other text,
+    which begins the next piece: the pattern cuts it so, yet its look-ahead fails on such runs."""
+    ids, at = [], 0
+    for run in LONG_BLANK.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encode.encode_ordinary(text[at:run.start()]) + encode._encode_single_piece(text[run.start():end])
+        at = end
+    return ids + encode.encode_ordinary(text[at:])
+
+
 def line_starts(text: str) -> np.ndarray:
     """Code points at which lines begin; the line break belongs to the line that it ends."""
     at, starts = text.find("\n"), [0]
@@ -114,7 +128,7 @@ def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", secti
                 value = value or ""
                 starts, stops = spans(value, (listed or []) if sections else None)
                 raw = value.encode("utf-8", "surrogatepass")
-                ends = np.cumsum(lengths[encode.encode_ordinary(value)]) if value else np.empty(0, dtype=np.int64)
+                ends = np.cumsum(lengths[ids_of(encode, value)]) if value else np.empty(0, dtype=np.int64)
                 full = np.flatnonzero(stops > starts)
                 counts = np.zeros((3, len(starts) + 1))
                 if len(ends):

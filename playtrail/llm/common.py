@@ -54,6 +54,17 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows under the column names c0, c1, ..., which an operator's own names never meet, and those names by lower-case name."""
+    names = {c.lower(): f"c{n}" for n, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(names[c.lower()]) for c in df.columns]), names
+
+
+def own_names(df: DataFrame) -> list[Column]:
+    """The columns of df, to be selected from its renamed rows."""
+    return [F.col(f"c{n}").alias(c) for n, c in enumerate(df.columns)]
+
+
 def pieces(column, rows: int = 256):
     """Values of an Arrow column, a few rows at a time, so that a batch of long texts is never copied whole."""
     for start in range(0, len(column), rows):

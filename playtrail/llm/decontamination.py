@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bit_filter, passes, pieces, small_batches, words, written
+from .common import bit_filter, own_names, passes, pieces, renamed, small_batches, words, written
 
 # The single token is not hashed: it is laid over the diagonals that the others hit. A stretch of five or more agreeing
 # tokens, three quarters of it, that avoids all three others does not exist (tested up to 18 tokens).
@@ -114,7 +114,7 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
     A stretch counts from LEAST_TOKENS tokens on (or the whole of a shorter item) with LEAST_IDENTITY of them, and at
     least SHORTEST, equal. It begins and ends where its sum is largest, so a shorter item whose outer words are changed
     is not whole. Null, empty and shorter texts and items of fewer than SHORTEST tokens match nothing. Repeated document rows give
-    one row each text; equal items each match. Null keys are kept. An empty table gives no rows.
+    one row each text; equal items each match, items without id each for themselves. Null keys are kept; keys are whole numbers. An empty table gives no rows.
     """
     def read_items(batches):
         codes = Codes()
@@ -129,7 +129,7 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
                 for number, mask in enumerate(HASHED):
                     hashes = seeds(code, mask, number)
                     rows += [(k, h, p) for p, h in enumerate(hashes.view(np.int64).tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["item_id", "hash", "item_at"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["number", "hash", "item_at"])
 
     def hits_of(codes, first, second):
         """Of the texts laid end to end: the position among all and the hash of every hit, and where the texts begin."""
@@ -186,31 +186,37 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
                 good = list(stretches(passage[low + shift:high + shift] == code[low:high], min(LEAST_TOKENS, len(code))))
                 if good:
                     start, size, same = max(good, key=lambda t: (t[2], t[1]))
-                    out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "content": r["content"], "start": r["start"] + shift + low + start,
+                    out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "number": r["number"], "content": r["content"], "start": r["start"] + shift + low + start,
                                 "n_tokens": size, "n_same": same, "identity": same / size, "n_item": len(code)})
             yield pa.RecordBatch.from_pylist(out, schema=result)
 
-    result = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("content", pa.string()), ("start", pa.int32()), ("n_tokens", pa.int32()),
+    result = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("number", pa.int64()), ("content", pa.string()), ("start", pa.int32()), ("n_tokens", pa.int32()),
                         ("n_same", pa.int32()), ("identity", pa.float64()), ("n_item", pa.int32())])
-    items = written(bench.select(F.col(item).cast("long"), item_text).mapInArrow(read_items, "item_id long, item array<bigint>"), "bench-items")
-    hashed = written(items.mapInArrow(mask_items, "item_id long, hash long, item_at int"), "bench-hashes")
+    items = written(bench.select(F.col(item).cast("long"), item_text).mapInArrow(read_items, "item_id long, item array<bigint>")
+                    .withColumn("number", F.monotonically_increasing_id()), "bench-items")
+    hashed = written(items.select("number", "item").mapInArrow(mask_items, "number long, hash long, item_at int"), "bench-hashes")
     low = hashed.select(F.call_function("shiftleft", F.col("hash"), F.lit(32)).alias("hash"))
     shared = docs.sparkSession.sparkContext.broadcast((bit_filter(hashed, BITS), bit_filter(low, BITS)))
     segments = written(small_batches(docs).select(F.col(key).cast("long"), text).mapInArrow(
         find, "doc_id long, content string, start int, passage array<bigint>, at array<int>, hashes array<bigint>")
         .withColumn("segment", F.monotonically_increasing_id()), "leak-segments")
     hits = segments.select("segment", F.explode(F.arrays_zip("at", "hashes")).alias("hit")).select("segment", "hit.at", F.col("hit.hashes").alias("hash"))
-    tried = (hits.join(hashed, "hash").select("segment", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
-    rows = tried.join(segments.drop("at", "hashes"), "segment").join(items, "item_id")
-    checked = rows.select("doc_id", "item_id", "content", "start", "passage", "item", "shift").mapInArrow(
-        verify, "doc_id long, item_id long, content string, start int, n_tokens int, n_same int, identity double, n_item int")
+    tried = (hits.join(hashed, "hash").select("segment", "number", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
+    rows = tried.join(segments.drop("at", "hashes"), "segment").join(items, "number")
+    checked = rows.select("doc_id", "item_id", "content", "start", "passage", "item", "shift", F.when(F.col("item_id").isNull(), F.col("number")).alias("number")).mapInArrow(
+        verify, "doc_id long, item_id long, number long, content string, start int, n_tokens int, n_same int, identity double, n_item int")
     best = F.max_by(F.struct("start", "n_tokens", "n_same", "identity", "n_item"), F.struct("n_same", "n_tokens", -F.col("start")))
-    return (checked.groupBy("doc_id", "item_id", "content").agg(best.alias("best"))
+    return (checked.groupBy("doc_id", "item_id", "number", "content").agg(best.alias("best"))
             .select("doc_id", "item_id", "content", "best.*"))
 
 
 def without_leaks(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """The rows of docs whose text overlaps no benchmark item, with all their columns."""
-    found = written(overlaps(docs, bench, key, text, **names).select(F.col("content").alias("_leak")).distinct(), "leaks")
-    digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    return docs.withColumn("_content", digest).join(found, F.col("_content") == F.col("_leak"), "left_anti").select(*docs.columns)
+    """The rows of docs whose text overlaps no benchmark item, with all their columns, whatever these are called.
+
+    Rows go by their text: equal texts go or stay together, null and empty texts and null keys stay or go like others.
+    An empty table of documents stays empty; with an empty benchmark every row stays.
+    """
+    found = written(overlaps(docs, bench, key, text, **names).select(F.col("content").alias("leak")).distinct(), "leaks")
+    rows, called = renamed(docs)
+    digest = F.md5(F.coalesce(F.col(called[text.lower()]), F.lit("")).cast("binary"))
+    return rows.withColumn("content", digest).join(found, F.col("content") == F.col("leak"), "left_anti").select(*own_names(docs))

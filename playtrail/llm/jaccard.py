@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import WORD, bit_filter, passes, pieces, small_batches, words, written
+from .common import WORD, bit_filter, own_names, passes, pieces, renamed, small_batches, words, written
 from .components import components
 
 SHINGLE = 5
@@ -358,16 +358,19 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs with the smallest doc_id of their component, one for each component, with all their columns.
 
-    Rows with a null doc_id and texts without words stay. Of rows that repeat doc_id and text one stays.
+    Rows with a null doc_id and texts without words stay. Of rows that repeat doc_id and text one stays. Columns may have
+    any names; an empty table stays empty.
     """
     kept = (classes(docs, key, text).where("root is not null").groupBy("root")
             .agg(F.min(F.struct("doc_id", "content")).alias("first")))
-    kept = kept.select(F.col("first.doc_id").alias("_kept_id"), F.lower(F.hex("first.content")).alias("_kept_content"))
-    marked = docs.withColumn("_content", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-    stay = (marked.join(kept, (F.col(key) == F.col("_kept_id")) & (F.col("_content") == F.col("_kept_content")))
-            .dropDuplicates(["_kept_id", "_kept_content"]))
-    alone = F.col(key).isNull() | ~F.coalesce(F.col(text), F.lit("")).rlike(WORD)
-    return stay.select(*docs.columns).union(docs.where(alone))
+    kept = kept.select(F.col("first.doc_id").alias("kept_id"), F.lower(F.hex("first.content")).alias("kept_content"))
+    rows, called = renamed(docs)
+    own_key, own_text = F.col(called[key.lower()]), F.coalesce(F.col(called[text.lower()]), F.lit(""))
+    marked = rows.withColumn("content", F.md5(own_text.cast("binary")))
+    stay = (marked.join(kept, (own_key == F.col("kept_id")) & (F.col("content") == F.col("kept_content")))
+            .dropDuplicates(["kept_id", "kept_content"]))
+    alone = own_key.isNull() | ~own_text.rlike(WORD)
+    return stay.select(*own_names(docs)).union(rows.where(alone).select(*own_names(docs)))
 
 
 ORACLE_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, without, written
+from .common import WORD, own_names, renamed, without, written
 
 RANGE_DIGITS = 3
 ADDED = ("size", "source_size", "target", "taken")
@@ -52,14 +52,15 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """All rows with size (words of the text), source_size, target and taken (words the mix takes, repeats counted).
 
     Null texts are empty and have size 0; a null source is a source of its own, last in order; null keys hash as ''.
-    Rows tie only when key and size are equal, and then they are alike. Repeated rows each count. Columns named like
-    the added ones are replaced, other columns pass. An empty table gives an empty table. The mix of a source is its
+    Rows of one key go by size and a hash of their text, so reruns agree. Repeated rows each count. Columns named like
+    the added ones are replaced, other columns pass, whatever they are called. An empty table gives an empty table. The mix of a source is its
     whole rows times `taken // size` plus the first `taken % size` words of the one row that the budget cuts.
     """
     kept = without(docs, *ADDED)
-    key_text = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    sized = (kept.withColumn("size", word_count(text))
-             .withColumn("_grp", F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("~")))
+    rows, called = renamed(kept)
+    key_text, own_text = F.coalesce(F.col(called[key.lower()]).cast("string"), F.lit("")), called[text.lower()]
+    sized = (rows.withColumn("size", word_count(own_text)).withColumn("_text", F.xxhash64(own_text))
+             .withColumn("_grp", F.coalesce(F.concat(F.lit("s"), F.col(called[source.lower()]).cast("string")), F.lit("~")))
              .withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), key_text)))
              .withColumn("_range", F.substring("_hash", 1, RANGE_DIGITS)))
     sums = written(sized.groupBy("_grp", "_range").agg(F.sum("size").alias("_words")), "mix-ranges")
@@ -67,7 +68,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     ordered = Window.partitionBy("_grp").orderBy("_range")
     offsets = (sums.withColumn("_offset", F.sum("_words").over(ordered) - F.col("_words"))
                .join(targets, "_grp").drop("_words"))
-    inside = Window.partitionBy("_grp", "_range").orderBy("_hash", key_text, "size")
+    inside = Window.partitionBy("_grp", "_range").orderBy("_hash", key_text, "size", "_text")
     before = F.col("_offset") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
@@ -75,7 +76,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), last - F.col("_before")))
     return (sized.join(offsets, ["_grp", "_range"]).withColumn("_before", before)
             .withColumn("taken", taken.cast("long"))
-            .select(*kept.columns, "size", "source_size", "target", "taken"))
+            .select(*own_names(kept), *ADDED))
 
 
 ORACLE_SQL = """WITH sized AS (SELECT doc_id, coalesce(length(regexp_replace(regexp_replace(text, '[^\\x20\\x09-\\x0D]+', 'w', 'g'), '[\\x20\\x09-\\x0D]+', '', 'g')), 0) AS size,

@@ -87,3 +87,12 @@ def test_edges(spark, frame):
 def test_pattern_is_that_of_the_vocabulary():
     tokenizers = pytest.importorskip("public_tokenizers")
     assert attribution.PATTERN == tokenizers.PATTERN
+
+
+def test_long_runs_of_blanks(spark, frame):
+    encode, _ = attribution.encoder(attribution.VOCABULARY, attribution.PATTERN)
+    for run in (" " * 5000, "\n" * 4096, "\u00a0 \t" * 3000, " " * 4095):
+        for text in (run, f"a{run}b", f"{run}b", f"a{run}", f"a{run}.{run}'s", f"{run[:-1]} x"):
+            assert attribution.ids_of(encode, text) == encode.encode_ordinary(text)
+    rows = token_counts(frame([(1, " " * 1_000_000, 0), (2, "a" + " " * 1_000_000 + "b", 0)], "doc_id long, text string, n int")).collect()
+    assert {(r.doc_id, r.n_tokens) for r in rows} == {(1, 1_000_000), (2, 1_000_001)}

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import pytest
+import zstandard
 
 from playtrail.llm import quality, toxicity
 
@@ -61,3 +62,21 @@ def test_index_finds_the_nearest(spark):
         want = sorted(((sum(w * v.get(t, 0) for t, w in query.items()), i) for i, v in enumerate(vectors) if i != place), key=lambda x: (-round(x[0], 9), x[1]))
         want = [round(c, 9) for c, _ in want if c > 1e-12][:31]
         assert [round(c, 9) for c, _ in model.nearest(query, but=place)] == want
+
+
+def test_quality_same_as_by_hand(spark):
+    """Every piece compressed anew with both dictionaries, the logistic by its formula."""
+    docs, labels = tables(spark)
+    model = quality.fit(docs, labels)
+    rows = {r.doc_id: r for r in quality.score(docs, model).collect()}
+    mean, scale, weights = model.logistic
+    for doc in docs.limit(300).collect():
+        raw = (doc.text or "").encode()
+        sizes = [0, 0]
+        for at in range(0, len(raw), 2048):
+            for side, blob in enumerate((model.good, model.bad)):
+                one = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(blob), write_content_size=False, write_checksum=False, write_dict_id=False)
+                sizes[side] += len(one.compress(raw[at:at + 2048]))
+        x = mean if not raw else [(sizes[1] - sizes[0]) / sum(sizes), math.log(min(sizes) / len(raw))]
+        z = weights[2] + sum(w * (v - m) / s for w, v, m, s in zip(weights, x, mean, scale))
+        assert rows[doc.doc_id].score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-12)

@@ -77,8 +77,16 @@ def test_edges(spark, frame):
     clean = without_leaks(df, items)
     assert clean.columns == df.columns and sorted(r.doc_id for r in clean.collect()) == [1, 2, 3, 5]
     assert without_leaks(df, items.limit(0)).count() == len(docs) and without_leaks(df.limit(0), items).count() == 0
-    wide = df.selectExpr("*", "1 as item_id", "2 as content", "3 as start", "4 as _content", "5 as segment")
-    assert without_leaks(wide, items).count() == 4
+    wide = df.selectExpr("*", "1 as item_id", "2 as content", "3 as start", "4 as _content", "5 as segment", "6 as leak", "7 as c0")
+    kept = without_leaks(wide, items)
+    assert kept.columns == wide.columns and {tuple(r)[5:] for r in kept.collect()} == {(1, 2, 3, 4, 5, 6, 7)} and kept.count() == 4
+
+
+def test_items_without_id_count(spark, frame):
+    first, second = " ".join(f"t{i}" for i in range(20)), " ".join(f"u{i}" for i in range(20))
+    df, items = frame([(1, first + " x " + second, "en", "s", 1), (2, "clean", "en", "s", 1)], DOCS), frame([(None, first), (None, second)], BENCH)
+    assert sorted((r.doc_id, r.item_id, r.start, r.n_tokens) for r in overlaps(df, items).collect()) == [(1, None, 0, 20), (1, None, 21, 20)]
+    assert [r.doc_id for r in without_leaks(df, items).collect()] == [2]
 
 
 def test_a_seed_survives_changes_under_its_zeros():

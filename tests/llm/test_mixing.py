@@ -53,3 +53,17 @@ def test_edges(spark, frame):
     assert got(mix(frame([(1, "", "en", "s", 3), (2, None, "en", None, 3)], SCHEMA))) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
     wide = mix(df.selectExpr("*", "'mine' as Size", "1 as target", "7 as other"))
     assert wide.columns == ["doc_id", "text", "lang", "source", "n_chars", "other", "size", "source_size", "target", "taken"]
+
+
+def test_reruns_agree_where_keys_and_sizes_do(spark, frame):
+    rows = [(1, f"{t} w", "en", s, 1) for s in ("a", "b", "c") for t in "pqrstuvwxyz"]
+    df = frame(rows, SCHEMA)
+    runs = [sorted(((r.doc_id, r.source, r.text, r.taken) for r in mix(df.repartition(n)).collect()), key=str) for n in (1, 3, 8)]
+    assert runs[0] == runs[1] == runs[2] and any(t % 2 for *_, t in runs[0])
+
+
+def test_columns_of_any_name(spark, frame):
+    df = frame([(1, "a b", "en", "s", 3), (2, "a b c", "en", "t", 3)], SCHEMA)
+    names = ["_grp", "_hash", "_range", "_before", "_offset", "_text", "c0", "c1", "_part", "_n"]
+    out = mix(df.selectExpr("*", *[f"{n} as {c}" for n, c in enumerate(names)]))
+    assert all([r[c] for c in names] == list(range(len(names))) for r in out.collect()) and got(out) == got(mix(df))

@@ -36,10 +36,11 @@ def test_run_is_the_chain_of_brute_forces(spark):
 
 
 def test_stages_on_odd_tables(spark, frame):
-    docs = frame([(1, "a b c", "en", None, 5), (1, "a b c", "en", None, 5), (2, None, None, "s", None), (None, "", "en", "s", 0)], SCHEMA).selectExpr("*", "1 as content", "2 as target")
+    docs = frame([(1, "a b c", "en", None, 5), (1, "a b c", "en", None, 5), (2, None, None, "s", None), (None, "", "en", "s", 0)], SCHEMA).selectExpr("*", "1 as content", "2 as target", "3 as _content", "4 as _grp", "5 as c0", "6 as kept_id")
     for rows in (docs, docs.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
             kept = stage(spark, rows, SF)
             assert set(docs.columns) - {"target"} <= set(kept.columns) and kept.count() <= rows.count()
+            assert all((r._content, r._grp, r.c0, r.kept_id) == (3, 4, 5, 6) for r in kept.collect())
             if name != "mixing":
                 assert kept.columns == docs.columns

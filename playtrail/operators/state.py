@@ -37,15 +37,15 @@ def prior_minimum(df: DataFrame, keys: list[str], arrival: str | list[str], mark
     the same number (the rows of one line); together they are unique within a key. A block spans ``block_rows``
     numbers of the first: widely spaced numbers ask for a larger value.
     ``state`` holds ``keys`` plus one column per mark with earlier knowledge.
-    Rows with a NULL in any key get NULL; they share no group larger than a block.
+    Rows with a NULL in any key get NULL; each is a group of its own, so that any number of them spreads over all tasks.
     """
     names = list(marks)
     tmp = [f"_m_{n}" for n in names]
     order = [arrival] if isinstance(arrival, str) else arrival
-    block = F.expr(f"cast(`{order[0]}` AS bigint) div {int(block_rows)}L")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    block = F.when(known, F.expr(f"cast(`{order[0]}` AS bigint) div {int(block_rows)}L")).otherwise(F.xxhash64(*order))
     base = df.select("*", *[marks[n].cast("bigint").alias(t) for n, t in zip(names, tmp)],
                      block.alias("_block"))
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
     per_block = (base.where(known).groupBy(*keys, "_block")
                  .agg(*[F.min(t).alias(t) for t in tmp]))

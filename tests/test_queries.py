@@ -15,8 +15,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables are not here")
 ORACLE = entry.oracle_sql()
 QUERIES = {n: f for n, f in entry.queries().items() if f.__module__.startswith("workload.")}
-# whole jobs and streams take a few seconds each; ALL_QUERIES=1 runs them too
-HEAVY = {n for n, f in QUERIES.items() if f.__module__ in ("workload.q_jobs", "workload.q_streams")} - {"login_clean", "stream_first_event"}
+# whole jobs and streams take several seconds each; ALL_QUERIES=1 runs those too that share their path with one run here
+RUN = {"login_clean", "order_clean", "order_clean_totals", "agency_order_join", "ad_click_run", "log_load", "stream_first_event", "stream_login", "stream_dedupe_ttl"}
+HEAVY = {n for n, f in QUERIES.items() if f.__module__ in ("workload.q_jobs", "workload.q_streams")} - RUN
 CHOSEN = sorted(QUERIES if os.environ.get("ALL_QUERIES") else set(QUERIES) - HEAVY)
 
 

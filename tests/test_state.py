@@ -228,3 +228,15 @@ def test_window_runs_without_python(spark):
     out = dedupe.dedupe_ttl(df, "key", "ts", "no", ttl=300, span=600)
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString() and "InPandas" not in out._jdf.queryExecution().toString()
     assert [r["ts"] for r in out.orderBy("ts").collect()] == [t for t, in sorted({(x[1],) for x in greedy([("hot", t, t) for t in range(0, 5000, 7)], 300)})]
+
+
+def test_rows_without_key_spread(spark):
+    rows = spark.range(4000).select(F.col("id").alias("no"), F.when(F.col("id") % 4 == 0, F.lit("a")).alias("user"), F.col("id").alias("ts"))
+    out = st.prior_minimum(rows, ["user"], "no", {"low": F.col("ts")})
+    assert out.where("user IS NULL AND low IS NOT NULL").count() == 0 and out.where("user = 'a' AND low = 0").count() == 999
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = [r["count"] for r in st.prior_minimum(rows, ["user"], "no", {"low": F.col("ts")}).where("user IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(parts) == 4 and max(parts) < 1000

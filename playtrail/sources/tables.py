@@ -42,10 +42,24 @@ def warehouse_exists(rows: DataFrame, table: DataFrame, keys: list[str]) -> Data
     return rows.join(counts, keys, "left").withColumn("stored", F.coalesce("stored", F.lit(0).cast("bigint")))
 
 
+def rule_scan(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of XML rule files, a file or a folder or a glob: file, pos (in the file), event, grp, field, rule.
+
+    A file is parsed by the task that reads it; many files are parsed by many tasks.
+    """
+    def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for file, text in zip(pdf["file"], pdf["value"]):
+                rows = [(file, n, *rule) for n, rule in enumerate(rules_of_xml(text))]
+                yield pd.DataFrame(rows, columns=["file", "pos", "event", "grp", "field", "rule"])
+
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    return files.mapInPandas(parse, "file string, pos int, event string, grp string, field string, rule string")
+
+
 def read_rules(spark: SparkSession, path: str) -> list[tuple[str, str, str, str]]:
     """(event, group, field, rule) of an XML rule file, or of all files of a folder by name, in file order."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return [rule for row in files.orderBy("file").collect() for rule in rules_of_xml(row["value"])]
+    return [tuple(r) for r in rule_scan(spark, path).orderBy("file", "pos").select("event", "grp", "field", "rule").collect()]
 
 
 def rules_of_xml(text: str) -> list[tuple[str, str, str, str]]:

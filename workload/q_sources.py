@@ -1,6 +1,6 @@
 """Reads: text, snapshots, offsets, warehouse and state."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from playtrail.operators import dims as dm, geo, state as st
 from playtrail.session import fresh_path
@@ -39,6 +39,43 @@ def ip_ranges_from_upper_bounds(spark, sf):
     return geo.ranges_from_upper_bounds(i.ip_bounds(spark, sf)).select("ip_lo", "ip_hi", "country", "city")
 
 
+@query("ip_database_scan", w(REGIONS) + """SELECT ip_hi, country, province, 'c' || substr(country, 2) AS city FROM bounds""")
+def ip_database_scan(spark, sf):
+    """A binary database written from the bounds: index length, jump table, entries of 8 bytes, closing block, texts."""
+    path, table = fresh_path(spark, "ip-database"), 1024
+    byte = lambda c: F.lpad(F.hex(c.cast("bigint")), 2, "0")
+    nation = F.replace("country", F.lit('"'))
+    bounds = i.ip_bounds(spark, sf).select("ip_hi", F.concat_ws("\t", nation, "province", F.concat(F.lit("c"), F.substring(nation, 2, 9))).alias("text"))
+    before = Window.orderBy("text").rowsBetween(Window.unboundedPreceding, -1)  # a hundred texts
+    texts = bounds.select("text").distinct().withColumn("at", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)) + table)
+    at = F.col("at")
+    rest = F.concat(byte(at % 256), byte(F.floor(at / 256) % 256), byte(F.floor(at / 65536)), byte(F.octet_length("text")))
+    entries = bounds.join(texts, "text").select(F.concat(F.lpad(F.hex("ip_hi"), 8, "0"), rest).alias("e"))
+    index = entries.agg(F.array_join(F.sort_array(F.collect_list("e")), "").alias("index"))
+    body = texts.agg(F.array_join(F.transform(F.sort_array(F.collect_list("text")), lambda t: F.hex(t.cast("binary"))), "").alias("body"))
+    blank = F.lit("00" * table)
+    head = F.lpad(F.hex(F.length("index") / 2 + 4 + 2 * table), 8, "0")
+    whole = F.unhex(F.concat(head, blank, "index", blank, "body"))
+    one = index.withColumn("n", F.lit(1)).join(body.withColumn("n", F.lit(1)), "n")
+    files.write_text(one.select(whole.cast("string").alias("value")), "value", path)
+    return tables.read_ip_database(spark, f"{path}/part-*")
+
+
+@query("rule_file_scan", """SELECT 'e' || p_partkey % 7 AS event, 'g' || p_size AS grp, 'f' || p_partkey AS field, CAST(p_size % 5 AS VARCHAR) AS rule,
+  CAST(row_number() OVER (PARTITION BY p_partkey % 7 ORDER BY 'g' || p_size, p_partkey) - 1 AS INTEGER) AS pos FROM part""")
+def rule_file_scan(spark, sf):
+    """XML rule files, one an event, written and read back in file order."""
+    path = fresh_path(spark, "rules")
+    part = i.table(spark, sf, "part").selectExpr("concat('e', p_partkey % 7) AS event", "concat('g', p_size) AS grp", "p_partkey AS no",
+                                                 "concat('<f', p_partkey, '> ', p_size % 5, '\n</f', p_partkey, '>') AS xml")
+    joined = lambda order, text: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, text))), lambda e: e[text]), "")
+    groups = part.groupBy("event", "grp").agg(joined("no", "xml").alias("xml")).withColumn("xml", F.format_string("<%s>%s</%s>", "grp", "xml", "grp"))
+    events = groups.groupBy("event").agg(joined("grp", "xml").alias("xml"))
+    text = F.format_string("<rules><%s>%s</%s></rules>", "event", "xml", "event").alias("value")
+    events.select(text, F.col("event").alias("file")).write.partitionBy("file").text(path)
+    return tables.rule_scan(spark, f"{path}/file=*").select("event", "grp", "field", "rule", "pos")
+
+
 @query("warehouse_exists", """SELECT l_partkey, l_suppkey, count(o_orderkey) AS asked, coalesce(any_value(n), 0) AS stored FROM
   (SELECT l_partkey, l_suppkey, l_orderkey AS o_orderkey FROM lineitem WHERE l_returnflag = 'R') r
   LEFT JOIN (SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL) USING (l_partkey, l_suppkey)

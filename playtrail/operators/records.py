@@ -15,7 +15,6 @@ from ..functions.extended_json import plain_values
 from .once import once  # noqa: F401
 
 MEMBERS = "map<string,variant>"
-DEPTH = 4  # objects inside objects that are flattened; deeper ones stay whole
 
 
 def entries(text: Column) -> Column:
@@ -33,10 +32,13 @@ def _opened(items: Column, joined: bool) -> Column:
 
 
 def flat(items: Column, joined: bool = True) -> Column:
-    """Nested objects as ``group-field`` entries, or under the leaf's name alone. Arrays stay whole."""
-    for _ in range(DEPTH):
-        items = _opened(items, joined)
-    return items
+    """Nested objects as ``group-field`` entries, or under the leaf's name alone, at any depth. Arrays stay whole.
+
+    Objects are opened as often as the record has opening braces, which is never less than its depth.
+    """
+    braces = F.aggregate(items, F.lit(0), lambda n, e: n + F.regexp_count(F.coalesce(F.to_json(e["value"]), F.lit("")), F.lit(r"\{")))
+    rounds = F.when(braces > 0, F.sequence(F.lit(1), braces)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(rounds, items, lambda found, _: _opened(found, joined))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

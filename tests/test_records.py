@@ -29,6 +29,12 @@ def test_flattened_by_group_and_by_leaf(spark):
     assert leaf == {"a": 2, "b": 3, "q": 1}
 
 
+def test_flattened_at_any_depth(spark):
+    deep = json.dumps({"k": {"a": {"b": {"c": {"d": {"e": {"f": {"g": 1, "list": [{"x": {"y": 2}}]}}}}}}}, "s": "{{{", "n": None})
+    assert record_of(spark, deep, records.flat, {"q": F.lit(1)}) == {
+        "k-a-b-c-d-e-f-g": 1, "k-a-b-c-d-e-f-list": [{"x": {"y": 2}}], "s": "{{{", "n": None, "q": 1}
+
+
 def test_what_is_no_object_stays(spark):
     for text in (None, "", "[1]", '{"a":', "word"):
         assert record_of(spark, text, lambda i: i, {"q": F.lit(1)}) == "as it came"

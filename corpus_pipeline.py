@@ -19,22 +19,35 @@ from playtrail.llm.common import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls toxic go. Null and empty texts get the score of a text without neighbours; null keys are scored
+    like others; without labels nothing goes. Columns of any name pass; an empty table stays empty.
+    """
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the row with the smallest doc_id stays. Rows with a null doc_id and texts without words stay; of rows
+    that repeat id and text one stays. Columns of any name pass; an empty table stays empty.
+    """
     return jaccard.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap a benchmark item go, with all rows of the same text. Null and empty texts stay; items without id count. Columns
+    of any name pass; an empty table stays empty.
+    """
     return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the text is replaced by its kind and n_chars follows. Every row stays, null and empty texts and other columns as they are."""
     return pii.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row gets the words that the mix takes of it. Null texts have no words, a null source is a source of its own, repeated rows each
+    count. Columns called like the four added ones are replaced, all others pass; an empty table stays empty.
+    """
     return mixing.mix(docs)
 
 

@@ -127,9 +127,9 @@ def _spread_join(keyed: DataFrame, side: DataFrame, names: list[str], hot: DataF
     # NULL keys never match and hot keys are already served: both only need a place to go
     served = F.col("_h").isNotNull() | reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
     place = F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns if not _is_map(keyed, c)])
-    first = first.select("*", F.when(served, place).otherwise(F.lit(-1)).cast("bigint").alias("_p"))
-    cold = side.select(*[F.col(n).alias("_c" + n) for n in names],
-                       F.col("_v").alias("_w"), F.lit(-1).cast("bigint").alias("_q"))
+    # the other rows go by their keys: a constant here would leave the join, and served rows would go by their keys again
+    first = first.select("*", F.when(served, place).otherwise(F.xxhash64(*names)).alias("_p"))
+    cold = side.select(*[F.col(n).alias("_c" + n) for n in names], F.col("_v").alias("_w"), F.xxhash64(*names).alias("_q"))
     match = reduce(lambda a, b: a & b, [F.col(n) == F.col("_c" + n) for n in names])
     # _p takes part in the shuffle key, so served rows spread over all partitions
     joined = first.join(cold, match & (F.col("_p") == F.col("_q")), "left")

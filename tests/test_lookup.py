@@ -45,6 +45,22 @@ def test_large_dimension_is_not_broadcast_whole(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_of_a_hot_key_are_spread(spark):
+    df, rows = facts(spark)
+    source = spark.range(1000).select(F.concat(F.lit("k"), "id").alias("k"), "id").union(spark.createDataFrame([("hot", 7)], "k string, id bigint"))
+    dim = Dimension(source, ["k"], ["id"], broadcast_rows=10, hot_rows=50)
+    for name, value in (("autoBroadcastJoinThreshold", "-1"), ("adaptive.enabled", "false")):
+        spark.conf.set(f"spark.sql.{name}", value)
+    try:
+        out = lookup(df, dim, [F.col("k")], {"v": "id"}, default=None).select("*", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {r["id"]: r["v"] for r in out} == {i: 7 if k == "hot" else int(k[1:]) if k else None for i, k in rows}
+    for some in ("hot", None):
+        assert len({r["p"] for r in out if r["k"] == some}) > 1
+
+
 def test_duplicate_dimension_keys_never_multiply_rows(spark):
     df, rows = facts(spark)
     source = spark.createDataFrame([("hot", i, i) for i in range(5)], "k string, v int, pos int")

@@ -31,14 +31,22 @@ def _opened(items: Column, joined: bool) -> Column:
     return F.flatten(F.transform(items, one))
 
 
+def _is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", MEMBERS).isNotNull()
+
+
 def flat(items: Column, joined: bool = True) -> Column:
     """Nested objects as ``group-field`` entries, or under the leaf's name alone, at any depth. Arrays stay whole.
 
-    Objects are opened as often as the record has opening braces, which is never less than its depth.
+    Most records have groups of plain fields: opened once, nothing is left to open. Otherwise objects are opened again,
+    as often as one of those left has opening braces, which is never less than its depth.
     """
-    braces = F.aggregate(items, F.lit(0), lambda n, e: n + F.regexp_count(F.coalesce(F.to_json(e["value"]), F.lit("")), F.lit(r"\{")))
-    rounds = F.when(braces > 0, F.sequence(F.lit(1), braces)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(rounds, items, lambda found, _: _opened(found, joined))
+    def deeper(found: Column) -> Column:
+        braces = F.aggregate(found, F.lit(0), lambda n, e: F.when(_is_object(e["value"]), F.greatest(
+            n, F.regexp_count(F.to_json(e["value"]), F.lit(r"\{")))).otherwise(n))
+        again = F.aggregate(F.sequence(F.lit(1), braces), found, lambda left, _: _opened(left, joined))
+        return F.when(F.exists(found, lambda e: _is_object(e["value"])), again).otherwise(found)
+    return let(_opened(items, joined), deeper)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -1,6 +1,7 @@
 """Whole records: nothing that came is lost, changed fields win, other names are understood."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -35,6 +36,16 @@ def test_flattened_at_any_depth(spark):
         "k-a-b-c-d-e-f-g": 1, "k-a-b-c-d-e-f-list": [{"x": {"y": 2}}], "s": "{{{", "n": None, "q": 1}
 
 
+def test_braces_of_a_text_cost_nothing(spark):
+    """A record is opened as deep as its objects go, not once for every brace in it."""
+    wide = {f"g{i}": {"a": i} for i in range(300)} | {"s": "{" * 20000}
+    df = spark.createDataFrame([(json.dumps(wide),)] * 8, "raw string").coalesce(1)
+    begin = time.monotonic()
+    got = records.with_record(df, "out", records.flat(records.entries(F.col("raw"))), {"q": F.lit(1)}).collect()
+    assert time.monotonic() - begin < 8
+    assert all(json.loads(r["out"]) == {f"g{i}-a": i for i in range(300)} | {"s": wide["s"], "q": 1} for r in got)
+
+
 def test_what_is_no_object_stays(spark):
     for text in (None, "", "[1]", '{"a":', "word"):
         assert record_of(spark, text, lambda i: i, {"q": F.lit(1)}) == "as it came"

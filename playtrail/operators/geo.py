@@ -1,11 +1,14 @@
 """IP address -> region.
 
-Each range is listed once per /16 block it touches, so the range search becomes
-an equi-join on the block plus a bound check: no nested loop, no Python.
+Each range is listed once per block it touches, so the range search becomes an
+equi-join on the block plus a bound check: no nested loop, no Python. Blocks are
+/16, and smaller for more ranges, so that an address is held against a few ranges
+however many there are.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,36 +48,55 @@ def ranges_from_upper_bounds(df: DataFrame, upper: str = "ip_hi") -> DataFrame:
     return joined.withColumn("ip_lo", low.cast("bigint")).drop("_o", "_prev", "_before")
 
 
-def blocked_ranges(ranges: DataFrame) -> DataFrame:
-    """One row per (/16 block, range). Full IPv4 coverage adds at most 65,536 rows."""
-    blocks = F.sequence(F.shiftright("ip_lo", BLOCK_BITS), F.shiftright("ip_hi", BLOCK_BITS))
+def block_bits(ranges: int) -> int:
+    """Bits of an address inside a block: fewer than eight ranges for each block there is, and never larger than /16 blocks."""
+    return min(BLOCK_BITS, max(4, 35 - max(ranges, 1).bit_length()))
+
+
+def blocked_ranges(ranges: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
+    """One row per (block, range). Full IPv4 coverage adds at most as many rows as there are blocks: 65,536 of /16."""
+    blocks = F.sequence(F.shiftright("ip_lo", bits), F.shiftright("ip_hi", bits))
     return ranges.select(F.explode(blocks).alias("block"), "ip_lo", "ip_hi", *REGION)
 
 
+@dataclass
+class Regions(Dimension):
+    """Ranges by blocks of ``bits`` bits."""
+
+    bits: int = BLOCK_BITS
+
+
 def region_dimension(ranges: DataFrame, **bounds: int) -> Dimension:
-    return Dimension(blocked_ranges(ranges), ["block", "ip_lo", "ip_hi"], REGION, "regions", **bounds)
+    """One job counts the ranges, which set the size of the blocks."""
+    bits = block_bits(ranges.count())
+    return Regions(blocked_ranges(ranges, bits), ["block", "ip_lo", "ip_hi"], REGION, "regions", bits=bits, **bounds)
+
 
+def add_region(df: DataFrame, regions: Regions, ip: Column, fallback: Column | None = None,
+               counted: DataFrame | None = None) -> DataFrame:
+    """Add country, province and city; a blank ip uses ``fallback``, no match gives blanks.
 
-def add_region(df: DataFrame, regions: Dimension, ip: Column, fallback: Column | None = None) -> DataFrame:
-    """Add country, province and city; a blank ip uses ``fallback``, no match gives blanks."""
+    ``counted`` is an earlier frame with the same addresses: blocks with many rows are found on it, so that beyond the
+    broadcast bound what was computed since does not run twice.
+    """
     source = ip if fallback is None else F.when(blank(ip), fallback).otherwise(ip)
     kept = [c for c in df.columns if c not in REGION]
-    keyed = (df.select(*[F.col(f"`{c}`") for c in kept], ip_number(source).alias("_ip"))
-             .select("*", F.shiftright("_ip", BLOCK_BITS).alias("_b")))
+    block = F.shiftright("_ip", regions.bits).alias("_b")
+    keyed = df.select(*[F.col(f"`{c}`") for c in kept], ip_number(source).alias("_ip")).select("*", block)
     side = regions.df.select(F.col("block").alias("_rb"), F.col("ip_lo").alias("_lo"),
                              F.col("ip_hi").alias("_hi"), *[F.col(c).alias("_r_" + c) for c in REGION])
     inside = F.col("_ip").between(F.col("_lo"), F.col("_hi"))
     if regions.small:
         joined = keyed.join(F.broadcast(side), (F.col("_b") == F.col("_rb")) & inside, "left")
     else:
-        joined = _salted(keyed, side, inside, regions.hot_rows)
+        seen = keyed if counted is None else counted.select(ip_number(source).alias("_ip")).select(block)
+        joined = _salted(keyed, side, inside, hot_keys(seen.where(F.col("_b").isNotNull()), ["_b"], regions.hot_rows))
     clean = [F.coalesce(unquoted(F.col("_r_" + c)), F.lit("")).alias(c) for c in REGION]
     return joined.select(*[F.col(f"`{c}`") for c in kept], *clean)
 
 
-def _salted(keyed: DataFrame, side: DataFrame, inside: Column, hot_rows: int) -> DataFrame:
+def _salted(keyed: DataFrame, side: DataFrame, inside: Column, hot: DataFrame) -> DataFrame:
     """Shuffle on (block, salt): only hot blocks, by their rows, and missing addresses are spread."""
-    hot = hot_keys(keyed.where(F.col("_b").isNotNull()), ["_b"], hot_rows)
     place = F.xxhash64(*[F.col(f"`{c}`") for c in keyed.columns])
     left = keyed.join(F.broadcast(hot), "_b", "left").select(
         "*", F.when(F.col("_b").isNull(), place).when(F.col("_parts").isNotNull(), F.pmod(place, F.col("_parts")))

@@ -70,8 +70,9 @@ def agency_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
         .withColumn("ok", F.col("reject_reason").isNull())
         .drop("channel_id", "game_channel_id", "company_id", "os_type", "resolved"))
     flagged = guards.member(merged, F.col("agent.game_channel_id"), special, "_special")
-    stamped = _stamp(st.settled(flagged, "agency-logins"), arrival, state, flag_only, tz)
-    stamped = add_region(stamped, regions, F.col("client_ip"))
+    rows = st.settled(flagged, "agency-logins")
+    stamped = _stamp(rows, arrival, state, flag_only, tz)
+    stamped = add_region(stamped, regions, F.col("client_ip"), counted=rows)
     return _routed(stamped, arrival, route.route_login(source, F.col("ok"), F.col("_special")))
 
 
@@ -113,8 +114,9 @@ def own_logins(df: DataFrame, dims: Dims, regions: Dimension, special: Dimension
               .withColumn("agent", F.struct(F.col("channel_id"), F.col("game_channel_id"),
                                             text_of(F.col("agent.access_token")).alias("access_token")))
               .drop("app_id", "channel_id", "game_channel_id", "company_id"))
-    stamped = _stamp(st.settled(merged, "own-logins"), arrival, state, flag_only, tz)
-    stamped = add_region(stamped, regions, F.col("client_ip"))
+    rows = st.settled(merged, "own-logins")
+    stamped = _stamp(rows, arrival, state, flag_only, tz)
+    stamped = add_region(stamped, regions, F.col("client_ip"), counted=rows)
     return _routed(stamped, arrival, route.route_login(source, F.col("ok"), None, folded_into), "_raw")
 
 
@@ -209,7 +211,7 @@ def service_events(df: DataFrame, dims: Dims, regions: Dimension, special: Dimen
     stamped = st.first_events(flagged, arrival, key, F.col("event"), ts, F.col("is_test"),
                               text_of(F.col("order.order_status")), text_of(F.col("order.order_step")), flag_only=batch,
                               state=state, tz=tz, shortest=10 ** 9, writes=service in st.WRITERS)
-    stamped = add_region(stamped, regions, F.col("client_ip"))
+    stamped = add_region(stamped, regions, F.col("client_ip"), counted=flagged)
     target = F.when(F.col("_active"), F.lit("agentActive")).otherwise(
         route.route_service(F.lit(service), F.col("ok"), F.col("_special"), folded))
     # activations have no user, but the narrow feed expects the field

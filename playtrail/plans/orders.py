@@ -68,7 +68,7 @@ def agency_orders(df: DataFrame, dims: Dims, regions: Dimension, special: Dimens
     out = st.first_events(work, [arrival, "row_no"], key, F.col("event"), F.col("server_ts"), F.col("is_test"),
                           F.col("pay_status"), F.col("status"), flag_only=flag_only, state=state, tz=tz)
     out = out.withColumns({c: F.when(main, F.col(c)) for c in STAMPS})
-    out = add_region(out, regions, F.lit(""), F.col("create_ip"))
+    out = add_region(out, regions, F.lit(""), F.col("create_ip"), work)
     located = {c: F.when(~F.col("broken"), F.col(c)) for c in REGION}
     moved = F.when(F.col("channel_id") != F.col("_given"), F.col("channel_id"))
     changed = {"order_sn": F.col("order_sn"), **located, "channel_id": moved, **{c: F.col(c) for c in RESOLVED[1:]},
@@ -182,7 +182,7 @@ def agency_order_join(df: DataFrame, dims: Dims, regions: Dimension, special: Di
     stamped = st.first_order_dates(work, [arrival, "row_no"], key, F.col("_ts"), paid, state=state, tz=tz)
     flagged = guards.flag_test_orders(stamped, test_rules)
     flagged = guards.member(flagged, F.col("game_channel_id"), special, "_special")
-    flagged = add_region(flagged, regions, F.when(copied, F.col("create_ip")))
+    flagged = add_region(flagged, regions, F.when(copied, F.col("create_ip")), counted=work)
     target = (F.when(F.col("broken"), F.lit(topic + route.ERROR_END)).when(copied, F.lit(topic + route.COPY))
               .when(F.col("is_test_order"), F.lit(topic + route.TEST))
               .when(F.col("_special"), F.lit(topic + route.OTHER)).otherwise(F.lit(topic)))

@@ -88,6 +88,24 @@ def test_regions_equal_bisect(spark, limits):
         assert got[i] == ((f"c{bounds[at]}", f"t{bounds[at]}") if at < len(bounds) else ("", ""))
 
 
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 1, "hot_rows": 3}])
+def test_an_address_meets_few_ranges_however_many_there_are(spark, limits):
+    """600,000 ranges inside ten /16 blocks and some outside: smaller blocks, the same regions."""
+    number = F.when(F.col("id") % 100 == 0, F.col("id") * 7000).otherwise(F.lit(2 ** 24) + F.col("id"))
+    bounds = spark.range(600_000).select(number.alias("ip_hi"), F.concat(F.lit("c"), "id").alias("country"), F.lit("p").alias("province"), F.lit("t").alias("city"))
+    regions = geo.region_dimension(geo.ranges_from_upper_bounds(bounds), **limits)
+    assert regions.bits < geo.BLOCK_BITS and geo.block_bits(15_000) == geo.BLOCK_BITS
+    assert geo.blocked_ranges(geo.ranges_from_upper_bounds(bounds), regions.bits).groupBy("block").count().agg(F.max("count")).first()[0] <= 2 ** regions.bits + 2
+    rows = sorted((r["ip_hi"], r["country"]) for r in bounds.select("ip_hi", "country").collect())
+    known, asked = [r[0] for r in rows], [0, 1, 2 ** 24 - 1, 2 ** 24 + 1, 2 ** 24 + 65536, 2 ** 24 + 599_999, 2 ** 24 + 600_000, 7000 * 599_900, 2 ** 32 - 1]
+    text = lambda n: ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+    df = spark.createDataFrame([(n, text(n)) for n in asked], "n bigint, ip string")
+    got = {r["n"]: r["country"] for r in geo.add_region(df, regions, F.col("ip"), counted=df).collect()}
+    for n in asked:
+        at = bisect.bisect_left(known, n)
+        assert got[n] == (rows[at][1] if at < len(known) else "")
+
+
 def test_odd_addresses_get_blanks(spark):
     _, df, _ = region_case(spark, 6)
     regions = geo.region_dimension(geo.ranges_from_upper_bounds(df))

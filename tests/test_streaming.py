@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from playtrail.operators import clicks as ck, metrics as mt, route, state as st
+from playtrail.session import fresh_path
 from playtrail.sinks import files
 from playtrail.sinks.outputs import Outputs
 from playtrail.sinks.state_table import StateTable
@@ -164,3 +165,19 @@ def test_batches_write_several_tables_at_once(spark, tmp_path):
     done(jobs.run_batches(jobs.read_folder(spark, src, "id bigint", options={"maxFilesPerTrigger": "1"}), handle, str(tmp_path / "check")))
     assert len(run.runs(spark, "odd")) == 4 and run.read(spark, "odd", "id bigint").count() == 20 and run.read(spark, "all", "id bigint").count() == 40
     assert {r["value"] for r in run.counts(spark, "s").collect()} == {60}
+
+
+def test_a_batch_is_dealt_over_all_cores(spark):
+    """The rows of the events in order of arrival, whatever their number in as many files a batch as there are cores."""
+    from workload import inputs, q_streams
+    sf = "/root/testdata/sf0.001"
+    found, sizes = [], []
+
+    def handle(batch, number):
+        sizes.append(batch.rdd.getNumPartitions())
+        found.append(sorted(r["event_id"] for r in batch.select("event_id").collect()))
+    done(jobs.run_batches(q_streams.event_stream(spark, sf, 3), handle, fresh_path(spark, "cores-offsets")))
+    top = max(found[-1]) + 1
+    assert len(found) == 3 and min(sizes) == spark.sparkContext.defaultParallelism
+    assert all(e * 3 // top == n for n, part in enumerate(found) for e in part)
+    assert sum(found, []) == sorted(r["event_id"] for r in inputs.table(spark, sf, "events").select("event_id").collect())

@@ -21,12 +21,13 @@ FILE_ROWS = 250_000
 
 
 def event_stream(spark, sf, batches=4):
-    """The events as a growing folder, in order of arrival; a batch has as many files as its rows ask for."""
+    """The events as a growing folder, in order of arrival; a batch has as many files as its rows ask for, and one for each core."""
     events, path = i.table(spark, sf, "events"), fresh_path(spark, "events")
     top, rows = events.agg(F.max("event_id") + 1, F.count("*")).first()
-    files = 1 + rows // (batches * FILE_ROWS)
-    for n in range(batches):
-        part = F.floor(F.col("event_id") * batches / top) == n
+    files = max(spark.sparkContext.defaultParallelism, 1 + rows // (batches * FILE_ROWS))
+    for n in range(batches):  # bounds instead of a quotient: the reader skips what lies outside
+        first, last = -(-n * top // batches), -(-(n + 1) * top // batches)
+        part = (F.col("event_id") >= first) & (F.col("event_id") < last)
         events.where(part).repartition(files).write.mode("append").parquet(path)
     return jobs.read_folder(spark, path, events.schema, options={"maxFilesPerTrigger": str(files)})
 

@@ -12,6 +12,9 @@ from ..functions.coerce import double_of, int_of, text_of
 from ..operators import guards, lines, resolve, route, state as st, warehouse as wh
 from ..operators.dims import Dims
 
+OPEN_WRITERS = 16  # tables that a task writes at once
+ROW_GROUP = 1 << 25  # bytes that a writer holds, about
+
 LOAD_SHAPE = T.StructType(
     list(schemas.event_schema(["user", "game", "device", "channel_platform"]).fields)
     + [f for f in wh.INSTALL_SHAPE.fields if f.name not in schemas.TOP]
@@ -32,11 +35,18 @@ def parsed_load(df: DataFrame, shape: T.StructType = LOAD_SHAPE) -> DataFrame:
 def staged(rows: DataFrame, path: str | None, part: str) -> DataFrame:
     """Write parsed rows once, a folder per table, so that each table reads only its own part.
 
-    Without a path every table parses the input again.
+    Without a path every table parses the input again. A task keeps a writer for each table open, so that its rows, however
+    many, need not be sorted by table; only beyond OPEN_WRITERS tables are the rest of them.
     """
     if path is None:
         return rows
-    rows.write.mode("overwrite").partitionBy(part).parquet(path)
+    conf, writers = rows.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(writers)
+    conf.set(writers, str(OPEN_WRITERS))
+    try:
+        rows.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).partitionBy(part).parquet(path)
+    finally:
+        conf.set(writers, before)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

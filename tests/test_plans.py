@@ -37,3 +37,24 @@ def test_json_is_parsed_once_per_pass(spark, name, passes):
 
 def test_state_window_is_partitioned_by_block(spark):
     assert "_block" in plan(spark, "first_event_running")
+
+
+def test_tasks_of_a_log_follow_its_rows(spark, monkeypatch):
+    """No task's rows grow with the table."""
+    from workload import inputs
+    monkeypatch.setattr(inputs, "TASK_ROWS", 100)
+    inputs.spread.cache_clear()
+    rows = inputs.spread(spark, SF, "events")
+    inputs.spread.cache_clear()
+    assert rows.rdd.getNumPartitions() == -(-rows.count() // 100) > spark.sparkContext.defaultParallelism
+
+
+def test_load_stages_a_folder_a_table(spark, tmp_path, monkeypatch):
+    from playtrail.plans import loads
+    monkeypatch.setattr(loads, "OPEN_WRITERS", 2)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id", "concat('t', id % 5) AS route")
+    kept = loads.staged(rows, str(tmp_path / "stage"), "route")
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, rows.collect()))
+    assert {p.name for p in (tmp_path / "stage").glob("route=*")} == {f"route=t{n}" for n in range(5)}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before

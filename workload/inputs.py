@@ -17,6 +17,8 @@ from playtrail.operators.dims import Dims
 from playtrail.operators.lookup import Dimension
 from playtrail.operators.once import once
 
+TASK_ROWS = 250_000
+
 
 @lru_cache(maxsize=64)
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -26,8 +28,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @lru_cache(maxsize=64)
 def spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table whose rows feed line parsing, dealt over all cores as a log of many files is."""
-    return table(spark, sf, name).repartition(spark.sparkContext.defaultParallelism)
+    """A given table whose rows feed line parsing, dealt over all cores as a log of many files is: of TASK_ROWS at most."""
+    rows = table(spark, sf, name)
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS)))
 
 
 def ev(spark: SparkSession, sf: str) -> DataFrame:

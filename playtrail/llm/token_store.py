@@ -38,6 +38,7 @@ BUCKET_KEYS = 1 << 15  # keys of an index bucket, about
 CACHED = 1 << 19  # encoded pieces a process remembers, of 32 bytes on average at most
 MARK = b"ids\n"
 AT_ONCE = 4096  # new pieces encoded as one text
+ROWS, BYTES = 2048, 1 << 23  # rows, and bytes of their texts, whose pieces are looked up together: each look-up hashes all remembered ones
 # Fixed value: how a byte-level vocabulary writes a blank.
 BLANK = "\u0120"
 EDGE = r"[!-~\pL\pN]"  # characters that are white space in no library
@@ -171,6 +172,26 @@ def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
 
 
+def handfuls(batches):
+    """The rows of all batches in order, at most ROWS rows and BYTES of text (or one longer text) at a time."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = min(start + ROWS - rows, int(np.searchsorted(ends, before + BYTES - size, side="right")))
+            stop = max(stop, start if held else start + 1)
+            if stop > start:
+                held.append(batch.slice(start, stop - start))
+                rows, size, start = rows + stop - start, size + int(ends[stop - 1] - before), stop
+            if start < batch.num_rows:  # full
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, rows, size = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def encoder(definition) -> Encoder:
     """The encoder of a broadcast tokenizer file, made once in each process."""
     if definition.value not in _TOKENIZERS:
@@ -203,18 +224,16 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, key: str = "doc_id"
             return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
                                                pa.array([o[2] for o in out], pa.binary())], names=["shard", "no", "value"])
 
-        for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                few = batch.slice(start, 1024)
-                out = []
-                for k, payload in zip(few.column(0).to_pylist(), encode.packed(few.column(1))):
-                    out.append(((part << 24) + number, at, payload[:-1]))
-                    listed.append((k, len(payload) // wide))
-                    at, ids = at + 1, ids + len(payload) // wide
-                    if ids >= shard_ids:
-                        out.append(((part << 24) + number, at, footer()))
-                        number, at, ids, listed = number + 1, 0, 0, []
-                yield table(out)
+        for few in handfuls(batches):
+            out = []
+            for k, payload in zip(few.column(0).to_pylist(), encode.packed(few.column(1))):
+                out.append(((part << 24) + number, at, payload[:-1]))
+                listed.append((k, len(payload) // wide))
+                at, ids = at + 1, ids + len(payload) // wide
+                if ids >= shard_ids:
+                    out.append(((part << 24) + number, at, footer()))
+                    number, at, ids, listed = number + 1, 0, 0, []
+            yield table(out)
         if listed:
             yield table([((part << 24) + number, at, footer())])
 

@@ -82,3 +82,19 @@ def test_hash_function_is_minimal_and_perfect(n, seed):
     made = S.hash_function(h1, h2)
     assert sorted(S.slots(h1, h2, *made).tolist()) == list(range(n))
     assert all(-1 <= s < n for s in S.slots(other, h2, *made).tolist())
+
+
+def test_rows_are_looked_up_in_bounded_handfuls(monkeypatch):
+    """2,048 common texts in one look-up, very long ones in several; every row once, in order."""
+    texts = ["x" * 100] * 2000 + ["y" * 5000, None, "z" * 30_000] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(len(texts))]), pa.array(texts, pa.string())], names=["k", "t"])
+    halves = [batch.slice(0, 1000), batch.slice(1000, 0), batch.slice(1000, 1000), batch.slice(2000)]
+    assert [f.num_rows for f in S.handfuls(halves[:3])] == [2000]  # batches are joined
+    monkeypatch.setattr(S, "BYTES", 20_000)
+    found = list(S.handfuls(halves))
+    assert [k for f in found for k in f.column(0).to_pylist()] == batch.column(0).to_pylist()
+    assert all(f.num_rows == 1 or sum(len(t or "") for t in f.column(1).to_pylist()) <= 20_000 for f in found)
+    monkeypatch.setattr(S, "ROWS", 7)
+    found = list(S.handfuls(halves))
+    assert [k for f in found for k in f.column(0).to_pylist()] == batch.column(0).to_pylist() and max(f.num_rows for f in found) == 7
+    assert list(S.handfuls([])) == []

@@ -54,28 +54,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _unique(items: Column) -> Column:
-    """Of equal names the last entry; only a record that repeats a name is searched for them."""
-    def last(names: Column) -> Column:
-        kept = F.filter(items, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
-        return F.when(F.size(F.array_distinct(names)) == F.size(names), items).otherwise(kept)
-    return let(F.transform(items, lambda e: e["key"]), last)
-
-
 def with_record(df: DataFrame, out: str, items: Column, changed: dict[str, Column], otherwise: Column | None = None) -> DataFrame:
     """Add ``out``: the record as JSON text with the changed fields in place of those of the same name.
 
-    A NULL leaves the field as it came. Rows without entries get ``otherwise``. One expression per row: the row's other
-    columns are not copied.
+    A NULL leaves the field as it came. Rows without entries get ``otherwise``. What is evaluated per entry reads finished
+    columns only: expressions inside a lambda are not compiled and would be evaluated again for each entry. Of equal
+    names the last entry counts; only a record that repeats a name is searched for them.
     """
-    given = F.filter(F.array(*[F.struct(F.lit(n).alias("key"), c.cast("variant").alias("value")) for n, c in changed.items()]),
-                     lambda e: e["value"].isNotNull())
-
-    def laid_over(s: Column) -> Column:
-        def record(names: Column) -> Column:
-            both = F.concat(F.filter(s["came"], lambda e: ~F.array_contains(names, e["key"])), s["new"])
-            return F.to_json(F.map_from_entries(let(both, _unique)))
-        return F.when(s["came"].isNotNull(), let(F.transform(s["new"], lambda e: e["key"]), record))
-    text = let(F.struct(items.alias("came"), given.alias("new")), laid_over)
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    new = F.to_json(F.struct(*[c.alias(n) for n, c in changed.items()]), {"ignoreNullFields": "true"})
+    unset = F.array(*[F.when(c.isNull(), F.lit(n)) for n, c in changed.items()])
+    staged = df.select(*kept, items.alias("_came"), new.alias("_new"), unset.alias("_unset"))
+
+    def stays(e: Column) -> Column:
+        return ~e["key"].isin(*changed) | F.coalesce(F.array_contains("_unset", e["key"]), F.lit(False))
+
+    names, count = F.col("_came.key"), F.size("_came")
+    last = F.filter("_came", lambda e, i: stays(e) & ~F.array_contains(F.slice(names, i + 2, count), e["key"]))
+    left = F.when(F.size(F.array_distinct(names)) == count, F.filter("_came", stays)).otherwise(last)
+    staged = staged.select(*kept, "_new", F.to_json(F.map_from_entries(left)).alias("_left"))
+    both = F.concat(F.substr("_left", F.lit(1), F.length("_left") - 1), F.lit(","), F.substr("_new", F.lit(2)))
+    text = F.when(F.col("_left") == "{}", F.col("_new")).when(F.col("_new") == "{}", F.col("_left")).otherwise(both)
     text = text if otherwise is None else F.coalesce(text, otherwise)
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != out], text.alias(out))
+    return staged.select(*[F.col(f"`{c}`") for c in df.columns if c != out], text.alias(out))

@@ -81,3 +81,38 @@ def test_wrapped_numbers_are_plain(spark):
     assert json.loads(row["raw"]) == want
     nothing = spark.createDataFrame([(None,), ("",), ('{"$numberLong":"x"}',), ('{"$number":1}',)], "t string")
     assert [r[0] for r in nothing.select(plain_values(F.col("t"))).collect()] == [None, "", '{"$numberLong":"x"}', '{"$number":1}']
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equal_names_and_unset_fields(spark):
+    """The last of equal names counts; a field that is not set stays as it came, also where its name is repeated."""
+    text = '{"a":1,"b":{"c":1},"a":[2],"d":3}'
+    unset, none = F.lit(None).cast("string"), {"q": F.lit(None).cast("string")}
+    assert record_of(spark, text, lambda i: i, {"a": unset, "d": F.lit("new")}) == {"a": [2], "b": {"c": 1}, "d": "new"}
+    assert record_of(spark, text, lambda i: i, {"a": F.lit(5), "d": unset}) == {"a": 5, "b": {"c": 1}, "d": 3}
+    assert record_of(spark, "{}", lambda i: i, none) == {} and record_of(spark, "{}", lambda i: i, {"q": F.lit(1)}) == {"q": 1}
+    assert record_of(spark, '{"q":"\\u007f,}"}', lambda i: i, {"q": F.lit('x"}\n')}) == {"q": 'x"}\n'}
+    assert record_of(spark, '{"q":1}', lambda i: i, {"q": F.lit("z")}) == {"q": "z"} and record_of(spark, '{"q":1}', lambda i: i, none) == {"q": 1}
+
+
+def test_generator_and_lambdas_read_finished_columns(spark):
+    """No parse stands inside a generator, and the changed fields are not evaluated again for each entry of a record."""
+    df = spark.createDataFrame([('{"a":1,"b":2}', 5)], "raw string, n long")
+    once = records.once(df, {"_m": F.from_json("raw", "map<string,string>")})
+    generated = [line for line in plan_of(once).splitlines() if "Generate " in line]
+    assert generated and not any("from_json" in line for line in generated)
+    laid = records.with_record(df, "out", records.entries(F.col("raw")), {"a": F.repeat(F.lit("x"), F.col("n").cast("int"))})
+    assert laid.first()["out"] == '{"b":2,"a":"xxxxx"}'
+    filtered = [line for line in plan_of(laid).splitlines() if "lambdafunction" in line]
+    assert filtered and not any("repeat(" in line for line in filtered)
+
+
+def test_outgoing_record_is_read_once(spark):
+    from workload.q_jobs import opened, record_fields
+    df = spark.createDataFrame([('{"b":{"c":[1]},"a":1.5,"t":"x"}', None), ("NORMAL: [", "bad frame")], "value string, reject_reason string")
+    out = opened(df).select(*record_fields(b="b", a="a", t="t", none="none"))
+    assert [tuple(r) for r in out.collect()] == [("a,b,t", '{"c":[1]}', "1.5", "x", None), (None,) * 5]
+    assert plan_of(out).count("from_json(") == 1 and "get_json_object" not in plan_of(out)

@@ -74,11 +74,16 @@ def names_of(*groups):
     return ",".join(sorted(n for g in groups for n in g.split()))
 
 
+def opened(out):
+    """Fields of the outgoing record as texts; the record is read once, whatever is taken from it."""
+    return out.withColumn("_fields", F.from_json("value", "map<string,string>"))
+
+
 def record_fields(**paths):
-    """Names of all fields of the outgoing record, and the text of some."""
-    keys = F.when(F.col("reject_reason").isNull(), F.json_object_keys("value"))
-    return [F.array_join(F.array_sort(keys), ",").alias("names"),
-            *[F.get_json_object("value", f"$['{p}']").alias(n) for n, p in paths.items()]]
+    """Names of all fields of an opened record, and the text of some."""
+    keys = F.when(F.col("reject_reason").isNull(), F.map_keys("_fields"))
+    return [F.array_join(F.sort_array(keys), ",").alias("names"),
+            *[F.col("_fields")[p].alias(n) for n, p in paths.items()]]
 
 
 OWN_LOGIN = f"""ol AS (SELECT ev.*, coalesce(b.game_id, 'error') AS jg, coalesce(b.channel_id, 'error') AS channel_id, coalesce(b.game_channel_id, 'error') AS game_channel_id,
@@ -107,7 +112,7 @@ def own_login_clean(spark, sf):
     d = i.dims(spark, sf)
     out = logins.own_logins(i.event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", rules=rl.DEFAULT_RULES, source="ownLoginSrc",
                             folded_into="agentLogin", wrapped=False, aliases={})
-    named = out.select("eid", "ok", "route", "reg_date", F.col("agent-channel_id").alias("channel_id"), F.col("agent-game_channel_id").alias("game_channel_id"),
+    named = opened(out).select("eid", "ok", "route", "reg_date", F.col("agent-channel_id").alias("channel_id"), F.col("agent-game_channel_id").alias("game_channel_id"),
                        F.col("game-company_id").alias("company_id"), F.col("game-game_id").alias("game_id"), F.col("game-app_id").alias("app_id"),
                        "reject_reason", *record_fields(ext_a="ext-a", rec_channel="agent-channel_id", rec_reg="reg_date"))
     shown = [c for c in named.columns if c not in ("eid", "ok", "route", "reject_reason")]
@@ -149,7 +154,7 @@ def service_clean_sdk(spark, sf):
     """Lines without a frame; the service writes no state, so only stored history would show."""
     d = i.dims(spark, sf)
     out = logins.service_events(i.bare_event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", service="sdk")
-    return out.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ("first_order_date", "reg_date")],
+    return opened(out).select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in ("first_order_date", "reg_date")],
                       *record_fields(ext_a="ext-a", tags="tags", rec_reg="reg_date"))
 
 
@@ -168,8 +173,8 @@ OWN_OK = f"{CLEAN} AND k <> 30 AND uid % 80 <> 11)"
 
 def own_service(spark, sf, d, **options):
     out = logins.service_events(i.event_lines(spark, sf), d, i.regions(spark, sf), d.special, "eid", aliases={}, **options)
-    field = lambda n: F.get_json_object("value", f"$['{n}']")
-    named = out.select("eid", "ok", "route", "first_order_date", "reg_date", field("game-game_id").alias("game_id"), field("game-app_id").alias("app_id"),
+    field = lambda n: F.col("_fields")[n]
+    named = opened(out).select("eid", "ok", "route", "first_order_date", "reg_date", field("game-game_id").alias("game_id"), field("game-app_id").alias("app_id"),
                        F.when(F.col("event") == "order", field("order-cny_amount").cast("double")).alias("cny"), *record_fields(ext_a="ext-a", channel_id="agent-channel_id"))
     return named.select("eid", "ok", "route", *[F.when(F.col("ok"), F.col(c)).alias(c) for c in named.columns[3:]])
 
@@ -214,7 +219,7 @@ ORDER_KEYS = f"""CASE WHEN kind = 'copy' THEN '{names_of(RAW_ORDER, REGION)}' WH
 def order_clean(spark, sf):
     d = i.dims(spark, sf)
     out = orders.agency_orders(i.agency_order_lines(spark, sf, wrapped=True), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "oid")
-    return out.select("oid", "row_no", "route", "reject_reason", "channel_id", "game_channel_id", "os_type", "company_id", "country", *STAMPS,
+    return opened(out).select("oid", "row_no", "route", "reject_reason", "channel_id", "game_channel_id", "os_type", "company_id", "country", *STAMPS,
                       *record_fields(ext="ext", rec_channel="channel_id", rec_update="update_time", rec_first="first_order_date"))
 
 
@@ -359,7 +364,7 @@ def agency_order_join(spark, sf):
                                                                      (600000000 + F.col("uid")).cast("bigint").alias("login_ts"), F.lit(None).cast("bigint").alias("order_ts")).distinct()
     out = orders.agency_order_join(i.agency_order_lines(spark, sf), d, i.regions(spark, sf), d.special, packed_test_rules(i.test_rules(spark, sf)), "oid", topic="job", state=keys)
     copied = F.col("route") == "jobCopy"
-    return out.select("oid", "route", "reject_reason", F.when(~copied, F.col("channel_id")).alias("channel_id"), F.when(~copied, F.col("first_order_date")).alias("first_order_date"), "server_date_day", "country",
+    return opened(out).select("oid", "route", "reject_reason", F.when(~copied, F.col("channel_id")).alias("channel_id"), F.when(~copied, F.col("first_order_date")).alias("first_order_date"), "server_date_day", "country",
                       "reg_date", *record_fields(ext_a="ext-a", ext_list="ext-list", rec_update="update_time", sub_pf="sub_pf"))
 
 

@@ -37,12 +37,13 @@ TEXT_BYTES = 1 << 25  # bytes of text that a writing task is meant to get
 BUCKET_KEYS = 1 << 15  # keys of an index bucket, about
 CACHED = 1 << 19  # encoded pieces a process remembers, of 32 bytes on average at most
 MARK = b"ids\n"
-AT_ONCE = 4096  # new pieces encoded as one text
+AT_ONCE = 512  # new pieces encoded as one text: the library's work on a text grows faster than the text
 ROWS, BYTES = 2048, 1 << 23  # rows, and bytes of their texts, whose pieces are looked up together: each look-up hashes all remembered ones
 # Fixed value: how a byte-level vocabulary writes a blank.
 BLANK = "\u0120"
 EDGE = r"[!-~\pL\pN]"  # characters that are white space in no library
 STOPS = ".,;:!?"
+LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]"  # letters in every version of Unicode
 _TOKENIZERS: dict = {}
 
 
@@ -82,8 +83,9 @@ class Encoder:
 
     def together(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids, and how many each has, of pieces that follow a blank, hold none and do not end in white space."""
-        texts = ["".join([" " + p for p in pieces.slice(n, AT_ONCE).to_pylist()]) for n in range(0, len(pieces), AT_ONCE)]
-        ids = np.concatenate([self.whole([text])[0] for text in texts])
+        bounds = pa.array([*range(0, len(pieces), AT_ONCE), len(pieces)], pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(bounds, pieces), " ").to_pylist()
+        ids = np.concatenate([self.whole([" " + text])[0] for text in texts])
         at = np.flatnonzero(self.begins[ids])
         if len(at) != len(pieces):
             raise ValueError("pieces were not cut at their blanks")
@@ -97,7 +99,7 @@ class Encoder:
 
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """A number for each of these distinct pieces; new ones are encoded. A word and a stop take the ids of the word."""
-        closed = matches(pieces, f"^[A-Za-z]+[{STOPS}]$")
+        closed = matches(pieces, f"^{LETTER}+[{STOPS}]$")
         words = pc.utf8_slice_codeunits(pieces.filter(pa.array(closed)), 0, -1)
         found = places(pa.concat_arrays([pieces, words]), self.pieces)
         own, word = found[:len(pieces)], found[len(pieces):]

@@ -98,3 +98,17 @@ def test_rows_are_looked_up_in_bounded_handfuls(monkeypatch):
     found = list(S.handfuls(halves))
     assert [k for f in found for k in f.column(0).to_pylist()] == batch.column(0).to_pylist() and max(f.num_rows for f in found) == 7
     assert list(S.handfuls([])) == []
+
+
+def test_a_word_of_other_letters_and_a_stop_take_the_ids_of_the_word(monkeypatch):
+    """The library does not see a known word again because a stop follows; new pieces go to it in short texts."""
+    encode = S.Encoder(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
+    words = [f"ción{a}ó{b}ÿ" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    whole, seen = encode.whole, []
+    monkeypatch.setattr(encode, "whole", lambda texts: (seen.extend(texts), whole(texts))[1])
+    encode.packed(pa.array(["x " + " ".join(words)]))
+    assert max(t.count(" ") for t in seen) <= 512
+    seen.clear()
+    text = "x " + " ".join(w + s for w in words for s in S.STOPS)
+    got = encode.packed(pa.array([text]))
+    assert seen == ["x"] and got == [np.append(whole([text])[0], S.END_ID).astype(encode.kind).tobytes()]

@@ -2,10 +2,13 @@
 
 Store (all below one folder of the shared storage):
 
-* `shards/shard=S/`: one file of unsigned little-endian 16-bit ids (32-bit for vocabularies beyond 65,536), document
+* `shards/kind=ids/shard=S/`: one file of unsigned little-endian 16-bit ids (32-bit for vocabularies beyond 65,536), document
   after document in ascending key order, each closed by the end id 0. A footer follows: per document one line of JSON
   text [key, number of ids], then its length in bytes as 8 bytes and a mark. Shard numbers ascend with the keys; a new
   shard begins after SHARD_IDS ids, so a file is bounded but for one very long document.
+* `shards/kind=keys/shard=S/`: one file of each writing task, S its first shard: the entries of all its documents as JSON
+  objects, each closed by a zero byte. The manifest and the index are made from them, so that no shard is read for it; a
+  shard that is read is held against its own footer.
 * `manifest/`: shard, number of ids, ids of all shards before it, and how many copies of its first key lie before it.
 * `index/`: one row per bucket of keys: a minimal perfect hash function and, at a key's slot, its fingerprint, shard,
   offset and number of ids.
@@ -29,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from playtrail.session import fresh_path
 
-from .common import pieces, small_batches, written
+from .common import small_batches
 
 END_ID = 0
 SHARD_IDS = 1 << 22  # ids after which a shard is closed
@@ -216,67 +219,67 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, key: str = "doc_id"
     def run(batches):
         from pyspark import TaskContext
         encode = encoder(definition)
-        wide, part, number, at, ids, listed = encode.kind.itemsize, TaskContext.get().partitionId(), 0, 0, 0, []
+        wide, base, number, at, ids, listed = encode.kind.itemsize, TaskContext.get().partitionId() << 24, 0, 0, 0, []
+        copy, told = 0, 0
 
         def footer():
             lines = "".join(json.dumps(x, separators=(",", ":")) + "\n" for x in listed).encode()
             return lines + bytes([wide]) + len(lines).to_bytes(8, "little") + MARK
 
         def table(out):  # the writer closes every row by one zero byte: the last of an end id, or one behind the footer
-            return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                                               pa.array([o[2] for o in out], pa.binary())], names=["shard", "no", "value"])
+            return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.binary()))],
+                                              names=["kind", "shard", "no", "value"])
 
         for few in handfuls(batches):
-            out = []
+            out, entry = [], []
             for k, payload in zip(few.column(0).to_pylist(), encode.packed(few.column(1))):
-                out.append(((part << 24) + number, at, payload[:-1]))
-                listed.append((k, len(payload) // wide))
-                at, ids = at + 1, ids + len(payload) // wide
+                n = len(payload) // wide
+                out.append(("ids", base + number, at, payload[:-1]))
+                copy = copy + 1 if listed and k == listed[-1][0] else 0
+                listed.append((k, n))
+                entry.append(json.dumps({"doc_shard": base + number, "first": k == listed[0][0], "k": k, "copy": copy, "at": ids, "n": n}, separators=(",", ":")))
+                at, ids = at + 1, ids + n
                 if ids >= shard_ids:
-                    out.append(((part << 24) + number, at, footer()))
+                    out.append(("ids", base + number, at, footer()))
                     number, at, ids, listed = number + 1, 0, 0, []
-            yield table(out)
+            told += 1
+            yield table([*out, ("keys", base, told, "\0".join(entry).encode())])
         if listed:
-            yield table([((part << 24) + number, at, footer())])
+            yield table([("ids", base + number, at, footer())])
 
-    shards = ordered.mapInArrow(run, "shard long, no long, value binary").sortWithinPartitions("shard", "no")
-    (shards.select("shard", F.col("value").cast("string").alias("value")).write.partitionBy("shard")
+    shards = ordered.mapInArrow(run, "kind string, shard long, no long, value binary").sortWithinPartitions("kind", "shard", "no")
+    (shards.select("kind", "shard", F.col("value").cast("string").alias("value")).write.partitionBy("kind", "shard")
      .option("lineSep", "\0").option("compression", "none").text(f"{root}/shards"))
 
 
+def of_kind(found: DataFrame, kind: str) -> DataFrame:
+    """The files of one kind; none if nothing was written."""
+    return found.where(F.col("kind") == kind) if "kind" in found.columns else found.where(F.lit(False)).withColumn("shard", F.lit(0))
+
+
 def files(spark: SparkSession, root: str) -> DataFrame:
     """(shard, content): the files as they are."""
-    found = spark.read.format("binaryFile").load(f"{root}/shards")
-    if "shard" not in found.columns:  # nothing was written
-        found = found.withColumn("shard", F.lit(0))
+    found = of_kind(spark.read.format("binaryFile").load(f"{root}/shards"), "ids")
     return found.select(F.col("shard").cast("long").alias("shard"), "content")
 
 
-def footer_of(content: bytes) -> tuple[int, list]:
+def footer_of(content: bytes | memoryview) -> tuple[int, list]:
     """(bytes of an id, [[key, number of ids]]) of a shard file."""
     if content[-5:-1] != MARK:
         raise ValueError("a shard file lacks its footer")
     length = int.from_bytes(content[-13:-5], "little")
-    return content[-14], [json.loads(line) for line in content[-14 - length:-14].splitlines()]
+    return content[-14], [json.loads(line) for line in bytes(content[-14 - length:-14]).splitlines()]
 
 
 def entries(spark: SparkSession, root: str) -> DataFrame:
-    """(shard, first, k, copy, at, n) of every document, read from the footers.
+    """(shard, first, k, copy, at, n) of every document, as its writing task noted them; shards are not read.
 
     first: whether its key begins the shard; copy: rows of its key before it in the shard; at: ids before it in the shard.
     """
-    def run(batches):
-        for batch in batches:
-            for shard, content in zip(batch.column(0).to_pylist(), pieces(batch.column(1), 1)):
-                _, listed = footer_of(content)
-                keys, copy = [k for k, _ in listed], [0] * len(listed)
-                for i in range(1, len(keys)):
-                    copy[i] = copy[i - 1] + 1 if keys[i] == keys[i - 1] else 0
-                n = np.array([x for _, x in listed], dtype=np.int64)
-                columns = [pa.array([shard] * len(keys), pa.int64()), pa.array([k == keys[0] for k in keys], pa.bool_()), pa.array(keys, pa.string()),
-                           pa.array(copy, pa.int64()), pa.array(np.cumsum(n) - n), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["shard", "first", "k", "copy", "at", "n"])
-    return files(spark, root).mapInArrow(run, "shard long, first boolean, k string, copy long, at long, n long")
+    names = "shard", "first", "k", "copy", "at", "n"
+    own = "doc_shard long, first boolean, k string, copy long, at long, n long"
+    found = spark.read.schema(own).option("lineSep", "\0").option("mode", "FAILFAST").json(f"{root}/shards")
+    return of_kind(found, "keys").withColumn("shard", F.col("doc_shard")).select(*names)
 
 
 def write_manifest(found: DataFrame, root: str) -> DataFrame:
@@ -374,7 +377,7 @@ def build(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
     """
     root = root or fresh_path(docs.sparkSession, "token-store")
     write_shards(docs, root, tokenizer, key, text, shard_ids)
-    found = written(entries(docs.sparkSession, root), "token-entries")
+    found = entries(docs.sparkSession, root)
     write_index(found, write_manifest(found, root), root)
     return root
 
@@ -414,9 +417,14 @@ def read(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
     def cut(wanted: pa.Table, file: pa.Table) -> pa.Table:
         if not wanted.num_rows:
             return schema.empty_table()
-        content = file.column("content")[0].as_buffer()
-        wide = content[len(content) - 14]
+        content = memoryview(file.column("content")[0].as_buffer()).cast("B")
+        wide, listed = footer_of(content)
         at, n = wanted.column("at").to_numpy(), wanted.column("n").to_numpy()
+        size = np.array([x for _, x in listed], dtype=np.int64)
+        start = np.cumsum(size) - size
+        place = np.minimum(np.searchsorted(start, at), len(listed) - 1)
+        if (start[place] != at).any() or (size[place] != n).any() or [listed[i][0] for i in place.tolist()] != wanted.column("k").to_pylist():
+            raise ValueError("a shard file is not the one that the index was made of")
         ids = [np.frombuffer(content, f"<u{wide}", int(b), int(a) * wide).astype("<u4").tobytes() for a, b in zip(at, n)]
         return pa.table([wanted.column("k"), wanted.column("copy"), wanted.column("start"), pa.array(ids, pa.binary())], schema=schema)
 

@@ -5,6 +5,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from playtrail.llm import token_store as S
@@ -112,3 +113,28 @@ def test_a_word_of_other_letters_and_a_stop_take_the_ids_of_the_word(monkeypatch
     text = "x " + " ".join(w + s for w in words for s in S.STOPS)
     got = encode.packed(pa.array([text]))
     assert seen == ["x"] and got == [np.append(whole([text])[0], S.END_ID).astype(encode.kind).tobytes()]
+
+
+def test_index_is_made_without_reading_shards(spark, frame):
+    """The places of all documents lie in one file a writing task, and are those of the footers."""
+    rows = [(None, "none"), (None, "none"), (3, "the \x00 same")] + [(3, "the same")] * 40 + [(i, f"text {i}") for i in range(4, 90)]
+    root = S.build(frame([(*r, 7) for r in rows], SCHEMA), PATH, shard_ids=30)
+    found = S.entries(spark, root)
+    names = [r.name for r in found.select(F.input_file_name().alias("name")).distinct().collect()]
+    assert S.files(spark, root).count() > 10 and len(names) == 1 and "kind=keys" in names[0]
+    footers = []
+    for shard, content in S.files(spark, root).orderBy("shard").collect():
+        listed, at, copy = S.footer_of(bytes(content))[1], 0, 0
+        for i, (k, n) in enumerate(listed):
+            copy = copy + 1 if i and k == listed[i - 1][0] else 0
+            footers.append((shard, k == listed[0][0], k, copy, at, n))
+            at += n
+    assert [tuple(r) for r in found.orderBy("shard", "at").collect()] == footers and len(footers) == len(rows)
+
+
+def test_a_shard_of_another_store_is_told(spark, frame):
+    docs = frame([(i, "a text", 7) for i in range(5)], SCHEMA)
+    root, other = S.build(docs, PATH), S.build(frame([(i, "a text more", 7) for i in range(5)], SCHEMA), PATH)
+    spark.read.parquet(f"{root}/index").write.parquet(f"{other}/index", mode="overwrite")
+    with pytest.raises(Exception, match="not the one that the index was made of"):
+        S.read(spark, other, S.keys_of(docs)).count()

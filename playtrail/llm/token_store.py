@@ -38,6 +38,7 @@ END_ID = 0
 SHARD_IDS = 1 << 22  # ids after which a shard is closed
 TEXT_BYTES = 1 << 25  # bytes of text that a writing task is meant to get
 BUCKET_KEYS = 1 << 15  # keys of an index bucket, about
+SHARDS_A_TASK = 4  # shards that a reading task gets, about
 CACHED = 1 << 19  # encoded pieces a process remembers, of 32 bytes on average at most
 MARK = b"ids\n"
 AT_ONCE = 512  # new pieces encoded as one text: the library's work on a text grows faster than the text
@@ -412,7 +413,8 @@ def lookup(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
 def read(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
     """(k, copy, start, ids) of the keys (k, copy) in the store: ids of all documents before, and the document's ids with
     its end id as unsigned little-endian 32-bit integers. Only shards that hold a wanted key are read."""
-    places = lookup(spark, root, keys).select("k", "copy", "shard", "at", "start", "n")
+    tasks = max(1, -(-spark.read.parquet(f"{root}/manifest").count() // SHARDS_A_TASK))  # a task's share does not grow with the store
+    places = lookup(spark, root, keys).select("k", "copy", "shard", "at", "start", "n").repartition(tasks, "shard")
 
     def cut(wanted: pa.Table, file: pa.Table) -> pa.Table:
         if not wanted.num_rows:
@@ -429,7 +431,7 @@ def read(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
         return pa.table([wanted.column("k"), wanted.column("copy"), wanted.column("start"), pa.array(ids, pa.binary())], schema=schema)
 
     schema = pa.schema([("k", pa.string()), ("copy", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
-    return (places.groupBy("shard").cogroup(files(spark, root).groupBy("shard"))
+    return (places.groupBy("shard").cogroup(files(spark, root).repartition(tasks, "shard").groupBy("shard"))
             .applyInArrow(lambda a, b: cut(a, b), "k string, copy long, start long, ids binary"))
 
 

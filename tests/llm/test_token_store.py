@@ -138,3 +138,12 @@ def test_a_shard_of_another_store_is_told(spark, frame):
     spark.read.parquet(f"{root}/index").write.parquet(f"{other}/index", mode="overwrite")
     with pytest.raises(Exception, match="not the one that the index was made of"):
         S.read(spark, other, S.keys_of(docs)).count()
+
+
+def test_reading_tasks_grow_with_the_shards(spark, frame):
+    rows = [(i, f"text {i} of many words") for i in range(200)]
+    docs = frame([(*r, 7) for r in rows], SCHEMA)
+    root = S.build(docs, PATH, shard_ids=30)
+    got, shards = S.read(spark, root, S.keys_of(docs)), S.files(spark, root).count()
+    assert shards > 30 and got.rdd.getNumPartitions() == -(-shards // S.SHARDS_A_TASK)
+    assert sorted(((int(r.k), r.start, len(r.ids) // 4, zlib.crc32(r.ids)) for r in got.collect()), key=str) == brute(rows)

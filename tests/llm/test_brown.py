@@ -95,3 +95,101 @@ def test_edges(spark, frame):
     model, counts = brown.fit(empty)
     assert brown.score(empty, model, counts).count() == 0
     assert all(r.base_score == 0 and r.n_known == 0 and math.isfinite(r.score) for r in brown.score(docs, model, counts).collect())
+
+
+def counted_bigrams(docs, classes):
+    """Class bigrams of the texts outside the held-out fold, token by token."""
+    out = np.zeros((brown.CLASSES, brown.CLASSES), dtype=np.int64)
+    for i, text in docs:
+        if i is None or zlib.crc32(str(i).encode()) % 7 != 2:
+            previous = b""
+            for w in brown.tokens(text):
+                out[classes[previous], classes[w]] += 1
+                previous = w
+    return out
+
+
+@pytest.mark.parametrize("head, own, bucket", [(brown.HEAD, brown.OWN, brown.BUCKET), (300, 40, 3000), (40, 40, 10**9)])
+def test_every_word_is_clustered(spark, monkeypatch, head, own, bucket):
+    """Each training word has its own class; the counts of all classes and every score are those of these classes."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    for name, value in (("HEAD", head), ("OWN", own), ("BUCKET", bucket), ("FLUSH", 50_000)):
+        monkeypatch.setattr(brown, name, value)
+    model, counts = brown.fit(docs)
+    words = {bytes(r.word): (r.c, r["class"]) for r in counts.collect()}
+    trained = Counter(w for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2 for w in brown.tokens(t))
+    assert {w: c for w, (c, _) in words.items()} == trained and counts.count() == len(trained)
+    classes = {w: k for w, (_, k) in words.items()}
+    bigram = counted_bigrams(rows, classes)
+    prior = (bigram.sum(axis=0) + 0.5) / (bigram.sum() + 0.5 * brown.CLASSES)
+    assert np.allclose(10 ** model.transitions, (bigram + brown.SHRINK * prior) / (bigram.sum(axis=1, keepdims=True) + brown.SHRINK))
+    steps = [likelihood for _, likelihood in model.log]
+    assert abs(steps[-1] - brown.likelihood(bigram)) < 1e-6 * abs(steps[-1]) and steps[-1] > steps[0] + 0.01 * model.n_tokens
+    # words of one spelling beyond OWN no longer share a class
+    kinds = Counter((brown.spelling(w), k) for w, k in classes.items() if w not in set(model.head[:own]))
+    assert len(kinds) > 2 * len({s for s, _ in kinds})
+    in_class = np.bincount([k for _, k in words.values()], weights=[c + 0.5 for c, _ in words.values()], minlength=brown.CLASSES)
+    unseen = model.classes[len(model.head):]
+    in_class += np.bincount(unseen, minlength=brown.CLASSES) * 0.5
+    texts, result = dict(rows), brown.score(docs, model, counts).collect()
+    for r in result:
+        total, previous = 0.0, classes[b""]
+        for w in brown.tokens(texts[r.doc_id]):
+            c, k = words.get(w) or (0, model.classes[model.symbols.spelt.get(brown.spelling(w), -1)])
+            total += model.transitions[previous, k] + math.log10((c + 0.5) / in_class[k])
+            previous = k
+        assert abs(r.score - total) < 1e-6 * r.n_tokens
+    assert len(result) == len(rows)
+
+
+def test_words_are_parsed_alike(spark, frame):
+    import random
+
+    import pyarrow as pa
+    random.seed(3)
+    texts = ["".join(random.choice(" \t\n\x0b\x0c\r\x1c\x85\xa0\x00aBCÉß漢é.,!?)'\"") for _ in range(random.randrange(25))) for _ in range(2000)] + [None, ""]
+    found, sizes = brown.parsed(pa.chunked_array([texts]))
+    assert found.to_pylist() == [w for t in texts for w in brown.words(t)] and sizes.tolist() == [len(brown.words(t)) for t in texts]
+    every = sorted(set(found.to_pylist()))
+    spelt = frame([(bytearray(w),) for w in every], "word binary").select("word", brown.spelt("word").alias("s")).collect()
+    assert all(bytes(r.s) == brown.spelling(bytes(r.word)) for r in spelt)
+    assert brown.spellings(found).to_pylist() == [brown.spelling(w) for w in found.to_pylist()]
+
+
+def test_best_class_is_that_of_the_whole_likelihood():
+    """A word moves where the likelihood, counted anew over all bigrams, is largest."""
+    rng = np.random.default_rng(1)
+    size, words = 40, 12  # words beside 28 others that stay
+    table = rng.poisson(0.6, (size, size)) * rng.integers(1, 40, (size, size))
+    table[:words, :words] = 0
+    classes = rng.integers(0, brown.CLASSES, size)
+
+    def likelihood(c):
+        out = np.zeros((brown.CLASSES, brown.CLASSES))
+        np.add.at(out, (c[:, None].repeat(size, 1), c[None].repeat(size, 0)), table)
+        return brown.likelihood(out), out
+
+    a, b = np.nonzero(table[:words])
+    c, d = np.nonzero(table[:, :words])
+    times = np.concatenate([table[a, b], table[c, d]])
+    around = (np.concatenate([a, d]), np.repeat([0, 1], [len(a), len(c)]), classes[np.concatenate([b, c])], times)
+    base, counts = likelihood(classes)
+    new = brown.moved(classes[:words], around, counts)
+    assert (new != classes[:words]).sum() > 6
+    for w in range(words):
+        every = []
+        for k in range(brown.CLASSES):
+            other = classes.copy()
+            other[w] = k
+            every.append(likelihood(other)[0])
+        apart = {k for k in range(brown.CLASSES) if not {k} & set(classes[(table[w] + table[:, w]) > 0])}  # a class before and after the word is taken for two
+        best = max(every[k] for k in apart)
+        assert every[new[w]] >= best - 1e-6 and every[new[w]] >= base - 1e-6
+
+
+def test_sums_of_segments():
+    rng = np.random.default_rng(2)
+    lengths = np.concatenate([rng.integers(1, 6, 50), [15, 16, 17, 40], rng.integers(1, 30, 20)])
+    rows, begins = rng.random((lengths.sum(), 5)), np.cumsum(lengths) - lengths
+    assert np.allclose(brown.segments(rows, begins, lengths), np.add.reduceat(rows, begins, axis=0))

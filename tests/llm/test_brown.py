@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from playtrail.llm import brown
 
@@ -154,6 +155,8 @@ def test_words_are_parsed_alike(spark, frame):
     every = sorted(set(found.to_pylist()))
     spelt = frame([(bytearray(w),) for w in every], "word binary").select("word", brown.spelt("word").alias("s")).collect()
     assert all(bytes(r.s) == brown.spelling(bytes(r.word)) for r in spelt)
+    keys = brown.keys_of(found[5:]).tolist()
+    assert keys == [1 << 62 | xxhash.xxh3_64_intdigest(w) >> 2 for w in found.to_pylist()[5:]]
     assert brown.spellings(found).to_pylist() == [brown.spelling(w) for w in found.to_pylist()]
 
 
